@@ -17,14 +17,16 @@ from cohortlift.functions.scalars import num
 N_BUCKETS = 1024
 
 
-def quantile_buckets(df: DataFrame, columns: dict[str, str], n: int = N_BUCKETS) -> DataFrame:
-    """Add a bucket per column (``{column: bucket name}``), cut at approximate quantiles.
+def quantile_buckets(
+    df: DataFrame, columns: dict[str, str], n: int = N_BUCKETS, fit_on: DataFrame | None = None
+) -> DataFrame:
+    """Add a bucket per column (``{column: bucket name}``), cut at approximate quantiles of ``fit_on``.
 
     The driver receives at most ``n`` edges per column.  Equal values share a bucket.
     """
     names = list(columns)
     probabilities = [i / n for i in range(1, n)]
-    edges = df.approxQuantile(names, probabilities, 1.0 / (2 * n))
+    edges = (df if fit_on is None else fit_on).approxQuantile(names, probabilities, 1.0 / (2 * n))
     out = df
     for c, found in zip(names, edges):
         splits = [-float("inf"), *sorted({float(e) for e in found}), float("inf")]

@@ -38,7 +38,7 @@ def auc(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (), n: in
     scores = rows.groupBy(*by, "p").agg(
         F.sum("y").cast("bigint").alias("pos"), F.sum(1 - F.col("y")).cast("bigint").alias("neg")
     )
-    bucketed = quantile_buckets(scores, {"p": "bucket"}, n)
+    bucketed = quantile_buckets(scores, {"p": "bucket"}, n, fit_on=rows)
     inner = Window.partitionBy(*by, "bucket").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("neg").over(inner), F.lit(0))
     won = F.col("pos") * (below + F.col("neg") / 2)
@@ -172,7 +172,8 @@ def rank_normalise(
     groups = list(by) or ["_all"]
     counts = df if by else df.withColumn("_all", F.lit(0))
     counts = counts.groupBy(*groups, p).agg(F.count("*").alias("_n"))
-    ranked = running_total(quantile_buckets(counts, {p: "_bucket"}, n), groups, "_bucket", [p], F.col("_n"), "_before")
+    bucketed = quantile_buckets(counts, {p: "_bucket"}, n, fit_on=df)
+    ranked = running_total(bucketed, groups, "_bucket", [p], F.col("_n"), "_before")
     sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_size"))
     table = (
         attach(ranked.select(*groups, p, "_n", "_before"), sizes, groups)

@@ -11,6 +11,12 @@ from cohortlift import schema as S
 from cohortlift.functions import scalars as X
 
 
+def _text(df: DataFrame, c: str) -> Column:
+    """Text of a value; adding 0.0 folds negative zero."""
+    value = F.col(c) + F.lit(0.0) if dict(df.dtypes)[c] == "double" else F.col(c)
+    return value.cast("string")
+
+
 def _rate(y: str | Column) -> Column:
     return F.avg(X.col(y).cast("double"))
 
@@ -23,7 +29,7 @@ def target_rate(df: DataFrame, by: Sequence[str] = (), y: str = S.TARGET) -> Dat
 def target_rate_all(df: DataFrame, columns: Sequence[str], y: str = S.TARGET) -> DataFrame:
     """``(column, value, n, rate)`` of several columns from one scan and one shuffle."""
     pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+        *[F.struct(F.lit(c).alias("column"), _text(df, c).alias("value")) for c in columns]
     )
     long = df.select(F.col(y).alias("_y"), F.inline(pairs))
     return long.groupBy("column", "value").agg(F.count("*").alias("n"), _rate("_y").alias("rate"))
@@ -75,7 +81,7 @@ def zero_variance(df: DataFrame, columns: Sequence[str], approx: bool = False) -
         counts = _wide(df, columns, lambda c: F.approx_count_distinct(c), "column", "n_distinct")
     else:
         pairs = F.array(
-            *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+            *[F.struct(F.lit(c).alias("column"), _text(df, c).alias("value")) for c in columns]
         )
         values = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.lit(1).alias("_one"))
         counts = values.groupBy("column").agg(F.count("value").alias("n_distinct"))
