@@ -67,48 +67,49 @@ def running_total(
     )
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], n: int = N_BUCKETS) -> DataFrame:
-    """Exact interpolated median of each column as ``(column, median)``; NULL for a column without values."""
+def exact_medians(df: DataFrame, columns: Sequence[str], margin: float = 1e-4) -> DataFrame:
+    """Exact interpolated median of each column as ``(column, median)``; NULL for a column without values.
+
+    Approximate quantiles at 0.5 -/+ ``margin`` bracket the median; rows outside the bracket only count,
+    and the distinct values inside it, at most about 2 x margin of the rows, are ordered.
+    """
     wide = df.select(*[num(c).alias(c) for c in columns])
-    wide = quantile_buckets(wide, {c: f"_b_{c}" for c in columns}, n)
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(f"_b_{c}").alias("bucket"), F.col(c).alias("value"))
-            for c in columns
-        ]
-    )
+    found = wide.approxQuantile(list(columns), [0.5 - margin, 0.5 + margin], margin / 2)
+    brackets = {c: edges for c, edges in zip(columns, found) if edges}
+    spark = df.sparkSession
+    if not brackets:
+        return spark.createDataFrame([(c, None) for c in columns], "column string, median double")
+
+    def placed(c: str) -> Column:
+        low, high = brackets[c]
+        value = F.col(c)
+        return F.struct(
+            F.lit(c).alias("column"),
+            F.when(value < low, 0).when(value <= high, 1).when(value > high, 2).alias("side"),
+            F.when(value.between(low, high), value).alias("value"),
+        )
+
     counts = (
-        wide.select(F.inline(pairs))
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "bucket", "value")
+        wide.select(F.inline(F.array(*[placed(c) for c in brackets])))
+        .where(F.col("side").isNotNull())
+        .groupBy("column", "side", "value")
         .agg(F.count("*").alias("n"))
     )
     per_column = Window.partitionBy("column")
-    before = per_column.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    picks = (
-        counts.groupBy("column", "bucket")
-        .agg(F.sum("n").alias("in_bucket"))
-        .withColumn("offset", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)))
-        .withColumn("total", F.sum("in_bucket").over(per_column))
-        .withColumn("low", F.floor((F.col("total") - 1) / 2))
-        .withColumn("high", F.ceil((F.col("total") - 1) / 2))
-        .where((F.col("offset") <= F.col("high")) & (F.col("offset") + F.col("in_bucket") > F.col("low")))
-    )
-    inside = Window.partitionBy("column", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_column.orderBy("side", "value").rowsBetween(Window.unboundedPreceding, -1)
     at = (
-        # At most two buckets per column can hold the middle ranks.
-        counts.join(F.broadcast(picks), ["column", "bucket"])
-        .withColumn("start", F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+        counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .withColumn("end", F.col("start") + F.col("n"))
+        .withColumn("total", F.sum("n").over(per_column))
     )
 
-    def value_at(rank: str) -> Column:
-        here = (F.col("start") <= F.col(rank)) & (F.col(rank) < F.col("end"))
-        return F.max(F.when(here, F.col("value")))
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("value")))
 
-    found = at.groupBy("column").agg(((value_at("low") + value_at("high")) / 2).alias("median"))
-    wanted = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    return wanted.join(found, "column", "left")
+    last = F.col("total") - 1
+    medians = at.groupBy("column").agg(((value_at(F.floor(last / 2)) + value_at(F.ceil(last / 2))) / 2).alias("median"))
+    wanted = spark.createDataFrame([(c,) for c in columns], "column string")
+    return wanted.join(medians, "column", "left")
 
 
 def dense_codes(values: DataFrame, by: str, value: str, out: str, max_rows: int = 1_000_000) -> DataFrame:

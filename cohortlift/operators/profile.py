@@ -26,6 +26,12 @@ def target_rate(df: DataFrame, by: Sequence[str] = (), y: str = S.TARGET) -> Dat
     return df.groupBy(*by).agg(F.count("*").alias("n"), _rate(y).alias("rate"))
 
 
+def target_rate_per_segment(df: DataFrame, segment: str, y: str = S.TARGET) -> DataFrame:
+    """Rate of each segment (not NULL) and of all rows, as ``segment`` 'all', in one pass."""
+    rates = df.rollup(segment).agg(F.count("*").alias("n"), _rate(y).alias("rate"))
+    return rates.select(F.coalesce(F.col(segment), F.lit("all")).alias(segment), "n", "rate")
+
+
 def target_rate_all(df: DataFrame, columns: Sequence[str], y: str = S.TARGET) -> DataFrame:
     """``(column, value, n, rate)`` of several columns from one scan and one shuffle."""
     pairs = F.array(
@@ -36,10 +42,10 @@ def target_rate_all(df: DataFrame, columns: Sequence[str], y: str = S.TARGET) ->
 
 
 def range_label(c: Column, ranges: Sequence[tuple[float, float, str]]) -> Column:
-    """Label of the first closed range that holds the value; NULL outside of all."""
+    """Label of the right-closed range that holds the value (a range of one point holds that point); else NULL."""
     out = None
     for low, high, text in ranges:
-        inside = c.between(low, high)
+        inside = (c == low) if low == high else (c > low) & (c <= high)
         out = F.when(inside, F.lit(text)) if out is None else out.when(inside, F.lit(text))
     return out
 
