@@ -75,8 +75,13 @@ def clipped_difference(a: Column, b: Column) -> Column:
     return F.when(gap < 0, F.lit(0.0)).otherwise(gap)
 
 
+def null_count_sql(columns: Sequence[str]) -> str:
+    return " + ".join(f"CAST(`{c}` IS NULL AS INT)" for c in columns) or "0"
+
+
 def null_count(columns: Sequence[str]) -> Column:
-    return reduce(add, (is_missing(c) for c in columns), F.lit(0))
+    """Missing values in the row over an explicit list, as one parsed expression."""
+    return F.expr(null_count_sql(columns))
 
 
 def any_null(columns: Sequence[str]) -> Column:

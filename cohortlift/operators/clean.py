@@ -85,6 +85,11 @@ def mask_frozen(thawed: str, c: str) -> Column:
     return F.when(X.z(thawed) > 0, F.lit(-1.0)).otherwise(X.z(c))
 
 
+def _plain(df: DataFrame, c: str) -> Column:
+    """The column as it is; numbers come as double, and NaN as NULL."""
+    return X.num(c) if c in S.NUMERIC or df.schema[c].dataType.typeName() in ("double", "float") else F.col(c)
+
+
 def _clean_raw(df: DataFrame) -> DataFrame:
     have = set(df.columns)
     out: dict[str, Column] = {}
@@ -93,10 +98,8 @@ def _clean_raw(df: DataFrame) -> DataFrame:
             continue
         if c in S.COUNTS:
             out[c] = X.count_from_text(c, S.COUNT_TEXT)
-        elif c in S.NUMERIC:
-            out[c] = X.num(c)
         else:
-            out[c] = F.col(c)
+            out[c] = _plain(df, c)
     if "age_band" in have:
         out["age_num"] = X.lookup("age_band", S.AGE_MEDIAN)
         out["age_ord"] = X.lookup("age_band", S.AGE_ORDINAL)
@@ -119,8 +122,7 @@ def _clean_rules(
     years_rule: bool,
 ) -> DataFrame:
     have = set(df.columns)
-    out: dict[str, Column] = {c: F.col(c) for c in df.columns if c not in S.DROPPED}
-    out.update({c: X.num(c) for c in S.NUMERIC if c in have})
+    out: dict[str, Column] = {c: _plain(df, c) for c in df.columns if c not in S.DROPPED}
     out.update({c: X.count_from_digits(c) for c in S.COUNTS if c in have})
     for c, name in S.CENSOR_FLAGS.items():
         if c in have:

@@ -1,29 +1,27 @@
-"""Feature catalogue: each feature is declared once as a column expression over named inputs.
+"""Feature catalogue: each feature is declared once as a SQL expression over named inputs.
 
 ``derive`` orders the features by what they need and adds each dependency layer with one select.
+Expressions are text because one parsed expression costs the driver far less than a hundred column calls.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from cohortlift import schema as S
 from cohortlift.functions import scalars as X
 from cohortlift.operators import clean as C
 
-z, flag, ratio, num = X.z, X.flag, X.ratio, X.num
-
 
 @dataclass(frozen=True)
 class Feature:
     name: str
     level: str  # base < v3 < full
     needs: tuple[str, ...]
-    build: Callable[[], Column]
+    sql: str
 
 
 RAW: dict[str, Feature] = {}
@@ -31,26 +29,90 @@ CLEAN: dict[str, Feature] = {}
 LEVELS = {"raw": ("base", "v3", "full"), "clean": ("v3", "full")}
 
 
-def _both(name: str, raw_level: str, clean_level: str, needs: str, build: Callable[[], Column]) -> None:
-    _raw(name, raw_level, needs, build)
-    _clean(name, clean_level, needs, build)
+# --- expression text -----------------------------------------------------------------------------
+
+
+def real(value: float) -> str:
+    return f"{float(value)!r}D"
+
+
+def text(value: str) -> str:
+    return f"'{value}'"
+
+
+def num(c: str) -> str:
+    return f"try_cast({c} AS DOUBLE)"
+
+
+def z(c: str, fill: float = 0.0) -> str:
+    return f"coalesce({num(c)}, {real(fill)})"
+
+
+def flag(condition: str) -> str:
+    return f"CAST(coalesce({condition}, false) AS INT)"
 
 
-def _raw(name: str, level: str, needs: str, build: Callable[[], Column]) -> None:
-    RAW[name] = Feature(name, level, tuple(needs.split()), build)
+def ratio(a: str, b: str, plus: float = X.EPS) -> str:
+    return f"try_divide({a}, {b} + {real(plus)})"
 
 
-def _clean(name: str, level: str, needs: str, build: Callable[[], Column]) -> None:
-    CLEAN[name] = Feature(name, level, tuple(needs.split()), build)
+def at_least_zero(gap: str) -> str:
+    return f"CASE WHEN {gap} < 0 THEN 0D ELSE {gap} END"
 
 
-def _donated() -> Column:
-    return X.flag(F.col("egg_source") == S.DONATED) == 1
+def either(c: str, mapping: dict, default: str = "NULL") -> str:
+    whens = " ".join(f"WHEN {text(k) if isinstance(k, str) else k} THEN {real(v)}" for k, v in mapping.items())
+    return f"CASE {c} {whens} ELSE {default} END"
 
 
-def _age_scale(low: float | None = None) -> Column:
-    age = F.coalesce(F.col("real_age_num"), F.lit(35.0))
-    return (age if low is None else F.greatest(age, F.lit(low))) / F.lit(35.0)
+def bins(value: str, edges: Sequence[float], labels: Sequence[str], limits: tuple[float, float]) -> str:
+    """Right-closed bins between the limits; NULL outside."""
+    low, high = limits
+    uppers = [*edges, high]
+    whens = " ".join(f"WHEN {value} <= {real(u)} THEN {text(t)}" for u, t in zip(uppers, labels))
+    return f"CASE WHEN {value} <= {real(low)} THEN NULL {whens} END"
+
+
+DONATED = f"coalesce(egg_source = {text(S.DONATED)}, false)"
+USED = f"({z('embryos_transferred')} + {z('embryos_stored')})"
+
+
+def age_scale(low: float | None = None) -> str:
+    age = z("real_age_num", 35)
+    return f"({age if low is None else f'greatest({age}, {real(low)})'} / 35D)"
+
+
+def suitability(male: str, profile: str) -> str:
+    adequate, overused, underserved, neither = (text(t) for t in S.SUITABILITY_LABELS[profile])
+    return (
+        f"CASE WHEN {male} AND is_ICSI = 1 THEN {adequate} WHEN is_ICSI = 1 THEN {overused} "
+        f"WHEN {male} THEN {underserved} ELSE {neither} END"
+    )
+
+
+def success_prior(kind: str) -> str:
+    """Prior success rate by age, with one value for donated eggs."""
+    if kind == "published":
+        own, donated = either("age_ord", S.PUBLISHED_PRIOR, real(S.PUBLISHED_PRIOR_DEFAULT)), S.PUBLISHED_DONOR_PRIOR
+    else:
+        own, donated = either("age_band", S.MEASURED_PRIOR), S.MEASURED_DONOR_PRIOR
+    return f"CASE WHEN {DONATED} THEN {real(donated)} ELSE {own} END"
+
+
+# --- catalogue -----------------------------------------------------------------------------------
+
+
+def _raw(name: str, level: str, needs: str, sql: str) -> None:
+    RAW[name] = Feature(name, level, tuple(needs.split()), sql)
+
+
+def _clean(name: str, level: str, needs: str, sql: str) -> None:
+    CLEAN[name] = Feature(name, level, tuple(needs.split()), sql)
+
+
+def _both(name: str, raw_level: str, clean_level: str, needs: str, sql: str) -> None:
+    _raw(name, raw_level, needs, sql)
+    _clean(name, clean_level, needs, sql)
 
 
 # Ratios of history and embryo counts: raw keeps a NULL operand, clean reads it as 0.
@@ -62,203 +124,162 @@ for _name, _a, _b in (
     ("embryo_stored_ratio", "embryos_stored", "embryos_total"),
     ("icsi_ratio", "icsi_eggs", "mixed_eggs"),
 ):
-    _raw(_name, "base", f"{_a} {_b}", lambda a=_a, b=_b: ratio(num(a), num(b)))
-    _clean(_name, "v3", f"{_a} {_b}", lambda a=_a, b=_b: ratio(z(a), z(b)))
+    _raw(_name, "base", f"{_a} {_b}", ratio(num(_a), num(_b)))
+    _clean(_name, "v3", f"{_a} {_b}", ratio(z(_a), z(_b)))
 
-_raw("age_x_transferred", "base", "age_num embryos_transferred",
-     lambda: F.col("age_num") * F.col("embryos_transferred"))
+_raw("age_x_transferred", "base", "age_num embryos_transferred", f"age_num * {num('embryos_transferred')}")
 _clean("age_x_transferred", "v3", "age_median embryos_transferred",
-       lambda: z("age_median", S.AGE_WHEN_UNKNOWN) * z("embryos_transferred"))
+       f"{z('age_median', S.AGE_WHEN_UNKNOWN)} * {z('embryos_transferred')}")
 _raw("gap_transfer_minus_pickup", "base", "day_transfer day_egg_pickup",
-     lambda: num("day_transfer") - num("day_egg_pickup"))
+     f"{num('day_transfer')} - {num('day_egg_pickup')}")
 
 # Shared domain set.
-_both("days_mix_to_transfer", "v3", "v3", "day_transfer day_egg_mix",
-      lambda: num("day_transfer") - num("day_egg_mix"))
+_both("days_mix_to_transfer", "v3", "v3", "day_transfer day_egg_mix", f"{num('day_transfer')} - {num('day_egg_mix')}")
 _raw("real_age_num", "v3", "age_num egg_source egg_donor_age_num",
-     lambda: F.when(_donated(), F.col("egg_donor_age_num")).otherwise(F.col("age_num")))
+     f"CASE WHEN {DONATED} THEN egg_donor_age_num ELSE age_num END")
 _clean("real_age_num", "v3", "age_median egg_source egg_donor_age",
-       lambda: F.when(_donated(), X.lookup("egg_donor_age", S.DONOR_AGE)).otherwise(F.col("age_median")))
-_both("log_n_embryo", "v3", "v3", "embryos_total", lambda: F.log1p(z("embryos_total")))
-_raw("miss_gene_test", "v3", "pgs pgd pgt_used", lambda: X.any_null(S.GENE_TEST_COLUMNS))
-_raw("age_x_embryo_ratio", "v3", "age_num embryo_transfer_ratio",
-     lambda: F.col("age_num") * F.col("embryo_transfer_ratio"))
+       f"CASE WHEN {DONATED} THEN {either('egg_donor_age', S.DONOR_AGE)} ELSE age_median END")
+_both("log_n_embryo", "v3", "v3", "embryos_total", f"log1p({z('embryos_total')})")
+_raw("miss_gene_test", "v3", "pgs pgd pgt_used",
+     "CAST(" + " OR ".join(f"{c} IS NULL" for c in S.GENE_TEST_COLUMNS) + " AS INT)")
+_raw("age_x_embryo_ratio", "v3", "age_num embryo_transfer_ratio", "age_num * embryo_transfer_ratio")
 _clean("age_x_embryo_ratio", "v3", "age_median embryo_transfer_ratio",
-       lambda: z("age_median", S.AGE_WHEN_UNKNOWN) * F.col("embryo_transfer_ratio"))
+       f"{z('age_median', S.AGE_WHEN_UNKNOWN)} * embryo_transfer_ratio")
 for _t in S.PROCEDURE_TOKENS:
-    _clean(f"has_{_t}", "v3", "specific_type", lambda t=_t: X.has_token("specific_type", t))
+    _clean(f"has_{_t}", "v3", "specific_type", flag(f"contains(specific_type, {text(_t)})"))
 
 # Missingness.
 for _name, _day in S.MISSING_DAYS.items():
-    _raw(_name, "full", _day, lambda d=_day: X.is_missing(d))
-    _clean(_name, "v3", f"{_name}_raw", lambda n=_name: F.col(f"{n}_raw"))
+    _raw(_name, "full", _day, f"CAST({_day} IS NULL AS INT)")
+    _clean(_name, "v3", f"{_name}_raw", f"{_name}_raw")
 
 # History.
-_both("ever_delivered", "full", "full", "n_births", lambda: flag(z("n_births") > 0))
-_both("repeated_3plus", "full", "full", "n_cycles", lambda: flag(z("n_cycles") >= 3))
-_raw("is_first_attempt", "full", "n_cycles", lambda: flag(num("n_cycles") == 0))
-_clean("is_first_attempt", "full", "n_cycles", lambda: flag(z("n_cycles") == 0))
-_raw("prev_birth_rate", "full", "n_births n_pregnancies", lambda: ratio(z("n_births"), z("n_pregnancies"), 1.0))
+_both("ever_delivered", "full", "full", "n_births", flag(f"{num('n_births')} > 0"))
+_both("repeated_3plus", "full", "full", "n_cycles", flag(f"{num('n_cycles')} >= 3"))
+_raw("is_first_attempt", "full", "n_cycles", flag(f"{num('n_cycles')} = 0"))
+_clean("is_first_attempt", "full", "n_cycles", flag(f"{z('n_cycles')} = 0"))
+_raw("prev_birth_rate", "full", "n_births n_pregnancies", ratio(z("n_births"), z("n_pregnancies"), 1))
 _both("miscarriage_count", "full", "v3", "n_births n_pregnancies",
-      lambda: X.clipped_difference(z("n_pregnancies"), z("n_births")))
-_both("has_miscarriage", "full", "v3", "miscarriage_count", lambda: flag(F.col("miscarriage_count") > 0))
+      at_least_zero(f"({z('n_pregnancies')} - {z('n_births')})"))
+_both("has_miscarriage", "full", "v3", "miscarriage_count", flag("miscarriage_count > 0"))
 _both("miscarriage_rate", "full", "v3", "miscarriage_count n_pregnancies",
-      lambda: ratio(F.col("miscarriage_count"), z("n_pregnancies")))
-_both("long_infertility", "full", "v3", "years_trying", lambda: flag(z("years_trying") >= 7))
-_both("censored_cycles", "full", "v3", "n_cycles", lambda: flag(num("n_cycles") == 6))
-_both("censored_preg", "full", "v3", "n_pregnancies", lambda: flag(num("n_pregnancies") == 6))
-_both("infertility_complexity", "full", "v3", " ".join(S.CAUSES), lambda: X.row_sum(S.CAUSES).cast("int"))
+      ratio("miscarriage_count", z("n_pregnancies")))
+_both("long_infertility", "full", "v3", "years_trying", flag(f"{num('years_trying')} >= 7"))
+_both("censored_cycles", "full", "v3", "n_cycles", flag(f"{num('n_cycles')} = 6"))
+_both("censored_preg", "full", "v3", "n_pregnancies", flag(f"{num('n_pregnancies')} = 6"))
+_both("infertility_complexity", "full", "v3", " ".join(S.CAUSES),
+      f"CAST({' + '.join(z(c) for c in S.CAUSES)} AS INT)")
 _raw("cumulative_failure_burden", "full", "n_cycles n_pregnancies",
-     lambda: X.clipped_difference(z("n_cycles"), z("n_pregnancies")))
-_raw("clinic_veteran", "full", "n_clinic_cycles", lambda: flag(z("n_clinic_cycles") >= 3))
+     at_least_zero(f"({z('n_cycles')} - {z('n_pregnancies')})"))
+_raw("clinic_veteran", "full", "n_clinic_cycles", flag(f"{num('n_clinic_cycles')} >= 3"))
 
 # Embryo yields.
-_raw("maturity_rate", "full", "icsi_eggs fresh_eggs", lambda: ratio(z("icsi_eggs"), z("fresh_eggs"), 1.0))
-_raw("mature_oocyte_rate", "full", "maturity_rate", lambda: F.col("maturity_rate"))
-_clean("ratio_maturity", "full", "icsi_eggs fresh_eggs", lambda: ratio(z("icsi_eggs"), z("fresh_eggs"), 1.0))
-_both("is_ICSI", "full", "full", "icsi_eggs", lambda: flag(z("icsi_eggs") > 0))
-_raw("icsi_fert_rate", "full", "icsi_embryos icsi_eggs", lambda: ratio(z("icsi_embryos"), z("icsi_eggs"), 1.0))
+_raw("maturity_rate", "full", "icsi_eggs fresh_eggs", ratio(z("icsi_eggs"), z("fresh_eggs"), 1))
+_raw("mature_oocyte_rate", "full", "maturity_rate", "maturity_rate")
+_clean("ratio_maturity", "full", "icsi_eggs fresh_eggs", ratio(z("icsi_eggs"), z("fresh_eggs"), 1))
+_both("is_ICSI", "full", "full", "icsi_eggs", flag(f"{num('icsi_eggs')} > 0"))
+_raw("icsi_fert_rate", "full", "icsi_embryos icsi_eggs", ratio(z("icsi_embryos"), z("icsi_eggs"), 1))
 _clean("ratio_icsi_success", "full", "is_ICSI icsi_embryos icsi_eggs",
-       lambda: F.when(F.col("is_ICSI") == 1, ratio(z("icsi_embryos"), z("icsi_eggs"), 1.0)))
+       f"CASE WHEN is_ICSI = 1 THEN {ratio(z('icsi_embryos'), z('icsi_eggs'), 1)} END")
 _raw("transferable_rate", "full", "embryos_transferred embryos_stored embryos_total",
-     lambda: ratio(z("embryos_transferred") + z("embryos_stored"), z("embryos_total"), 1.0))
-_raw("adoption_rate", "full", "embryos_transferred embryos_stored",
-     lambda: ratio(z("embryos_transferred"), z("embryos_transferred") + z("embryos_stored"), 1.0))
-_raw("icsi_failures", "full", "icsi_eggs icsi_embryos",
-     lambda: X.clipped_difference(z("icsi_eggs"), z("icsi_embryos")))
-_raw("icsi_share", "full", "icsi_eggs embryos_total", lambda: ratio(z("icsi_eggs"), z("embryos_total"), 1.0))
-_raw("transfer_cancelled", "full", "embryos_transferred", lambda: flag(num("embryos_transferred") == 0))
-_clean("transfer_cancelled", "full", "embryos_transferred", lambda: flag(z("embryos_transferred") == 0))
-_clean("ratio_embryo_yield", "full", "embryos_total fresh_eggs",
-       lambda: ratio(z("embryos_total"), z("fresh_eggs"), 1.0))
+     ratio(USED, z("embryos_total"), 1))
+_raw("adoption_rate", "full", "embryos_transferred embryos_stored", ratio(z("embryos_transferred"), USED, 1))
+_raw("icsi_failures", "full", "icsi_eggs icsi_embryos", at_least_zero(f"({z('icsi_eggs')} - {z('icsi_embryos')})"))
+_raw("icsi_share", "full", "icsi_eggs embryos_total", ratio(z("icsi_eggs"), z("embryos_total"), 1))
+_raw("transfer_cancelled", "full", "embryos_transferred", flag(f"{num('embryos_transferred')} = 0"))
+_clean("transfer_cancelled", "full", "embryos_transferred", flag(f"{z('embryos_transferred')} = 0"))
+_clean("ratio_embryo_yield", "full", "embryos_total fresh_eggs", ratio(z("embryos_total"), z("fresh_eggs"), 1))
 _clean("ratio_transfer_density", "full", "embryos_transferred embryos_total",
-       lambda: ratio(z("embryos_transferred"), z("embryos_total"), 1.0))
+       ratio(z("embryos_transferred"), z("embryos_total"), 1))
 
 # Repaired totals and the rates built on them.
 _raw("embryos_fixed", "full", "embryos_total embryos_transferred embryos_stored",
-     lambda: C.fix_embryos("embryos_total", "embryos_transferred", "embryos_stored"))
-_raw("icsi_embryos_fixed", "full", "icsi_embryos icsi_eggs",
-     lambda: C.fix_icsi_embryos("icsi_embryos", "icsi_eggs"))
-_raw("egg_to_embryo_rate", "full", "embryos_fixed fresh_eggs",
-     lambda: ratio(F.col("embryos_fixed"), z("fresh_eggs"), 1.0))
-_raw("icsi_success_rate", "full", "icsi_embryos_fixed icsi_eggs",
-     lambda: ratio(F.col("icsi_embryos_fixed"), z("icsi_eggs"), 1.0))
+     f"greatest({z('embryos_total')}, {USED})")
+_raw("icsi_embryos_fixed", "full", "icsi_embryos icsi_eggs", f"least({z('icsi_embryos')}, {z('icsi_eggs')})")
+_raw("egg_to_embryo_rate", "full", "embryos_fixed fresh_eggs", ratio("embryos_fixed", z("fresh_eggs"), 1))
+_raw("icsi_success_rate", "full", "icsi_embryos_fixed icsi_eggs", ratio("icsi_embryos_fixed", z("icsi_eggs"), 1))
 _raw("embryo_utilization_rate", "full", "embryos_transferred embryos_stored embryos_fixed",
-     lambda: ratio(z("embryos_transferred") + z("embryos_stored"), F.col("embryos_fixed"), 1.0))
+     ratio(USED, "embryos_fixed", 1))
 _raw("total_pipeline_efficiency", "full", "embryos_transferred embryos_stored fresh_eggs",
-     lambda: ratio(z("embryos_transferred") + z("embryos_stored"), z("fresh_eggs"), 1.0))
-_both("is_FET", "full", "full", "embryos_thawed", lambda: flag(z("embryos_thawed") > 0))
-_raw("fresh_fet_adj", "full", "embryos_thawed fresh_eggs", lambda: C.mask_frozen("embryos_thawed", "fresh_eggs"))
-_raw("mixed_fet_adj", "full", "embryos_thawed mixed_eggs", lambda: C.mask_frozen("embryos_thawed", "mixed_eggs"))
+     ratio(USED, z("fresh_eggs"), 1))
+_both("is_FET", "full", "full", "embryos_thawed", flag(f"{num('embryos_thawed')} > 0"))
+for _name, _source in (("fresh_fet_adj", "fresh_eggs"), ("mixed_fet_adj", "mixed_eggs")):
+    _raw(_name, "full", f"is_FET {_source}", f"CASE WHEN is_FET = 1 THEN -1D ELSE {z(_source)} END")
 _raw("arrested_embryo_count", "full", "embryos_fixed embryos_transferred embryos_stored",
-     lambda: X.clipped_difference(F.col("embryos_fixed"), z("embryos_transferred") + z("embryos_stored")))
+     at_least_zero(f"(embryos_fixed - {USED})"))
 _raw("arrested_embryo_rate", "full", "arrested_embryo_count embryos_fixed",
-     lambda: ratio(F.col("arrested_embryo_count"), F.col("embryos_fixed")))
+     ratio("arrested_embryo_count", "embryos_fixed"))
 _raw("total_fertilization_failure", "full", "fresh_eggs embryos_total",
-     lambda: flag((z("fresh_eggs") > 0) & (z("embryos_total") == 0)))
+     flag(f"{num('fresh_eggs')} > 0 AND {z('embryos_total')} = 0"))
 _raw("all_embryos_arrested", "full", "embryos_total embryos_transferred embryos_stored",
-     lambda: flag((z("embryos_total") > 0) & (z("embryos_transferred") == 0) & (z("embryos_stored") == 0)))
+     flag(f"{num('embryos_total')} > 0 AND {z('embryos_transferred')} = 0 AND {z('embryos_stored')} = 0"))
 _raw("elective_freeze", "full", "embryos_transferred embryos_stored",
-     lambda: flag((z("embryos_transferred") == 0) & (z("embryos_stored") > 0)))
-_raw("age_normalized_efficiency", "full", "egg_to_embryo_rate real_age_num",
-     lambda: F.col("egg_to_embryo_rate") * _age_scale())
+     flag(f"{z('embryos_transferred')} = 0 AND {num('embryos_stored')} > 0"))
+_raw("age_normalized_efficiency", "full", "egg_to_embryo_rate real_age_num", f"egg_to_embryo_rate * {age_scale()}")
 _raw("age_normalized_pipeline", "full", "total_pipeline_efficiency real_age_num",
-     lambda: F.col("total_pipeline_efficiency") * _age_scale())
+     f"total_pipeline_efficiency * {age_scale()}")
 _clean("age_normalized_efficiency", "v3", "embryos_total fresh_eggs real_age_num",
-       lambda: ratio(z("embryos_total"), z("fresh_eggs"), 1.0) * _age_scale(18.0))
+       f"{ratio(z('embryos_total'), z('fresh_eggs'), 1)} * {age_scale(18)}")
 _clean("age_normalized_pipeline", "v3", "embryos_transferred embryos_stored fresh_eggs real_age_num",
-       lambda: ratio(z("embryos_transferred") + z("embryos_stored"), z("fresh_eggs"), 1.0) * _age_scale(18.0))
+       f"{ratio(USED, z('fresh_eggs'), 1)} * {age_scale(18)}")
 
 # Treatment suitability and bins.
 _raw("male_factor", "full", "cause_male_primary cause_male_secondary cause_male_factor",
-     lambda: flag((z("cause_male_primary") == 1) | (z("cause_male_secondary") == 1) | (z("cause_male_factor") == 1)))
-
-
-def _suitability(male: Column, profile: str) -> Column:
-    adequate, overused, underserved, neither = S.SUITABILITY_LABELS[profile]
-    icsi = F.col("is_ICSI") == 1
-    return X.first_match(
-        [(male & icsi, adequate), (~male & icsi, overused), (male & ~icsi, underserved)], neither
-    )
-
-
-_raw("suitability", "full", "male_factor is_ICSI", lambda: _suitability(F.col("male_factor") == 1, "raw"))
+     flag(" OR ".join(f"{z(c)} = 1" for c in ("cause_male_primary", "cause_male_secondary", "cause_male_factor"))))
+_raw("suitability", "full", "male_factor is_ICSI", suitability("male_factor = 1", "raw"))
 _clean("suitability", "full", "cause_male_factor is_ICSI",
-       lambda: _suitability(z("cause_male_factor").cast("int") == 1, "clean"))
-_raw("icsi_suitable", "full", "male_factor is_ICSI",
-     lambda: flag((F.col("male_factor") == 1) & (F.col("is_ICSI") == 1)))
+       suitability(f"CAST({z('cause_male_factor')} AS INT) = 1", "clean"))
+_raw("icsi_suitable", "full", "male_factor is_ICSI", flag("male_factor = 1 AND is_ICSI = 1"))
 _clean("proper_icsi_match", "full", "cause_male_factor icsi_eggs",
-       lambda: flag((z("cause_male_factor") == 1) & (z("icsi_eggs") > 0)))
+       flag(f"{num('cause_male_factor')} = 1 AND {num('icsi_eggs')} > 0"))
 for _name, _source, (_edges, _labels) in (
     ("embryo_group", "embryos_total", S.EMBRYO_BINS),
     ("icsi_egg_group", "icsi_eggs", S.ICSI_EGG_BINS),
 ):
-    _raw(_name, "full", _source,
-         lambda s=_source, e=_edges, t=_labels: X.band(num(s), e, t, S.BIN_LIMITS["raw"]))
-    _clean(_name, "full", _source,
-           lambda s=_source, e=_edges, t=_labels: F.coalesce(
-               X.band(z(s), e, t, S.BIN_LIMITS["clean"]), F.lit("nan")))
+    _raw(_name, "full", _source, bins(num(_source), _edges, _labels, S.BIN_LIMITS["raw"]))
+    _clean(_name, "full", _source, f"coalesce({bins(z(_source), _edges, _labels, S.BIN_LIMITS['clean'])}, 'nan')")
 
 # Interactions.
-_raw("age_x_procs", "full", "age_num n_cycles", lambda: z("age_num") * z("n_cycles"))
-_clean("age_x_procedure", "full", "age_median n_cycles",
-       lambda: z("age_median", S.AGE_WHEN_UNKNOWN) * z("n_cycles"))
-_raw("age_x_log_embryo", "full", "age_num log_n_embryo", lambda: z("age_num") * F.col("log_n_embryo"))
-_raw("icsi_fert_x_male", "full", "icsi_fert_rate male_factor",
-     lambda: F.col("icsi_fert_rate") * F.col("male_factor"))
+_raw("age_x_procs", "full", "age_num n_cycles", f"{z('age_num')} * {z('n_cycles')}")
+_clean("age_x_procedure", "full", "age_median n_cycles", f"{z('age_median', S.AGE_WHEN_UNKNOWN)} * {z('n_cycles')}")
+_raw("age_x_log_embryo", "full", "age_num log_n_embryo", f"{z('age_num')} * log_n_embryo")
+_raw("icsi_fert_x_male", "full", "icsi_fert_rate male_factor", "icsi_fert_rate * male_factor")
 
 # Consistency and clinical flags.
-_raw("is_mismatch_icsi", "full", "male_factor is_ICSI", lambda: flag(F.col("male_factor") != F.col("is_ICSI")))
-_raw("is_split_strategy", "full", "mixed_eggs icsi_eggs",
-     lambda: flag((z("mixed_eggs") > 0) & (z("icsi_eggs") > 0)))
-_raw("is_donor_sperm", "full", "donor_mixed_eggs", lambda: flag(z("donor_mixed_eggs") > 0))
+_raw("is_mismatch_icsi", "full", "male_factor is_ICSI", flag("male_factor != is_ICSI"))
+_raw("is_split_strategy", "full", "mixed_eggs icsi_eggs", flag(f"{num('mixed_eggs')} > 0 AND {num('icsi_eggs')} > 0"))
+_raw("is_donor_sperm", "full", "donor_mixed_eggs", flag(f"{num('donor_mixed_eggs')} > 0"))
 _both("is_elective_SET", "full", "v3", "embryos_transferred embryos_total",
-      lambda: flag((z("embryos_transferred") == 1) & (z("embryos_total") > 1)))
-_both("high_ovarian_response", "full", "full", "fresh_eggs", lambda: flag(z("fresh_eggs") > 20))
-_clean("low_ovarian_response", "full", "fresh_eggs", lambda: flag(z("fresh_eggs") <= 3))
-_raw("is_egg_optimal", "full", "fresh_eggs", lambda: flag(z("fresh_eggs").between(10, 20)))
-_clean("eggs_optimal", "full", "fresh_eggs", lambda: flag(z("fresh_eggs").between(10, 20)))
-_both("is_blastocyst_by_day", "full", "full", "day_transfer", lambda: flag(num("day_transfer") >= 5))
-_both("bast_transfer", "full", "full", "is_blastocyst_by_day", lambda: F.col("is_blastocyst_by_day"))
-_raw("icsi_above_avg_success", "full", "is_ICSI icsi_fert_rate",
-     lambda: flag((F.col("is_ICSI") == 1) & (F.col("icsi_fert_rate") >= 0.70)))
+      flag(f"{num('embryos_transferred')} = 1 AND {num('embryos_total')} > 1"))
+_both("high_ovarian_response", "full", "full", "fresh_eggs", flag(f"{num('fresh_eggs')} > 20"))
+_clean("low_ovarian_response", "full", "fresh_eggs", flag(f"{z('fresh_eggs')} <= 3"))
+_raw("is_egg_optimal", "full", "fresh_eggs", flag(f"{num('fresh_eggs')} BETWEEN 10 AND 20"))
+_clean("eggs_optimal", "full", "fresh_eggs", flag(f"{num('fresh_eggs')} BETWEEN 10 AND 20"))
+_both("is_blastocyst_by_day", "full", "full", "day_transfer", flag(f"{num('day_transfer')} >= 5"))
+_both("bast_transfer", "full", "full", "is_blastocyst_by_day", "is_blastocyst_by_day")
+_raw("icsi_above_avg_success", "full", "is_ICSI icsi_fert_rate", flag("is_ICSI = 1 AND icsi_fert_rate >= 0.7D"))
 _clean("icsi_above_avg_success", "full", "is_ICSI ratio_icsi_success",
-       lambda: F.when(F.col("is_ICSI") == 1, flag(F.col("ratio_icsi_success") >= 0.70)))
-_raw("is_DI", "full", "treatment_type", lambda: flag(F.col("treatment_type") == "DI"))
-_raw("proven_fertility_older", "full", "age_num ever_delivered",
-     lambda: flag((z("age_num") >= 40) & (F.col("ever_delivered") == 1)))
-_raw("dor_young", "full", "fresh_eggs age_num", lambda: flag((z("fresh_eggs") <= 3) & (z("age_num", 99) < 35)))
-_raw("pgt_elder", "full", "age_num pgs pgd",
-     lambda: flag((z("age_num") >= 40) & ((z("pgs") == 1) | (z("pgd") == 1))))
+       f"CASE WHEN is_ICSI = 1 THEN {flag('ratio_icsi_success >= 0.7D')} END")
+_raw("is_DI", "full", "treatment_type", flag("treatment_type = 'DI'"))
+_raw("proven_fertility_older", "full", "age_num ever_delivered", flag("age_num >= 40 AND ever_delivered = 1"))
+_raw("dor_young", "full", "fresh_eggs age_num", flag(f"{z('fresh_eggs')} <= 3 AND age_num < 35"))
+_raw("pgt_elder", "full", "age_num pgs pgd", flag(f"age_num >= 40 AND ({z('pgs')} = 1 OR {z('pgd')} = 1)"))
 _raw("male_severe", "full", "cause_sperm_conc cause_sperm_motility cause_sperm_morph",
-     lambda: flag(X.row_sum(["cause_sperm_conc", "cause_sperm_motility", "cause_sperm_morph"]) >= 2))
+     flag(f"{z('cause_sperm_conc')} + {z('cause_sperm_motility')} + {z('cause_sperm_morph')} >= 2"))
 _raw("donor_age_advantage", "full", "age_num egg_donor_age_num egg_source",
-     lambda: F.when(_donated(), z("age_num", S.AGE_WHEN_UNKNOWN) - z("egg_donor_age_num", S.DONOR_AGE_WHEN_UNKNOWN))
-     .otherwise(F.lit(0.0)))
+     f"CASE WHEN {DONATED} THEN {z('age_num', S.AGE_WHEN_UNKNOWN)} "
+     f"- {z('egg_donor_age_num', S.DONOR_AGE_WHEN_UNKNOWN)} ELSE 0D END")
 _raw("triple_positive", "full", "age_num is_blastocyst_by_day is_egg_optimal",
-     lambda: flag((z("age_num", 99) < 40) & (F.col("is_blastocyst_by_day") == 1) & (F.col("is_egg_optimal") == 1)))
+     flag("age_num < 40 AND is_blastocyst_by_day = 1 AND is_egg_optimal = 1"))
 _raw("blast_eset", "full", "is_blastocyst_by_day is_elective_SET",
-     lambda: flag((F.col("is_blastocyst_by_day") == 1) & (F.col("is_elective_SET") == 1)))
+     flag("is_blastocyst_by_day = 1 AND is_elective_SET = 1"))
 _clean("eset_blast", "full", "single_transfer day_transfer",
-       lambda: flag((z("single_transfer") == 1) & (num("day_transfer") >= 5)))
-_clean("elderly_donor_egg", "full", "age_ord egg_source", lambda: flag(_donated() & (F.col("age_ord") >= 3)))
+       flag(f"{num('single_transfer')} = 1 AND {num('day_transfer')} >= 5"))
+_clean("elderly_donor_egg", "full", "age_ord egg_source", flag(f"{DONATED} AND age_ord >= 3"))
 _clean("flag_logic_error", "full", "is_FET embryos_transferred embryos_total",
-       lambda: flag((F.col("is_FET") == 0) & (z("embryos_transferred") > z("embryos_total"))))
-
-
-def success_prior(kind: str) -> Column:
-    """Prior success rate by age, with one value for donated eggs."""
-    if kind == "published":
-        own = X.lookup("age_ord", S.PUBLISHED_PRIOR, S.PUBLISHED_PRIOR_DEFAULT)
-        donated = S.PUBLISHED_DONOR_PRIOR
-    else:
-        own = X.lookup("age_band", S.MEASURED_PRIOR)
-        donated = S.MEASURED_DONOR_PRIOR
-    return F.when(_donated(), F.lit(donated)).otherwise(own)
-
-
-_raw("age_success_prior", "full", "age_ord egg_source", lambda: success_prior("published"))
-_clean("age_success_prior", "full", "age_band egg_source", lambda: success_prior("measured"))
+       flag(f"is_FET = 0 AND {z('embryos_transferred')} > {z('embryos_total')}"))
+_raw("age_success_prior", "full", "age_ord egg_source", success_prior("published"))
+_clean("age_success_prior", "full", "age_band egg_source", success_prior("measured"))
 
 # NULL-able columns that the row-wise missing count of the raw profile looks at besides the source columns.
 RAW_COUNTED = (
@@ -277,28 +298,28 @@ def catalogue(profile: str, level: str) -> dict[str, Feature]:
     return {n: f for n, f in table.items() if f.level in allowed}
 
 
-def _with(df: DataFrame, new: dict[str, Column]) -> DataFrame:
-    keep = [F.col(c) for c in df.columns if c not in new]
-    return df.select(*keep, *[e.alias(n) for n, e in new.items()])
+def _with(df: DataFrame, new: dict[str, str]) -> DataFrame:
+    keep = [f"`{c}`" for c in df.columns if c not in new]
+    return df.selectExpr(*keep, *[f"{e} AS `{n}`" for n, e in new.items()])
 
 
-def _resolve(df: DataFrame, features: dict[str, Feature]) -> tuple[list[list[Feature]], dict[str, list[str]]]:
+def _resolve(have: Iterable[str], features: dict[str, Feature]) -> tuple[list[list[Feature]], dict[str, list[str]]]:
     """Dependency layers, and the features left out with the columns they miss."""
-    have, todo, layers = set(df.columns), dict(features), []
+    known, todo, layers = set(have), dict(features), []
     while todo:
-        ready = [f for f in todo.values() if all(n in have for n in f.needs)]
+        ready = [f for f in todo.values() if known.issuperset(f.needs)]
         if not ready:
-            return layers, {f.name: [n for n in f.needs if n not in have] for f in todo.values()}
+            return layers, {f.name: [n for n in f.needs if n not in known] for f in todo.values()}
         layers.append(ready)
         for f in ready:
             del todo[f.name]
-        have |= {f.name for f in ready}
+        known |= {f.name for f in ready}
     return layers, {}
 
 
 def skipped(df: DataFrame, profile: str, level: str = "full") -> dict[str, list[str]]:
     """Features that ``derive`` would leave out, with the columns they miss."""
-    return _resolve(df, catalogue(profile, level))[1]
+    return _resolve(df.columns, catalogue(profile, level))[1]
 
 
 def derive(df: DataFrame, level: str = "full", profile: str = "clean", *, legacy: bool = False) -> DataFrame:
@@ -307,20 +328,19 @@ def derive(df: DataFrame, level: str = "full", profile: str = "clean", *, legacy
     ``legacy`` (clean profile) takes missing flags and the row-wise missing count after sentinels and
     medians instead of from the source columns.
     """
-    layers, _ = _resolve(df, catalogue(profile, level))
     source = df.columns
+    layers, _ = _resolve(source, catalogue(profile, level))
     out = df
     for layer in layers:
-        out = _with(out, {f.name: f.build() for f in layer})
+        out = _with(out, {f.name: f.sql for f in layer})
     if profile == "raw" and level == "full":
         counted = C.source_columns(df) + [c for c in RAW_COUNTED if c in out.columns]
-        out = _with(out, {"n_missing_row": X.null_count(counted)})
+        out = _with(out, {"n_missing_row": X.null_count_sql(counted)})
     if profile == "clean" and legacy:
         seen = [c for c in source if c not in S.NOT_FEATURES and c != "n_missing_row"]
         seen += [f.name for layer in layers for f in layer if f.level == "v3" and f.name not in S.MISSING_DAYS]
-        flags = {n: X.is_missing(d) for n, d in S.MISSING_DAYS.items() if d in source}
+        flags = {n: f"CAST({d} IS NULL AS INT)" for n, d in S.MISSING_DAYS.items() if d in source}
         out = _with(
-            out.drop(*[n for n in S.MISSING_DAYS if n not in flags]),
-            {**flags, "n_missing_row": X.null_count([c for c in seen if c in out.columns])},
+            out.drop(*[n for n in S.MISSING_DAYS if n not in flags]), {**flags, "n_missing_row": X.null_count_sql(seen)}
         )
     return out

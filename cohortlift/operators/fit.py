@@ -15,13 +15,28 @@ from cohortlift.functions.ranking import dense_codes, exact_medians
 COUNT_LIKE = "[0-9]+회"
 
 
-def fit_medians(df: DataFrame, columns: Sequence[str] = tuple(S.NUMERIC), exact: bool = True) -> DataFrame:
-    """``(column, median)`` of the columns that exist, on rows before any rule."""
+def fit_medians(
+    df: DataFrame, columns: Sequence[str] = tuple(S.NUMERIC), exact: bool = True, small: int = 10_000
+) -> DataFrame:
+    """``(column, median)`` of the columns that exist, on rows before any rule.
+
+    The built-in median holds one counter per distinct value, so it takes the columns with about ``small``
+    values at most; the others are bracketed first.  ``exact=False`` takes approximate percentiles.
+    """
     present = [c for c in columns if c in df.columns]
-    if exact:
-        return exact_medians(df, present)
-    wide = df.agg(*[F.percentile_approx(X.num(c), 0.5).alias(c) for c in present])
-    return unpivot(wide, present, "column", "median")
+    few, many = present, []
+    if exact and present:
+        sizes = df.agg(*[F.approx_count_distinct(X.num(c)).alias(c) for c in present]).first()
+        few, many = [c for c in present if sizes[c] <= small], [c for c in present if sizes[c] > small]
+    middle = F.median if exact else (lambda c: F.percentile_approx(c, 0.5))
+    parts = []
+    if few:
+        parts.append(unpivot(df.agg(*[middle(X.num(c)).alias(c) for c in few]), few, "column", "median"))
+    if many:
+        parts.append(exact_medians(df, many))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column string, median double")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], key: str, value: str) -> DataFrame:

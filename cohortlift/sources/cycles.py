@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortlift.sources.tables import spread
+
 CYCLES_SQL = """
 WITH k AS (SELECT o_orderkey AS k FROM orders),
 s1 AS (SELECT k,
@@ -85,4 +87,5 @@ def cycles_from(orders: DataFrame) -> DataFrame:
 
 
 def read_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cycles_from(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    return cycles_from(spread(orders, "o_orderkey"))

@@ -31,6 +31,15 @@ def read_table(
     return to_names(spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over all cores when the input has fewer partitions than cores, as one small file has.
+
+    An input that already fills the cluster is not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def to_names(df: DataFrame) -> DataFrame:
     """Source headers to ASCII names; other columns stay."""
     names = {c.source: c.name for c in S.COLUMNS}
