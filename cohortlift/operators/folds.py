@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlift import schema as S
@@ -36,3 +36,13 @@ def assign_folds(
 def split_fold(df: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
     """Train complement and validation part of one fold."""
     return df.where(F.col("fold") != fold), df.where(F.col("fold") == fold)
+
+
+def complement_rates(df: DataFrame, y: str = S.TARGET) -> DataFrame:
+    """``(fold, n_train, n_valid, rate_train)``: complement sizes as total minus fold, from one pass."""
+    sizes = df.groupBy("fold").agg(F.count("*").alias("n"), F.sum(y).alias("t"))
+    whole = Window.partitionBy(F.lit(0))  # over the k rows of ``sizes``
+    rest_n, rest_t = F.sum("n").over(whole) - F.col("n"), F.sum("t").over(whole) - F.col("t")
+    return sizes.select(
+        "fold", rest_n.alias("n_train"), F.col("n").alias("n_valid"), F.try_divide(rest_t, rest_n).alias("rate_train")
+    )

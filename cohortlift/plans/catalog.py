@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from cohortlift.plans import clean_queries, profile_queries  # noqa: F401
+from cohortlift.plans import (  # noqa: F401
+    clean_queries, encode_queries, feature_queries, fit_queries, profile_queries,
+)
 from cohortlift.plans.base import ORACLES, QUERIES, Query
 
 
