@@ -32,18 +32,22 @@ def attach(
     spread: Sequence[str] | None = None,
     max_bytes: int = MAX_BROADCAST_BYTES,
     hot_keys: int = HOT_KEYS,
+    size: int | None = None,
 ) -> DataFrame:
     """Left join of ``stats`` (one row per key; NULL keys match) onto ``df``.
 
     A table beyond ``max_bytes`` is joined in two parts: keys that hold more than 1/``hot_keys`` of the
     rows, of which there are fewer than ``hot_keys``, by broadcast, and the others by a shuffle in which
-    the rows of hot keys are spread by a hash of ``spread`` (default: all columns).
+    the rows of hot keys are spread by a hash of ``spread`` (default: all columns).  ``size`` is an upper bound
+    of the bytes of ``stats`` that the caller has measured.
     """
-    stats = stats.persist()
+    if size is None:
+        stats = stats.persist()
+        size = measured_bytes(stats)
     values = [c for c in stats.columns if c not in on]
     keyed = stats.select(*[F.col(c).alias(f"_k_{c}") for c in on], *values)
     drop_keys = [f"_k_{c}" for c in on]
-    if measured_bytes(stats) <= max_bytes:
+    if size <= max_bytes:
         return df.join(F.broadcast(keyed), _null_safe(df, keyed, on), "left").drop(*drop_keys)
 
     total = df.count()

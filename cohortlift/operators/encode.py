@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortlift import schema as S
 from cohortlift.functions import scalars as X
-from cohortlift.functions.joins import MAX_BROADCAST_BYTES, attach
+from cohortlift.functions.joins import MAX_BROADCAST_BYTES, attach, measured_bytes
 
 
 @dataclass(frozen=True)
@@ -59,6 +59,7 @@ class Encoder:
     stats: DataFrame
     fold_prior: dict[int, float]
     prior: float
+    size: int
 
     def _strength(self) -> Column:
         return X.lookup("encoding", {n: float(key.smoothing) for n, key in self.keys.items()})
@@ -89,7 +90,7 @@ class Encoder:
                 F.col("key").alias("_key"), F.col("fold").alias(fold), F.col("te").alias(name)
             )
             keyed = out.withColumn("_key", F.col(key.column).cast("string"))
-            out = attach(keyed, side, ["_key", fold], max_bytes=max_bytes).drop("_key")
+            out = attach(keyed, side, ["_key", fold], max_bytes=max_bytes, size=self.size).drop("_key")
         return out
 
     def transform(self, df: DataFrame, how: str = "full", max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
@@ -123,7 +124,7 @@ class Encoder:
         for name, key in self.keys.items():
             side = table.where(F.col("encoding") == name).select(F.col("key").alias("_key"), F.col("te").alias(name))
             keyed = out.withColumn("_key", F.col(key.column).cast("string"))
-            out = attach(keyed, side, ["_key"], max_bytes=max_bytes).drop("_key")
+            out = attach(keyed, side, ["_key"], max_bytes=max_bytes, size=self.size).drop("_key")
             out = out.withColumn(name, F.coalesce(F.col(name), F.lit(default)))
         return out
 
@@ -153,7 +154,7 @@ def fit_encoder(
     overall = t / n
     fold_prior = {f: a / b if b else overall for f, (a, b) in rest.items()}
     fold_prior = {f: fold_prior.get(f, overall) for f in range(k)}
-    return Encoder(dict(keys), k, stats, fold_prior, overall)
+    return Encoder(dict(keys), k, stats, fold_prior, overall, measured_bytes(stats))
 
 
 def oof_encode(df: DataFrame, key: str, y: str = S.TARGET, fold: str = "fold", s: float = 20.0, out: str = "te") -> DataFrame:

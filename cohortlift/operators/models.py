@@ -26,7 +26,7 @@ from cohortlift.functions import scalars as X
 from cohortlift.operators.evaluate import auc
 from cohortlift.operators.folds import assign_folds, split_fold
 from cohortlift.operators.profile import missing_rates
-from cohortlift.session import scratch_path, shared_dir
+from cohortlift.session import materialise, shared_dir
 
 MAX_CATEGORIES = 1000
 PREDICTION = ("id", "y", "model", "seed", "fold", "p")
@@ -133,14 +133,6 @@ def best_rounds(model, valid: DataFrame) -> int:
     return 1 + min(range(len(losses)), key=losses.__getitem__)
 
 
-def materialise(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write once to the shared folder, so that many fits read a table instead of repeating its lineage."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.parquet(path)
-
-
 def in_parallel(df: DataFrame, tasks: Sequence[Callable[[], object]], threads: int) -> list:
     """Run independent fits from a few driver threads; each fit stays distributed."""
     if threads <= 1 or len(tasks) <= 1:

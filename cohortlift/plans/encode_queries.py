@@ -9,6 +9,7 @@ from cohortlift.functions import scalars as X
 from cohortlift.operators import encode as T
 from cohortlift.operators.folds import assign_folds, complement_rates
 from cohortlift.plans.base import cycles, query, raw, split, sql_folds, sql_oof, sql_raw, table, with_cycles
+from cohortlift.session import materialise
 
 TRAIN = "train AS (SELECT * FROM cycles WHERE split = 'train')"
 TEST = "test AS (SELECT * FROM cycles WHERE split = 'test')"
@@ -79,7 +80,7 @@ def smoothed_mean_per_key(spark, sf_dir):
 )
 def oof_encoding_type_age(spark, sf_dir):
     rows = _train(spark, sf_dir, [X.combo_key(["treatment_type", "age_band"]).alias("type_age")])
-    out = T.oof_encode(assign_folds(rows), "type_age", s=25.0)
+    out = T.oof_encode(materialise(assign_folds(rows), "folds"), "type_age", s=25.0)
     return out.select("id", "type_age", "fold", "success", "te")
 
 
@@ -93,7 +94,7 @@ def oof_encoding_type_age(spark, sf_dir):
 def oof_encoding_missing_key(spark, sf_dir):
     """A NULL key takes the mean of the training part."""
     rows = cycles(spark, sf_dir).select("id", "specific_type", S.TARGET)
-    return T.oof_encode(assign_folds(rows), "specific_type", s=30.0).select("id", "specific_type", "fold", "te")
+    return T.oof_encode(materialise(assign_folds(rows), "folds"), "specific_type", s=30.0).select("id", "specific_type", "fold", "te")
 
 
 def _fold_mean_sql(key: str, s: float) -> list[str]:
@@ -126,7 +127,7 @@ TEST_KEY = "concat_ws('_', period_code, age_band, n_cycles) AS visit"
 def encoding_of_test_by_fold_mean(spark, sf_dir):
     key = X.combo_key(["period_code", "age_band", "n_cycles"]).alias("visit")
     train, test = split(spark, sf_dir)
-    rows = assign_folds(train.select("id", key, S.TARGET))
+    rows = materialise(assign_folds(train.select("id", key, S.TARGET)), "folds")
     return T.encode_test(rows, test.select("id", key), "visit", s=20.0, how="fold_mean")
 
 
@@ -142,7 +143,7 @@ def encoding_of_test_by_fold_mean(spark, sf_dir):
 def encoding_of_test_by_all_rows(spark, sf_dir):
     key = X.combo_key(["period_code", "age_band", "n_cycles"]).alias("visit")
     train, test = split(spark, sf_dir)
-    rows = assign_folds(train.select("id", key, S.TARGET))
+    rows = materialise(assign_folds(train.select("id", key, S.TARGET)), "folds")
     return T.encode_test(rows, test.select("id", key), "visit", s=20.0, how="full")
 
 
@@ -172,7 +173,7 @@ def combo_train(spark, sf_dir):
 )
 def oof_encoding_combo_keys(spark, sf_dir):
     """Three combination keys counted in one pass."""
-    rows = assign_folds(combo_train(spark, sf_dir))
+    rows = materialise(assign_folds(combo_train(spark, sf_dir)), "folds")
     return T.fit_encoder(rows, T.COMBO_KEYS).oof(rows).select("id", "fold", *T.COMBO_KEYS)
 
 
@@ -183,7 +184,7 @@ def oof_encoding_combo_keys(spark, sf_dir):
     )
 )
 def oof_encoding_period(spark, sf_dir):
-    rows = assign_folds(_train(spark, sf_dir, ["period_code"]))
+    rows = materialise(assign_folds(_train(spark, sf_dir, ["period_code"])), "folds")
     out = T.fit_encoder(rows, T.PERIOD_KEY).oof(rows)
     return out.drop("period_code").select("id", "fold", "period_te")
 
@@ -202,7 +203,7 @@ def oof_encoding_period(spark, sf_dir):
 def oof_encoding_type_age_ordinal(spark, sf_dir):
     rows = split(spark, sf_dir)[0].withColumn("age_ord", X.lookup("age_band", S.AGE_ORDINAL))
     rows = rows.select("id", S.TARGET, X.combo_key(["treatment_type", "age_ord"]).alias("timing"))
-    return T.oof_encode(assign_folds(rows), "timing", s=25.0).select("id", "fold", "timing", "te")
+    return T.oof_encode(materialise(assign_folds(rows), "folds"), "timing", s=25.0).select("id", "fold", "timing", "te")
 
 
 ORDERS = "orders_y AS (SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y FROM orders)"
@@ -218,7 +219,7 @@ def oof_encoding_order_priority(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderpriority", X.flag(F.col("o_orderstatus") == "F").alias("y")
     )
-    out = T.oof_encode(assign_folds(rows, "o_orderkey", "y"), "o_orderpriority", "y")
+    out = T.oof_encode(materialise(assign_folds(rows, "o_orderkey", "y"), "folds"), "o_orderpriority", "y")
     return out.select("o_orderkey", "fold", "te")
 
 
@@ -231,7 +232,7 @@ def oof_encoding_order_priority(spark, sf_dir):
 def oof_encoding_document_source(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     rows = table(spark, sf_dir, "labels").select("doc_id", "quality").join(docs, "doc_id")
-    out = T.oof_encode(assign_folds(rows, "doc_id", "quality"), "source", "quality", s=10.0)
+    out = T.oof_encode(materialise(assign_folds(rows, "doc_id", "quality"), "folds"), "source", "quality", s=10.0)
     return out.select("doc_id", "source", "fold", "te")
 
 

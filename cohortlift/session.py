@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # A select of many expressions compiles to one method beyond what the JVM's compiler accepts (8000 bytes of
 # bytecode) and is then interpreted.  With this limit Spark evaluates such a stage by small methods instead:
@@ -35,3 +36,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write once to the shared folder and read back: later passes scan a table instead of repeating the lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.parquet(path)
