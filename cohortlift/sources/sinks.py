@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import asdict, is_dataclass
 from datetime import datetime
@@ -11,6 +12,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlift import schema as S
 from cohortlift.functions import scalars as X
@@ -53,25 +55,35 @@ def config_hash(config: object) -> str:
     return hashlib.sha256(json.dumps(body, sort_keys=True, default=str).encode()).hexdigest()[:16]
 
 
-def _folder(root: str, config: object, part: str) -> str:
-    return f"{root}/{config_hash(config)}/{part}"
+def _marker(root: str, config: object, part: str) -> str:
+    return f"{root}/{config_hash(config)}/{part}/current"
 
 
 def save_predictions(parts: Mapping[str, DataFrame], root: str, config: object) -> None:
-    """Write ``oof`` / ``test`` predictions under the hash of their configuration."""
+    """Write ``oof`` / ``test`` predictions under the hash of their configuration.
+
+    Each write takes a new folder; a marker that names it is replaced last, so a run that is lost half-way
+    leaves the former predictions in place.
+    """
     for part, df in parts.items():
-        df.write.mode("overwrite").partitionBy("model", "seed", "fold").parquet(_folder(root, config, part))
+        path = f"{root}/{config_hash(config)}/{part}/{uuid.uuid4().hex}"
+        df.write.partitionBy("model", "seed", "fold").parquet(path)
+        line = json.dumps({"path": path, "schema": df.schema.jsonValue()})
+        df.sparkSession.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(
+            _marker(root, config, part)
+        )
 
 
 def load_predictions(spark: SparkSession, root: str, config: object, part: str) -> DataFrame | None:
     """Stored predictions of exactly this configuration, or None."""
-    path = _folder(root, config, part)
     try:
-        # The committer writes the marker last, so a run that was lost half-way is not read.
-        spark.read.format("binaryFile").load(f"{path}/_SUCCESS")
-        return spark.read.parquet(path)
+        line = spark.read.text(_marker(root, config, part)).first()
     except AnalysisException:
         return None
+    if line is None:
+        return None
+    found = json.loads(line[0])
+    return spark.read.schema(T.StructType.fromJson(found["schema"])).parquet(found["path"])
 
 
 def stored(
