@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlift import schema as S
 from cohortlift.functions import scalars as X
-from cohortlift.functions.joins import attach
+from cohortlift.functions.joins import attach, measured_bytes
 from cohortlift.functions.ranking import dense_codes, exact_medians
 
 COUNT_LIKE = "[0-9]+회"
@@ -98,12 +98,13 @@ def apply_vocab(
     suffix: str = "_code",
 ) -> DataFrame:
     """Add ``<column><suffix>``; a value outside the vocabulary is NULL, or -1 with ``unseen='keep'``."""
-    out = df
+    vocab = vocab.persist()
+    size, out = measured_bytes(vocab), df
     for c in columns:
         key = f"_v_{c}"
         text = X.text_or_null(c) if placeholder is None else X.text_or(c, placeholder)
         side = vocab.where(F.col("column") == c).select(F.col("value").alias(key), F.col("code").alias(f"{c}{suffix}"))
-        out = attach(out.withColumn(key, text), side, [key]).drop(key)
+        out = attach(out.withColumn(key, text), side, [key], size=size).drop(key)
         if unseen == "keep":
             out = out.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(-1)))
     return out

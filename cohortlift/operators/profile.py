@@ -95,16 +95,14 @@ def zero_variance(df: DataFrame, columns: Sequence[str], approx: bool = False) -
 
 
 def correlations(df: DataFrame, columns: Sequence[str], y: str = S.TARGET) -> DataFrame:
-    """``(column, corr)`` with the target; NULL for a constant column."""
+    """``(column, corr)`` with the target; NULL for a constant column (``corr`` itself would throw there)."""
 
     def build(c: str) -> Column:
-        both = F.col(c).isNotNull() & F.col(y).isNotNull()
-        x, t = F.when(both, X.num(c)), F.when(both, F.col(y).cast("double"))
-        varies = (F.min(x) < F.max(x)) & (F.min(t) < F.max(t))
-        # covariance over deviations: corr itself divides by zero on a constant column
-        return F.when(varies, F.try_divide(F.covar_pop(x, t), F.stddev_pop(x) * F.stddev_pop(t)))
+        x = X.num(c)
+        target = F.when(x.isNotNull(), F.col(y).cast("double"))
+        return F.try_divide(F.covar_pop(x, target), F.stddev_pop(x) * F.stddev_pop(target))
 
-    return _wide(df, columns, build, "column", "corr")
+    return _wide(df.where(F.col(y).isNotNull()), columns, build, "column", "corr")
 
 
 def rare_positives(df: DataFrame, columns: Sequence[str], k: int = S.N_FOLDS) -> DataFrame:

@@ -204,8 +204,8 @@ def sql_features(profile: str) -> list[str]:
 
 
 def feature_sql(profile: str, names, extra: str = "") -> str:
-    columns = [f"round({n}, 9) AS {n}" if n in LOGS else n for n in names]
-    return with_cycles(f"SELECT id, {', '.join(columns)}{extra} FROM feat", *sql_features(profile))
+    columns = ["id", *[f"round({n}, 9) AS {n}" if n in LOGS else n for n in names]]
+    return with_cycles(f"SELECT {', '.join(columns)}{extra} FROM feat", *sql_features(profile))
 
 
 def derived(spark, sf_dir, profile: str, level: str = "full"):
@@ -289,3 +289,26 @@ COUNTED = [c.name for c in S.COLUMNS if c.name not in ("id", "success", "specifi
 @query(feature_sql("raw", list(RAW), f", {sql_null_count(COUNTED)} AS n_missing_row"))
 def features_raw_full(spark, sf_dir):
     return pick(derived(spark, sf_dir, "raw"), [*RAW, "n_missing_row"])
+
+
+# What is left missing after sentinels and medians: flags of DI cycles, texts, the unknown age, the unknown donor age.
+LEFT_MISSING = [
+    *[c.name for c in S.COLUMNS if c.group in ("encoded", "categorical", "flag", "cause") and c.name not in ("pgd", "pgs")],
+    "age_ord", "real_age_num",
+]
+
+
+@query(
+    feature_sql(
+        "clean",
+        [],
+        ", 0 AS is_censored_total_cycles, 0 AS miss_gene_test, "
+        f"0 AS missing_day_transfer, 0 AS missing_day_mix, {sql_null_count(LEFT_MISSING)} AS n_missing_row",
+    )
+)
+def legacy_missing_counts(spark, sf_dir):
+    """Flags and counts taken after sentinels and medians, as an option."""
+    out = derive(cleaned(spark, sf_dir, legacy=True), "v3", "clean", legacy=True)
+    return out.select(
+        "id", "is_censored_total_cycles", "miss_gene_test", "missing_day_transfer", "missing_day_mix", "n_missing_row"
+    )
