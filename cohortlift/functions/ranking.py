@@ -47,23 +47,32 @@ def hash_bucket(key: Column, digits: int = 3) -> Column:
 def running_total(
     df: DataFrame, by: Sequence[str], bucket: str, order: Sequence[str], weight: Column, out: str
 ) -> DataFrame:
-    """Total ``weight`` of the rows that come before each row within ``by`` (not NULL).
+    """Total ``weight`` of the rows that come before each row within ``by``, where NULL is a group.
 
     The rows are already partitioned by (by, bucket) for the inner window, so joining the offsets
     moves only the offsets.
     """
-    inner = Window.partitionBy(*by, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    groups = [f"_by{i}" for i in range(len(by))]
+    named = df.select(
+        "*",
+        *[
+            # a text that is never NULL, so that plain equality finds the group of NULL
+            F.when(F.col(c).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(c).cast("string"))).alias(g)
+            for c, g in zip(by, groups)
+        ],
+    )
+    inner = Window.partitionBy(*groups, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.groupBy(*by, bucket)
+        named.groupBy(*groups, bucket)
         .agg(F.sum(weight).alias("_bucket_total"))
-        .select(*by, bucket, F.coalesce(F.sum("_bucket_total").over(before), F.lit(0)).alias("_offset"))
+        .select(*groups, bucket, F.coalesce(F.sum("_bucket_total").over(before), F.lit(0)).alias("_offset"))
     )
-    ranked = df.withColumn("_inside", F.coalesce(F.sum(weight).over(inner), F.lit(0)))
+    ranked = named.withColumn("_inside", F.coalesce(F.sum(weight).over(inner), F.lit(0)))
     return (
-        ranked.join(offsets, [*by, bucket])
+        ranked.join(offsets, [*groups, bucket])
         .withColumn(out, F.col("_inside") + F.col("_offset"))
-        .drop("_inside", "_offset")
+        .drop("_inside", "_offset", *groups)
     )
 
 

@@ -43,15 +43,27 @@ def count_from_text(c: str | Column, mapping: Mapping[str, float]) -> Column:
     return lookup(c, mapping)
 
 
-def count_from_digits(c: str | Column) -> Column:
-    """First run of digits; NULL when there is none."""
-    return F.regexp_substr(col(c).cast("string"), F.lit("[0-9]+")).try_cast("int")
+def count_from_digits(c: str | Column, known: Mapping[str, float] | None = None) -> Column:
+    """First run of digits; NULL when there is none.
 
-
-def censored(c: str | Column, pattern: str, legacy: bool = False) -> Column:
-    """1 for a right-censored count text; ``legacy`` looks for the pattern as literal text."""
+    ``known`` texts, whose value must be their digits, are matched first, which costs less than the pattern.
+    """
+    text = col(c).cast("string")
+    found = F.regexp_substr(text, F.lit("[0-9]+")).try_cast("int")
+    if not known:
+        return found
+    fast = None
+    for key, value in known.items():
+        same = text == key
+        fast = F.when(same, F.lit(int(value))) if fast is None else fast.when(same, F.lit(int(value)))
+    return fast.otherwise(found)
+
+
+def censored(c: str | Column, marks: Sequence[str], legacy: bool = False) -> Column:
+    """1 when the count text holds a mark of right-censoring; ``legacy`` looks for all marks as one literal text."""
     text = col(c).cast("string")
-    return flag(F.contains(text, F.lit(pattern)) if legacy else text.rlike(pattern))
+    wanted = ["|".join(marks)] if legacy else marks
+    return flag(reduce(or_, (F.contains(text, F.lit(m)) for m in wanted)))
 
 
 def lookup(c: str | Column, mapping: Mapping, default: float | None = None) -> Column:

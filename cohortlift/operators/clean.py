@@ -123,10 +123,10 @@ def _clean_rules(
 ) -> DataFrame:
     have = set(df.columns)
     out: dict[str, Column] = {c: _plain(df, c) for c in df.columns if c not in S.DROPPED}
-    out.update({c: X.count_from_digits(c) for c in S.COUNTS if c in have})
+    out.update({c: X.count_from_digits(c, S.COUNT_TEXT) for c in S.COUNTS if c in have})
     for c, name in S.CENSOR_FLAGS.items():
         if c in have:
-            out[name] = X.censored(c, S.CENSOR_PATTERN, legacy)
+            out[name] = X.censored(c, S.CENSOR_MARKS, legacy)
     if "age_band" in have:
         out["age_ord"] = X.lookup("age_band", S.AGE_ORDINAL)
         out["age_median"] = X.lookup("age_band", S.AGE_MEDIAN, S.AGE_WHEN_UNKNOWN)

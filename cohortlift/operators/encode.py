@@ -44,7 +44,7 @@ def smoothed(total: Column, n: Column, prior: Column, strength: Column | float)
 
 def smoothed_mean(df: DataFrame, key: str, y: str = S.TARGET, s: float = 20.0) -> DataFrame:
     """``(key, n, total, te)`` per key value, shrunk towards the overall mean."""
-    stats = df.groupBy(key).agg(F.count("*").alias("n"), F.sum(y).alias("total")).persist()
+    stats = df.groupBy(key).agg(F.count(y).alias("n"), F.coalesce(F.sum(y), F.lit(0)).alias("total")).persist()
     whole = stats.agg(F.sum("total").alias("t"), F.sum("n").alias("n")).first()
     mean = float(whole["t"]) / whole["n"] if whole["n"] else None
     return stats.withColumn("te", smoothed(F.col("total"), F.col("n"), F.lit(mean).cast("double"), s))
@@ -142,7 +142,7 @@ def fit_encoder(
     stats = (
         train.select(F.col(fold).alias("fold"), F.col(y).alias("_y"), F.inline(pairs))
         .groupBy("encoding", "key", "fold")
-        .agg(F.count("*").alias("n"), F.sum("_y").alias("total"))
+        .agg(F.count("_y").alias("n"), F.coalesce(F.sum("_y"), F.lit(0)).alias("total"))
         .persist()
     )
     first = next(iter(keys))

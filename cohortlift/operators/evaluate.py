@@ -168,11 +168,11 @@ def search_weights(
 def rank_normalise(
     df: DataFrame, p: str = "p", by: Sequence[str] = (), out: str = "rank_p", n: int = N_BUCKETS
 ) -> DataFrame:
-    """Average rank over the number of rows, within ``by`` (not NULL); ``p`` is not NULL."""
+    """Average rank over the number of rows with a score, within ``by``; NULL where ``p`` is NULL."""
     groups = list(by) or ["_all"]
-    counts = df if by else df.withColumn("_all", F.lit(0))
-    counts = counts.groupBy(*groups, p).agg(F.count("*").alias("_n"))
-    bucketed = quantile_buckets(counts, {p: "_bucket"}, n, fit_on=df)
+    scored = (df if by else df.withColumn("_all", F.lit(0))).where(F.col(p).isNotNull())
+    counts = scored.groupBy(*groups, p).agg(F.count("*").alias("_n"))
+    bucketed = quantile_buckets(counts, {p: "_bucket"}, n, fit_on=scored)
     ranked = running_total(bucketed, groups, "_bucket", [p], F.col("_n"), "_before")
     sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_size"))
     table = (

@@ -23,7 +23,7 @@ def assign_folds(
     """All columns of ``df`` once per seed, with ``seed`` and ``fold``.
 
     Each class (within ``strata``, if given) is ordered by md5 of "id:seed" and dealt out in turn, so class
-    sizes of two folds differ by at most one.  ``id`` must be unique.  ``digits`` sets the 16**digits buckets
+    sizes of two folds differ by at most one; rows without a label are a class.  ``id`` must be unique.  ``digits`` sets the 16**digits buckets
     per class that are ordered independently.
     """
     seeded = df.withColumn("seed", F.explode(F.array(*[F.lit(s) for s in seeds])))

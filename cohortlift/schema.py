@@ -151,7 +151,7 @@ CENSOR_FLAGS = {
     "n_pregnancies": "is_censored_prev_preg",
     "n_births": "is_censored_prev_birth",
 }
-CENSOR_PATTERN = "이상|>"
+CENSOR_MARKS = ("이상", ">")
 DI_ZERO_COLUMNS = (
     "embryos_total", "embryos_transferred", "embryos_stored",
     "icsi_embryos", "icsi_transferred", "icsi_stored",

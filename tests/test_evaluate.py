@@ -75,6 +75,12 @@ def test_rank_normalise_with_ties(spark):
     assert got == {1: 2.5 / 4, 2: 2.5 / 4, 3: 1 / 4, 4: 1.0}
 
 
+def test_rank_normalise_keeps_missing_scores_and_groups(spark):
+    df = spark.createDataFrame([(1, None, 0.5), (2, None, 0.7), (3, "a", 0.1), (4, "a", None)], "id int, g string, p double")
+    got = {r["id"]: r["rank_p"] for r in E.rank_normalise(df, by=["g"], n=2).collect()}
+    assert got == {1: 0.5, 2: 1.0, 3: 1.0, 4: None}
+
+
 def test_long_table_means_and_choice(spark):
     rows = [(1, 0, "m", s, f, 0.1 * s + f) for s in (1, 2) for f in (0, 1)]
     preds = spark.createDataFrame(rows, "id int, y int, model string, seed int, fold int, p double")

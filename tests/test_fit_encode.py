@@ -108,6 +108,16 @@ def test_fewer_rows_than_folds(spark):
     assert {r["fold"]: (r["n_train"], r["n_valid"]) for r in complement_rates(assign_folds(df)).collect()} == {0: (1, 2), 1: (2, 1)}
 
 
+def test_rows_without_a_label_or_stratum_stay(spark):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 2, None if i < 5 else "x") for i in range(30)], "id int, success int, s string")
+    folds = assign_folds(df, k=2, strata=["s"])
+    assert folds.count() == 30 and folds.select("id").distinct().count() == 30
+    labelled = df.where("success is not null").withColumn("fold", F.col("id") % 2)
+    both = labelled.unionByName(df.where("success is null").withColumn("fold", F.col("id") % 2))
+    one, two = (T.fit_encoder(side, {"te": T.Key("s", 5.0)}, k=2).transform(df).collect() for side in (labelled, both))
+    assert sorted(one) == sorted(two)
+
+
 def encoded_rows(spark, seed=5, n=400):
     rng = random.Random(seed)
     rows = [(i, rng.choice(["a"] * 8 + ["b", "c", None]), int(rng.random() < 0.3)) for i in range(n)]

@@ -24,8 +24,9 @@ def test_count_texts(spark):
     )
     assert values(df, X.count_from_text("c", S.COUNT_TEXT)) == [0.0, 6.0, None, None, None, None]
     assert values(df, X.count_from_digits("c")) == [0, 6, 6, None, None, None]
-    assert values(df, X.censored("c", S.CENSOR_PATTERN)) == [0, 1, 1, 0, 0, 0]
-    assert values(df, X.censored("c", S.CENSOR_PATTERN, legacy=True)) == [0] * 6
+    assert values(df, X.count_from_digits("c", S.COUNT_TEXT)) == [0, 6, 6, None, None, None]
+    assert values(df, X.censored("c", S.CENSOR_MARKS)) == [0, 1, 1, 0, 0, 0]
+    assert values(df, X.censored("c", S.CENSOR_MARKS, legacy=True)) == [0] * 6
 
 
 def test_numbers_never_throw(spark):
