@@ -173,14 +173,13 @@ def rank_normalise(
     scored = (df if by else df.withColumn("_all", F.lit(0))).where(F.col(p).isNotNull())
     counts = scored.groupBy(*groups, p).agg(F.count("*").alias("_n"))
     bucketed = quantile_buckets(counts, {p: "_bucket"}, n, fit_on=scored)
-    ranked = running_total(bucketed, groups, "_bucket", [p], F.col("_n"), "_before")
-    sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_size"))
-    table = (
-        attach(ranked.select(*groups, p, "_n", "_before"), sizes, groups)
-        .withColumn(out, (F.col("_before") + (F.col("_n") + 1) / 2) / F.col("_size"))
-        .select(*by, p, out)
-    )
-    return attach(df, table, [*by, p])
+    ranked = running_total(bucketed, groups, "_bucket", [p], F.col("_n"), "_before").select(*groups, p, "_n", "_before")
+    if by:
+        sized = attach(ranked, counts.groupBy(*groups).agg(F.sum("_n").alias("_size")), groups)
+    else:
+        sized = ranked.withColumn("_size", F.lit(scored.count()))
+    rank = (F.col("_before") + (F.col("_n") + 1) / 2) / F.col("_size")
+    return attach(df, sized.select(*by, p, rank.alias(out)), [*by, p])
 
 
 def member_correlations(wide: DataFrame, members: Sequence[str]) -> DataFrame:

@@ -25,7 +25,6 @@ from cohortlift import schema as S
 from cohortlift.functions import scalars as X
 from cohortlift.operators.evaluate import auc
 from cohortlift.operators.folds import assign_folds, split_fold
-from cohortlift.operators.profile import missing_rates
 from cohortlift.session import materialise, shared_dir
 
 MAX_CATEGORIES = 1000
@@ -59,25 +58,31 @@ class Vectors:
     fill: float
     max_bins: int
 
-    def transform(self, df: DataFrame, label: str | None) -> DataFrame:
-        keep = [F.col("id"), F.col("y")] if label is None else [F.col("id"), F.col(label).cast("double").alias("y")]
-        numbers = [X.z(c, self.fill).alias(f"_x_{c}") for c in self.features]
-        flags = [X.is_missing(X.num(c)).alias(f"_m_{c}") for c in self.flagged]
-        texts = [X.text_or(c, "NaN").alias(f"_t_{c}") for c in self.categories]
-        carried = [F.col(c) for c in ("seed", "fold") if c in df.columns]
-        out = df.select(*keep, *carried, *numbers, *flags, *texts)
+    def transform(self, df: DataFrame, label: str) -> DataFrame:
+        def number(c: str) -> str:
+            return f"nanvl(try_cast(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+        carried = [c for c in ("seed", "fold") if c in df.columns]
+        out = df.selectExpr(
+            "id",
+            f"CAST({label} AS DOUBLE) AS y",
+            *carried,
+            *[f"coalesce({number(c)}, {self.fill}D) AS `_x_{c}`" for c in self.features],
+            *[f"CAST({number(c)} IS NULL AS INT) AS `_m_{c}`" for c in self.flagged],
+            *[f"coalesce(CASE WHEN `{c}` NOT IN ('nan', 'None') THEN `{c}` END, 'NaN') AS `_t_{c}`" for c in self.categories],
+        )
         inputs = [f"_x_{c}" for c in self.features] + [f"_m_{c}" for c in self.flagged]
         if self.indexer is not None:
             out = self.indexer.transform(out)
             inputs += [f"_i_{c}" for c in self.categories]
         out = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error").transform(out)
-        return out.select("id", "y", *[c for c in ("seed", "fold") if c in df.columns], "features")
+        return out.select("id", "y", *carried, "features")
 
 
 def fit_vectors(train: DataFrame, config: ModelConfig) -> Vectors:
     """Find the features that can be missing and index the categories, from train rows."""
-    rates = {r["column"]: r["missing_rate"] for r in missing_rates(train, config.features).collect()}
-    flagged = tuple(c for c in config.features if rates[c] and rates[c] > 0)
+    missing = train.selectExpr(*[f"coalesce(bool_or(`{c}` IS NULL OR isnan(try_cast(`{c}` AS DOUBLE))), false) AS `{c}`" for c in config.features]).first()
+    flagged = tuple(c for c in config.features if missing[c])
     cats = config.categories
     indexer, largest = None, 0
     if cats:

@@ -120,7 +120,7 @@ def rare_positives(df: DataFrame, columns: Sequence[str], k: int = S.N_FOLDS) ->
 
 def missing_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, missing_rate)``."""
-    return _wide(df, columns, lambda c: F.avg(X.is_missing(c).cast("double")), "column", "missing_rate")
+    return _wide(df, columns, lambda c: F.expr(f"avg(CAST(`{c}` IS NULL AS DOUBLE))"), "column", "missing_rate")
 
 
 def top_values(df: DataFrame, column: str, n: int) -> DataFrame:

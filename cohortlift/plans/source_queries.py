@@ -14,7 +14,7 @@ from cohortlift.plans.feature_queries import F1, feature_sql, pick
 from cohortlift.session import scratch_path
 from cohortlift.sources import sinks
 from cohortlift.sources.cycles import cycles_from
-from cohortlift.sources.tables import conflicts, read_table, stream_table, to_headers
+from cohortlift.sources.tables import conflicts, read_table, sample_schema, stream_table, to_headers
 from cohortlift.streaming.score import run_available
 
 ALL = [c.name for c in S.COLUMNS]
@@ -44,6 +44,23 @@ def read_csv_with_source_headers(spark, sf_dir):
     return read_table(spark, path, fmt="csv", header="source")
 
 
+@query(
+    with_cycles(
+        " UNION ALL ".join(
+            f"SELECT '{c.name}' AS \"column\", CASE WHEN '{c.name}' = 'id' OR count(*) FILTER (WHERE {c.name} IS NOT NULL AND "
+            f"TRY_CAST(CAST({c.name} AS VARCHAR) AS DOUBLE) IS NULL) > 0 THEN 'string' ELSE 'double' END AS type FROM cycles"
+            for c in S.COLUMNS
+        )
+    )
+)
+def sampled_column_types(spark, sf_dir):
+    """Types frozen from the first 200 lines of the file."""
+    path = scratch_path(spark, "cycles")
+    cycles(spark, sf_dir).select(ALL).write.option("header", True).csv(path)
+    found = sample_schema(spark, path, 200)
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in found], "column string, type string")
+
+
 @query(
     "SELECT 'o_orderkey' AS \"column\", 'double' AS type, 0 AS n_conflict UNION ALL "
     "SELECT 'o_orderpriority', 'string', 0 UNION ALL "
