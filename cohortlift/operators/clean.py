@@ -11,11 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from cohortlift import schema as S
-from cohortlift.functions import scalars as X
+from cohortlift.functions import sql_text as Q
 
 CLEAN_INPUTS = {
     **{flag: (source,) for source, flag in S.CENSOR_FLAGS.items()},
@@ -54,64 +53,64 @@ def source_columns(df: DataFrame) -> list[str]:
     return [c.name for c in S.COLUMNS if c.name in have and c.group not in ("identity", "target")]
 
 
-def fix_embryos(total: str, transferred: str, stored: str) -> Column:
-    return F.greatest(X.z(total), X.z(transferred) + X.z(stored))
+def fix_embryos(total: str, transferred: str, stored: str) -> str:
+    return f"greatest({Q.z(total)}, {Q.z(transferred)} + {Q.z(stored)})"
 
 
-def fix_icsi_embryos(embryos: str, eggs: str) -> Column:
-    return F.least(X.z(embryos), X.z(eggs))
+def fix_icsi_embryos(embryos: str, eggs: str) -> str:
+    return f"least({Q.z(embryos)}, {Q.z(eggs)})"
 
 
-def zero_when(condition: Column, c: Column) -> Column:
+def zero_when(condition: str, c: str) -> str:
     """Structural zero: NULL becomes 0 where the condition holds."""
-    return F.when(X.flag(condition) == 1, F.coalesce(c, F.lit(0.0))).otherwise(c)
+    return f"CASE WHEN {condition} THEN coalesce({Q.finite(c)}, 0D) ELSE {Q.finite(c)} END"
 
 
-def sentinel_when_zero(count: Column, day: Column, only_null: bool = False) -> Column:
+def sentinel_when_zero(count: str, day: str, only_null: bool = False) -> str:
     """-1 where the paired count is 0 or NULL; ``only_null`` keeps a day that is present."""
-    absent = F.coalesce(count, F.lit(0.0)) == 0
+    absent = f"coalesce({Q.finite(count)}, 0D) = 0"
     if only_null:
-        absent = absent & day.isNull()
-    return F.when(absent, F.lit(-1.0)).otherwise(day)
+        absent += f" AND {Q.finite(day)} IS NULL"
+    return f"CASE WHEN {absent} THEN -1D ELSE {Q.finite(day)} END"
 
 
-def sentinel_without_pregnancy(pregnancies: Column, years: Column) -> Column:
+def sentinel_without_pregnancy(pregnancies: str, years: str) -> str:
     """Optional rule: no pregnancy so far and unknown years become -1."""
-    return F.when((pregnancies == 0) & years.isNull(), F.lit(-1.0)).otherwise(years)
+    none = f"({Q.count_from_digits(pregnancies, S.COUNT_TEXT)}) = 0"
+    return f"CASE WHEN {none} AND {Q.finite(years)} IS NULL THEN -1D ELSE {Q.finite(years)} END"
 
 
-def mask_frozen(thawed: str, c: str) -> Column:
+def mask_frozen(thawed: str, c: str) -> str:
     """-1 on frozen-embryo cycles, else the count with NULL as 0."""
-    return F.when(X.z(thawed) > 0, F.lit(-1.0)).otherwise(X.z(c))
+    return f"CASE WHEN {Q.num(thawed)} > 0 THEN -1D ELSE {Q.z(c)} END"
 
 
-def _plain(df: DataFrame, c: str) -> Column:
-    """The column as it is; numbers come as double, and NaN as NULL."""
-    return X.num(c) if c in S.NUMERIC or df.schema[c].dataType.typeName() in ("double", "float") else F.col(c)
+def _plain(df: DataFrame) -> dict[str, str]:
+    """The columns as they are; numbers come as double, and NaN as NULL."""
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    return {c: Q.finite(f"`{c}`") if c in S.NUMERIC or c in floats else f"`{c}`" for c in df.columns}
+
+
+def _select(df: DataFrame, out: Mapping[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{e} AS `{n}`" for n, e in out.items()])
 
 
 def _clean_raw(df: DataFrame) -> DataFrame:
     have = set(df.columns)
-    out: dict[str, Column] = {}
-    for c in df.columns:
-        if c in ("specific_type", "embryo_reason"):
-            continue
-        if c in S.COUNTS:
-            out[c] = X.count_from_text(c, S.COUNT_TEXT)
-        else:
-            out[c] = _plain(df, c)
+    out = {c: e for c, e in _plain(df).items() if c not in ("specific_type", "embryo_reason")}
+    out.update({c: Q.either(f"CAST({c} AS STRING)", S.COUNT_TEXT) for c in S.COUNTS if c in have})
     if "age_band" in have:
-        out["age_num"] = X.lookup("age_band", S.AGE_MEDIAN)
-        out["age_ord"] = X.lookup("age_band", S.AGE_ORDINAL)
+        out["age_num"] = Q.either("age_band", S.AGE_MEDIAN)
+        out["age_ord"] = f"CAST({Q.either('age_band', S.AGE_ORDINAL)} AS INT)"
     for c in ("egg_donor_age", "sperm_donor_age"):
         if c in have:
-            out[f"{c}_num"] = X.lookup(c, S.DONOR_AGE)
+            out[f"{c}_num"] = Q.either(c, S.DONOR_AGE)
     if "specific_type" in have:
-        out.update({f"has_{t}": X.has_token("specific_type", t) for t in S.PROCEDURE_TOKENS})
+        out.update({f"has_{t}": Q.has_token("specific_type", t) for t in S.PROCEDURE_TOKENS})
     if "embryo_reason" in have:
-        out.update({n: X.has_token("embryo_reason", t) for n, t in S.REASON_TOKENS.items()})
-    out.update({f"{c}__isnan": X.is_missing(c) for c in S.MISSING_FLAGS if c in have})
-    return df.select(*[e.alias(n) for n, e in out.items()])
+        out.update({n: Q.has_token("embryo_reason", t) for n, t in S.REASON_TOKENS.items()})
+    out.update({f"{c}__isnan": Q.is_missing(Q.finite(c)) for c in S.MISSING_FLAGS if c in have})
+    return _select(df, out)
 
 
 def _clean_rules(
@@ -122,45 +121,39 @@ def _clean_rules(
     years_rule: bool,
 ) -> DataFrame:
     have = set(df.columns)
-    out: dict[str, Column] = {c: _plain(df, c) for c in df.columns if c not in S.DROPPED}
-    out.update({c: X.count_from_digits(c, S.COUNT_TEXT) for c in S.COUNTS if c in have})
-    for c, name in S.CENSOR_FLAGS.items():
-        if c in have:
-            out[name] = X.censored(c, S.CENSOR_MARKS, legacy)
+    plain = _plain(df)
+    out = {c: e for c, e in plain.items() if c not in S.DROPPED}
+    out.update({c: Q.count_from_digits(c, S.COUNT_TEXT) for c in S.COUNTS if c in have})
+    out.update({n: Q.censored(c, S.CENSOR_MARKS, legacy) for c, n in S.CENSOR_FLAGS.items() if c in have})
     if "age_band" in have:
-        out["age_ord"] = X.lookup("age_band", S.AGE_ORDINAL)
-        out["age_median"] = X.lookup("age_band", S.AGE_MEDIAN, S.AGE_WHEN_UNKNOWN)
+        out["age_ord"] = f"CAST({Q.either('age_band', S.AGE_ORDINAL)} AS INT)"
+        out["age_median"] = Q.either("age_band", S.AGE_MEDIAN, Q.real(S.AGE_WHEN_UNKNOWN))
     if "treatment_type" in have:
-        is_di = F.col("treatment_type") == "DI"
-        out["is_DI"] = X.flag(is_di)
-        for c in S.DI_ZERO_COLUMNS:
-            if c in have and not (legacy and c == "icsi_stored"):
-                out[c] = zero_when(is_di, X.num(c))
-    for name, day in S.MISSING_DAYS.items():
-        if day in have:
-            out[f"{name}_raw"] = X.is_missing(X.num(day))
+        is_di = "treatment_type = 'DI'"
+        out["is_DI"] = Q.flag(is_di)
+        out.update(
+            {c: zero_when(is_di, c) for c in S.DI_ZERO_COLUMNS if c in have and not (legacy and c == "icsi_stored")}
+        )
+    out.update({f"{n}_raw": Q.is_missing(Q.finite(d)) for n, d in S.MISSING_DAYS.items() if d in have})
     for count, day in S.SENTINEL_DAYS.items():
         if count in have and day in have:
-            out[day] = sentinel_when_zero(X.num(count), X.num(day), only_null)
+            out[day] = sentinel_when_zero(count, day, only_null)
     if "no_transfer" not in have and {"embryos_transferred", "day_transfer"} <= have:
-        out["no_transfer"] = X.flag(X.z("embryos_transferred") == 0)
+        out["no_transfer"] = Q.flag(f"coalesce({Q.finite('embryos_transferred')}, 0D) = 0")
     if years_rule and {"n_pregnancies", "years_trying"} <= have:
-        out["years_trying"] = sentinel_without_pregnancy(
-            X.count_from_digits("n_pregnancies"), X.num("years_trying")
-        )
-    for c in ("pgd", "pgs"):
-        if c in have:
-            out[c] = F.coalesce(X.num(c), F.lit(0.0)).cast("int")
+        out["years_trying"] = sentinel_without_pregnancy("n_pregnancies", "years_trying")
+    out.update({c: f"CAST(coalesce({Q.finite(c)}, 0D) AS INT)" for c in ("pgd", "pgs") if c in have})
     if set(S.GENE_TEST_COLUMNS) <= have:
-        out["miss_gene_test"] = F.lit(0) if legacy else X.any_null(S.GENE_TEST_COLUMNS)
-    out.update({f"{c}__isnan": X.is_missing(c) for c in S.MISSING_FLAGS if c in have})
-    out["n_missing_row"] = X.null_count(source_columns(df))
+        missing = " OR ".join(f"{Q.finite(c)} IS NULL" for c in S.GENE_TEST_COLUMNS)
+        out["miss_gene_test"] = "0" if legacy else f"CAST({missing} AS INT)"
+    out.update({f"{c}__isnan": Q.is_missing(Q.finite(c)) for c in S.MISSING_FLAGS if c in have})
+    out["n_missing_row"] = " + ".join(Q.is_missing(plain[c]) for c in source_columns(df)) or "0"
     if "embryo_reason" in have:
-        out.update({n: X.has_token("embryo_reason", t) for n, t in S.REASON_TOKENS_CLEAN.items()})
-    for c, value in medians.items():
-        if c in out and value is not None:
-            out[c] = F.coalesce(out[c], F.lit(float(value)))
-    return df.select(*[e.alias(n) for n, e in out.items()])
+        out.update({n: Q.has_token("embryo_reason", t) for n, t in S.REASON_TOKENS_CLEAN.items()})
+    out.update(
+        {c: f"coalesce({out[c]}, {Q.real(m)})" for c, m in medians.items() if c in out and m is not None}
+    )
+    return _select(df, out)
 
 
 def clean(

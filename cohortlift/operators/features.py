@@ -6,13 +6,13 @@ Expressions are text because one parsed expression costs the driver far less tha
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from cohortlift import schema as S
-from cohortlift.functions import scalars as X
+from cohortlift.functions.sql_text import at_least_zero, bins, either, flag, null_count, num, ratio, real, text, z
 from cohortlift.operators import clean as C
 
 
@@ -29,50 +29,6 @@ CLEAN: dict[str, Feature] = {}
 LEVELS = {"raw": ("base", "v3", "full"), "clean": ("v3", "full")}
 
 
-# --- expression text -----------------------------------------------------------------------------
-
-
-def real(value: float) -> str:
-    return f"{float(value)!r}D"
-
-
-def text(value: str) -> str:
-    return f"'{value}'"
-
-
-def num(c: str) -> str:
-    return f"try_cast({c} AS DOUBLE)"
-
-
-def z(c: str, fill: float = 0.0) -> str:
-    return f"coalesce({num(c)}, {real(fill)})"
-
-
-def flag(condition: str) -> str:
-    return f"CAST(coalesce({condition}, false) AS INT)"
-
-
-def ratio(a: str, b: str, plus: float = X.EPS) -> str:
-    return f"try_divide({a}, {b} + {real(plus)})"
-
-
-def at_least_zero(gap: str) -> str:
-    return f"CASE WHEN {gap} < 0 THEN 0D ELSE {gap} END"
-
-
-def either(c: str, mapping: dict, default: str = "NULL") -> str:
-    whens = " ".join(f"WHEN {text(k) if isinstance(k, str) else k} THEN {real(v)}" for k, v in mapping.items())
-    return f"CASE {c} {whens} ELSE {default} END"
-
-
-def bins(value: str, edges: Sequence[float], labels: Sequence[str], limits: tuple[float, float]) -> str:
-    """Right-closed bins between the limits; NULL outside."""
-    low, high = limits
-    uppers = [*edges, high]
-    whens = " ".join(f"WHEN {value} <= {real(u)} THEN {text(t)}" for u, t in zip(uppers, labels))
-    return f"CASE WHEN {value} <= {real(low)} THEN NULL {whens} END"
-
-
 DONATED = f"coalesce(egg_source = {text(S.DONATED)}, false)"
 USED = f"({z('embryos_transferred')} + {z('embryos_stored')})"
 
@@ -335,12 +291,12 @@ def derive(df: DataFrame, level: str = "full", profile: str = "clean", *, legacy
         out = _with(out, {f.name: f.sql for f in layer})
     if profile == "raw" and level == "full":
         counted = C.source_columns(df) + [c for c in RAW_COUNTED if c in out.columns]
-        out = _with(out, {"n_missing_row": X.null_count_sql(counted)})
+        out = _with(out, {"n_missing_row": null_count(counted)})
     if profile == "clean" and legacy:
         seen = [c for c in source if c not in S.NOT_FEATURES and c != "n_missing_row"]
         seen += [f.name for layer in layers for f in layer if f.level == "v3" and f.name not in S.MISSING_DAYS]
         flags = {n: f"CAST({d} IS NULL AS INT)" for n, d in S.MISSING_DAYS.items() if d in source}
         out = _with(
-            out.drop(*[n for n in S.MISSING_DAYS if n not in flags]), {**flags, "n_missing_row": X.null_count_sql(seen)}
+            out.drop(*[n for n in S.MISSING_DAYS if n not in flags]), {**flags, "n_missing_row": null_count(seen)}
         )
     return out

@@ -11,6 +11,7 @@ from cohortlift import schema as S
 from cohortlift.functions import scalars as X
 from cohortlift.functions.joins import attach, measured_bytes
 from cohortlift.functions.ranking import dense_codes, exact_medians
+from cohortlift.functions.sql_text import finite
 
 COUNT_LIKE = "[0-9]+회"
 
@@ -26,12 +27,13 @@ def fit_medians(
     present = [c for c in columns if c in df.columns]
     few, many = present, []
     if exact and present:
-        sizes = df.agg(*[F.approx_count_distinct(X.num(c)).alias(c) for c in present]).first()
+        sizes = df.selectExpr(*[f"approx_count_distinct({finite(c)}) AS `{c}`" for c in present]).first()
         few, many = [c for c in present if sizes[c] <= small], [c for c in present if sizes[c] > small]
-    middle = F.median if exact else (lambda c: F.percentile_approx(c, 0.5))
+    middle = "median({})" if exact else "percentile_approx({}, 0.5D)"
     parts = []
     if few:
-        parts.append(unpivot(df.agg(*[middle(X.num(c)).alias(c) for c in few]), few, "column", "median"))
+        wide = df.selectExpr(*[f"{middle.format(finite(c))} AS `{c}`" for c in few])
+        parts.append(unpivot(wide, few, "column", "median"))
     if many:
         parts.append(exact_medians(df, many))
     if not parts:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortlift import schema as S
 from cohortlift.functions import scalars as X
+from cohortlift.functions.sql_text import flag, z
 from cohortlift.operators import clean as C
 from cohortlift.operators.fit import merge_rare
 from cohortlift.plans.base import (
@@ -13,6 +14,7 @@ from cohortlift.plans.base import (
     table, with_cycles,
 )
 
+IS_DI = "treatment_type = 'DI'"
 ALL = [c.name for c in S.COLUMNS]
 
 
@@ -93,8 +95,8 @@ def number_or_null(spark, sf_dir):
     )
 )
 def structural_zero_embryos(spark, sf_dir):
-    rows, is_di = cycles(spark, sf_dir), F.col("treatment_type") == "DI"
-    return rows.select("id", *[C.zero_when(is_di, X.num(c)).alias(c) for c in S.DI_ZERO_COLUMNS])
+    zeros = [f"{C.zero_when(IS_DI, c)} AS {c}" for c in S.DI_ZERO_COLUMNS]
+    return cycles(spark, sf_dir).selectExpr("id", *zeros)
 
 
 @query(
@@ -106,13 +108,12 @@ def structural_zero_embryos(spark, sf_dir):
     )
 )
 def transfer_day_sentinel(spark, sf_dir):
-    rows = cycles(spark, sf_dir)
-    count, day = X.num("embryos_transferred"), X.num("day_transfer")
-    return rows.select(
+    pair = ("embryos_transferred", "day_transfer")
+    return cycles(spark, sf_dir).selectExpr(
         "id",
-        C.sentinel_when_zero(count, day).alias("day_transfer"),
-        C.sentinel_when_zero(count, day, only_null=True).alias("day_transfer_only_null"),
-        X.flag(X.z("embryos_transferred") == 0).alias("no_transfer"),
+        f"{C.sentinel_when_zero(*pair)} AS day_transfer",
+        f"{C.sentinel_when_zero(*pair, only_null=True)} AS day_transfer_only_null",
+        f"{flag(z('embryos_transferred') + ' = 0')} AS no_transfer",
     )
 
 
@@ -176,10 +177,10 @@ def reason_tokens(spark, sf_dir):
     )
 )
 def repaired_counts(spark, sf_dir):
-    return raw(spark, sf_dir).select(
+    return raw(spark, sf_dir).selectExpr(
         "id",
-        C.fix_embryos("embryos_total", "embryos_transferred", "embryos_stored").alias("embryos_fixed"),
-        C.fix_icsi_embryos("icsi_embryos", "icsi_eggs").alias("icsi_embryos_fixed"),
+        f"{C.fix_embryos('embryos_total', 'embryos_transferred', 'embryos_stored')} AS embryos_fixed",
+        f"{C.fix_icsi_embryos('icsi_embryos', 'icsi_eggs')} AS icsi_embryos_fixed",
     )
 
 
@@ -216,10 +217,10 @@ def merge_rare_bands(spark, sf_dir):
     )
 )
 def frozen_cycle_mask(spark, sf_dir):
-    return raw(spark, sf_dir).select(
+    return raw(spark, sf_dir).selectExpr(
         "id",
-        C.mask_frozen("embryos_thawed", "fresh_eggs").alias("fresh_fet_adj"),
-        C.mask_frozen("embryos_thawed", "mixed_eggs").alias("mixed_fet_adj"),
+        f"{C.mask_frozen('embryos_thawed', 'fresh_eggs')} AS fresh_fet_adj",
+        f"{C.mask_frozen('embryos_thawed', 'mixed_eggs')} AS mixed_fet_adj",
     )
 
 

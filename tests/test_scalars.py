@@ -9,7 +9,7 @@ def values(df, column):
     return [r[0] for r in df.select(column).collect()]
 
 
-def test_registry():
+def test_registry(spark):
     assert len(S.COLUMNS) == 69
     assert len(S.COUNTS) == 10 and len(S.NUMERIC) == 19 and len(S.CAUSES) == 7
     assert len({c.name for c in S.COLUMNS}) == len({c.source for c in S.COLUMNS}) == 69
