@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortlift.llm.jaccard import jaccard_join
+from cohortlift.llm.tiling import contaminated, tilings
+from cohortlift.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +18,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(column: str, n: int) -> Column:
+    return F.crc32(F.col(column).cast("string").cast("binary")) % n
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    found = toxicity(docs, labels, train=_remainder("i", 4) != 2)
+    return found.select(
+        "doc_id",
+        F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
+def op9_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(tilings(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+    longest = F.array_max(F.transform("tiles", lambda t: t["length"]))
+    return found.select(
+        "doc_id", "item_id", "item_words", "covered", "coverage", F.size("tiles").cast("long").alias("n_tiles"), longest.alias("longest")
+    )
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"), n=4, num=85, den=100)
 
@@ -22,6 +49,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op7_toxicity,
+        op9_string_tiling,
         op10_jaccard_join,
     )
 }
