@@ -25,7 +25,8 @@ from cohortlift.llm import words as W
 
 PREFIXES = (3, 4, 5, 6, 7, 8)
 MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 2000, 5000, 200_000
-TRAIN_WORDS, SEGMENT, MARGIN, STEPS, RIDGE = 32, 256, 24, 80, 1e-3
+TRAIN_WORDS, SEGMENT, MARGIN, STEPS, RIDGE = 32, 256, 24, 120, 1e-4
+FAINT, FLOOR = 0.1, 1e-3
 _BITS = 20
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 SCHEMA = "doc_id long, score double, spans array<struct<begin:long,end:long,marginal:double>>"
@@ -115,17 +116,17 @@ class Model:
 
 
 def _document_marginals(p: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Largest marginal and log(1 + sum of the marginals of at least a half) of each text; 0 without words."""
-    top, total = np.zeros(len(at) - 1), np.zeros(len(at) - 1)
+    """Log odds of the largest marginal, within the odds of FLOOR, and log(1 + sum of the marginals over FAINT)."""
+    top, total = np.full(len(at) - 1, FLOOR), np.zeros(len(at) - 1)
     full = np.flatnonzero(np.diff(at))
     if len(full):
-        top[full] = np.maximum.reduceat(p, at[full])
-        total[full] = np.log1p(np.add.reduceat(np.where(p >= 0.5, p, 0).astype(np.float64), at[full]))
-    return top, total
+        top[full] = np.clip(np.maximum.reduceat(p, at[full]), FLOOR, 1 - FLOOR)
+        total[full] = np.log1p(np.add.reduceat(np.where(p > FAINT, p, 0).astype(np.float64), at[full]))
+    return np.log(top / (1 - top)), total
 
 
-def _tag(found: np.ndarray, at: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Words of toxic texts that are, or begin with, what the test ties to toxic texts."""
+def _tag(found: np.ndarray, at: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words that are, or begin with, what the test ties to toxic texts; those of them that toxic texts hold."""
     doc = np.repeat(np.arange(len(toxic)), np.diff(at))
     tied, n1, n0 = np.zeros(len(found), bool), toxic.sum(), (~toxic).sum()
     share = n1 / (n1 + n0)
@@ -141,7 +142,7 @@ def _tag(found: np.ndarray, at: np.ndarray, toxic: np.ndarray) -> np.ndarray:
         least = 2 * np.log(max(2, (yes >= 2).sum())) + 6
         good = (ratio >= least) & (yes >= 3) & (yes / n1 >= 20 * no / max(1, n0)) & (code != 0)
         tied |= good[inverse]
-    return tied & toxic[doc]
+    return tied, tied & toxic[doc]
 
 
 def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
@@ -151,13 +152,13 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
     if not len(toxic) or toxic.all() or not toxic.any():
         return Model(link=(12.0 if len(toxic) and toxic.all() else -12.0, 0.0, 0.0))
     found, at = features(*W.text_buffer(pa.array(list(texts), pa.string())))
-    tags = _tag(found, at, toxic)
+    tied, tags = _tag(found, at, toxic)
 
-    # Windows: all of which hold a tagged word, and twice as many others.
+    # All windows that hold a tied word, tagged or not, and twice as many others.
     rng = np.random.default_rng(seed)
     doc = np.repeat(np.arange(len(toxic)), np.diff(at))
     window = (np.arange(len(found)) - at[doc]) // TRAIN_WORDS + np.concatenate(([0], np.cumsum(-(-np.diff(at) // TRAIN_WORDS))))[doc]
-    marked = np.unique(window[tags])
+    marked = np.unique(window[tied])
     rest = np.setdiff1d(np.arange(window[-1] + 1 if len(window) else 0), marked)
     rest = rng.permutation(rest)[: max(500, 2 * len(marked))]
     model = Model()
