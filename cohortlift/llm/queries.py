@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlift.llm.jaccard import jaccard_join
+from cohortlift.llm.kneser_ney import score, train
 from cohortlift.llm.tiling import contaminated, tilings
 from cohortlift.llm.toxicity import toxicity
 
@@ -22,6 +23,13 @@ def _remainder(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder("doc_id", 7) == 2, F.lit(False))
+    model = train(docs.where(~held_out).select("text"))
+    return score(docs, model).withColumn("held_out", held_out)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     found = toxicity(docs, labels, train=_remainder("i", 4) != 2)
@@ -49,6 +57,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op5_kneser_ney,
         op7_toxicity,
         op9_string_tiling,
         op10_jaccard_join,
