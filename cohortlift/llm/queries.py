@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlift.llm.jaccard import jaccard_join
 from cohortlift.llm.kneser_ney import score, train
+from cohortlift.llm.language import identify
 from cohortlift.llm.tiling import contaminated, tilings
 from cohortlift.llm.toxicity import toxicity
 
@@ -23,6 +24,12 @@ def _remainder(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def op1_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = identify(docs, train=_remainder("id", 5) != 0)
+    return found.withColumn("held_out", F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False)))
+
+
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_remainder("doc_id", 7) == 2, F.lit(False))
@@ -57,6 +64,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_byte_gru,
         op5_kneser_ney,
         op7_toxicity,
         op9_string_tiling,
