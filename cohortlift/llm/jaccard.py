@@ -313,7 +313,9 @@ def jaccard_join(
         ["kind"],
     )
     sizes = made.where("kind = 0").select("doc", "n", "h1", "h2")
-    keyed = made.where("kind = 1").select(F.col("h1").alias("key"), "doc").repartition("key")
+    keyed = made.where("kind = 1").select(F.col("h1").alias("key"), "doc")
+    # A task strings a document once at most to each row it shares a key with: few large tasks return fewer links.
+    keyed = keyed.repartition(max(8, -(-keyed.count() // KEYS_AT_ONCE // 2)), "key")
     strings = keyed.mapInArrow(_string, "a long, b long").union(
         made.where("kind = 2").select(F.col("h1").alias("a"), F.col("doc").alias("b"))
     )
