@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from cohortlift.llm.jaccard import jaccard_join
 from cohortlift.llm.kneser_ney import score, train
 from cohortlift.llm.language import identify
+from cohortlift.llm.lines import remove_boilerplate
+from cohortlift.llm.mixing import taken_words
 from cohortlift.llm.tiling import contaminated, tilings
 from cohortlift.llm.toxicity import toxicity
 
@@ -30,6 +32,15 @@ def op1_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False)))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_boilerplate(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_words(_table(spark, sf_dir, "documents"))
+
+
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_remainder("doc_id", 7) == 2, F.lit(False))
@@ -65,6 +76,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_byte_gru,
+        op2_line_dedup,
+        op3_source_mixing,
         op5_kneser_ney,
         op7_toxicity,
         op9_string_tiling,
@@ -72,4 +85,27 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_KEPT_LINES = r"""
+WITH split AS (
+  SELECT doc_id, source, string_split(text, chr(10)) AS parts FROM documents
+), lines AS (
+  SELECT doc_id, source, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM split
+), named AS (
+  SELECT doc_id, source, pos, line, lower(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) AS name,
+    regexp_matches(line, '^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+[\x20\x09-\x0D]+){2}[^\x20\x09-\x0D]') AS counts
+  FROM lines
+), spread AS (
+  SELECT name, count(DISTINCT source) AS sites, min((doc_id, pos)) AS first FROM named WHERE counts GROUP BY name
+), marked AS (
+  SELECT n.*, n.counts AND s.sites >= 5 AND (n.doc_id, n.pos) <> s.first AS gone
+  FROM named n LEFT JOIN spread s ON n.name = s.name
+)
+SELECT d.doc_id, coalesce(m.n_lines, 0) AS n_lines, coalesce(m.n_removed, 0) AS n_removed, md5(m.kept) AS kept_md5
+FROM documents d LEFT JOIN (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT coalesce(gone, false)), '') AS kept
+  FROM marked GROUP BY doc_id
+) m ON d.doc_id = m.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op2_line_dedup": _KEPT_LINES}

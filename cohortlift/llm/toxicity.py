@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cohortlift.llm import words as W
 
@@ -270,6 +271,25 @@ def _slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         lo = min(hi, n)
 
 
+def _append(batches: Iterator[pa.RecordBatch], model, column: int, out: str) -> Iterator[pa.RecordBatch]:
+    own: Model = model.value
+    for batch in batches:
+        raw, offsets = W.text_buffer(batch.column(column))
+        scores = np.zeros(batch.num_rows)
+        for lo, hi in _slices(offsets, 4 << 20):
+            found, at = features(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            scores[lo:hi] = own.score(own.marginals(found, at), at)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, out])
+
+
+def with_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", out: str = "_toxicity", id_col: str = "doc_id") -> DataFrame:
+    """``docs``, whole and in place, with each row's score as one more column; learns from all labels as ``toxicity`` does."""
+    model = fit(*labelled_sample(docs, labels, id_col, text_col, "toxic", None, MAX_TOXIC, MAX_CLEAN, MAX_CHARS))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    schema = StructType([*docs.schema.fields, StructField(out, DoubleType())])
+    return docs.mapInArrow(partial(_append, model=sent, column=docs.columns.index(text_col), out=out), schema)
+
+
 def toxicity(
     docs: DataFrame,
     labels: DataFrame,

@@ -9,9 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlift.llm.jaccard import jaccard_join
+from cohortlift.llm.lines import remove_boilerplate
+from cohortlift.llm.mixing import mix
+from cohortlift.llm.tiling import contaminated, tilings
+from cohortlift.llm.toxicity import with_toxicity
 from cohortlift.session import scratch_path
 
 
+TOXIC = 0.3
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score TOXIC or more go."""
+    scored = with_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.where(F.col("_toxicity") < TOXIC).drop("_toxicity")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines go, but for their first occurrence; every document stays, and ``n_chars`` follows its text."""
+    cleaned = remove_boilerplate(docs, lines_out="_lines", removed_out="_removed")
+    length = F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return cleaned.withColumn("n_chars", length.cast("long")).select(docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents whose five-word shingles are similar by 0.8 or more, directly or over others, the smallest id stays."""
     found = jaccard_join(docs, n=5, num=4, den=5)
@@ -19,8 +39,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(others, docs["doc_id"] == others["_gone"], "left_anti")
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose tiles cover half of a benchmark item or more go."""
+    found = contaminated(tilings(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+    hit = found.select(F.col("doc_id").alias("_hit")).distinct()
+    return docs.join(hit, docs["doc_id"] == hit["_hit"], "left_anti")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of what is left: a row per slot of an output shard, with the block's text and its documents."""
+    return mix(docs)
+
+
 STAGES = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
     ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
 ]
 
 # No stage but the plainest has an equivalent in SQL; the tests compare each with a brute-force version.
