@@ -4,7 +4,7 @@ The network is trained in numpy by backpropagation through time on windows of la
 probabilities, and those of a text's letters are averaged.  Texts are cut into windows that the network reads on its own,
 so all windows of a batch advance together; a window's bytes are labelled from its own context.
 
-The fit is on the driver, over at most ``max_rows`` labelled rows for each of at most ``max_langs`` languages and
+The fit is one task, over at most ``max_rows`` labelled rows for each of at most ``max_langs`` languages and
 ``max_chars`` characters of each; labelling covers every byte of every row.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlift.llm import words as W
+from cohortlift.llm.fitting import fit_in_task
 
 HIDDEN, WINDOW, STEPS, BATCH, RATE = 8, 64, 350, 192, 0.02
 MAX_ROWS, MAX_LANGS, MAX_CHARS = 600, 64, 4000
@@ -201,16 +202,12 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
 
-def labelled_sample(docs: DataFrame, max_rows: int, max_langs: int, max_chars: int) -> tuple[list[str], list[str]]:
-    """Of ``docs`` (id, text, lang): the first rows of each language by hash of id and text."""
+def learn(docs: DataFrame, max_rows: int, max_langs: int, max_chars: int) -> Network | None:
+    """Of ``docs`` (id, text, lang): fit on the first rows of each language by hash of id and text."""
     langs = docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
-    texts, names = [], []
-    for row in langs:
-        some = docs.where(F.col("lang") == row["lang"]).orderBy(F.xxhash64("id", "text")).limit(max_rows)
-        found = some.select(F.substring("text", 1, max_chars).alias("text")).collect()
-        texts += [r["text"] for r in found]
-        names += [row["lang"]] * len(found)
-    return texts, names
+    text = F.substring("text", 1, max_chars)
+    samples = [docs.where(F.col("lang") == row["lang"]).orderBy(F.xxhash64("id", "text")).limit(max_rows) for row in langs]
+    return fit_in_task([s.select(text.alias("text"), "lang") for s in samples], fit)
 
 
 def identify(
@@ -235,7 +232,7 @@ def identify(
     known = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(_HAS_LETTER))
     if train is not None:
         known = known.where(train)
-    net = fit(*labelled_sample(known, max_rows, max_langs, max_chars))
+    net = learn(known, max_rows, max_langs, max_chars)
     sent = docs.sparkSession.sparkContext.broadcast(net)
     out = rows.select("id", "text", has).mapInArrow(partial(_predict, model=sent), "doc_id long, lang_pred string, score double")
     return out.withColumnRenamed("doc_id", id_col)

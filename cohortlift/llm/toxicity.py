@@ -5,7 +5,7 @@ that a likelihood-ratio test ties to toxic documents is tagged toxic there, ever
 learns emission weights of word and prefix hashes and the tag transitions from these words.  Forward-backward marginals
 of all words give the offending offsets and, through a logistic function of their maximum and sum, the document score.
 
-The fit is on the driver, over at most ``max_toxic`` + ``max_clean`` labelled rows of at most ``max_chars`` characters
+The fit is one task, over at most ``max_toxic`` + ``max_clean`` labelled rows of at most ``max_chars`` characters
 (the first by hash of the id); scoring covers every word of every row.
 """
 
@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cohortlift.llm import words as W
+from cohortlift.llm.fitting import fit_in_task
 
 PREFIXES = (3, 4, 5, 6, 7, 8)
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 2000, 5000, 200_000
+MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1500, 3000, 200_000
 TRAIN_WORDS, SEGMENT, MARGIN, STEPS, RIDGE = 32, 256, 24, 120, 1e-4
 FAINT, FLOOR = 0.1, 1e-3
 _BITS = 20
@@ -146,7 +147,7 @@ def _tag(found: np.ndarray, at: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarr
     return tied, tied & toxic[doc]
 
 
-def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
+def fit(texts: list[str], toxic: list | np.ndarray, seed: int = 7) -> Model:
     """Fit the field and the document score; without rows of both labels the score is their constant share."""
     texts, place = np.unique(np.array([t or "" for t in texts], object), return_index=True)
     toxic = np.asarray(toxic, bool)[place]
@@ -217,22 +218,22 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
     return model
 
 
-def labelled_sample(
+def learn(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, train: Column | None,
     max_toxic: int, max_clean: int, max_chars: int,
-) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of the first rows of each label by hash of the id."""
+) -> Model:
+    """Fit on the texts of the first rows of each label by hash of the id."""
     known = labels.select(F.col(id_col).cast("long").alias("i"), F.col(label_col).cast("int").alias("y")).where("i IS NOT NULL")
     if train is not None:
         known = known.where(train)
     texts = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).where(
         F.col("t").isNotNull() & (F.length("t") <= max_chars)
     )
-    rows = []
+    samples = []
     for y, most in ((1, max_toxic), (0, max_clean)):
         some = known.where(F.col("y") == y).distinct().orderBy(F.xxhash64("i"), "i").limit(most)
-        rows += [(r["t"], y) for r in texts.join(F.broadcast(some), "i").orderBy(F.xxhash64("i", "t")).limit(most).collect()]
-    return [r[0] for r in rows], np.array([r[1] for r in rows], bool)
+        samples.append(texts.join(F.broadcast(some), "i").orderBy(F.xxhash64("i", "t")).limit(most).select("t", "y"))
+    return fit_in_task(samples, fit)
 
 
 def _score(batches: Iterator[pa.RecordBatch], model, spans: bool) -> Iterator[pa.RecordBatch]:
@@ -284,7 +285,7 @@ def _append(batches: Iterator[pa.RecordBatch], model, column: int, out: str) ->
 
 def with_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", out: str = "_toxicity", id_col: str = "doc_id") -> DataFrame:
     """``docs``, whole and in place, with each row's score as one more column; learns from all labels as ``toxicity`` does."""
-    model = fit(*labelled_sample(docs, labels, id_col, text_col, "toxic", None, MAX_TOXIC, MAX_CLEAN, MAX_CHARS))
+    model = learn(docs, labels, id_col, text_col, "toxic", None, MAX_TOXIC, MAX_CLEAN, MAX_CHARS)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType([*docs.schema.fields, StructField(out, DoubleType())])
     return docs.mapInArrow(partial(_append, model=sent, column=docs.columns.index(text_col), out=out), schema)
@@ -307,7 +308,7 @@ def toxicity(
     ``train`` is a condition on the label rows' id ``i``.  A null or empty text scores as one without toxic words.
     Label rows without id or label, or whose document is not there, are not learned from.  Other columns are not looked at.
     """
-    model = fit(*labelled_sample(docs, labels, id_col, text_col, label_col, train, max_toxic, max_clean, max_chars))
+    model = learn(docs, labels, id_col, text_col, label_col, train, max_toxic, max_clean, max_chars)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = source.mapInArrow(partial(_score, model=sent, spans=spans), SCHEMA)
