@@ -13,6 +13,7 @@ from cohortlift.llm.language import identify
 from cohortlift.llm.lines import remove_boilerplate
 from cohortlift.llm.mixing import taken_words
 from cohortlift.llm.tiling import contaminated, tilings
+from cohortlift.llm.topk import top_k
 from cohortlift.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,10 @@ def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).withColumn("held_out", held_out)
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     found = toxicity(docs, labels, train=_remainder("i", 4) != 2)
@@ -79,6 +84,7 @@ QUERIES: dict[str, Query] = {
         op2_line_dedup,
         op3_source_mixing,
         op5_kneser_ney,
+        op6_exact_top_k,
         op7_toxicity,
         op9_string_tiling,
         op10_jaccard_join,
@@ -108,4 +114,18 @@ FROM documents d LEFT JOIN (
 ) m ON d.doc_id = m.doc_id
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": _KEPT_LINES}
+_TOP_K = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op2_line_dedup": _KEPT_LINES, "op6_exact_top_k": _TOP_K}
