@@ -13,6 +13,7 @@ from cohortlift.llm.language import identify
 from cohortlift.llm.lines import remove_boilerplate
 from cohortlift.llm.mixing import taken_words
 from cohortlift.llm.tiling import contaminated, tilings
+from cohortlift.llm.revisits import records_of_pages, resolve_revisits
 from cohortlift.llm.topk import top_k
 from cohortlift.llm.toxicity import toxicity
 
@@ -65,6 +66,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resolve_revisits(records_of_pages(_table(spark, sf_dir, "pages")))
+    fields = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return found.select(
+        "record_id", "url_key", "state", "source_id", F.array_join(fields, "; ").alias("fields"), F.md5(F.col("payload").cast("binary")).alias("payload_md5")
+    )
+
+
 def op9_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(tilings(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
     longest = F.array_max(F.transform("tiles", lambda t: t["length"]))
@@ -86,6 +95,7 @@ QUERIES: dict[str, Query] = {
         op5_kneser_ney,
         op6_exact_top_k,
         op7_toxicity,
+        op8_revisits,
         op9_string_tiling,
         op10_jaccard_join,
     )
@@ -128,4 +138,41 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": _KEPT_LINES, "op6_exact_top_k": _TOP_K}
+_REVISITS = r"""
+WITH bare AS (
+  SELECT page_id, html, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u FROM pages
+), parts AS (
+  SELECT *, regexp_extract(u, '^([^?]*)', 1) AS p,
+    list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'),
+      lambda a: a <> '' AND NOT regexp_matches(lower(a), '^(utm_[a-z]+|ref|gclid|fbclid|sessionid|phpsessid|jsessionid)(=|$)'))) AS args
+  FROM bare
+), keyed AS (
+  SELECT page_id, html, '"' || substr(md5(html), 1, 16) || '"' AS tag,
+    regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(p, '^([^/]*)', 1)), '^.*@', ''), ':(80|443)$', ''), '^www[0-9]*\.', '')
+    || regexp_replace(regexp_extract(p, '^[^/]*(/.*)$', 1), '/+$', '')
+    || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END AS url_key
+  FROM parts
+), revisits AS (
+  SELECT page_id, url_key, CASE WHEN page_id % 8 = 1 THEN NULL WHEN page_id % 4 = 3 THEN '"stale"' ELSE tag END AS etag,
+    page_id * 60 + 30 + 60 * (page_id % 7) AS ts
+  FROM keyed
+), joined AS (
+  SELECT r.*, s.page_id AS source, s.html, s.tag,
+    CASE WHEN r.etag IS NULL THEN r.page_id = s.page_id ELSE r.etag = s.tag END AS agrees
+  FROM revisits r ASOF LEFT JOIN (SELECT *, page_id * 60 AS at FROM keyed) s ON r.url_key = s.url_key AND r.ts > s.at
+)
+SELECT page_id * 2 + 1 AS record_id, url_key, CASE WHEN agrees THEN 'resolved' ELSE 'mismatch' END AS state,
+  CASE WHEN agrees THEN source * 2 END AS source_id,
+  CASE WHEN agrees THEN 'cache-control=max-age=120; content-length=' || length(html) || '; content-type=text/html; date=' || ts
+      || '; etag=' || coalesce(etag, CASE WHEN source % 5 = 0 THEN 'W/' ELSE '' END || tag) || '; last-modified=' || page_id
+    ELSE 'cache-control=max-age=120; connection=close; content-length=0; date=' || ts || coalesce('; etag=' || etag, '')
+      || '; last-modified=' || page_id END AS fields,
+  CASE WHEN agrees THEN md5(html) END AS payload_md5
+FROM joined
+UNION ALL
+SELECT page_id * 2, url_key, 'response', page_id * 2, 'cache-control=max-age=60; content-length=' || length(html) || '; content-type=text/html; etag='
+  || CASE WHEN page_id % 5 = 0 THEN 'W/' ELSE '' END || tag || '; last-modified=' || page_id, md5(html)
+FROM keyed
+"""
+
+ORACLES: dict[str, str] = {"op2_line_dedup": _KEPT_LINES, "op6_exact_top_k": _TOP_K, "op8_revisits": _REVISITS}
