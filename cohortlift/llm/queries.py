@@ -12,6 +12,7 @@ from cohortlift.llm.kneser_ney import score, train
 from cohortlift.llm.language import identify
 from cohortlift.llm.lines import remove_boilerplate
 from cohortlift.llm.mixing import taken_words
+from cohortlift.llm.surrogates import replace_personal_data
 from cohortlift.llm.tiling import contaminated, tilings
 from cohortlift.llm.revisits import records_of_pages, resolve_revisits
 from cohortlift.llm.topk import top_k
@@ -43,6 +44,10 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(_table(spark, sf_dir, "documents"))
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_remainder("doc_id", 7) == 2, F.lit(False))
@@ -92,6 +97,7 @@ QUERIES: dict[str, Query] = {
         op1_byte_gru,
         op2_line_dedup,
         op3_source_mixing,
+        op4_surrogates,
         op5_kneser_ney,
         op6_exact_top_k,
         op7_toxicity,
