@@ -42,4 +42,4 @@ def materialise(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     """Write once to the shared folder and read back: later passes scan a table instead of repeating the lineage."""
     path = scratch_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # a partitioned table without rows has no schema
