@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlift.session import materialise
+from cohortlift.llm.scratch import discard, table
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -19,7 +19,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """
     low, high = F.least(F.col(a), F.col(b)), F.greatest(F.col(a), F.col(b))
     links = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    links = materialise(links.select(high.alias("u"), low.alias("v")).distinct(), "links")
+    links = table(links.select(high.alias("u"), low.alias("v")).distinct(), "links")
     state = _state(links)
     while state[0]:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -27,8 +27,11 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         near = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = materialise(near.union(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        old, links = links, table(near.union(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        discard(old)
         before, state = state, _state(links)
         if state == before:
             break
-    return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    found = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    found._scratch = links._scratch
+    return found

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cohortlift.llm import words as W
 from cohortlift.llm.components import components
-from cohortlift.session import materialise
+from cohortlift.llm.scratch import discard, table
 
 #: n-grams and rows of a block, keys that a task strings at once, columns of a dense product, index pairs added at once.
 BLOCK_GRAMS, BLOCK_ROWS, KEYS_AT_ONCE, DENSE_COLUMNS, PAIRS_AT_ONCE = 1 << 20, 1024, 1 << 21, 2048, 1 << 20
@@ -307,7 +307,7 @@ def jaccard_join(
         raise ValueError("the threshold must lie above 0 and not above 1")
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     known = source.where("doc IS NOT NULL")
-    made = materialise(
+    made = table(
         known.mapInArrow(partial(_incidence, n=n, num=num, den=den), "kind byte, doc long, n long, h1 long, h2 long"),
         "incidence",
         ["kind"],
@@ -321,7 +321,7 @@ def jaccard_join(
     )
     # Equal sets are represented by their smallest id.
     rep = sizes.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"))
-    to_rep = materialise(
+    to_rep = table(
         sizes.where("n > 0").join(rep.where("copies > 1"), ["n", "h1", "h2"]).select("doc", "rep").distinct(), "copies"
     )
 
@@ -342,7 +342,11 @@ def jaccard_join(
     member = member.join(sizes.select("doc", "n").groupBy("doc").agg(F.max("n").alias("n")), "doc").withColumn(
         "cls", F.lit(0) + sum(F.when(F.col("n") > int(t), 1).otherwise(0) for t in tops[tops < (1 << 20)])
     )
-    dealt = _blocks(materialise(member, "members"), block_grams, block_rows)
+    member = table(member, "members")
+    for part in ("kind=1", "kind=2"):
+        discard(made, part)
+    discard(clusters)
+    dealt = _blocks(member, block_grams, block_rows)
     rows = known.join(dealt, "doc").select("doc", "text", "blocks")
     incidence = rows.mapInArrow(partial(_with_grams, n=n), "doc long, grams binary, blocks array<bigint>")
     blocks = incidence.select(F.explode("blocks").alias("block"), "doc", "grams").repartition("block")

@@ -205,9 +205,14 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
 def learn(docs: DataFrame, max_rows: int, max_langs: int, max_chars: int) -> Network | None:
     """Of ``docs`` (id, text, lang): fit on the first rows of each language by hash of id and text."""
     langs = docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
-    text = F.substring("text", 1, max_chars)
-    samples = [docs.where(F.col("lang") == row["lang"]).orderBy(F.xxhash64("id", "text")).limit(max_rows) for row in langs]
-    return fit_in_task([s.select(text.alias("text"), "lang") for s in samples], fit)
+    text, order = F.substring("text", 1, max_chars), F.xxhash64("id", "text")
+    samples = []
+    for row in langs:
+        # A share of the hashes holds about four times the rows wanted, so that tasks pass on few rows however many there are.
+        share = min(1 << 30, (max_rows << 32) // row["n"] + 1)
+        own = docs.where((F.col("lang") == row["lang"]) & (F.pmod(order, F.lit(1 << 30)) < share))
+        samples.append(own.orderBy(order).limit(max_rows).select(text.alias("text"), "lang"))
+    return fit_in_task(samples, fit)
 
 
 def identify(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlift.session import materialise
+from cohortlift.llm.scratch import discard, table
 
 MIN_SITES, MIN_WORDS, SKETCH_BITS, MARGIN = 5, 3, 12, 0.1
 _SPACE, _WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
@@ -39,7 +39,7 @@ def boilerplate(lines: DataFrame, min_sites: int, bits: int = SKETCH_BITS, margi
     """``(h1, h2)`` of the lines that ``min_sites`` or more distinct sites hold; ``lines`` is read more than once."""
     spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(bits))).alias("sites"))
     low, high = min_sites * (1 - margin) - 1, min_sites * (1 + margin) + 1
-    spread = materialise(spread.where(F.col("sites") >= low), "spread")
+    spread = table(spread.where(F.col("sites") >= low), "spread")
     near = spread.where(F.col("sites") <= high).select("h1", "h2")
     exact = lines.join(near, ["h1", "h2"], "left_semi").select("h1", "h2", "site").distinct()
     exact = exact.groupBy("h1", "h2").agg(F.count("site").alias("n")).where(F.col("n") >= min_sites)
@@ -64,12 +64,14 @@ def remove_boilerplate(
     """
     if min_sites < 2 or min_words < 1:
         raise ValueError("a line needs two sites and one word at least")
-    lines = materialise(_occurrences(docs, id_col, text_col, site_col, min_words), "lines")
-    found = materialise(boilerplate(lines, min_sites), "boilerplate")
+    lines = table(_occurrences(docs, id_col, text_col, site_col, min_words), "lines")
+    found = table(boilerplate(lines, min_sites), "boilerplate")
     known = lines.where("doc IS NOT NULL").select("doc", "pos", "h1", "h2").join(found, ["h1", "h2"])
     first = known.groupBy("h1", "h2").agg(F.min(F.struct("doc", "pos")).alias("first"))
     gone = known.join(first, ["h1", "h2"]).where(F.struct("doc", "pos") != F.col("first"))
     gone = gone.groupBy("doc").agg(F.collect_set(F.struct("pos", "h1", "h2")).alias("_gone")).withColumnRenamed("doc", "_doc")
+    gone = table(gone, "gone")
+    discard(lines)
     kept = [c for c in docs.columns if c not in (lines_out, removed_out)]
     joined = docs.join(gone, docs[id_col].cast("long") == gone["_doc"], "left")
     text = docs[text_col].cast("string")

@@ -8,11 +8,13 @@ permutation of the source's block numbers, with another permutation for each pas
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -22,18 +24,26 @@ from cohortlift.session import materialise
 
 BLOCK_WORDS, SHARD_SLOTS, BUCKET_ROWS, SHARE, PASSES, WEIGHTS, SEED = 128, 8192, 20_000, 1.5, 2, (5.0, 2.0, 1.0), 11
 _WORD = r"[^\x20\x09-\x0D]+"
+_WORDS = re.compile(_WORD)
 
 
-def with_sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """``(doc_id, source, size)`` and the document's place ``start`` in its source's words."""
-    size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(_WORD)), F.lit(0)).cast("long")
-    rows = materialise(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size")), "sizes"
+def with_sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, keep_text: bool = False) -> DataFrame:
+    """``(doc_id, source, size)`` and the document's place ``start`` in its source's words; ``text`` too, if wanted.
+
+    The order in a source follows a hash of the row, and buckets of the hash keep each window's rows few.
+    """
+    text = F.col(text_col).cast("string")
+    size = F.coalesce(F.regexp_count(text, F.lit(_WORD)), F.lit(0)).cast("long")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"),
+        *([text.alias("text")] if keep_text else []),
     )
-    buckets = max(16, -(-rows.count() // BUCKET_ROWS))
+    order = ["doc_id", "size", *(["_text"] if keep_text else [])]
+    buckets = max(16, -(-docs.count() // BUCKET_ROWS))
     rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "size"), F.lit(buckets)).cast("int"))
-    placed = running_total(rows, ["source"], "_bucket", ["doc_id", "size"], F.col("size"), "start")
-    return materialise(placed.drop("_bucket"), "placed")
+    if keep_text:
+        rows = rows.withColumn("_text", F.xxhash64("text"))
+    return running_total(rows, ["source"], "_bucket", order, F.col("size"), "start").drop("_bucket", "_text")
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, passes: float = PASSES) -> DataFrame:
@@ -154,12 +164,35 @@ def pieces(placed: DataFrame, block_words: int) -> DataFrame:
     return out.withColumn("at", low - F.col("start")).withColumn("words", high - low)
 
 
+_PIECES = "source string, block long, start long, doc_id long, words long, text string"
+
+
+def _cut(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.RecordBatch]:
+    """The words of each document, by the block that they fall into."""
+    names = ["source", "block", "start", "doc_id", "words", "text"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    for batch in batches:
+        rows = []
+        for doc_id, source, start, text in zip(*(c.to_pylist() for c in batch.columns)):
+            words, at = _WORDS.findall(text), 0
+            while at < len(words):
+                block = (start + at) // block_words
+                n = min(len(words), (block + 1) * block_words - start) - at
+                rows.append((source, block, start, doc_id, n, " ".join(words[at : at + n])))
+                at += n
+            if len(rows) > 20_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+
 def taken_words(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED,
 ) -> DataFrame:
     """``(doc_id, source, size, source_size, target, taken)``, a row per row of ``docs``: the words that the mix takes of it."""
-    placed = with_sizes(docs, id_col, text_col, source_col)
+    placed = materialise(with_sizes(docs, id_col, text_col, source_col), "placed")
     sources = materialise(targets(placed), "targets")
     times = draw_slots(sources, block_words, shard_slots, seed).groupBy("source", "block").agg(F.count("*").alias("times"))
     part = pieces(placed, block_words).select("source", "start", "block", "words").alias("p")
@@ -182,29 +215,15 @@ def mix(
     Words are runs without blanks; a text that is null or has none gives nothing.  A null source is a source.  Repeated
     rows are documents of their own.  Same input, same mix.  Other columns are not looked at.
     """
-    placed = with_sizes(docs, id_col, text_col, source_col)
-    sources = materialise(targets(placed), "targets")
-    slots = draw_slots(sources, block_words, shard_slots, seed)
-    texts = docs.select(
-        F.col(id_col).cast("long").alias("_id"), F.col(source_col).cast("string").alias("_src"),
-        F.regexp_extract_all(F.col(text_col).cast("string"), F.lit(f"({_WORD})")).alias("_words"),
-    ).where(F.size("_words") > 0)
-    # Rows that agree in all three stand for each other: the k-th of them takes the k-th place.
-    same = Window.partitionBy("doc_id", "source", "size").orderBy("start")
-    repeated = Window.partitionBy("_id", "_src", "_n").orderBy(F.xxhash64("_words"))
-    placed = placed.where("size > 0").withColumn("_k", F.row_number().over(same))
-    texts = texts.withColumn("_n", F.size("_words").cast("long")).withColumn("_k2", F.row_number().over(repeated))
-    joined = placed.join(
-        texts,
-        F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")) & (F.col("size") == F.col("_n")) & (F.col("_k") == F.col("_k2")),
-    )
-    words = F.expr("slice(_words, cast(at + 1 as int), cast(words as int))")
-    part = pieces(joined, block_words).select("source", "block", F.struct("start", "doc_id", "words", F.array_join(words, " ").alias("text")).alias("piece"))
-    packed = part.groupBy("source", "block").agg(F.sort_array(F.collect_list("piece")).alias("p"))  # at most block_words pieces
-    packed = packed.select(
-        F.col("source").alias("_s"), F.col("block").alias("_b"),
-        F.aggregate("p.words", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_words"),
+    placed = with_sizes(docs, id_col, text_col, source_col, keep_text=True)
+    sources = materialise(targets(with_sizes(docs, id_col, text_col, source_col)), "targets")
+    slots = draw_slots(sources, block_words, shard_slots, seed).select("source", "block", F.struct("shard", "slot", "pass_no").alias("slot"))
+    cut = placed.where("size > 0").select("doc_id", "source", "start", "text").mapInArrow(partial(_cut, block_words=block_words), _PIECES)
+    part = cut.select("source", "block", F.struct("start", "doc_id", "words", "text").alias("piece"))
+    # Pieces and slots of a block meet in one grouping; a block has block_words pieces and PASSES + 1 slots at most.
+    both = part.unionByName(slots, allowMissingColumns=True).groupBy("source", "block")
+    packed = both.agg(F.sort_array(F.collect_list("piece")).alias("p"), F.collect_list("slot").alias("slots"))
+    return packed.select(
+        F.explode("slots").alias("s"), "source", "block", F.aggregate("p.words", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_words"),
         F.col("p.doc_id").alias("doc_ids"), F.array_join("p.text", " ").alias("text"),
-    )
-    out = slots.join(packed, F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")))
-    return out.select("shard", "slot", F.col("source").alias(source_col), "pass_no", "block", "n_words", "doc_ids", "text")
+    ).select("s.shard", "s.slot", F.col("source").alias(source_col), "s.pass_no", "block", "n_words", "doc_ids", "text")

@@ -61,9 +61,8 @@ def test_equals_brute_force(spark, prose):
                 want.append((d, i, len(words(u)), sum(x[2] for x in found)))
     for blocks in (1 << 20, 60):
         got = T.tilings(docs, bench, block_words=blocks).collect()
-        assert sorted((r["doc_id"], r["item_id"], r["item_words"], r["covered"]) for r in got) == sorted(want, key=str) or sorted(
-            ((r["doc_id"], r["item_id"], r["item_words"], r["covered"]) for r in got), key=str
-        ) == sorted(want, key=str)
+        found = [(r["doc_id"], r["item_id"], r["item_words"], r["covered"]) for r in got]
+        assert sorted(found, key=str) == sorted(want, key=str)
     assert T.contaminated(T.tilings(docs, bench)).where("doc_id = 102").count() == 2
 
 
