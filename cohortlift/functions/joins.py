@@ -59,15 +59,21 @@ def attach(
         .persist()
     )
     same = reduce(and_, (F.col(f"_k_{c}").eqNullSafe(F.col(f"_h_{c}")) for c in on))
-    hot = keyed.join(F.broadcast(heavy), same, "left_semi")
-    hot = hot.select(*drop_keys, *[F.col(v).alias(f"_hot_{v}") for v in values], F.lit(True).alias("_hit"))
+    matched = keyed.join(F.broadcast(heavy), same, "left_semi")
+    # Every heavy key leaves the shuffle, also one that ``stats`` lacks: its values are NULL.
+    hot = heavy.join(F.broadcast(matched), same, "left").select(
+        *[F.col(f"_h_{c}").alias(f"_k_{c}") for c in on],
+        *[F.col(v).alias(f"_hot_{v}") for v in values],
+        F.lit(True).alias("_hit"),
+    )
     first = df.join(F.broadcast(hot), _null_safe(df, hot, on), "left").drop(*drop_keys)
 
     spread_by = F.pmod(F.xxhash64(*(spread or df.columns)), F.lit(1 << 20)) + 1
     first = first.withColumn("_salt", F.when(F.col("_hit"), spread_by).otherwise(F.lit(0)))
-    cold = keyed.select(
-        *drop_keys, *[F.col(v).alias(f"_cold_{v}") for v in values], F.lit(0).cast("bigint").alias("_zero")
-    )
+    # Always 0, but no literal: the optimizer would turn a comparison with one into a filter, and the salt would not
+    # take part in the partitioning.
+    zero = F.pmod(F.xxhash64(*drop_keys), F.lit(1).cast("bigint"))
+    cold = keyed.select(*drop_keys, *[F.col(v).alias(f"_cold_{v}") for v in values], zero.alias("_zero"))
     joined = first.join(cold, _null_safe(first, cold, on) & (first["_salt"] == cold["_zero"]), "left")
     return joined.select(
         *df.columns,

@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 from cohortlift import schema as S
 from cohortlift.functions import scalars as X
 from cohortlift.operators.evaluate import auc
+from cohortlift.operators.fit import apply_vocab, fit_vocab
 from cohortlift.operators.folds import assign_folds, split_fold
 from cohortlift.session import materialise, shared_dir
 
-MAX_CATEGORIES = 1000
+INDEXED_VALUES = 1000  # a tree splits a category of so many values by groups of values, a wider one by its code
 PREDICTION = ("id", "y", "model", "seed", "fold", "p")
 
 
@@ -57,6 +58,8 @@ class Vectors:
     categories: tuple[str, ...]
     fill: float
     max_bins: int
+    wide: tuple[str, ...] = ()
+    vocab: DataFrame | None = None
 
     def transform(self, df: DataFrame, label: str) -> DataFrame:
         def number(c: str) -> str:
@@ -69,12 +72,17 @@ class Vectors:
             *carried,
             *[f"coalesce({number(c)}, {self.fill}D) AS `_x_{c}`" for c in self.features],
             *[f"CAST({number(c)} IS NULL AS INT) AS `_m_{c}`" for c in self.flagged],
-            *[f"coalesce(CASE WHEN `{c}` NOT IN ('nan', 'None') THEN `{c}` END, 'NaN') AS `_t_{c}`" for c in self.categories],
+            *[f"coalesce(CASE WHEN `{c}` NOT IN ('nan', 'None') THEN `{c}` END, 'NaN') AS `_t_{c}`" for c in (*self.categories, *self.wide)],
         )
         inputs = [f"_x_{c}" for c in self.features] + [f"_m_{c}" for c in self.flagged]
         if self.indexer is not None:
             out = self.indexer.transform(out)
             inputs += [f"_i_{c}" for c in self.categories]
+        if self.vocab is not None:
+            texts = [f"_t_{c}" for c in self.wide]
+            out = apply_vocab(out, self.vocab, texts, "NaN", unseen="keep")
+            out = out.select("*", *[F.col(f"{t}_code").cast("double").alias(f"{t}_number") for t in texts])
+            inputs += [f"{t}_number" for t in texts]
         out = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error").transform(out)
         return out.select("id", "y", *carried, "features")
 
@@ -83,23 +91,24 @@ def fit_vectors(train: DataFrame, config: ModelConfig) -> Vectors:
     """Find the features that can be missing and index the categories, from train rows."""
     missing = train.selectExpr(*[f"coalesce(bool_or(`{c}` IS NULL OR isnan(try_cast(`{c}` AS DOUBLE))), false) AS `{c}`" for c in config.features]).first()
     flagged = tuple(c for c in config.features if missing[c])
-    cats = config.categories
-    indexer, largest = None, 0
+    texts = {c: X.text_or(c, "NaN").alias(f"_t_{c}") for c in config.categories}
+    sizes = train.select(*[F.count_distinct(t).alias(c) for c, t in texts.items()]).first() if texts else {}
+    # A category of many values is one ordered code, as in the reference's tables; its codes are dealt by Spark.
+    wide = tuple(c for c in texts if sizes[c] > INDEXED_VALUES)
+    cats = tuple(c for c in texts if c not in wide)
+    indexer = vocab = None
     if cats:
-        sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cats]).first()
-        largest = max(sizes)
-        if largest > MAX_CATEGORIES:
-            raise ValueError(f"categories beyond {MAX_CATEGORIES} values: use target encoding for {sizes.asDict()}")
-        texts = train.select(*[X.text_or(c, "NaN").alias(f"_t_{c}") for c in cats])
         indexer = StringIndexer(
             inputCols=[f"_t_{c}" for c in cats],
             outputCols=[f"_i_{c}" for c in cats],
             handleInvalid="keep",
             stringOrderType="alphabetAsc",
-        ).fit(texts)
+        ).fit(train.select(*[texts[c] for c in cats]))
+    if wide:
+        vocab = fit_vocab(train.select(*[texts[c] for c in wide]), [f"_t_{c}" for c in wide], placeholder="NaN")
     max_bins = max(32, max((len(a) for a in indexer.labelsArray), default=0) + 2 if indexer else 0)
     fill = 0.0 if config.learner == "logistic" else -999.0
-    return Vectors(config.features, flagged, indexer, cats, fill, max_bins)
+    return Vectors(config.features, flagged, indexer, cats, fill, max_bins, wide, vocab)
 
 
 # Settings that follow the reference learners; rounds are small by default and a parameter.
@@ -225,7 +234,15 @@ def train_by_segment(
     label: str = S.TARGET,
     threads: int = 4,
 ) -> tuple[DataFrame, DataFrame]:
-    """One member per segment value, each with its own folds; the parts together cover every row once per seed."""
+    """One member per segment value, each with its own folds; the parts together cover every row once per seed.
+
+    A row whose segment is NULL or has no member is refused, as no part would cover it.
+    """
+    covered = F.coalesce(F.col(segment).isin(list(configs)), F.lit(False))
+    for side in (train, test):
+        lost = side.where(~covered).count()
+        if lost:
+            raise ValueError(f"{lost} rows have no member for their {segment}")
     parts = [
         train_oof(train.where(F.col(segment) == v), test.where(F.col(segment) == v), c, k, label, threads)
         for v, c in configs.items()
@@ -245,21 +262,21 @@ def train_residual(
 ) -> tuple[DataFrame, DataFrame]:
     """Regress what the base prediction ``(id, p)`` leaves over, add it back and clip to [0, 1].
 
-    Folds are stratified by the label, not by the residual.
+    Folds are stratified by the label, not by the residual.  A test row takes the mean residual of the folds, once for
+    each seed (its fold is -1), and is clipped after that.
     """
     based = train.join(base_oof.select("id", F.col("p").alias("_base")), "id")
     based = assign_folds(based, "id", label, k, config.seeds)
     based = based.withColumn("_residual", F.col(label) - F.col("_base"))
     oof, pred = train_oof(based, test, config, k, "_residual", threads)
+    truth = train.select("id", F.col(label).cast("double").alias("y"))
+    pred = pred.groupBy("id", "model", "seed").agg(F.avg("p").alias("p")).withColumn("fold", F.lit(-1)).withColumn("y", F.lit(None).cast("double"))
 
-    def corrected(parts: DataFrame, base: DataFrame, truth: DataFrame | None) -> DataFrame:
+    def corrected(parts: DataFrame, base: DataFrame) -> DataFrame:
         out = parts.join(base.select("id", F.col("p").alias("_base")), "id")
-        out = out.withColumn("p", X.clip01(F.col("_base") + F.col("p")))
-        if truth is not None:
-            out = out.drop("y").join(truth.select("id", F.col(label).cast("double").alias("y")), "id")
-        return out.select(*PREDICTION)
+        return out.withColumn("p", X.clip01(F.col("_base") + F.col("p"))).select(*PREDICTION)
 
-    return corrected(oof, base_oof, train), corrected(pred, base_pred, None)
+    return corrected(oof.drop("y").join(truth, "id"), base_oof), corrected(pred, base_pred)
 
 
 def stack(
@@ -377,13 +394,16 @@ def members(
     trees = {} if rounds is None else {"numTrees": max(2 * rounds, 4)}
     cats = tuple(categories)
 
-    def numbers(name: str) -> tuple[str, ...]:
-        return tuple(c for c in sets[name] if c not in cats)
+    def member(name: str, features: str, learner: str, own_seeds: Sequence[int], params: Mapping[str, object]) -> ModelConfig:
+        columns = sets[features]
+        return ModelConfig(
+            name, tuple(c for c in columns if c not in cats), tuple(c for c in columns if c in cats), learner, tuple(own_seeds), params
+        )
 
     return [
-        ModelConfig("gbt_v3", numbers("v3"), (), "gbt", tuple(seeds), boost),
-        ModelConfig("gbt_v3_te", numbers("v3_te"), (), "gbt", tuple(seeds), boost),
-        ModelConfig("deep_v3", numbers("v3"), (), "gbt_deep", tuple(few_seeds), boost),
-        ModelConfig("deep_full", numbers("full_cat"), cats, "gbt_deep", tuple(few_seeds), boost),
-        ModelConfig("forest_full", numbers("full_cat"), cats, "forest", tuple(few_seeds), trees),
+        member("gbt_v3", "v3", "gbt", seeds, boost),
+        member("gbt_v3_te", "v3_te", "gbt", seeds, boost),
+        member("deep_v3", "v3", "gbt_deep", few_seeds, boost),
+        member("deep_full", "full_cat", "gbt_deep", few_seeds, boost),
+        member("forest_full", "full_cat", "forest", few_seeds, trees),
     ]

@@ -8,7 +8,7 @@ from cohortlift import schema as S
 from cohortlift.functions import scalars as X
 from cohortlift.operators import encode as T
 from cohortlift.operators.folds import assign_folds, complement_rates
-from cohortlift.plans.base import cycles, query, raw, split, sql_folds, sql_oof, sql_raw, table, with_cycles
+from cohortlift.plans.base import query, raw, split, sql_folds, sql_oof, sql_raw, table, with_cycles
 from cohortlift.session import materialise
 
 TRAIN = "train AS (SELECT * FROM cycles WHERE split = 'train')"
@@ -87,13 +87,14 @@ def oof_encoding_type_age(spark, sf_dir):
 @query(
     with_cycles(
         "SELECT id, specific_type, fold, te FROM e",
-        f"folds AS ({sql_folds('cycles')})",
+        "train AS (SELECT * FROM cycles WHERE split = 'train')",
+        f"folds AS ({sql_folds('train')})",
         *sql_oof("folds", "specific_type", 30.0),
     )
 )
 def oof_encoding_missing_key(spark, sf_dir):
     """A NULL key takes the mean of the training part."""
-    rows = cycles(spark, sf_dir).select("id", "specific_type", S.TARGET)
+    rows = split(spark, sf_dir)[0].select("id", "specific_type", S.TARGET)
     return T.oof_encode(materialise(assign_folds(rows), "folds"), "specific_type", s=30.0).select("id", "specific_type", "fold", "te")
 
 

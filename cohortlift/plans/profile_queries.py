@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortlift import schema as S
 from cohortlift.functions import scalars as X
 from cohortlift.operators import profile as P
-from cohortlift.plans.base import cycles, query, rounded, table, with_cycles
+from cohortlift.plans.base import cycles, query, rounded, split, table, with_cycles
 
 RATE_COLUMNS = ("age_band", "treatment_type", "specific_type", "egg_source", "sperm_source", "day_transfer")
 NUMERIC_PROFILE = tuple(S.NUMERIC) + ("cause_female_factor", "single_transfer", "fresh_embryo_used")
@@ -17,26 +17,35 @@ ICSI_RANGES = ((0, 0, "0"), (0, 50, "1-50"), (50, 70, "51-70"), (70, 90, "71-90"
 EMBRYO_RANGES = ((-1, 6, "0-6"), (6, 20, "7-20"), (20, 10_000, "21+"))
 
 
+def train_rows(spark, sf_dir):
+    """Rates and correlations of the target are profiled on train rows only."""
+    return split(spark, sf_dir)[0]
+
+
+def with_train(body: str) -> str:
+    return with_cycles(body, "train AS (SELECT * FROM cycles WHERE split = 'train')")
+
+
 def _union(template: str, columns) -> str:
     return " UNION ALL ".join(template.format(c=c) for c in columns)
 
 
-@query(with_cycles("SELECT day_transfer, count(*) AS n, avg(CAST(success AS DOUBLE)) AS rate FROM cycles GROUP BY 1"))
+@query(with_train("SELECT day_transfer, count(*) AS n, avg(CAST(success AS DOUBLE)) AS rate FROM train GROUP BY 1"))
 def target_rate_by_transfer_day(spark, sf_dir):
-    return P.target_rate(cycles(spark, sf_dir), ["day_transfer"])
+    return P.target_rate(train_rows(spark, sf_dir), ["day_transfer"])
 
 
 @query(
-    with_cycles(
+    with_train(
         _union(
             "SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n, "
-            "avg(CAST(success AS DOUBLE)) AS rate FROM cycles GROUP BY 2",
+            "avg(CAST(success AS DOUBLE)) AS rate FROM train GROUP BY 2",
             RATE_COLUMNS,
         )
     )
 )
 def target_rate_per_column(spark, sf_dir):
-    return P.target_rate_all(cycles(spark, sf_dir), RATE_COLUMNS)
+    return P.target_rate_all(train_rows(spark, sf_dir), RATE_COLUMNS)
 
 
 @query(
@@ -65,36 +74,36 @@ def _range_sql(value: str, ranges) -> str:
         f"SELECT CASE {whens} END AS range, count(*) AS n, avg(CAST(success AS DOUBLE)) AS rate, "
         "count(*) FILTER (WHERE embryos_transferred > 0) AS n_if, "
         "avg(CAST(success AS DOUBLE)) FILTER (WHERE embryos_transferred > 0) AS rate_if "
-        f"FROM (SELECT *, {value} AS v FROM cycles) GROUP BY 1"
+        f"FROM (SELECT *, {value} AS v FROM train) GROUP BY 1"
     )
 
 
-@query(with_cycles(_range_sql("icsi_embryos * 100.0E0 / nullif(icsi_eggs, 0)", ICSI_RANGES)))
+@query(with_train(_range_sql("icsi_embryos * 100.0E0 / nullif(icsi_eggs, 0)", ICSI_RANGES)))
 def target_rate_by_icsi_range(spark, sf_dir):
     value = F.try_divide(F.col("icsi_embryos") * 100.0, F.col("icsi_eggs"))
     return P.target_rate_by_range(
-        cycles(spark, sf_dir), value, ICSI_RANGES, condition=F.col("embryos_transferred") > 0
+        train_rows(spark, sf_dir), value, ICSI_RANGES, condition=F.col("embryos_transferred") > 0
     )
 
 
-@query(with_cycles(_range_sql("embryos_total", EMBRYO_RANGES)))
+@query(with_train(_range_sql("embryos_total", EMBRYO_RANGES)))
 def target_rate_after_transfer(spark, sf_dir):
     return P.target_rate_by_range(
-        cycles(spark, sf_dir), F.col("embryos_total"), EMBRYO_RANGES, condition=F.col("embryos_transferred") > 0
+        train_rows(spark, sf_dir), F.col("embryos_total"), EMBRYO_RANGES, condition=F.col("embryos_transferred") > 0
     )
 
 
 @query(
-    with_cycles(
+    with_train(
         _union(
             "SELECT '{c}' AS \"column\", CASE WHEN min({c}) < max({c}) THEN "
-            "round(corr(CAST({c} AS DOUBLE), CAST(success AS DOUBLE)), 9) END AS corr FROM cycles",
+            "round(corr(CAST({c} AS DOUBLE), CAST(success AS DOUBLE)), 9) END AS corr FROM train",
             NUMERIC_PROFILE,
         )
     )
 )
 def target_correlations(spark, sf_dir):
-    return P.correlations(cycles(spark, sf_dir), NUMERIC_PROFILE).select("column", rounded("corr"))
+    return P.correlations(train_rows(spark, sf_dir), NUMERIC_PROFILE).select("column", rounded("corr"))
 
 
 @query(
@@ -159,41 +168,41 @@ LIFT_TOKENS = {**{t: t for t in S.PROCEDURE_TOKENS}, "repeated": ":"}
 
 
 @query(
-    with_cycles(
+    with_train(
         " UNION ALL ".join(
             f"SELECT '{n}' AS token, count(*) FILTER (WHERE specific_type LIKE '%{t}%') AS n, "
             f"avg(CAST(success AS DOUBLE)) FILTER (WHERE specific_type LIKE '%{t}%') AS rate, "
             f"avg(CAST(success AS DOUBLE)) FILTER (WHERE specific_type LIKE '%{t}%') - avg(CAST(success AS DOUBLE)) AS lift "
-            "FROM cycles"
+            "FROM train"
             for n, t in LIFT_TOKENS.items()
         )
     )
 )
 def procedure_token_lift(spark, sf_dir):
-    return P.token_lift(cycles(spark, sf_dir), "specific_type", LIFT_TOKENS)
+    return P.token_lift(train_rows(spark, sf_dir), "specific_type", LIFT_TOKENS)
 
 
 @query(
-    with_cycles(
-        "SELECT 'all' AS segment, count(*) AS n, avg(CAST(success AS DOUBLE)) AS rate FROM cycles UNION ALL "
+    with_train(
+        "SELECT 'all' AS segment, count(*) AS n, avg(CAST(success AS DOUBLE)) AS rate FROM train UNION ALL "
         "SELECT CASE WHEN embryos_transferred > 0 THEN 'transfer' ELSE 'no transfer' END, count(*), "
-        "avg(CAST(success AS DOUBLE)) FROM cycles GROUP BY 1"
+        "avg(CAST(success AS DOUBLE)) FROM train GROUP BY 1"
     )
 )
 def target_rate_per_segment(spark, sf_dir):
     segment = F.when(F.col("embryos_transferred") > 0, "transfer").otherwise("no transfer")
-    return P.target_rate_per_segment(cycles(spark, sf_dir).withColumn("segment", segment), "segment")
+    return P.target_rate_per_segment(train_rows(spark, sf_dir).withColumn("segment", segment), "segment")
 
 
 @query(
-    with_cycles(
+    with_train(
         "SELECT CAST(cause_male_factor AS DOUBLE) AS cause_male_factor, CAST(is_icsi AS DOUBLE) AS is_icsi, CAST(grouping(cause_male_factor, is_icsi) AS INTEGER) AS margin, count(*) AS n, "
         "avg(CAST(success AS DOUBLE)) AS rate FROM (SELECT success, cause_male_factor, "
-        "CASE WHEN icsi_eggs > 0 THEN 1 ELSE 0 END AS is_icsi FROM cycles) GROUP BY CUBE (cause_male_factor, is_icsi)"
+        "CASE WHEN icsi_eggs > 0 THEN 1 ELSE 0 END AS is_icsi FROM train) GROUP BY CUBE (cause_male_factor, is_icsi)"
     )
 )
 def target_rate_male_factor_by_icsi(spark, sf_dir):
-    rows = cycles(spark, sf_dir).select(
+    rows = train_rows(spark, sf_dir).select(
         "success",
         F.col("cause_male_factor").cast("double").alias("cause_male_factor"),
         X.flag(F.col("icsi_eggs") > 0).cast("double").alias("is_icsi"),

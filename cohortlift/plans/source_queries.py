@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from cohortlift import schema as S
 from cohortlift.operators import encode as T
 from cohortlift.operators.clean import clean
+from cohortlift.operators.evaluate import auc
 from cohortlift.operators.features import derive
 from cohortlift.plans.base import cleaned, cycles, query, rounded, split, table, train_medians, with_cycles
 from cohortlift.plans.evaluate_queries import _preds, keyed_rows, predictions
-from cohortlift.plans.feature_queries import F1, feature_sql, pick
+from cohortlift.plans.feature_queries import feature_sql, pick
 from cohortlift.session import scratch_path
 from cohortlift.sources import sinks
 from cohortlift.sources.cycles import cycles_from
@@ -75,7 +76,8 @@ def late_type_conflicts(spark, sf_dir):
     return conflicts(spark, path, schema)
 
 
-PART = [*F1[:6], "age_x_transferred", "gap_transfer_minus_pickup"]
+PART = ["past_preg_rate", "past_birth_rate", "ivf_preg_rate", "embryo_transfer_ratio", "embryo_stored_ratio", "icsi_ratio",
+        "age_x_transferred", "gap_transfer_minus_pickup"]
 
 
 @query(feature_sql("raw", PART))
@@ -86,9 +88,12 @@ def row_local_features_from_csv(spark, sf_dir):
     return pick(derive(clean(rows, "raw"), "base", "raw"), PART)
 
 
-def _test_scores(spark, sf_dir):
+def _scores(spark, sf_dir):
+    """The encoded probability of the test rows, and its area over the train rows."""
     train, test = (keyed_rows(side) for side in split(spark, sf_dir))
-    return T.fit_encoder(train.withColumn("fold", F.lit(0)), {"p": T.Key("k_type_age", 25.0)}).transform(test)
+    encoder = T.fit_encoder(train.withColumn("fold", F.lit(0)), {"p": T.Key("k_type_age", 25.0)})
+    seen = encoder.transform(train).select(F.col(S.TARGET).cast("double").alias("y"), "p")
+    return encoder.transform(test), auc(seen).first()["auc"]
 
 
 SCORES_SQL = [
@@ -101,9 +106,9 @@ SCORES_SQL = [
 
 
 def _submit(spark, sf_dir):
-    scores = _test_scores(spark, sf_dir)
+    scores, area = _scores(spark, sf_dir)
     template = split(spark, sf_dir)[1].select("id", F.lit(0.0).alias("probability"))
-    return sinks.write_submission(template, scores, scratch_path(spark, "submission"), 0.5, "encoding")
+    return sinks.write_submission(template, scores, scratch_path(spark, "submission"), area, "encoding")
 
 
 @query(with_cycles("SELECT id, probability FROM scores", *SCORES_SQL))

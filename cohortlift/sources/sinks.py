@@ -20,10 +20,16 @@ from cohortlift.operators.evaluate import summary
 
 
 def fill_template(template: DataFrame, preds: DataFrame, id: str = S.ID, p: str = "p") -> DataFrame:
-    """The template with its first non-id column replaced by the clipped prediction of the id."""
+    """The template with its first non-id column replaced by the clipped prediction of the id.
+
+    One row per row of the template: an id that is predicted more than once takes the mean.  The write fails on an id
+    without a prediction.
+    """
     target = next(c for c in template.columns if c != id)
-    scored = preds.select(id, X.clip01(p).alias("_p"))
+    scored = preds.groupBy(id).agg(X.clip01(F.avg(p)).alias("_p"))
     joined = template.join(scored, id, "left")
+    lost = F.concat(F.lit("no prediction of id "), F.coalesce(F.col(id).cast("string"), F.lit("NULL")))
+    joined = joined.withColumn("_p", F.coalesce("_p", F.raise_error(lost).cast("double")))
     return joined.select(*[F.col("_p").alias(c) if c == target else F.col(c) for c in template.columns])
 
 

@@ -178,3 +178,24 @@ def test_test_side_variants(spark, max_bytes):
     assert mean[4] == pytest.approx(sum(per_fold) / 5) and mean[2] == mean[3] == pytest.approx(sum(priors) / 5)
     with pytest.raises(ValueError):
         encoder.transform(test, "other")
+
+
+def test_hot_key_without_statistics_is_spread(spark):
+    from cohortlift.functions.joins import attach
+
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, "unseen").otherwise(F.concat(F.lit("k"), F.col("id") % 3000)).alias("key"))
+        stats = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("v"))
+        out = attach(rows, stats, ["key"], max_bytes=0).withColumn("part", F.spark_partition_id()).persist()
+        hot = out.where("key = 'unseen'")
+        assert hot.count() == 10_000 and hot.where("v is not null").count() == 0
+        assert hot.select("part").distinct().count() > 4
+        assert out.where("key <> 'unseen' and v = cast(substring(key, 2) as bigint)").count() == 10_000
+        out.unpersist()
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)

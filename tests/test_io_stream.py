@@ -90,3 +90,15 @@ def test_stream_reads_each_file_once_and_equals_batch(spark, small):
     batch = transform(orders)
     assert done.count() == batch.count()
     assert done.exceptAll(batch).count() == 0 and batch.exceptAll(done).count() == 0
+
+
+def test_template_takes_one_prediction_per_id(spark):
+    from pyspark.errors import PySparkException
+
+    from cohortlift.sources.sinks import fill_template
+
+    template = spark.createDataFrame([("a", 0.0), ("b", 0.0)], "id string, probability double")
+    twice = spark.createDataFrame([("a", 0.2), ("a", 0.4), ("b", 2.0)], "id string, p double")
+    assert sorted(map(tuple, fill_template(template, twice).collect())) == [("a", pytest.approx(0.3)), ("b", 1.0)]
+    with pytest.raises(PySparkException, match="no prediction of id b"):
+        fill_template(template, twice.where("id = 'a'")).collect()

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from cohortlift import schema as S
 from cohortlift.operators import evaluate as E
 from cohortlift.operators import models as G
 from cohortlift.plans import workflow
@@ -53,14 +54,35 @@ def test_residual_stays_in_range(sides, forest):
     fixed, ahead = G.train_residual(*sides, oof, pred, config, k=2)
     fixed = fixed.persist()
     assert fixed.count() == sides[0].count() and fixed.where("p < 0 or p > 1").count() == 0
-    assert ahead.count() == 2 * sides[1].count()
+    assert ahead.count() == ahead.select("id").distinct().count() == sides[1].count()  # folds are averaged before the clip
     assert E.auc(fixed).first()["auc"] > 0.6
 
 
-def test_wide_categories_are_refused(sides):
-    config = G.ModelConfig("x", ("embryos_total",), ("key",), "forest")
-    with pytest.raises(ValueError, match="target encoding"):
-        G.fit_vectors(sides[0].withColumn("key", F.col("id").cast("string")), config)
+def test_wide_categories_become_codes(sides):
+    config = G.ModelConfig("x", ("embryos_total",), ("key", "age_band"), "forest")
+    rows = sides[0].withColumn("key", F.format_string("k%08d", "id"))
+    vectors = G.fit_vectors(rows, config)
+    assert vectors.wide == ("key",) and vectors.categories == ("age_band",) and vectors.max_bins < 100
+    last = G.vector_to_array("features")[2]
+    coded = vectors.transform(rows, S.TARGET).select("id", last.alias("code"))
+    assert coded.count() == rows.count() and coded.select("code").distinct().count() == rows.count()
+    unseen = vectors.transform(rows.withColumn("key", F.lit("new")), S.TARGET).select(last.alias("code"))
+    assert [r["code"] for r in unseen.distinct().collect()] == [-1.0]
+
+
+def test_segments_without_member_are_refused(sides):
+    config = G.ModelConfig("s", FEATURES, (), "forest", (42,), {"numTrees": 3, "maxDepth": 3})
+    with pytest.raises(ValueError, match="no member"):
+        G.train_by_segment(*sides, "no_transfer", {0: config})
+
+
+def test_members_train_on_their_categories(spark, small):
+    ready = workflow.prepare(*split(spark, small))
+    configs = {c.name: c for c in G.members(ready.sets, ready.categories)}
+    texts = {"age_band", "treatment_type", "specific_type", "embryo_reason", "egg_source", "sperm_source"}
+    for name in ("gbt_v3", "gbt_v3_te", "deep_v3", "deep_full", "forest_full"):
+        assert texts <= set(configs[name].categories), name
+        assert not texts & set(configs[name].features)
 
 
 def test_missing_values_get_a_flag(sides):
