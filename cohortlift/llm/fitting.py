@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterator
-from functools import partial, reduce
+from functools import reduce
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from cohortlift.llm.scratch import lean
+
 
 def _run(batches: Iterator[pa.RecordBatch], fit: Callable[[list, list], Any]) -> Iterator[pa.RecordBatch]:
     rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
@@ -22,5 +24,5 @@ def fit_in_task(samples: list[DataFrame], fit: Callable[[list, list], Any]) -> A
     if not samples:
         return fit([], [])
     rows = reduce(DataFrame.union, samples).repartition(1)
-    found = rows.mapInArrow(partial(_run, fit=fit), "model binary").collect()
+    found = rows.mapInArrow(lean(_run, fit=fit), "model binary").collect()
     return pickle.loads(found[0]["model"]) if found else fit([], [])

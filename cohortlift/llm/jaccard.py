@@ -13,7 +13,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cohortlift.llm import words as W
 from cohortlift.llm.components import components
-from cohortlift.llm.scratch import discard, table
+from cohortlift.llm.scratch import discard, lean, table
 
 #: n-grams and rows of a block, keys that a task strings at once, columns of a dense product, index pairs added at once.
 BLOCK_GRAMS, BLOCK_ROWS, KEYS_AT_ONCE, DENSE_COLUMNS, PAIRS_AT_ONCE = 1 << 20, 1024, 1 << 21, 2048, 1 << 20
@@ -308,7 +308,7 @@ def jaccard_join(
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     known = source.where("doc IS NOT NULL")
     made = table(
-        known.mapInArrow(partial(_incidence, n=n, num=num, den=den), "kind byte, doc long, n long, h1 long, h2 long"),
+        known.mapInArrow(lean(_incidence, n=n, num=num, den=den), "kind byte, doc long, n long, h1 long, h2 long"),
         "incidence",
         ["kind"],
     )
@@ -316,7 +316,7 @@ def jaccard_join(
     keyed = made.where("kind = 1").select(F.col("h1").alias("key"), "doc")
     # A task strings a document once at most to each row it shares a key with: few large tasks return fewer links.
     keyed = keyed.repartition(max(8, -(-keyed.count() // KEYS_AT_ONCE // 2)), "key")
-    strings = keyed.mapInArrow(_string, "a long, b long").union(
+    strings = keyed.mapInArrow(lean(_string), "a long, b long").union(
         made.where("kind = 2").select(F.col("h1").alias("a"), F.col("doc").alias("b"))
     )
     # Equal sets are represented by their smallest id.
@@ -348,10 +348,10 @@ def jaccard_join(
     discard(clusters)
     dealt = _blocks(member, block_grams, block_rows)
     rows = known.join(dealt, "doc").select("doc", "text", "blocks")
-    incidence = rows.mapInArrow(partial(_with_grams, n=n), "doc long, grams binary, blocks array<bigint>")
+    incidence = rows.mapInArrow(lean(_with_grams, n=n), "doc long, grams binary, blocks array<bigint>")
     blocks = incidence.select(F.explode("blocks").alias("block"), "doc", "grams").repartition("block")
     links = blocks.sortWithinPartitions("block", "doc").mapInArrow(
-        partial(_multiply, num=num, den=den), "a long, b long"
+        lean(_multiply, num=num, den=den), "a long, b long"
     )
     # Copies hang on their representative.
     final = components(links.union(to_rep.select(F.col("doc").alias("a"), F.col("rep").alias("b"))), "a", "b")

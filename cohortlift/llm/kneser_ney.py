@@ -16,7 +16,6 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -26,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlift.llm import words as W
+from cohortlift.llm.scratch import lean
 from cohortlift.session import scratch_path
 
 ORDER, TOKENS_AT_ONCE, SHARDS, SHARD_BYTES = 2, 1 << 22, 16, 32 << 20
@@ -289,10 +289,10 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
     size = texts.agg(F.sum(F.octet_length(F.col(f"`{texts.columns[0]}`").cast("binary")))).first()[0] or 0
     shards = max(SHARDS, -(-size // SHARD_BYTES))
     schema = "part int, kind int, data binary"
-    blocks = texts.mapInArrow(partial(_count, order=order, shards=shards), schema)
+    blocks = texts.mapInArrow(lean(_count, order=order, shards=shards), schema)
     for k in range(order, 0, -1):
         dealt = blocks.repartitionById(shards, "part")
-        blocks = dealt.mapInArrow(partial(_level, k=k, folder=folder, shards=shards), schema)
+        blocks = dealt.mapInArrow(lean(_level, k=k, folder=folder, shards=shards), schema)
     blocks.write.format("noop").mode("overwrite").save()
 
     def arrays(kind: str, values: dict[str, str]) -> Arrays:
@@ -327,7 +327,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """``(doc_id, n_tokens, n_known, train_tokens, base_score, score, perplexity)`` of every row; a null text is an empty one."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = source.mapInArrow(partial(_perplexity, model=sent), "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    out = source.mapInArrow(lean(_perplexity, model=sent), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return out.select(
         F.col("doc_id").alias(id_col), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 
 from cohortlift.llm import words as W
 from cohortlift.llm.fitting import fit_in_task
+from cohortlift.llm.scratch import lean
 
 HIDDEN, WINDOW, STEPS, BATCH, RATE = 8, 64, 350, 192, 0.02
 MAX_ROWS, MAX_LANGS, MAX_CHARS = 600, 64, 4000
@@ -239,5 +239,5 @@ def identify(
         known = known.where(train)
     net = learn(known, max_rows, max_langs, max_chars)
     sent = docs.sparkSession.sparkContext.broadcast(net)
-    out = rows.select("id", "text", has).mapInArrow(partial(_predict, model=sent), "doc_id long, lang_pred string, score double")
+    out = rows.select("id", "text", has).mapInArrow(lean(_predict, model=sent), "doc_id long, lang_pred string, score double")
     return out.withColumnRenamed("doc_id", id_col)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from cohortlift.functions.ranking import running_total
+from cohortlift.llm.scratch import lean
 from cohortlift.session import materialise
 
 BLOCK_WORDS, SHARD_SLOTS, BUCKET_ROWS, SHARE, PASSES, WEIGHTS, SEED = 128, 8192, 20_000, 1.5, 2, (5.0, 2.0, 1.0), 11
@@ -218,7 +219,7 @@ def mix(
     placed = with_sizes(docs, id_col, text_col, source_col, keep_text=True)
     sources = materialise(targets(with_sizes(docs, id_col, text_col, source_col)), "targets")
     slots = draw_slots(sources, block_words, shard_slots, seed).select("source", "block", F.struct("shard", "slot", "pass_no").alias("slot"))
-    cut = placed.where("size > 0").select("doc_id", "source", "start", "text").mapInArrow(partial(_cut, block_words=block_words), _PIECES)
+    cut = placed.where("size > 0").select("doc_id", "source", "start", "text").mapInArrow(lean(_cut, block_words=block_words), _PIECES)
     part = cut.select("source", "block", F.struct("start", "doc_id", "words", "text").alias("piece"))
     # Pieces and slots of a block meet in one grouping; a block has block_words pieces and PASSES + 1 slots at most.
     both = part.unionByName(slots, allowMissingColumns=True).groupBy("source", "block")

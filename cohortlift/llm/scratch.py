@@ -1,9 +1,12 @@
-"""Intermediate tables in the shared folder that go as soon as nothing reads them any more."""
+"""Intermediate tables that go as soon as nothing reads them any more, and tasks that hand their memory back."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from cohortlift.session import scratch_path
@@ -23,3 +26,19 @@ def discard(found: DataFrame, part: str = "") -> None:
     jvm, spark = found.sparkSession._jvm, found.sparkSession
     path = jvm.org.apache.hadoop.fs.Path(f"{found._scratch}/{part}" if part else found._scratch)
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def _lean(batches: Iterator[pa.RecordBatch], f: Callable, more: dict) -> Iterator[pa.RecordBatch]:
+    try:
+        yield from f(batches, **more)
+    finally:
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # another C library keeps what it keeps
+
+
+def lean(f: Callable, **more) -> Callable:
+    """A task of ``f`` whose worker, which Spark keeps for other tasks, gives freed memory back to the system at its end."""
+    return partial(_lean, f=f, more=more)

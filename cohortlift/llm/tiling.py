@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from functools import partial, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlift.llm import words as W
+from cohortlift.llm.scratch import lean
 from cohortlift.session import materialise
 
 MIN_MATCH, MIN_COVERAGE, BLOCK_WORDS = 5, 0.5, 1 << 20
@@ -151,7 +152,7 @@ def tilings(
         bench.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).cast("string").alias("t"))
         .where("t IS NOT NULL")
         .distinct()
-        .mapInArrow(_item_words, "item_id long, words binary, n long")
+        .mapInArrow(lean(_item_words), "item_id long, words binary, n long")
         .where(F.col("n") >= min_match),
         "items",
     )
@@ -166,7 +167,7 @@ def tilings(
         block = items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(count)) == b).sort("item_id", "words").collect()
         if block:
             sent = spark.sparkContext.broadcast(Seeds([(r["item_id"], bytes(r["words"])) for r in block], min_match))
-            scans.append(source.mapInArrow(partial(_scan, seeds=sent), SCHEMA))
+            scans.append(source.mapInArrow(lean(_scan, seeds=sent), SCHEMA))
     return reduce(DataFrame.union, scans) if scans else spark.createDataFrame([], SCHEMA)
 
 

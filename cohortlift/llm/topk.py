@@ -10,13 +10,14 @@ Blocks return k rows a query, which one window ranks.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlift.llm.scratch import lean
+
 K, SCALE, CANDIDATES, QUERIES, ROUNDS = 5, 256, 4096, 512, 12
 SCHEMA = "query_id long, vec_id long, score long"
 
@@ -134,7 +135,7 @@ def top_k(
     repeat id and vector are taken once.  Other columns are not looked at.
     """
     source = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("e"))
-    rows = source.mapInArrow(partial(_quantise, scale=scale), "vec_id long, v binary").distinct().persist()
+    rows = source.mapInArrow(lean(_quantise, scale=scale), "vec_id long, v binary").distinct().persist()
     counts = rows.agg(F.count("*"), F.count_if(is_query)).first()
     n_c, n_q = max(1, -(-counts[0] // candidates)), max(1, -(-counts[1] // queries))
     dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
@@ -143,7 +144,7 @@ def top_k(
         rows.where(is_query).select(dealt(n_q).alias("q"), every(n_c).alias("c"), F.lit(1).alias("kind"), "vec_id", "v")
     )
     met = met.repartition(max(8, n_c * n_q), "q", "c").sortWithinPartitions("q", "c", "kind", "vec_id")
-    found = met.mapInArrow(partial(_search, k=k), SCHEMA).distinct()
+    found = met.mapInArrow(lean(_search, k=k), SCHEMA).distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -14,7 +14,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +23,10 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cohortlift.llm import words as W
 from cohortlift.llm.fitting import fit_in_task
+from cohortlift.llm.scratch import lean
 
 PREFIXES = (3, 4, 5, 6, 7, 8)
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1500, 3000, 200_000
+MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1000, 2000, 200_000
 TRAIN_WORDS, SEGMENT, MARGIN, STEPS, RIDGE = 32, 256, 24, 120, 1e-4
 FAINT, FLOOR = 0.1, 1e-3
 _BITS = 20
@@ -288,7 +288,7 @@ def with_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", ou
     model = learn(docs, labels, id_col, text_col, "toxic", None, MAX_TOXIC, MAX_CLEAN, MAX_CHARS)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType([*docs.schema.fields, StructField(out, DoubleType())])
-    return docs.mapInArrow(partial(_append, model=sent, column=docs.columns.index(text_col), out=out), schema)
+    return docs.mapInArrow(lean(_append, model=sent, column=docs.columns.index(text_col), out=out), schema)
 
 
 def toxicity(
@@ -311,5 +311,5 @@ def toxicity(
     model = learn(docs, labels, id_col, text_col, label_col, train, max_toxic, max_clean, max_chars)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = source.mapInArrow(partial(_score, model=sent, spans=spans), SCHEMA)
+    out = source.mapInArrow(lean(_score, model=sent, spans=spans), SCHEMA)
     return out.withColumnRenamed("doc_id", id_col)
