@@ -7,6 +7,7 @@ from functools import reduce
 from itertools import combinations
 from operator import add
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,28 +82,37 @@ def fold_mean(preds: DataFrame, keys: Sequence[str] = ("id", "model", "seed")) -
     return preds.groupBy(*keys).agg(F.avg("p").alias("p"))
 
 
+def _scored(wide: DataFrame, members: Sequence[str], candidates: Mapping[int, Sequence[float]], y: str) -> DataFrame:
+    parts = [F.struct(F.lit(int(i)).alias("candidate"), blend(members, w).alias("p")) for i, w in candidates.items()]
+    return wide.select(F.col(y).cast("int").alias("y"), F.inline(F.array(*parts)))
+
+
+def score_edges(wide: DataFrame, members: Sequence[str], bins: int = 4096) -> list[float]:
+    """Edges of bins that hold like many scores of the members and of their mean, wherever the scores lie."""
+    scores = wide.select(F.explode(F.array(*[F.col(m).cast("double") for m in members], mean_blend(members))).alias("p"))
+    found = scores.approxQuantile("p", [i / bins for i in range(1, bins)], 1.0 / (2 * bins))
+    return sorted({float(e) for e in found})
+
+
 def candidate_auc(
     wide: DataFrame,
     members: Sequence[str],
     candidates: Mapping[int, Sequence[float]],
     y: str = "y",
-    bins: int = 4096,
+    edges: Sequence[float] | None = None,
 ) -> DataFrame:
-    """``(candidate, auc)`` of many weight vectors in one job.
+    """``(candidate, auc)`` of many weight vectors in one job; exact without ``edges``.
 
-    Blended scores fall into ``bins`` equal bins, so the state per task and the shuffle hold at most
-    candidates x bins rows whatever the data; scores of one bin count as tied.
+    With ``edges`` (see ``score_edges``) the state per task and the shuffle hold at most a row per candidate and bin
+    whatever the data; scores of one bin count as tied.
     """
-    scored = F.array(
-        *[
-            F.struct(F.lit(int(i)).alias("candidate"), blend(members, w).alias("p"))
-            for i, w in candidates.items()
-        ]
-    )
+    scored = _scored(wide, members, candidates, y)
+    if edges is None:
+        return auc(scored, "y", "p", ["candidate"]).select("candidate", "auc")
+    splits = [-float("inf"), *edges, float("inf")]
+    binned = Bucketizer(splits=splits, inputCol="p", outputCol="bucket", handleInvalid="skip").transform(scored)
     binned = (
-        wide.select(F.col(y).cast("int").alias("y"), F.inline(scored))
-        .withColumn("bucket", F.least(F.floor(X.clip01("p") * bins), F.lit(bins - 1)).cast("int"))
-        .groupBy("candidate", "bucket")
+        binned.groupBy("candidate", "bucket")
         .agg(F.sum("y").cast("bigint").alias("pos"), F.sum(1 - F.col("y")).cast("bigint").alias("neg"))
         .withColumn("won", F.col("pos") * F.col("neg") / 2)
     )
@@ -113,31 +123,31 @@ def search_weights(
     wide: DataFrame,
     members: Sequence[str],
     starts: Sequence[Sequence[float]],
-    rounds: int = 6,
+    rounds: int = 12,
     step: float = 0.2,
     y: str = "y",
     bins: int = 4096,
+    least_step: float = 0.005,
 ) -> tuple[list[float], float]:
-    """Best weights found by scoring batches of candidates around the best so far; the AUC returned is exact.
+    """Best weights found by scoring batches of candidates around every start; the AUC returned is exact.
 
-    Each round is one job over the rows.  The exact AUC of the result is compared with those of the starts,
-    so it is never below the best start.
+    Each round is one job over the rows that moves all starts: one that finds nothing better halves its step, and rests
+    below ``least_step``.  The exact AUC of the results is compared with those of the starts, so it is never below
+    the best start.
     """
     n = len(members)
+    edges = score_edges(wide, members, bins)
 
     def fit(w: Sequence[float]) -> tuple[float, ...]:
         w = [max(float(x), 0.0) for x in (list(w) + [1.0 / n] * n)[:n]]
         total = sum(w)
         return tuple(round(x / total, 6) for x in w) if total > 0 else tuple([1.0 / n] * n)
 
-    def best_of(batch: list[tuple[float, ...]]) -> tuple[tuple[float, ...], float]:
-        rows = candidate_auc(wide, members, dict(enumerate(batch)), y, bins).collect()
-        top = max((r for r in rows if r["auc"] is not None), key=lambda r: (r["auc"], -r["candidate"]))
-        return batch[top["candidate"]], top["auc"]
+    def areas(batch: Sequence[tuple[float, ...]]) -> dict[tuple[float, ...], float]:
+        rows = candidate_auc(wide, members, dict(enumerate(batch)), y, edges).collect()
+        return {batch[r["candidate"]]: r["auc"] or 0.0 for r in rows}
 
-    base = list(dict.fromkeys(fit(s) for s in [*starts, [1.0 / n] * n]))
-    best, best_auc = best_of(base)
-    for _ in range(rounds):
+    def around(best: tuple[float, ...], step: float) -> list[tuple[float, ...]]:
         near = []
         for i in range(n):
             for d in (step, -step):
@@ -150,17 +160,23 @@ def search_weights(
                 shift = min(step, w[a])
                 w[a], w[b] = w[a] - shift, w[b] + shift
                 near.append(fit(w))
-        near = [w for w in dict.fromkeys(near) if w != best]
-        found, found_auc = best_of(near)
-        if found_auc > best_auc:
-            best, best_auc = found, found_auc
-        else:
-            step /= 2
-    finalists = list(dict.fromkeys([best, *base]))
-    scored = F.array(
-        *[F.struct(F.lit(i).alias("candidate"), blend(members, w).alias("p")) for i, w in enumerate(finalists)]
-    )
-    exact = auc(wide.select(y, F.inline(scored)), y, "p", ["candidate"]).collect()
+        return [w for w in dict.fromkeys(near) if w != best]
+
+    base = list(dict.fromkeys(fit(s) for s in [*starts, [1.0 / n] * n]))
+    known = areas(base)
+    points = [(w, step) for w in base]
+    for _ in range(rounds):
+        moves = [around(w, s) if s >= least_step else [] for w, s in points]
+        new = [w for w in dict.fromkeys(w for m in moves for w in m) if w not in known]
+        if new:
+            known.update(areas(new))
+        elif not any(moves):
+            break
+        for k, (w, s) in enumerate(points):
+            best = max([w, *moves[k]], key=lambda x: known.get(x, 0.0))
+            points[k] = (best, s) if known.get(best, 0.0) > known.get(w, 0.0) else (w, s / 2)
+    finalists = list(dict.fromkeys([*(w for w, _ in points), *base]))
+    exact = candidate_auc(wide, members, dict(enumerate(finalists)), y).collect()
     top = max(exact, key=lambda r: (r["auc"] or 0.0, -r["candidate"]))
     return list(finalists[top["candidate"]]), top["auc"]
 

@@ -153,16 +153,14 @@ CANDIDATES = {0: (1.0, 0.0, 0.0), 1: (0.0, 1.0, 0.0), 2: (0.5, 0.25, 0.25), 3: (
 
 def _candidate_sql() -> str:
     return " UNION ALL ".join(
-        f"SELECT {i} AS candidate, y, least(CAST(floor(least(greatest("
-        + " + ".join(f"{m} * {x / sum(w)!r}" for m, x in zip(NAMES, w))
-        + ", 0), 1) * 4096) AS INTEGER), 4095) AS b FROM wide"
+        f"SELECT {i} AS candidate, y, " + " + ".join(f"{m} * {x / sum(w)!r}" for m, x in zip(NAMES, w)) + " AS p FROM wide"
         for i, w in CANDIDATES.items()
     )
 
 
-@query(_preds("SELECT candidate, auc FROM a", f"s AS ({_candidate_sql()})", *sql_auc("s", "candidate", p="b")))
+@query(_preds("SELECT candidate, auc FROM a", f"s AS ({_candidate_sql()})", *sql_auc("s", "candidate", p="p")))
 def auc_of_weight_candidates(spark, sf_dir):
-    """Batch scoring of fixed weight vectors in 4096 bins."""
+    """Exact areas of fixed weight vectors in one job."""
     return E.candidate_auc(wide(spark, sf_dir), NAMES, CANDIDATES)
 
 
@@ -170,8 +168,7 @@ def auc_of_weight_candidates(spark, sf_dir):
 def weight_search(spark, sf_dir):
     """Best blend weights; the area is exact and not below that of any start."""
     rows = wide(spark, sf_dir).persist()
-    starts = [s[:3] for s in S.BLEND_STARTS]
-    weights, best = E.search_weights(rows, NAMES, starts, rounds=3)
+    weights, best = E.search_weights(rows, NAMES, list(CANDIDATES.values()))
     rows.unpersist()
     return spark.createDataFrame([(*weights, best)], ", ".join(f"w_{n} double" for n in NAMES) + ", auc double")
 

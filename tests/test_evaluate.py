@@ -57,7 +57,7 @@ def test_weight_search(spark):
     singles = [area([(r[1], r[2 + j]) for r in rows]) for j in range(3)]
     assert best >= max(singles) - 1e-12
     assert best == pytest.approx(area([(r[1], sum(w * x for w, x in zip(weights, r[2:]))) for r in rows]), abs=1e-6)
-    binned = {r["candidate"]: r["auc"] for r in E.candidate_auc(wide, ["a", "b", "c"], dict(enumerate(starts))).collect()}
+    binned = {r["candidate"]: r["auc"] for r in E.candidate_auc(wide, ["a", "b", "c"], dict(enumerate(starts)), edges=E.score_edges(wide, ["a", "b", "c"])).collect()}
     assert binned[2] == pytest.approx(singles[2], abs=2e-3)
 
 
@@ -108,3 +108,18 @@ def test_profile_edge_cases(spark):
     assert [r["a"] for r in top] == [None, 1.0] and top[0]["share"] == pytest.approx(1 / 3)
     zero = spark.createDataFrame([(0.0,), (-0.0,)], "a double")
     assert P.zero_variance(zero, ["a"]).first()["n_distinct"] == 1
+
+
+def test_search_bins_follow_clustered_scores(spark):
+    rows = spark.range(40_000).select(
+        (F.rand(3) < 0.3).cast("int").alias("y"), (F.rand(1) * 0.001 + 0.5).alias("n1"), (F.rand(2) * 0.001 + 0.5).alias("n2")
+    )
+    wide = rows.select("y", (F.col("n1") + F.col("y") * 0.0002).alias("a"), (F.col("n2") + F.col("y") * 0.0001).alias("b")).persist()
+    weights = {0: (1.0, 0.0), 1: (0.5, 0.5), 2: (0.2, 0.8)}
+    edges = E.score_edges(wide, ["a", "b"])
+    near, exact = ({r["candidate"]: r["auc"] for r in E.candidate_auc(wide, ["a", "b"], weights, edges=e).collect()} for e in (edges, None))
+    for k in weights:
+        assert near[k] == pytest.approx(exact[k], abs=1e-5)  # rows of one bin count as tied
+    found, area = E.search_weights(wide, ["a", "b"], [(1, 0), (0, 1)])
+    assert area >= max(exact.values()) and found[0] > found[1]
+    wide.unpersist()
