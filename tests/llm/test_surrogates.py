@@ -72,3 +72,55 @@ def test_no_python_in_the_plan(spark):
     plan = S.replace_personal_data(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert S.replace_personal_data(docs.limit(0)).count() == 0
+
+
+def texts_of(spark, texts):
+    rows = replaced(spark, list(enumerate(texts)))
+    return {r["doc_id"]: (r["text"], r["n_entities"]) for r in rows}
+
+
+def test_a_title_takes_given_names_and_surname(spark):
+    got = texts_of(spark, [
+        "we saw Mr. Peter Smith and Dr. Anna Keller.", "then Peter Smith left", "and Ms Keller, Herr Dr. J. Keller, Dr. Anna von Keller.", "as Peter John Smith said",
+    ])
+    one = re.fullmatch(r"we saw Mr\. (\w+) (\w+) and Dr\. (\w+) (\w+)\.", got[0][0])
+    assert one[1] in S.GIVEN[("latin", "m")].split() and one[3] in S.GIVEN[("latin", "f")].split()
+    assert not {"Peter", "Smith", "Anna", "Keller"} & set(one.groups())
+    assert got[1][0] == f"then {one[1]} {one[2]} left"
+    three = re.fullmatch(r"and Ms (\w+), Herr Dr\. ([A-Z])\. (\w+), Dr\. (\w+) von (\w+)\.", got[2][0])
+    assert three[1] == three[3] == three[5] == one[4] and three[4] == one[3] and three[2] != "J" and got[2][1] == 3
+    four = re.fullmatch(r"as (\w+) (\w+) (\w+) said", got[3][0])
+    assert four[1] == one[1] and four[3] == one[2] and four[2] != "John"
+
+
+def test_names_need_no_list(spark):
+    got = texts_of(spark, [
+        "John Smith met Mary Jones. Yesterday John Smith called", "Mr. Smith and Mary J. O'Neil, Сергея Волков.",
+        "under the Apache License, Version 2.0, the GNU General Public License, Orre Orre Orre, On Monday The Red House, All Rights Reserved.",
+    ])
+    one = re.fullmatch(r"(\w+) (\w+) met (\w+) (\w+)\. Yesterday (\w+) (\w+) called", got[0][0])
+    assert one.group(1, 2) == one.group(5, 6) and len({*one.groups(), "John", "Smith", "Mary", "Jones"}) == 8
+    two = re.fullmatch(r"Mr\. (\w+) and (\w+) ([A-Z])\. (\w+), (\w+) (\w+ов)\.", got[1][0])
+    assert two[1] == one[2] and two[2] == one[3] and two[3] != "J" and two[6] != "Волков"
+    assert got[2][1] == 0
+
+
+def test_phones_of_other_countries(spark):
+    texts = ["at +49 30 1234567 or 0049 30 1234567, +49 (0)30 1234567.", "+33 1 23 45 67 89!", "+19745553436 or 974-555-3436", "+1.23456789 and 12345678 and 2024-01-02"]
+    got = texts_of(spark, texts)
+    one = re.fullmatch(r"at \+49 (\d\d) (\d{7}) or 0049 (\d\d) (\d{7}), \+49 \(0\)(\d\d) (\d{7})\.", got[0][0])
+    assert one.group(1, 2) == one.group(3, 4) == one.group(5, 6) != ("30", "1234567") and got[0][1] == 3
+    assert re.fullmatch(r"\+33 \d \d\d \d\d \d\d \d\d!", got[1][0]) and got[1][0] != texts[1]
+    three = re.fullmatch(r"\+1(\d{10}) or (\d{3})-(\d{3})-(\d{4})", got[2][0])
+    assert three[1] == three[2] + three[3] + three[4] != "9745553436"
+    assert got[3] == (texts[3], 0)
+
+
+def test_assigned_secrets(spark):
+    value = "Abc123def456Ghi789"
+    texts = [f"key={value}, API_KEY: {value}", f'"token": "{value}"', "password=hunter! pwd = 123456", "key: important; key=lambda, the token was", "api_key=4417744280351548"]
+    got = texts_of(spark, texts)
+    one = re.fullmatch(r"key=([A-Z]\w{17}), API_KEY: (\w{18})", got[0][0])
+    assert one[1] == one[2] != value and got[1][0] == f'"token": "{one[1]}"'
+    assert re.fullmatch(r"password=[a-z]{6}! pwd = \d{6}", got[2][0]) and "hunter" not in got[2][0] and "123456" not in got[2][0]
+    assert got[3] == (texts[3], 0) and got[4][0] != texts[4] and got[4][1] == 1
