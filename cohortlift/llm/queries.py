@@ -51,7 +51,7 @@ def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_remainder("doc_id", 7) == 2, F.lit(False))
-    model = train(docs.where(~held_out).select("text"))
+    model = train(docs.where(~held_out).select("text"), order=3)
     return score(docs, model).withColumn("held_out", held_out)
 
 

@@ -92,3 +92,13 @@ def test_nothing_to_learn_from(spark):
 def test_remote_folder_is_refused():
     with pytest.raises(ValueError):
         K.local_path("hdfs://name/folder")
+
+
+def test_the_query_sees_more_than_one_word_back(spark, tmp_path):
+    from cohortlift.llm.queries import op5_kneser_ney
+
+    # Both texts have the same pairs of words; only triples tell them apart.
+    rows = list(enumerate(["a b c", "d b e"] * 20 + ["a b e"]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["score"] for r in op5_kneser_ney(spark, str(tmp_path)).collect()}
+    assert got[0] > got[40] + 0.5
