@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlift.llm.infill import fill_in_middle, restore
 from cohortlift.llm.jaccard import jaccard_join
 from cohortlift.llm.kneser_ney import score, train
 from cohortlift.llm.language import identify
 from cohortlift.llm.lines import remove_boilerplate
 from cohortlift.llm.mixing import taken_words
+from cohortlift.llm.negatives import hard_negatives
+from cohortlift.llm.quality import quality
 from cohortlift.llm.surrogates import replace_personal_data
 from cohortlift.llm.tiling import contaminated, tilings
 from cohortlift.llm.revisits import records_of_pages, resolve_revisits
@@ -91,6 +94,36 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"), n=4, num=85, den=100)
 
 
+def op11_slot_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def op12_skip_list_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(_table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        F.length("prefix").cast("long").alias("prefix_chars"),
+        F.length("middle").cast("long").alias("middle_chars"),
+        digest(F.col("output")).alias("output_sha256"),
+        digest(restore(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+def op13_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    found = quality(docs, labels, train=_remainder("i", 5) != 0, spans=False)
+    return found.select(
+        "doc_id",
+        F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -104,6 +137,9 @@ QUERIES: dict[str, Query] = {
         op8_revisits,
         op9_string_tiling,
         op10_jaccard_join,
+        op11_slot_negatives,
+        op12_skip_list_infill,
+        op13_line_quality,
     )
 }
 
@@ -181,4 +217,58 @@ SELECT page_id * 2, url_key, 'response', page_id * 2, 'cache-control=max-age=60;
 FROM keyed
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": _KEPT_LINES, "op6_exact_top_k": _TOP_K, "op8_revisits": _REVISITS}
+_HARD_NEGATIVES = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, a.e AS ae, c.vec_id, c.label,
+    CAST(list_inner_product(CAST(a.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id, own, ae ORDER BY score DESC, vec_id) AS r FROM scored WHERE label = own
+), met AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.own, p.ae, p.r ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND p.own = n.own AND p.ae = n.ae AND n.label <> n.own
+    AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+  WHERE p.r <= 5
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM met WHERE rank <= 5
+"""
+
+_INFILL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), u AS (
+  SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+    CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM t
+), c AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+    greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), p AS (
+  SELECT *, CASE WHEN a > 0 THEN array_to_string(units[1:a], '') ELSE '' END AS prefix,
+    CASE WHEN b > a THEN array_to_string(units[a + 1:b], '') ELSE '' END AS middle,
+    CASE WHEN n > b THEN array_to_string(units[b + 1:n], '') ELSE '' END AS suffix
+  FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": _KEPT_LINES,
+    "op6_exact_top_k": _TOP_K,
+    "op8_revisits": _REVISITS,
+    "op11_slot_negatives": _HARD_NEGATIVES,
+    "op12_skip_list_infill": _INFILL,
+}
