@@ -59,7 +59,7 @@ def best(scores: np.ndarray, k: int) -> np.ndarray:
 
 def window(limit: int, floor: int, ceiling: int) -> tuple[int, int]:
     """Lowest and highest integer score s with floor * limit <= 100 * s <= ceiling * limit."""
-    return -(-floor * limit // 100), ceiling * limit // 100
+    return -(-floor * limit // 100), min(ceiling * limit // 100, (1 << 63) - 1)
 
 
 def positives(block: Block, anchors: list[tuple], k: int) -> Iterator[tuple]:
@@ -184,9 +184,10 @@ def hard_negatives(
 
     owners = anchors.select("key", F.col("vec_id").alias("anchor_id"))
     pairs = near.join(owners, "key").join(merged, "key").select("anchor_id", F.inline("positives"), "negatives")
-    low, high = F.lit(floor) * F.col("positive_score"), F.lit(ceiling) * F.col("positive_score")
-    suffix = F.slice(F.filter("negatives", lambda x: -x["down"] * 100 <= high), 1, k_negative)
-    inside = F.filter(suffix, lambda x: -x["down"] * 100 >= low)
+    wide = lambda c: c.cast("decimal(20,0)")  # noqa: E731  (a hundred times a score may not fit a long)
+    low, high = (percent * wide(F.col("positive_score")) for percent in (floor, ceiling))
+    suffix = F.slice(F.filter("negatives", lambda x: wide(-x["down"]) * 100 <= high), 1, k_negative)
+    inside = F.filter(suffix, lambda x: wide(-x["down"]) * 100 >= low)
     found = pairs.select("anchor_id", "positive_id", "positive_score", F.posexplode(inside).alias("at", "x"))
     return found.select(
         "anchor_id", "positive_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.negative_id").alias("negative_id"),

@@ -2,7 +2,7 @@
 
 A line is described by shares of its letters, marks, blanks and words, how its words repeat and whether the document holds
 the line again; the numbers fall into bins cut at quantiles of all and of the distinct values.  A line's evidence adds the weights of its own bins and of those
-of the line before and behind it.  Document labels become line labels in two steps: a first fit without transitions takes
+of the line before and behind it.  Document labels become line labels in two steps: a first fit, by a line's own bins alone, takes
 every line of a bad document for bad, then its lines that look good are called good (the worst one stays bad) and the whole
 field is fitted.  Forward-backward marginals come from prefix products of the transition matrices, all lines of a batch at
 once: a document's first line has a matrix of equal rows, which forgets what stands before.  A logistic function of the mean
@@ -44,7 +44,7 @@ TAIL = _class(also=((0x80, 0xBF),))
 SYMBOL = ~(LETTER | DIGIT | STOP | TAIL | W.SPACES)
 FEATURES = (
     "log_points", "letters", "upper", "digits", "stops", "symbols", "blanks", "doubled_marks", "word_length", "adjacent_repeats",
-    "distinct_words", "marked_words", "bare_marks", "ends_with_stop", "seen_in_document",
+    "distinct_words", "marked_words", "lone_marks", "ends_with_stop", "seen_in_document",
 )
 
 
@@ -243,8 +243,9 @@ def fit(documents: list[bytes], good: list[int]) -> Model:
     model.edges = np.sort(np.stack(cuts), 1).astype(np.float32)
     codes, owner = model.codes(x, at), np.repeat(np.arange(len(label)), np.diff(at))
     y = label[owner].astype(float)
-    _climb(model, codes, y, at, False)
-    p = model.marginals(x, at)
+    own = codes[:, : x.shape[1]]
+    _climb(model, own, y, at, False)
+    p = _odds(model.bias + model.weights[own].sum(1))
     worst = np.zeros(len(y), bool)
     full = np.flatnonzero(np.diff(at))
     worst[np.lexsort((p, owner))[at[full]]] = True

@@ -16,9 +16,12 @@ def quantise(vector: np.ndarray, scale: int) -> bytes | None:
     None without components, with one that is not finite, and where ``length * largest**2`` reaches 2^63: inner products
     of such vectors may not fit a long.
     """
-    x = np.floor(vector.astype(np.float64) * scale)
-    top = float(np.abs(x).max(initial=0))
-    if not len(x) or not np.isfinite(vector).all() or not len(x) * top * top < 2.0**63:
+    if not len(vector) or not np.isfinite(vector).all():
+        return None
+    with np.errstate(over="ignore"):
+        x = np.floor(vector.astype(np.float64) * scale)
+    top = float(np.abs(x).max())
+    if not len(x) * top * top < 2.0**63:
         return None
     kind = next(k for k in _KINDS if top <= np.iinfo(k).max)
     return bytes([np.dtype(kind).itemsize]) + x.astype(kind).tobytes()
