@@ -82,9 +82,22 @@ def fold_mean(preds: DataFrame, keys: Sequence[str] = ("id", "model", "seed")) -
     return preds.groupBy(*keys).agg(F.avg("p").alias("p"))
 
 
+def whole_weights(weights: Sequence[float], n: int) -> list[float]:
+    """``n`` weights: one that is not given is 1/n."""
+    return (list(weights) + [1.0 / n] * n)[:n]
+
+
 def _scored(wide: DataFrame, members: Sequence[str], candidates: Mapping[int, Sequence[float]], y: str) -> DataFrame:
-    parts = [F.struct(F.lit(int(i)).alias("candidate"), blend(members, w).alias("p")) for i, w in candidates.items()]
-    return wide.select(F.col(y).cast("int").alias("y"), F.inline(F.array(*parts)))
+    """A row per row and candidate; weights are looked up by the candidate's place, so that the plan does not grow with them."""
+    shares = []
+    for weights in candidates.values():
+        clipped = [max(float(w), 0.0) for w in whole_weights(weights, len(members))]
+        if sum(clipped) <= 0:
+            raise ValueError("no positive weight")
+        shares.append([w / sum(clipped) for w in clipped])
+    each = wide.select(F.col(y).cast("int").alias("y"), *members, F.explode(F.sequence(F.lit(0), F.lit(len(shares) - 1))).alias("_at"))
+    p = reduce(add, (F.col(m) * F.get(F.lit([s[i] for s in shares]), F.col("_at")) for i, m in enumerate(members)))
+    return each.select("y", F.get(F.lit([int(i) for i in candidates]), F.col("_at")).alias("candidate"), p.alias("p"))
 
 
 def score_edges(wide: DataFrame, members: Sequence[str], bins: int = 4096) -> list[float]:
@@ -139,7 +152,7 @@ def search_weights(
     edges = score_edges(wide, members, bins)
 
     def fit(w: Sequence[float]) -> tuple[float, ...]:
-        w = [max(float(x), 0.0) for x in (list(w) + [1.0 / n] * n)[:n]]
+        w = [max(float(x), 0.0) for x in whole_weights(w, n)]
         total = sum(w)
         return tuple(round(x / total, 6) for x in w) if total > 0 else tuple([1.0 / n] * n)
 

@@ -8,28 +8,31 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from operator import add
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlift import schema as S
 from cohortlift.functions import scalars as X
 from cohortlift.operators.evaluate import auc
 from cohortlift.operators.fit import apply_vocab, fit_vocab
-from cohortlift.operators.folds import assign_folds, split_fold
+from cohortlift.operators.folds import assign_folds, fold_column, fold_columns, split_fold
 from cohortlift.session import materialise, shared_dir
 
 INDEXED_VALUES = 1000  # a tree splits a category of so many values by groups of values, a wider one by its code
 PREDICTION = ("id", "y", "model", "seed", "fold", "p")
+BOOSTED = ("gbt", "gbt_deep", "residual")
+ROWS_PER_TASK = 20_000  # a fit spreads over a task for so many rows; fits run side by side
 
 
 @dataclass(frozen=True)
@@ -61,15 +64,14 @@ class Vectors:
     wide: tuple[str, ...] = ()
     vocab: DataFrame | None = None
 
-    def transform(self, df: DataFrame, label: str) -> DataFrame:
+    def transform(self, df: DataFrame, label: str, carry: Sequence[str] = ()) -> DataFrame:
         def number(c: str) -> str:
             return f"nanvl(try_cast(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE))"
 
-        carried = [c for c in ("seed", "fold") if c in df.columns]
         out = df.selectExpr(
             "id",
             f"CAST({label} AS DOUBLE) AS y",
-            *carried,
+            *carry,
             *[f"coalesce({number(c)}, {self.fill}D) AS `_x_{c}`" for c in self.features],
             *[f"CAST({number(c)} IS NULL AS INT) AS `_m_{c}`" for c in self.flagged],
             *[f"coalesce(CASE WHEN `{c}` NOT IN ('nan', 'None') THEN `{c}` END, 'NaN') AS `_t_{c}`" for c in (*self.categories, *self.wide)],
@@ -84,7 +86,7 @@ class Vectors:
             out = out.select("*", *[F.col(f"{t}_code").cast("double").alias(f"{t}_number") for t in texts])
             inputs += [f"{t}_number" for t in texts]
         out = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error").transform(out)
-        return out.select("id", "y", *carried, "features")
+        return out.select("id", "y", *carry, "features")
 
 
 def fit_vectors(train: DataFrame, config: ModelConfig) -> Vectors:
@@ -141,10 +143,38 @@ def make_learner(config: ModelConfig, vectors: Vectors, seed: int):
     return build(featuresCol="features", labelCol="y", **params)
 
 
-def best_rounds(model, valid: DataFrame) -> int:
-    """Rounds with the smallest loss on the validation part."""
-    losses = model.evaluateEachIteration(valid)
-    return 1 + min(range(len(losses)), key=losses.__getitem__)
+def best_prefix(losses: Sequence[float], patience: int | None = None) -> int:
+    """Rounds up to the smallest loss; looking ends ``patience`` rounds after the best one so far."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif patience is not None and i - best >= patience:
+            break
+    return best + 1
+
+
+def truncated(model, rounds: int):
+    """The boosted model of the first ``rounds`` trees: what a fit of so many rounds gives, without that fit."""
+    trees, weights = list(model._java_obj.trees())[:rounds], list(model._java_obj.treeWeights())[:rounds]
+    gateway = SparkSession.active().sparkContext._gateway
+    jvm = gateway.jvm.org.apache.spark.ml
+    tree_array = gateway.new_array(jvm.regression.DecisionTreeRegressionModel, len(trees))
+    weight_array = gateway.new_array(gateway.jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        tree_array[i], weight_array[i] = tree, weight
+    if isinstance(model, GBTClassificationModel):
+        shorter = GBTClassificationModel(jvm.classification.GBTClassificationModel(model.uid, tree_array, weight_array))
+    else:
+        shorter = GBTRegressionModel(jvm.regression.GBTRegressionModel(model.uid, tree_array, weight_array))
+    return model._copyValues(shorter)
+
+
+def stopped(model, valid: DataFrame, patience: int):
+    """The boosted model cut where the loss on ``valid`` is smallest, from one pass over ``valid``."""
+    losses = model.evaluateEachIteration(valid) if isinstance(model, GBTClassificationModel) else model.evaluateEachIteration(valid, "squared")
+    rounds = best_prefix(losses, patience)
+    return truncated(model, rounds) if rounds < len(losses) else model
 
 
 def in_parallel(df: DataFrame, tasks: Sequence[Callable[[], object]], threads: int) -> list:
@@ -162,70 +192,122 @@ def _score(model, rows: DataFrame, regression: bool) -> DataFrame:
     return scored.withColumn("p", p)
 
 
-def _score_all(models: Mapping[tuple[int, int], object], rows: DataFrame, regression: bool) -> DataFrame:
-    """Score rows by every model in one scan: ``id, y, seed, fold, p``."""
+def _score_all(models: Mapping[tuple[int, int], object], rows: DataFrame, regression: bool) -> tuple[DataFrame, list]:
+    """``rows`` with a prediction of every model, from one scan, and the columns that hold them."""
     out, parts = rows, []
-    for i, ((seed, fold), model) in enumerate(models.items()):
+    for i, model in enumerate(models.values()):
         model = model.copy()
         model.setPredictionCol(f"_prediction{i}")
         if not regression:
             model.setProbabilityCol(f"_probability{i}").setRawPredictionCol(f"_raw{i}")
         out = model.transform(out)
-        p = F.col(f"_prediction{i}") if regression else vector_to_array(f"_probability{i}")[1]
-        parts.append(F.struct(F.lit(seed).alias("seed"), F.lit(fold).alias("fold"), p.alias("p")))
-    return out.select("id", "y", F.inline(F.array(*parts)))
+        parts.append(F.col(f"_prediction{i}") if regression else vector_to_array(f"_probability{i}")[1])
+    return out, parts
 
 
-def train_oof(
+@dataclass(frozen=True)
+class Fitted:
+    """A cross-fitted member: its models by seed and fold, its stored rows, and what they predict."""
+
+    config: ModelConfig
+    vectors: Vectors
+    models: Mapping[tuple[int, int], object]
+    rows: DataFrame
+    ahead: DataFrame
+    carry: tuple[str, ...] = ()
+
+    @property
+    def regression(self) -> bool:
+        return self.config.learner == "residual"
+
+    def _named(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("model", F.lit(self.config.name)).select(*PREDICTION, *self.carry)
+
+    def oof(self) -> DataFrame:
+        """Every train row once per seed, by the model that has not seen it."""
+
+        def part(seed: int, fold: int) -> DataFrame:
+            own = _score(self.models[seed, fold], self.rows.where(F.col(fold_column(seed)) == fold), self.regression)
+            return self._named(own.withColumn("seed", F.lit(seed)).withColumn("fold", F.lit(fold)))
+
+        return union([part(s, f) for s, f in self.models])
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        """``(id, y, p)`` of rows with features: the running mean of all models, a row per row."""
+        out, parts = _score_all(self.models, rows, self.regression)
+        return out.select("id", "y", *self.carry, (reduce(add, parts) / F.lit(float(len(parts)))).alias("p"))
+
+    def test(self) -> DataFrame:
+        """The test rows, once each (seed and fold are -1): the mean over seeds and folds."""
+        return self._named(self.score(self.ahead).withColumn("seed", F.lit(-1)).withColumn("fold", F.lit(-1)))
+
+    def test_by_model(self) -> DataFrame:
+        """The test rows once per seed and fold, for those who look at single models."""
+        out, parts = _score_all(self.models, self.ahead, self.regression)
+        each = [F.struct(F.lit(s).alias("seed"), F.lit(f).alias("fold"), p.alias("p")) for (s, f), p in zip(self.models, parts)]
+        return self._named(out.select("id", "y", *self.carry, F.inline(F.array(*each))))
+
+    def rounds(self) -> list[tuple[str, int, int, int]]:
+        """(model, seed, fold, trees) of each fitted ensemble; 0 where there are no trees."""
+        return [(self.config.name, s, f, int(getattr(m, "getNumTrees", 0))) for (s, f), m in self.models.items()]
+
+
+def cross_fit(
     train: DataFrame,
     test: DataFrame,
     config: ModelConfig,
     k: int = S.N_FOLDS,
     label: str = S.TARGET,
     threads: int = 4,
-    pick_rounds: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """Cross-fit a member over its seeds and folds; returns long out-of-fold and test predictions.
-
-    ``pick_rounds`` refits a boosted model with the rounds that did best on the validation fold.
-    Columns of ``train`` named ``seed`` and ``fold`` are used as given; else stratified folds are dealt.
+    patience: int | None = None,
+    stratify: str | None = None,
+    carry: Sequence[str] = (),
+) -> Fitted:
+    """Fit a member's models, one per seed and fold; the rows are written once, with a fold column per seed.
+
+    With ``patience`` a boosted model keeps the trees up to the smallest loss on its validation fold, and the learner's
+    rounds are an upper limit.  Folds are stratified by ``stratify`` (the label).  ``carry`` names columns of both sides
+    that come back with the predictions.
     """
     shared_dir(train.sparkSession)
     vectors = fit_vectors(train, config)
-    rows = vectors.transform(train, label)
-    if "fold" not in rows.columns:
-        rows = assign_folds(rows, "id", "y", k, config.seeds)
-    rows = materialise(rows, f"train-{config.name}", ["seed", "fold"])
-    unlabelled = test if label in test.columns else test.withColumn(label, F.lit(None).cast("double"))
-    ahead = vectors.transform(unlabelled, label)
-    regression = config.learner == "residual"
+    kept = list(dict.fromkeys([*carry, *([stratify] if stratify else [])]))
+    rows = vectors.transform(train, label, kept)
+    dealt = fold_columns(train.select("id", F.col(stratify or label).alias("_class")), "id", "_class", k, config.seeds)
+    rows = materialise(rows.join(dealt, "id"), f"train-{config.name}")
+    for c in (label, *carry):
+        if c not in test.columns:
+            test = test.withColumn(c, F.lit(None).cast("double"))
+    ahead = vectors.transform(test, label, carry)
+    tasks = max(1, -(-rows.count() // ROWS_PER_TASK))
 
     def fit(seed: int, fold: int):
-        part, valid = split_fold(rows.where(F.col("seed") == seed), fold)
-        learner = make_learner(config, vectors, seed)
-        model = learner.fit(part)
-        if pick_rounds and config.learner in ("gbt", "gbt_deep"):
-            rounds = best_rounds(model, valid)
-            if rounds < learner.getMaxIter():
-                model = learner.copy({learner.maxIter: rounds}).fit(part)
+        part, valid = split_fold(rows.select("id", "y", "features", fold_column(seed)), fold, fold_column(seed))
+        model = make_learner(config, vectors, seed).fit(part.coalesce(tasks))
+        if patience is not None and config.learner in BOOSTED:
+            model = stopped(model, valid.coalesce(tasks), patience)
         return (seed, fold), model
 
     jobs = [(s, f) for s in config.seeds for f in range(k)]
     models = dict(in_parallel(train, [lambda s=s, f=f: fit(s, f) for s, f in jobs], threads))
+    return Fitted(config, vectors, models, rows, ahead, tuple(carry))
 
-    def label_rows(df: DataFrame) -> DataFrame:
-        return df.withColumn("model", F.lit(config.name)).select(*PREDICTION)
 
-    oof = union(
-        [
-            label_rows(_score(m, rows.where((F.col("seed") == s) & (F.col("fold") == f)), regression))
-            for (s, f), m in models.items()
-        ]
-    )
-    return oof, label_rows(_score_all(models, ahead, regression))
+def train_oof(
+    train: DataFrame,
+    test: DataFrame,
+    config: ModelConfig,
+    k: int = S.N_FOLDS,
+    label: str = S.TARGET,
+    threads: int = 4,
+    patience: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Long out-of-fold predictions, and the test rows once per seed and fold, of ``cross_fit``."""
+    fitted = cross_fit(train, test, config, k, label, threads, patience)
+    return fitted.oof(), fitted.test_by_model()
 
 
-def train_by_segment(
+def fit_segments(
     train: DataFrame,
     test: DataFrame,
     segment: str,
@@ -233,21 +315,36 @@ def train_by_segment(
     k: int = S.N_FOLDS,
     label: str = S.TARGET,
     threads: int = 4,
-) -> tuple[DataFrame, DataFrame]:
+    patience: int | None = None,
+) -> list[Fitted]:
     """One member per segment value, each with its own folds; the parts together cover every row once per seed.
 
     A row whose segment is NULL or has no member is refused, as no part would cover it.
     """
     covered = F.coalesce(F.col(segment).isin(list(configs)), F.lit(False))
-    for side in (train, test):
-        lost = side.where(~covered).count()
-        if lost:
-            raise ValueError(f"{lost} rows have no member for their {segment}")
-    parts = [
-        train_oof(train.where(F.col(segment) == v), test.where(F.col(segment) == v), c, k, label, threads)
-        for v, c in configs.items()
-    ]
-    return union([p[0] for p in parts]), union([p[1] for p in parts])
+    lost = train.select(segment).unionByName(test.select(segment)).where(~covered).count()
+    if lost:
+        raise ValueError(f"{lost} rows have no member for their {segment}")
+    parts = []
+    for v, c in configs.items():
+        own = [side.where(F.col(segment) == v) for side in (train, test)]
+        parts.append(cross_fit(*own, c, k, label, threads, patience))
+    return parts
+
+
+def train_by_segment(
+    train: DataFrame,
+    test: DataFrame,
+    segment: str,
+    configs: Mapping[object, ModelConfig],
+    k: int = S.N_FOLDS,
+    label: str = S.TARGET,
+    threads: int = 4,
+    patience: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Long predictions of ``fit_segments``, as ``train_oof`` gives them."""
+    parts = fit_segments(train, test, segment, configs, k, label, threads, patience)
+    return union([p.oof() for p in parts]), union([p.test_by_model() for p in parts])
 
 
 def train_residual(
@@ -259,24 +356,23 @@ def train_residual(
     k: int = S.N_FOLDS,
     label: str = S.TARGET,
     threads: int = 4,
+    patience: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Regress what the base prediction ``(id, p)`` leaves over, add it back and clip to [0, 1].
 
-    Folds are stratified by the label, not by the residual.  A test row takes the mean residual of the folds, once for
-    each seed (its fold is -1), and is clipped after that.
+    Folds are stratified by the label, not by the residual.  A test row takes the mean residual of the models (its seed and
+    fold are -1) and is clipped after that.  Base and label travel with the rows.
     """
     based = train.join(base_oof.select("id", F.col("p").alias("_base")), "id")
-    based = assign_folds(based, "id", label, k, config.seeds)
-    based = based.withColumn("_residual", F.col(label) - F.col("_base"))
-    oof, pred = train_oof(based, test, config, k, "_residual", threads)
-    truth = train.select("id", F.col(label).cast("double").alias("y"))
-    pred = pred.groupBy("id", "model", "seed").agg(F.avg("p").alias("p")).withColumn("fold", F.lit(-1)).withColumn("y", F.lit(None).cast("double"))
+    based = based.withColumn("_residual", F.col(label) - F.col("_base")).withColumn("_truth", F.col(label).cast("double"))
+    ahead = test.join(base_pred.select("id", F.col("p").alias("_base")), "id")
+    fitted = cross_fit(based, ahead, config, k, "_residual", threads, patience, "_truth", ("_base", "_truth"))
 
-    def corrected(parts: DataFrame, base: DataFrame) -> DataFrame:
-        out = parts.join(base.select("id", F.col("p").alias("_base")), "id")
-        return out.withColumn("p", X.clip01(F.col("_base") + F.col("p"))).select(*PREDICTION)
+    def corrected(parts: DataFrame) -> DataFrame:
+        fixed = parts.withColumn("p", X.clip01(F.col("_base") + F.col("p"))).withColumn("y", F.col("_truth"))
+        return fixed.select(*PREDICTION)
 
-    return corrected(oof.drop("y").join(truth, "id"), base_oof), corrected(pred, base_pred)
+    return corrected(fitted.oof()), corrected(fitted.test())
 
 
 def stack(
@@ -322,52 +418,111 @@ def stack(
     return nested, ahead, scores
 
 
+@dataclass(frozen=True)
+class Candidate:
+    """A learner with settings that takes part in a choice."""
+
+    learner: str
+    params: tuple[tuple[str, object], ...] = ()
+
+    @property
+    def name(self) -> str:
+        return " ".join([self.learner, *[f"{k}={v}" for k, v in self.params]])
+
+
+CANDIDATES = (
+    Candidate("gbt"),
+    Candidate("gbt", (("maxDepth", 4),)),
+    Candidate("gbt_deep"),
+    Candidate("forest"),
+    Candidate("forest", (("maxDepth", 9),)),
+    Candidate("logistic"),
+    Candidate("logistic", (("regParam", 0.01), ("elasticNetParam", 0.5))),
+)
+
+
+def share_of(id: Column, seed: int = 42) -> Column:
+    """A number in [0, 1) by md5 of "id:seed:share", the same in every engine that has md5."""
+    text = F.md5(F.concat_ws(":", id.cast("string"), F.lit(str(seed)), F.lit("share")))
+    return F.conv(F.substring(text, 1, 6), 16, 10).cast("double") / float(1 << 24)
+
+
+def rungs(candidates: int, eta: int, least: int = 1) -> list[tuple[float, int]]:
+    """(share of the rows, candidates that take part) of successive halving; the last rung has all rows."""
+    counts = [candidates]
+    while counts[-1] > least and counts[-1] > 1:
+        counts.append(max(least, -(-counts[-1] // eta)))
+    return [(float(eta) ** (i + 1 - len(counts)), n) for i, n in enumerate(counts)]
+
+
 def select_learner(
     train: DataFrame,
     test: DataFrame,
     config: ModelConfig,
-    learners: Sequence[str] = ("gbt", "forest", "logistic"),
-    params: Mapping[str, Mapping[str, object]] | None = None,
+    candidates: Sequence[Candidate] = CANDIDATES,
+    eta: int = 3,
     k: int = 3,
     label: str = S.TARGET,
     threads: int = 4,
 ) -> tuple[DataFrame, DataFrame]:
-    """Try several learners on the same stratified folds; returns ``(learner, auc)`` and the best one's test rows."""
+    """Successive halving: all candidates on a small share of the rows, the best 1/``eta`` of them on ``eta`` times as many, and
+    so on; the last rung holds all rows.
+
+    A rung fits every candidate left on the k folds of its share and compares the areas over all rows of the share.  Shares
+    are nested and chosen by a hash of the id, so the work of a rung is about that of any other.  Returns
+    ``(rung, share, candidate, learner, n_rows, auc)`` and ``(id, p)`` of the test rows: the mean of the winner's k models.
+    """
     shared_dir(train.sparkSession)
     vectors = fit_vectors(train, config)
-    rows = materialise(assign_folds(vectors.transform(train, label), "id", "y", k, (42,)), "select")
-    stages = []
-    for name in learners:
-        learner = make_learner(replace(config, learner=name, params=(params or {}).get(name, {})), vectors, 42)
-        if name == "logistic":
-            scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
-            stages.append([scaler, learner.copy({learner.featuresCol: "scaled"})])
-        else:
-            stages.append([learner])
-    whole = Pipeline(stages=[])
-    grid = [{whole.stages: s} for s in stages]
-    evaluator = BinaryClassificationEvaluator(labelCol="y", metricName="areaUnderROC", numBins=0)
-    search = CrossValidator(
-        estimator=whole, estimatorParamMaps=grid, evaluator=evaluator, numFolds=k, foldCol="fold", parallelism=threads
-    ).fit(rows)
-    scores = train.sparkSession.createDataFrame(
-        list(zip(learners, [float(m) for m in search.avgMetrics])), "learner string, auc double"
-    )
+    rows = vectors.transform(train.withColumn("_share", share_of(F.col("id"))), label, ["_share"])
+    dealt = fold_columns(train.select("id", F.col(label).alias("_class")), "id", "_class", k, (42,))
+    rows = materialise(rows.join(dealt, "id"), "select")
+    column = fold_column(42)
+    report, left, models = [], list(candidates), {}
+    for rung, (share, n) in enumerate(rungs(len(candidates), eta)):
+        own = rows.where(F.col("_share") < share)
+        size = own.count()
+        tasks = max(1, -(-size // ROWS_PER_TASK))
+
+        def fit(candidate: Candidate, fold: int, own: DataFrame = own, tasks: int = tasks):
+            learner = make_learner(replace(config, learner=candidate.learner, params=dict(candidate.params)), vectors, 42)
+            if candidate.learner == "logistic":
+                scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
+                learner = Pipeline(stages=[scaler, learner.copy({learner.featuresCol: "scaled"})])
+            return candidate, fold, learner.fit(split_fold(own, fold, column)[0].coalesce(tasks))
+
+        found = in_parallel(train, [lambda c=c, f=f, g=fit: g(c, f) for c in left for f in range(k)], threads)
+        parts = [
+            _score(m, own.where(F.col(column) == f), False).select("y", "p", F.lit(c.name).alias("candidate")) for c, f, m in found
+        ]
+        areas = {r["candidate"]: r["auc"] for r in auc(union(parts), by=["candidate"]).collect()}
+        report += [(rung, share, c.name, c.learner, size, areas.get(c.name)) for c in left]
+        ranked = sorted(left, key=lambda c: (-(areas.get(c.name) or 0.0), candidates.index(c)))
+        left = ranked[: max(1, -(-n // eta))]
+        models = {(0, f): m for c, f, m in found if c == left[0]}
     unlabelled = test if label in test.columns else test.withColumn(label, F.lit(None).cast("double"))
-    ahead = _score(search.bestModel, vectors.transform(unlabelled, label), False).select("id", "p")
-    return scores, ahead
+    out, means = vectors.transform(unlabelled, label), []
+    for i, model in enumerate(models.values()):
+        last = model.stages[-1] if hasattr(model, "stages") else model
+        last.setPredictionCol(f"_prediction{i}").setProbabilityCol(f"_probability{i}").setRawPredictionCol(f"_raw{i}")
+        out = model.transform(out)
+        out = out.drop("scaled") if hasattr(model, "stages") else out
+        means.append(vector_to_array(f"_probability{i}")[1])
+    ahead = out.select("id", (reduce(add, means) / F.lit(float(len(means)))).alias("p"))
+    schema = "rung int, share double, candidate string, learner string, n_rows long, auc double"
+    return train.sparkSession.createDataFrame(report, schema), ahead
 
 
 def compare_features(
     train: DataFrame, lists: Mapping[str, Sequence[str]], learner: str = "logistic", k: int = S.N_FOLDS,
     label: str = S.TARGET, params: Mapping[str, object] | None = None, threads: int = 4,
 ) -> DataFrame:
-    """Out-of-fold AUC of one learner per named feature list: ``(features, auc)``."""
+    """Out-of-fold area of one learner per named feature list: ``(features, n_pos, n_neg, auc)``."""
     parts = []
     for name, features in lists.items():
         config = ModelConfig(name, tuple(features), (), learner, (42,), params or {})
-        parts.append(train_oof(train, train.limit(0), config, k, label, threads)[0])
-    return auc(union(parts), by=["model"]).select(F.col("model").alias("features"), "auc")
+        parts.append(cross_fit(train, train.limit(0), config, k, label, threads).oof())
+    return auc(union(parts), by=["model"]).withColumnRenamed("model", "features")
 
 
 def adversarial_auc(
@@ -382,7 +537,7 @@ def adversarial_auc(
         ]
     )
     config = ModelConfig("adversarial", tuple(features), (), learner, (42,), params or {})
-    return auc(train_oof(both, both.limit(0), config, k, "is_test", threads)[0])
+    return auc(cross_fit(both, both.limit(0), config, k, "is_test", threads).oof())
 
 
 def members(

@@ -164,15 +164,6 @@ def auc_of_weight_candidates(spark, sf_dir):
     return E.candidate_auc(wide(spark, sf_dir), NAMES, CANDIDATES)
 
 
-@query()
-def weight_search(spark, sf_dir):
-    """Best blend weights; the area is exact and not below that of any start."""
-    rows = wide(spark, sf_dir).persist()
-    weights, best = E.search_weights(rows, NAMES, list(CANDIDATES.values()))
-    rows.unpersist()
-    return spark.createDataFrame([(*weights, best)], ", ".join(f"w_{n} double" for n in NAMES) + ", auc double")
-
-
 @query(
     _preds(
         "SELECT id, model, seed, p, (less + (ties + 1) / 2.0E0) / size AS rank_p FROM (SELECT *, "

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, is_dataclass
 from datetime import datetime
 
@@ -55,6 +55,22 @@ def write_features(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer.option("header", True).csv(path) if fmt == "csv" else writer.parquet(path)
 
 
+def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, id: str = S.ID) -> dict[str, str]:
+    """What each column holds, as a short text per column, whatever the order and partitioning of the rows.
+
+    One aggregate with a row per column: the rows' number, and the exclusive or and a sum of hashes of (id, value).  Neither
+    grows with the table nor overflows; a changed cell changes the text of its column alone.
+    """
+    names = list(columns) if columns is not None else [c for c in df.columns if c != id]
+    key = F.xxhash64(F.col(id).cast("string"))
+    hashes = df.select(key.alias("_key"), *[F.col(f"`{c}`") for c in names]).select(
+        F.posexplode(F.array(*[F.xxhash64("_key", F.col(f"`{c}`")) for c in names])).alias("at", "h")
+    )
+    marks = hashes.groupBy("at").agg(F.count("*"), F.bit_xor("h"), F.sum(F.col("h").bitwiseAND(F.lit((1 << 24) - 1)))).collect()
+    found = {r[0]: ":".join(str(x) for x in r[1:]) for r in marks}
+    return {c: found.get(i, "0") for i, c in enumerate(names)}
+
+
 def config_hash(config: object) -> str:
     """Stable hash of everything that decides the predictions."""
     body = asdict(config) if is_dataclass(config) else config
@@ -66,14 +82,14 @@ def _marker(root: str, config: object, part: str) -> str:
 
 
 def save_predictions(parts: Mapping[str, DataFrame], root: str, config: object) -> None:
-    """Write ``oof`` / ``test`` predictions under the hash of their configuration.
+    """Write ``oof`` / ``test`` predictions, or other parts, under the hash of their configuration.
 
     Each write takes a new folder; a marker that names it is replaced last, so a run that is lost half-way
     leaves the former predictions in place.
     """
     for part, df in parts.items():
         path = f"{root}/{config_hash(config)}/{part}/{uuid.uuid4().hex}"
-        df.write.partitionBy("model", "seed", "fold").parquet(path)
+        df.write.partitionBy(*[c for c in ("model", "seed") if c in df.columns]).parquet(path)
         line = json.dumps({"path": path, "schema": df.schema.jsonValue()})
         df.sparkSession.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(
             _marker(root, config, part)
@@ -98,9 +114,9 @@ def stored(
     config: object,
     build: Callable[[], Mapping[str, DataFrame]],
     recompute: bool = False,
+    parts: Sequence[str] = ("oof", "test"),
 ) -> dict[str, DataFrame]:
     """Predictions from the store, built and written when absent or when ``recompute`` is set."""
-    parts = ("oof", "test")
     found = {part: load_predictions(spark, root, config, part) for part in parts}
     if recompute or any(df is None for df in found.values()):
         save_predictions(build(), root, config)

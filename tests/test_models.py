@@ -6,12 +6,26 @@ from cohortlift.operators import evaluate as E
 from cohortlift.operators import models as G
 from cohortlift.plans import workflow
 from cohortlift.plans.base import split
-from cohortlift.plans.model_queries import CATEGORIES, FEATURES, FEW, TREES, prepared
+from cohortlift.operators.clean import clean
+from cohortlift.operators.features import derive
+from cohortlift.plans.base import train_medians
+from cohortlift.session import materialise, scratch_path
+from cohortlift.sources import sinks
+
+FEATURES = ("embryos_total", "embryos_transferred", "day_transfer", "age_median", "age_x_embryo_ratio", "ratio_icsi_success", "no_transfer")
+CATEGORIES = ("period_code", "age_band", "specific_type")
+TREES = {"numTrees": 10, "maxDepth": 5}
 
 
 @pytest.fixture(scope="module")
 def sides(spark, medium):
-    return prepared(spark, medium)
+    train, test = split(spark, medium)
+    medians = train_medians(train)
+    keep = ["id", *FEATURES, *CATEGORIES]
+    return (
+        materialise(derive(clean(train, "clean", medians)).select(*keep, S.TARGET), "train"),
+        materialise(derive(clean(test, "clean", medians)).select(keep), "test"),
+    )
 
 
 @pytest.fixture(scope="module")
@@ -83,6 +97,7 @@ def test_members_train_on_their_categories(spark, small):
     for name in ("gbt_v3", "gbt_v3_te", "deep_v3", "deep_full", "forest_full"):
         assert texts <= set(configs[name].categories), name
         assert not texts & set(configs[name].features)
+    assert [c.name for c in workflow.configs(ready)] == ["gbt_v3", "gbt_v3_te", "deep_v3", "deep_full", "segments", "forest_full", "residual"]
 
 
 def test_missing_values_get_a_flag(sides):
@@ -110,15 +125,146 @@ def test_prepared_tables(spark, small):
     assert ready.test.where("TE__proc_age is null or period_te is null").count() == 0
 
 
-def test_whole_run(spark, small):
-    train, test = split(spark, small)
-    done = workflow.run(train, test, rounds=1, seeds=(42,), few_seeds=(42,), search_rounds=1, k=2)
+@pytest.fixture(scope="module")
+def boosted(sides):
+    config = G.ModelConfig("b", FEATURES, CATEGORIES, "gbt", (42, 7), {"maxIter": 5, "maxDepth": 3, "minInstancesPerNode": 20})
+    return G.cross_fit(*sides, config, k=2)
+
+
+def test_truncated_model_equals_a_shorter_fit(boosted):
+    rows = boosted.rows.select("id", "y", "features", "fold_42").where("fold_42 = 0").coalesce(1)
+    long, short = (G.make_learner(G.replace(boosted.config, params={**boosted.config.params, "maxIter": n}), boosted.vectors, 42).fit(rows) for n in (5, 2))
+    cut = G.truncated(long, 2)
+    assert cut.getNumTrees == 2 and cut.getFeaturesCol() == "features"
+    p = G.vector_to_array("probability")[1]
+    both = cut.transform(rows).select("id", p.alias("a")).join(short.transform(rows).select("id", p.alias("b")), "id")
+    assert both.where("a <> b").count() == 0 and both.count() == rows.count()
+
+
+def test_truncated_regression(boosted):
+    rows = boosted.rows.select("id", (F.col("y") - 0.3).alias("y"), "features").coalesce(1)
+    config = G.replace(boosted.config, learner="residual")
+    long, short = (G.make_learner(G.replace(config, params={**config.params, "maxIter": n}), boosted.vectors, 42).fit(rows) for n in (4, 2))
+    both = G.truncated(long, 2).transform(rows).select("id", "prediction").exceptAll(short.transform(rows).select("id", "prediction"))
+    assert both.count() == 0
+
+
+def test_patience():
+    losses = [5.0, 4.0, 4.5, 4.4, 3.0, 3.5]
+    assert G.best_prefix(losses) == 5 and G.best_prefix(losses, 2) == 2 and G.best_prefix(losses, 3) == 5 and G.best_prefix([1.0]) == 1
+
+
+def test_stopping_is_reported(sides):
+    config = G.ModelConfig("b", FEATURES, (), "gbt", (42,), {"maxIter": 6, "maxDepth": 6, "stepSize": 1.0, "minInstancesPerNode": 1})
+    fitted = G.cross_fit(*sides, config, k=2, patience=1)
+    assert [r[:3] for r in fitted.rounds()] == [("b", 42, 0), ("b", 42, 1)] and all(1 <= r[3] < 6 for r in fitted.rounds())
+
+
+def test_mean_scores_equal_the_long_form(sides, boosted):
+    long = E.fold_mean(boosted.test_by_model(), ["id"]).withColumnRenamed("p", "q")
+    both = boosted.test().join(long, "id")
+    assert boosted.test().count() == both.count() == sides[1].count()
+    assert both.where("abs(p - q) > 1e-12").count() == 0
+    plan = boosted.test()._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Exchange" not in plan
+
+
+def test_folds_of_all_seeds_in_one_table(sides):
+    from cohortlift.operators.folds import assign_folds, fold_columns
+
+    wide = fold_columns(sides[0], seeds=S.SEEDS)
+    assert wide.count() == sides[0].count() and wide.columns == ["id", *[f"fold_{s}" for s in S.SEEDS]]
+    for seed in S.SEEDS[:2]:
+        one = assign_folds(sides[0].select("id", S.TARGET), seeds=(seed,), digits=3).select("id", F.col("fold").alias(f"fold_{seed}"))
+        assert one.exceptAll(wide.select("id", f"fold_{seed}")).count() == 0
+
+
+def test_halving_rungs_and_choice(sides):
+    assert G.rungs(7, 3) == [(1 / 9, 7), (1 / 3, 3), (1.0, 1)] and G.rungs(1, 3) == [(1.0, 1)]
+    candidates = (
+        G.Candidate("forest", (("numTrees", 2), ("maxDepth", 1))), G.Candidate("forest", (("numTrees", 5), ("maxDepth", 5))), G.Candidate("logistic"),
+    )
+    config = G.ModelConfig("choice", FEATURES, CATEGORIES)
+    report, ahead = G.select_learner(*sides, config, candidates, eta=2, k=2)
+    rows = report.orderBy("rung").collect()
+    assert [r["rung"] for r in rows] == [0, 0, 0, 1, 1, 2] and rows[-1]["n_rows"] == sides[0].count()
+    first = sorted((r for r in rows if r["rung"] == 0), key=lambda r: -r["auc"])
+    assert {r["candidate"] for r in rows if r["rung"] == 1} == {r["candidate"] for r in first[:2]}
+    assert rows[0]["n_rows"] == sides[0].where(G.share_of(F.col("id")) < 0.25).count()
+    assert ahead.count() == sides[1].count() and ahead.where("p < 0 or p > 1 or p is null").count() == 0
+
+
+def test_fingerprint_knows_columns_and_cells(spark):
+    rows = spark.range(100).select("id", (F.col("id") * 2).alias("a"), F.col("id").cast("string").alias("b"))
+    first = sinks.fingerprint(rows)
+    assert sinks.fingerprint(rows.repartition(7).orderBy(F.desc("id"))) == first
+    changed = sinks.fingerprint(rows.withColumn("a", F.when(F.col("id") == 5, 0).otherwise(F.col("a"))))
+    assert changed["b"] == first["b"] and changed["a"] != first["a"]
+    assert sinks.fingerprint(rows.unionByName(rows.where("id = 3")))["b"] != first["b"]
+    swapped = rows.withColumn("a", F.when(F.col("id") == 5, 12).when(F.col("id") == 6, 10).otherwise(F.col("a")))
+    assert sinks.fingerprint(swapped)["a"] != first["a"] and set(sinks.fingerprint(rows.limit(0)).values()) == {"0"}
+
+
+SMALL = dict(rounds=1, seeds=(42,), few_seeds=(42,), search_rounds=1, k=2)
+
+
+@pytest.mark.parametrize("profile", ["clean", "raw"])
+def test_whole_run(spark, small, profile, monkeypatch):
+    train, test = (materialise(side, "side") for side in split(spark, small))
+    store = scratch_path(spark, "store")
+    done = workflow.run(train, test, profile=profile, store=store, **SMALL)
     scores = {r["model"]: r["auc"] for r in done.scores.collect()}
-    assert {"gbt_v3", "segments", "residual", "stack", "blend"} <= set(scores)
+    wanted = {"gbt_v3", "gbt_v3_te", "deep_v3", "deep_full", "segments", "forest_full", "blend"}
+    assert set(scores) == wanted | ({"residual", "stack", "stack_in_sample"} if profile == "clean" else set())
     assert scores["blend"] >= max(scores[m] for m in ("gbt_v3", "deep_full")) - 0.05
     assert sum(done.weights) == pytest.approx(1.0, abs=1e-5)
+    assert done.test.groupBy("model").count().where(f"count <> {test.count()}").count() == 0
+    assert {r["rounds"] for r in done.rounds.where("model = 'gbt_v3'").collect()} == {1}
+
     template = test.select("id", F.lit(0.0).alias("probability"))
-    paths = workflow.write(done, template, f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp'}/cohortlift-run")
-    assert set(paths) == {"stack", "blend"}
-    back = spark.read.schema("id bigint, p double").option("header", True).csv(paths["blend"])
+    paths = workflow.write(done, template, scratch_path(spark, "run"))
+    assert set(paths) == {"blend", "best", "train_v3", "train_full", "test_v3", "test_full"} | ({"stack"} if profile == "clean" else set())
+    back = spark.read.schema("id bigint, p double").option("header", True).csv(paths["best"])
     assert back.count() == test.count() and back.where("p is null or p < 0 or p > 1").count() == 0
+    for side, rows in (("train", train), ("test", test)):
+        for name in ("v3", "full"):
+            table = spark.read.option("header", True).csv(paths[f"{side}_{name}"])
+            assert table.columns == ["id", *done.ready.sets[name], *([S.TARGET] if side == "train" else [])] and table.count() == rows.count()
+
+    # A second run fits nothing; a change refits what it touches.
+    fits = []
+    make = G.make_learner
+    monkeypatch.setattr(G, "make_learner", lambda config, *rest: fits.append(config.name) or make(config, *rest))
+    monkeypatch.setattr(G, "stack", lambda *a, **k: pytest.fail("the stack was fitted again"))
+    again = workflow.run(train, test, profile=profile, store=store, **SMALL)
+    assert not fits and {r["model"]: r["auc"] for r in again.scores.collect()} == scores
+    ready = workflow.prepare(train, test, k=2, profile=profile, store=store)
+    configs = {c.name: c for c in workflow.configs(ready, 1, (42,), (42,))}
+    workflow.fit_member(ready, configs["gbt_v3"], k=2, patience=5)
+    assert not fits
+    workflow.fit_member(ready, G.replace(configs["gbt_v3"], seeds=(42, 7)), k=2, patience=5)
+    assert set(fits) == {"gbt_v3"}
+    fits.clear()
+    fewer = G.replace(configs["deep_v3"], features=configs["deep_v3"].features[:-1])
+    workflow.fit_member(ready, fewer, k=2, patience=5)
+    assert set(fits) == {"deep_v3"}
+    fits.clear()
+    cell = train.withColumn(
+        "day_embryo_thaw", F.when(F.col("id") == train.agg(F.min("id")).first()[0], 99.0).otherwise(F.col("day_embryo_thaw"))
+    )
+    changed = workflow.prepare(cell, test, k=2, profile=profile, store=store)
+    touched = {c for c in changed.marks["train"] if changed.marks["train"][c] != ready.marks["train"][c]}
+    assert touched and "age_ord" not in touched
+    kept = tuple(c for c in configs["gbt_v3"].features if c not in touched)
+    for tables in (ready, changed):
+        workflow.fit_member(tables, G.replace(configs["gbt_v3"], features=kept[:8], categories=()), k=2, patience=5)
+    assert fits == ["gbt_v3"] * 2  # two folds, once
+
+
+def test_chosen_learner_fills_the_template(spark, small):
+    train, test = split(spark, small)
+    candidates = (G.Candidate("logistic"), G.Candidate("forest", (("numTrees", 3), ("maxDepth", 4))))
+    report, ahead, area = workflow.choose(train, test, candidates, k=2, eta=2)
+    assert report.count() == 3 and 0.5 < area < 1
+    path, stats = sinks.write_submission(test.select("id", F.lit(0.0).alias("probability")), ahead, scratch_path(spark, "choice"), area, "choice")
+    assert stats.first()["n"] == test.count() and "submission_choice_AUC" in path
