@@ -6,7 +6,7 @@ the offset of each bucket, and only the rows of one bucket are ordered together.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -76,65 +76,95 @@ def running_total(
     )
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], margin: float = 1e-4) -> DataFrame:
-    """Exact interpolated median of each column as ``(column, median)``; NULL for a column without values.
+MOST_VALUES, CUTS = 4096, 255
 
-    Approximate quantiles at 0.5 -/+ ``margin`` bracket the median; rows outside the bracket only count,
-    and the distinct values inside it, at most about 2 x margin of the rows, are ordered.
-    """
-    wide = df.select(*[num(c).alias(c) for c in columns])
-    found = wide.approxQuantile(list(columns), [0.5 - margin, 0.5 + margin], margin / 2)
-    brackets = {c: edges for c, edges in zip(columns, found) if edges}
-    spark = df.sparkSession
-    if not brackets:
-        return spark.createDataFrame([(c, None) for c in columns], "column string, median double")
-
-    def placed(c: str) -> Column:
-        low, high = brackets[c]
-        value = F.col(c)
-        return F.struct(
-            F.lit(c).alias("column"),
-            F.when(value < low, 0).when(value <= high, 1).when(value > high, 2).alias("side"),
-            F.when(value.between(low, high), value).alias("value"),
-        )
-
-    counts = (
-        wide.select(F.inline(F.array(*[placed(c) for c in brackets])))
-        .where(F.col("side").isNotNull())
-        .groupBy("column", "side", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    per_column = Window.partitionBy("column")
-    before = per_column.orderBy("side", "value").rowsBetween(Window.unboundedPreceding, -1)
-    at = (
-        counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .withColumn("end", F.col("start") + F.col("n"))
-        .withColumn("total", F.sum("n").over(per_column))
-    )
 
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("value")))
+def exact_values(
+    df: DataFrame, columns: Sequence[str], ranks: Callable[[int], Sequence[int]], most: int = MOST_VALUES, cuts: int = CUTS
+) -> dict[str, tuple[int, dict[int, float]]]:
+    """Per column its number of values and the values at ``ranks(number)`` (0-based, in ascending order); exact.
 
-    last = F.col("total") - 1
-    medians = at.groupBy("column").agg(((value_at(F.floor(last / 2)) + value_at(F.ceil(last / 2))) / 2).alias("median"))
-    wanted = spark.createDataFrame([(c,) for c in columns], "column string")
-    return wanted.join(medians, "column", "left")
-
-
-def dense_codes(values: DataFrame, by: str, value: str, out: str, max_rows: int = 1_000_000) -> DataFrame:
+    Each round cuts the ranges that hold wanted ranks at approximate quantiles and counts, in one pass for all of them, the
+    values at every cut and between two cuts.  A rank at a cut is answered; one between two cuts has a range with about
+    1/``cuts`` of the rows left.  A range of at most ``most`` rows is read as it is.  So the driver receives ``cuts`` numbers or
+    ``most`` values per range and round, no task orders more than that, and repeated values end at a cut.
+    """
+    wide = df.select(*[num(c).alias(c) for c in columns])
+    sizes = wide.agg(*[F.count(c).alias(c) for c in columns]).first()
+    found: dict[str, tuple[int, dict[int, float]]] = {c: (sizes[c], {}) for c in columns}
+    # wanted ranks by range (column, above, below), with the rows before the range and in it
+    ranges = {(c, None, None): (0, sizes[c], sorted(set(ranks(sizes[c])))) for c in columns if sizes[c]}
+    while ranges:
+        keys = list(ranges)
+        inside = wide.select(*[_between(*key).alias(f"r{i}") for i, key in enumerate(keys)])
+        small = [i for i, key in enumerate(keys) if ranges[key][1] <= most]
+        large = [i for i in range(len(keys)) if i not in small]
+        following = {}
+        if small:
+            pairs = F.array(*[F.struct(F.lit(i).alias("at"), F.col(f"r{i}").alias("v")) for i in small])
+            counts = inside.select(F.inline(pairs)).where("v IS NOT NULL").groupBy("at", "v").agg(F.count("*").alias("n")).collect()
+            for i in small:
+                at, _, wanted = ranges[keys[i]]
+                for v, n in sorted((r["v"], r["n"]) for r in counts if r["at"] == i):
+                    found[keys[i][0]][1].update({k: v for k in wanted if at <= k < at + n})
+                    at += n
+        if large:
+            names = [f"r{i}" for i in large]
+            edges = inside.approxQuantile(names, [j / (cuts + 1) for j in range(1, cuts + 1)], 1.0 / (2 * cuts))
+            edges = {i: sorted(set(e)) for i, e in zip(large, edges)}
+            placed = inside
+            for i in large:
+                splits = [-float("inf"), *[e for e in edges[i] if e not in (-float("inf"), float("inf"))], float("inf")]
+                raw = Bucketizer(splits=splits, inputCol=f"r{i}", outputCol=f"b{i}", handleInvalid="keep") if len(splits) > 2 else None
+                placed = raw.transform(placed) if raw else placed.withColumn(f"b{i}", F.lit(0.0))
+                edges[i] = splits
+            pairs = F.array(*[
+                F.struct(F.lit(i).alias("at"), F.col(f"b{i}").cast("int").alias("b"), (F.col(f"r{i}") > F.get(F.lit(edges[i]), F.col(f"b{i}").cast("int"))).alias("over"))
+                for i in large
+            ])
+            kept = placed.where(F.coalesce(*[F.col(f"r{i}") for i in large]).isNotNull()).select(F.inline(pairs)).where("over IS NOT NULL")
+            counts = kept.groupBy("at", "b", "over").agg(F.count("*").alias("n")).collect()
+            for i in large:
+                column, above, below = keys[i]
+                at, size, wanted = ranges[keys[i]]
+                for r in sorted((r for r in counts if r["at"] == i), key=lambda r: (r["b"], r["over"])):
+                    own, low = [k for k in wanted if at <= k < at + r["n"]], edges[i][r["b"]]
+                    if own and not r["over"]:
+                        found[column][1].update(dict.fromkeys(own, low))
+                    elif own:
+                        high = edges[i][r["b"] + 1]
+                        key = (column, above if low == -float("inf") else low, below if high == float("inf") else high)
+                        following[key] = (at, r["n"], own)
+                    at += r["n"]
+        ranges = following
+    return found
+
+
+def _between(column: str, above: float | None, below: float | None) -> Column:
+    held = F.lit(True)
+    if above is not None:
+        held = held & (F.col(column) > above)
+    if below is not None:
+        held = held & (F.col(column) < below)
+    return F.when(held, F.col(column))
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str], most: int = MOST_VALUES) -> DataFrame:
+    """Exact interpolated median of each column as ``(column, median)``; NULL for a column without values."""
+    found = exact_values(df, columns, lambda n: (((n - 1) // 2), n // 2), most)
+    rows = [(c, (values[(n - 1) // 2] + values[n // 2]) / 2 if n else None) for c, (n, values) in found.items()]
+    return df.sparkSession.createDataFrame(rows, "column string, median double")
+
+
+def dense_codes(values: DataFrame, by: str, value: str, out: str) -> DataFrame:
     """0-based position of each distinct ``value`` in sorted order within ``by``.
 
-    Up to ``max_rows`` values one window per group orders them.  Beyond, a distributed sort is
-    checkpointed and the position is taken from (partition, row in partition) plus offsets.
+    A distributed sort is checkpointed, and the position is taken from (partition, row in partition) plus offsets.
     """
-    values = values.persist()
-    if values.limit(max_rows + 1).count() <= max_rows:
-        return values.withColumn(out, F.row_number().over(Window.partitionBy(by).orderBy(value)) - 1)
     from cohortlift.session import shared_dir
 
     shared_dir(values.sparkSession)
     ordered = values.sort(by, value).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
-    values.unpersist()
     ordered = ordered.withColumn("_part", F.shiftright("_id", 33)).withColumn(
         "_row", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     )
@@ -145,7 +175,7 @@ def dense_codes(values: DataFrame, by: str, value: str, out: str, max_rows: int
         "_part", by, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     return (
-        ordered.join(offsets, ["_part", by])
+        ordered.join(F.broadcast(offsets), ["_part", by])
         .withColumn(out, (F.col("_offset") + F.col("_row") - F.col("_first")).cast("int"))
         .drop("_id", "_part", "_row", "_first", "_offset")
     )

@@ -10,35 +10,25 @@ from pyspark.sql import functions as F
 from cohortlift import schema as S
 from cohortlift.functions import scalars as X
 from cohortlift.functions.joins import attach, measured_bytes
-from cohortlift.functions.ranking import dense_codes, exact_medians
+from cohortlift.functions.ranking import MOST_VALUES, dense_codes, exact_medians
 from cohortlift.functions.sql_text import finite
 
 COUNT_LIKE = "[0-9]+회"
 
 
-def fit_medians(
-    df: DataFrame, columns: Sequence[str] = tuple(S.NUMERIC), exact: bool = True, small: int = 10_000
-) -> DataFrame:
+def fit_medians(df: DataFrame, columns: Sequence[str] = tuple(S.NUMERIC), exact: bool = True, most: int = MOST_VALUES) -> DataFrame:
     """``(column, median)`` of the columns that exist, on rows before any rule.
 
-    The built-in median holds one counter per distinct value, so it takes the columns with about ``small``
-    values at most; the others are bracketed first.  ``exact=False`` takes approximate percentiles.
+    Ranges of values are narrowed by counts until ``most`` rows are left of them (``ranking.exact_values``).
+    ``exact=False`` takes approximate percentiles.
     """
     present = [c for c in columns if c in df.columns]
-    few, many = present, []
-    if exact and present:
-        sizes = df.selectExpr(*[f"approx_count_distinct({finite(c)}) AS `{c}`" for c in present]).first()
-        few, many = [c for c in present if sizes[c] <= small], [c for c in present if sizes[c] > small]
-    middle = "median({})" if exact else "percentile_approx({}, 0.5D)"
-    parts = []
-    if few:
-        wide = df.selectExpr(*[f"{middle.format(finite(c))} AS `{c}`" for c in few])
-        parts.append(unpivot(wide, few, "column", "median"))
-    if many:
-        parts.append(exact_medians(df, many))
-    if not parts:
+    if not present:
         return df.sparkSession.createDataFrame([], "column string, median double")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if exact:
+        return exact_medians(df, present, most)
+    wide = df.selectExpr(*[f"percentile_approx({finite(c)}, 0.5D) AS `{c}`" for c in present])
+    return unpivot(wide, present, "column", "median")
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], key: str, value: str) -> DataFrame:
@@ -81,14 +71,13 @@ def fit_vocab(
     columns: Sequence[str],
     also: DataFrame | None = None,
     placeholder: str | None = None,
-    max_rows: int = 1_000_000,
 ) -> DataFrame:
     """``(column, value, code)``: codes in sorted order of the values seen in ``df`` (and in ``also``)."""
     values = value_counts(df, columns, placeholder).select("column", "value")
     if also is not None:
         other = value_counts(also, columns, placeholder).select("column", "value")
         values = values.unionByName(other).distinct()
-    return dense_codes(values, "column", "value", "code", max_rows)
+    return dense_codes(values, "column", "value", "code")
 
 
 def apply_vocab(

@@ -34,7 +34,7 @@ def train_median_per_column(spark, sf_dir):
 def median_of_prices(spark, sf_dir):
     """Columns with many distinct values take the bracketed median."""
     rows = table(spark, sf_dir, "lineitem").select("l_extendedprice", "l_quantity", "l_tax")
-    return M.fit_medians(rows, rows.columns, small=100)
+    return M.fit_medians(rows, rows.columns, most=100)
 
 
 @query(with_cycles(f"SELECT id, {', '.join(S.NUMERIC)} FROM cleaned", *sql_cleaned()))

@@ -24,24 +24,39 @@ def test_bracketed_median_is_exact(spark, xs, with_null):
 def test_median_paths_agree(spark):
     df = spark.range(5001).select((F.col("id") * 7919 % 10007).cast("double").alias("a"))
     exact = statistics.median([r[0] for r in df.collect()])
-    assert M.as_dict(M.fit_medians(df, ["a"], small=10))["a"] == exact
-    assert M.as_dict(M.fit_medians(df, ["a"], small=10**6))["a"] == exact
+    assert M.as_dict(M.fit_medians(df, ["a"], most=10))["a"] == exact
+    assert M.as_dict(M.fit_medians(df, ["a"], most=10**6))["a"] == exact
     assert abs(M.as_dict(M.fit_medians(df, ["a"], exact=False))["a"] - exact) < 100
     assert M.fit_medians(df, ["absent"]).count() == 0
 
 
+def test_order_statistics_by_narrowing(spark):
+    """A million distinct values over several rounds, a value that half of the rows hold, infinite ends, and one row."""
+    n = 1_000_000
+    a = (F.col("id") * 7919 % n).cast("double")
+    df = spark.range(n).select(
+        a.alias("a"), F.exp(a / 40_000).alias("b"), F.when(F.col("id") % 2 == 0, 7.0).otherwise(a).alias("c"),
+        F.when(F.col("id") < 3, float("inf")).when(F.col("id") < 5, float("-inf")).otherwise(a).alias("d"), F.when(F.col("id") == 9, a).alias("e"),
+    )
+    ranks = lambda size: sorted({0, size // 10, size // 2, size - 1})
+    found = ranking.exact_values(df, ["a", "b", "c", "d", "e"], ranks, most=50, cuts=31)
+    rows = df.toPandas()
+    for c in rows.columns:
+        values = rows[c].dropna().sort_values().tolist()
+        assert found[c] == (len(values), {r: values[r] for r in ranks(len(values))}), c
+
+
 def test_impute_defaults_a_column_without_values(spark):
     df = spark.createDataFrame([(1, None, None), (2, 4.0, None)], "id int, a double, b double")
     out = M.impute(df, M.as_dict(M.fit_medians(df, ["a", "b"])), 0.0)
     assert [tuple(r) for r in out.orderBy("id").collect()] == [(1, 4.0, 0.0), (2, 4.0, 0.0)]
 
 
-def test_codes_of_both_paths_agree(spark):
+def test_codes_follow_the_order(spark):
     words = [("a", f"w{i * 37 % 101:03d}") for i in range(101)] + [("b", f"v{i}") for i in range(7)]
-    df = spark.createDataFrame(words, "column string, value string")
-    window = {(r["column"], r["value"]): r["code"] for r in ranking.dense_codes(df, "column", "value", "code").collect()}
-    sort = {(r["column"], r["value"]): r["code"] for r in ranking.dense_codes(df, "column", "value", "code", max_rows=10).collect()}
-    assert window == sort and window[("a", "w000")] == 0 and window[("b", "v6")] == 6
+    df = spark.createDataFrame(words, "column string, value string").repartition(5)
+    codes = {(r["column"], r["value"]): r["code"] for r in ranking.dense_codes(df, "column", "value", "code").collect()}
+    assert codes == {(c, v): sorted(w for k, w in words if k == c).index(v) for c, v in words}
 
 
 def test_vocabulary_and_unseen(spark):
