@@ -15,7 +15,9 @@ from cohortlift.plans.feature_queries import feature_sql, pick
 from cohortlift.session import scratch_path
 from cohortlift.sources import sinks
 from cohortlift.sources.cycles import cycles_from
-from cohortlift.sources.tables import conflicts, read_table, sample_schema, stream_table, to_headers
+from cohortlift.sources.tables import conflicts, read_table, sample_schema, split_rejected, stream_table, to_headers
+from cohortlift.operators.models import ModelConfig
+from cohortlift.streaming import state
 from cohortlift.streaming.score import run_available
 
 ALL = [c.name for c in S.COLUMNS]
@@ -76,6 +78,32 @@ def late_type_conflicts(spark, sf_dir):
     return conflicts(spark, path, schema)
 
 
+@query(
+    "SELECT o_orderkey, CASE o_orderkey % 97 WHEN 1 THEN 'width' WHEN 2 THEN 'width' WHEN 3 THEN 'type' WHEN 4 THEN 'quotes' ELSE 'good' END AS reason, "
+    "CASE WHEN o_orderkey % 97 = 3 THEN 'o_totalprice' END AS columns, CASE WHEN o_orderkey % 97 BETWEEN 1 AND 4 THEN NULL ELSE o_totalprice END AS price "
+    "FROM orders"
+)
+def rejected_lines(spark, sf_dir):
+    """Lines of a wrong width, with late text in a number column or with an open quote, told from the rows that fit."""
+    n = F.col("o_orderkey") % 97
+    parts = [F.col("o_orderkey").cast("string"), F.when(n == 3, "late").otherwise(F.col("o_totalprice").cast("string"))]
+    last = F.when(n == 4, F.concat(F.lit('"'), F.col("o_orderpriority"))).otherwise(F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit(', x"')))
+    whole = F.concat_ws(",", *parts, last)
+    line = F.when(n == 1, F.concat_ws(",", *parts)).when(n == 2, F.concat_ws(",", whole, F.lit("more"))).otherwise(whole)
+    path = scratch_path(spark, "lines")
+    # The header option drops the first line of each file, so every part gets one.
+    rows = table(spark, sf_dir, "orders").select(F.spark_partition_id().alias("part"), line.alias("value"))
+    heads = rows.select("part").distinct().select("part", F.lit("o_orderkey,o_totalprice,priority").alias("value"), F.lit(0).alias("at"))
+    both = heads.unionByName(rows.withColumn("at", F.lit(1))).repartition("part").sortWithinPartitions("part", "at")
+    both.select("part", "value").write.partitionBy("part").text(path)
+    schema = spark.createDataFrame([], "o_orderkey bigint, o_totalprice double, priority string").schema
+    good, bad = split_rejected(spark, f"{path}/*", schema)
+    key = F.split("line", ",")[0].cast("bigint")
+    return good.select("o_orderkey", F.lit("good").alias("reason"), F.lit(None).cast("string").alias("columns"), F.col("o_totalprice").alias("price")).unionByName(
+        bad.select(key.alias("o_orderkey"), "reason", F.array_join("columns", ",").alias("columns"), F.lit(None).cast("double").alias("price"))
+    )
+
+
 PART = ["past_preg_rate", "past_birth_rate", "ivf_preg_rate", "embryo_transfer_ratio", "embryo_stored_ratio", "icsi_ratio",
         "age_x_transferred", "gap_transfer_minus_pickup"]
 
@@ -128,15 +156,24 @@ def submission_summary(spark, sf_dir):
     return _submit(spark, sf_dir)[1].select("n", rounded("mean_p"), rounded("std_p"))
 
 
-@query(_preds("SELECT id, y, model, seed, fold, p FROM preds"))
+@query(
+    _preds(
+        "SELECT 'oof' AS part, id, y, model, seed, fold, p FROM preds UNION ALL SELECT 'test', id, NULL, 'type_age', -1, -1, probability FROM scores",
+        *SCORES_SQL,
+    )
+)
 def stored_predictions(spark, sf_dir):
-    """Predictions written under their configuration hash, loaded, and written again on request."""
-    root, config = scratch_path(spark, "store"), {"members": ["type_age", "period", "procedure"], "seeds": [42, 2024]}
-    rows = predictions(spark, sf_dir)
-    parts = {"oof": rows, "test": rows.limit(0)}
+    """Train and test predictions written under the fingerprint of their rows, loaded, and written again on request."""
+    root, rows = scratch_path(spark, "store"), predictions(spark, sf_dir)
+    test = _scores(spark, sf_dir)[0].select(
+        "id", F.lit(None).cast("int").alias("y"), F.lit("type_age").alias("model"), F.lit(-1).alias("seed"), F.lit(-1).alias("fold"), "p"
+    )
+    parts = {"oof": rows, "test": test}
+    config = {"rows": sinks.fingerprint(split(spark, sf_dir)[0]), "members": ["type_age", "period", "procedure"], "seeds": [42, 2024]}
     sinks.stored(spark, root, config, lambda: parts)
-    out = sinks.stored(spark, root, config, lambda: parts, recompute=True)["oof"]
-    return out.select("id", F.col("y").cast("int").alias("y"), "model", "seed", "fold", "p")
+    out = sinks.stored(spark, root, config, lambda: parts, recompute=True)
+    both = [out[p].select(F.lit(p).alias("part"), "id", F.col("y").cast("int").alias("y"), "model", "seed", "fold", "p") for p in parts]
+    return both[0].unionByName(both[1])
 
 
 V3_PART = ["embryo_transfer_ratio", "age_x_embryo_ratio", "real_age_num", "age_normalized_pipeline", "has_ICSI"]
@@ -185,3 +222,50 @@ def streamed_missing_flags(spark, sf_dir):
     return run_available(stream, transform, scratch_path(spark, "stream"), scratch_path(spark, "stream-state"))
 
 
+def _key_sql(name: str, key: str, strength: float) -> str:
+    return (
+        f"{name} AS (SELECT k_, (CAST(t AS DOUBLE) + g.gm * {strength}) / (CAST(n AS DOUBLE) + {strength}) AS te FROM "
+        f"(SELECT {key} AS k_, count(*) AS n, sum(success) AS t FROM train GROUP BY 1) CROSS JOIN g WHERE k_ IS NOT NULL)"
+    )
+
+
+TYPE_AGE_SQL = "concat(coalesce(treatment_type, 'nan'), '_', coalesce(age_band, 'nan'))"
+
+
+@query(
+    with_cycles(
+        "SELECT c.id, round(coalesce(p.te, g.gm), 9) AS period_te, round(coalesce(a.te, g.gm), 9) AS type_age_te, 1 AS is_probability, 1 AS n FROM cycles c "
+        f"LEFT JOIN p ON p.k_ = c.period_code LEFT JOIN a ON a.k_ = {TYPE_AGE_SQL.replace('treatment_type', 'c.treatment_type').replace('age_band', 'c.age_band')} "
+        "CROSS JOIN g WHERE c.split = 'test'",
+        "train AS (SELECT * FROM cycles WHERE split = 'train')",
+        "g AS (SELECT CAST(sum(success) AS DOUBLE) / count(*) AS gm FROM train)",
+        _key_sql("p", "period_code", 20.0),
+        _key_sql("a", TYPE_AGE_SQL, 25.0),
+    )
+)
+def streamed_scores(spark, sf_dir):
+    """Test rows that arrive as files, encoded and scored from a saved scorer; the last files' batch runs twice, as after a
+    lost run, and leaves no id twice."""
+    train, _ = split(spark, sf_dir)
+    config = ModelConfig("stream", ("embryos_total", "day_transfer", "age_median", "n_missing_row", "period_te", "TE__proc_age"), ("age_band", "egg_source"), "forest")
+    root = scratch_path(spark, "scorer")
+    state.save(state.fit_scorer(train, config), spark, root)
+    scorer = state.load(spark, root)
+    orders = table(spark, sf_dir, "orders")
+    source, path, checkpoint = (scratch_path(spark, n) for n in ("arriving", "scores", "scores-state"))
+
+    def test_rows(df):
+        return cycles_from(df).where("split = 'test'").drop("split", S.TARGET)
+
+    for part in (0, 1):
+        orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == part).write.mode("append").parquet(source)
+        stream = stream_table(spark, source, orders.schema)
+        state.score_stream(stream, scorer, path, checkpoint, test_rows).awaitTermination()
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/1")
+    files.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(files, False)
+    state.score_stream(stream_table(spark, source, orders.schema), scorer, path, checkpoint, test_rows).awaitTermination()
+    found = spark.read.parquet(path)
+    return found.groupBy("id").agg(
+        F.round(F.max("period_te"), 9).alias("period_te"), F.round(F.max("TE__proc_age"), 9).alias("type_age_te"),
+        F.bool_and(F.col("p").between(0, 1)).cast("int").alias("is_probability"), F.count("*").cast("int").alias("n"),
+    )

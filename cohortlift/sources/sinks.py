@@ -25,7 +25,7 @@ def fill_template(template: DataFrame, preds: DataFrame, id: str = S.ID, p: str
     One row per row of the template: an id that is predicted more than once takes the mean.  The write fails on an id
     without a prediction.
     """
-    target = next(c for c in template.columns if c != id)
+    target = next(c for c in template.columns if c not in (id, *PLACE))
     scored = preds.groupBy(id).agg(X.clip01(F.avg(p)).alias("_p"))
     joined = template.join(scored, id, "left")
     lost = F.concat(F.lit("no prediction of id "), F.coalesce(F.col(id).cast("string"), F.lit("NULL")))
@@ -33,6 +33,21 @@ def fill_template(template: DataFrame, preds: DataFrame, id: str = S.ID, p: str
     return joined.select(*[F.col("_p").alias(c) if c == target else F.col(c) for c in template.columns])
 
 
+PLACE = ("_file", "_block", "_row")
+
+
+def read_template(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A CSV template with the file and the place in it that its rows come from, which ``write_submission`` orders by."""
+    rows = spark.read.schema(schema).option("header", True).csv(path)
+    return rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+
+
+def positioned(template: DataFrame) -> DataFrame:
+    """The template with its rows' positions: file and place where they are known, and the order of the rows."""
+    given = [F.lit(None).cast("long").alias(c) for c in PLACE[:2] if c not in template.columns]
+    return template.select("*", *given).withColumn("_row", F.monotonically_increasing_id())
+
+
 def submission_name(tag: str, auc: float, at: datetime | None = None) -> str:
     return f"submission_{tag}_AUC{auc:.5f}_{(at or datetime.now()):%m%d_%H%M}"
 
@@ -40,12 +55,16 @@ def submission_name(tag: str, auc: float, at: datetime | None = None) -> str:
 def write_submission(
     template: DataFrame, preds: DataFrame, folder: str, auc: float, tag: str = "ensemble", id: str = S.ID
 ) -> tuple[str, DataFrame]:
-    """Write the filled template as CSV and return its path and its count, mean and deviation."""
+    """Write the filled template as CSV and return its path and its count, mean and deviation.
+
+    The part files, in the order of their names, hold the rows in the order of the template.
+    """
     path = f"{folder}/{submission_name(tag, auc)}"
-    filled = fill_template(template, preds, id)
-    target = next(c for c in filled.columns if c != id)
-    filled.write.mode("overwrite").option("header", True).csv(path)
-    written = template.sparkSession.read.schema(filled.schema).option("header", True).csv(path)
+    names = [c for c in template.columns if c not in PLACE]
+    target = next(c for c in names if c != id)
+    ordered = fill_template(positioned(template), preds, id).repartitionByRange(*PLACE).sortWithinPartitions(*PLACE).select(*names)
+    ordered.write.mode("overwrite").option("header", True).csv(path)
+    written = template.sparkSession.read.schema(ordered.schema).option("header", True).csv(path)
     return path, summary(written, p=target)
 
 

@@ -78,6 +78,36 @@ def read_reporting(spark: SparkSession, path: str, schema: T.StructType) -> Data
     )
 
 
+def split_rejected(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Rows of a CSV table that fit ``schema``, and ``(file, reason, columns, line)`` of the lines that do not.
+
+    The reason is ``quotes`` (a quote is left open), ``width`` (too few or too many fields) or ``type``, for which ``columns``
+    names the fields whose text is no value of their type.  Lines that repeat the first line of the table are headers; a field
+    holds no line break.
+    """
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("file"))
+    header = lines.first()
+    if header is not None:
+        lines = lines.where(F.col("line") != header["line"])
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    line, count = F.col("line"), len(schema.fields)
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    width = F.size(F.split(F.regexp_replace(line, r'"[^"]*"', ""), ","))  # commas outside of quotes
+    read = lines.select("file", "line", F.from_csv(line, wide.toDDL(), options).alias("row"))
+    reason = F.when(quotes % 2 == 1, "quotes").when(width != count, "width").when(F.col("row")[CORRUPT].isNotNull(), "type")
+    read = read.withColumn("reason", reason)
+    good = read.where("reason IS NULL").select(*[F.col("row")[f.name].alias(f.name) for f in schema.fields])
+    fields = F.from_csv(line, ", ".join(f"c{i} STRING" for i in range(count)))
+    wrong = F.array_compact(
+        F.array(*[
+            F.when(fields[f"c{i}"].isNotNull() & fields[f"c{i}"].try_cast(f.dataType).isNull(), F.lit(f.name)) for i, f in enumerate(schema.fields)
+        ])
+    )
+    bad = read.where("reason IS NOT NULL").select("file", "reason", F.when(F.col("reason") == "type", wrong).alias("columns"), "line")
+    return good, bad
+
+
 def conflicts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """``(column, type, n_conflict)``: values of the whole file that do not fit the type."""
     text = spark.read.option("header", True).csv(path)

@@ -102,3 +102,91 @@ def test_template_takes_one_prediction_per_id(spark):
     assert sorted(map(tuple, fill_template(template, twice).collect())) == [("a", pytest.approx(0.3)), ("b", 1.0)]
     with pytest.raises(PySparkException, match="no prediction of id b"):
         fill_template(template, twice.where("id = 'a'")).collect()
+
+
+def test_submission_keeps_the_order_of_the_template(spark):
+    from pathlib import Path
+
+    ids = [f"t{i * 7919 % 3001:05d}" for i in range(3001)]
+    path = scratch_path(spark, "template")
+    Path(path).mkdir()
+    for part in range(3):  # the last files are the largest ones, which a scan reads first
+        lines = ids[[0, 200, 900][part] : [200, 900, 3001][part]]
+        Path(f"{path}/part-{part}.csv").write_text("ID,probability\n" + "".join(f"{i},0\n" for i in lines))
+    preds = spark.createDataFrame([(i, int(i[1:]) / 3001) for i in sorted(ids)], "ID string, p double").repartition(5)
+    template = sinks.read_template(spark, path, "ID string, probability double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out, stats = sinks.write_submission(template, preds, scratch_path(spark, "out"), 0.7, id="ID")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted(Path(out).glob("part-*.csv"))
+    rows = [line.split(",") for f in files for line in f.read_text().splitlines()[1:]]
+    assert len(files) > 1 and [r[0] for r in rows] == ids and stats.first()["n"] == 3001
+    assert [float(r[1]) for r in rows] == pytest.approx([int(i[1:]) / 3001 for i in ids])
+    assert files[0].read_text().splitlines()[0] == "ID,probability"
+
+
+def test_rejected_lines_have_reasons(spark):
+    path = write_lines(spark, ["a,b,c", "1,2.5,x", "2,late,y", '3,1.0,"p, q"', "4,1.0", "5,1.0,z,more", '6,1.0,"open', "x,y,z", ",,"])
+    schema = spark.createDataFrame([], "a bigint, b double, c string").schema
+    good, bad = tables.split_rejected(spark, path, schema)
+    assert sorted(map(tuple, good.collect()), key=str) == [(1, 2.5, "x"), (3, 1.0, "p, q"), (None, None, None)]
+    found = {r["line"]: (r["reason"], r["columns"]) for r in bad.collect()}
+    assert found == {
+        "2,late,y": ("type", ["b"]), "4,1.0": ("width", None), "5,1.0,z,more": ("width", None), '6,1.0,"open': ("quotes", None), "x,y,z": ("type", ["a", "b"]),
+    }
+    assert all(r["file"].startswith("part-") for r in bad.collect())
+
+
+@pytest.fixture(scope="module")
+def saved(spark, small):
+    from cohortlift.operators.models import ModelConfig
+    from cohortlift.plans.base import split
+    from cohortlift.streaming import state
+
+    config = ModelConfig("s", ("embryos_total", "period_te", "TE__proc_age"), ("age_band",), "gbt", (42,), {"maxIter": 2, "maxDepth": 3})
+    scorer = state.fit_scorer(split(spark, small)[0], config, k=2)
+    root = scratch_path(spark, "scorer")
+    return scorer, root, state.save(scorer, spark, root)
+
+
+def test_saved_scorer_equals_the_fitted_one(spark, small, saved):
+    from cohortlift.plans.base import split
+    from cohortlift.streaming import state
+
+    scorer, root, version = saved
+    test = split(spark, small)[1]
+    back = state.load(spark, root)
+    assert back.version == version and back.medians == dict(scorer.medians)
+    a, b = scorer.score(test).drop("version"), back.score(test).drop("version")
+    assert a.count() == test.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    newer = state.save(scorer, spark, root)
+    assert state.load(spark, root).version == newer and state.load(spark, root, version).version == version
+    with pytest.raises(FileNotFoundError):
+        state.load(spark, scratch_path(spark, "nothing"))
+
+
+def test_stream_that_restarts_scores_each_id_once(spark, small, saved):
+    import shutil
+    from pathlib import Path
+
+    from cohortlift.plans.base import split
+    from cohortlift.streaming import state
+
+    scorer = state.load(spark, saved[1])
+    test = split(spark, small)[1].drop("split").persist()
+    source, path, checkpoint = (scratch_path(spark, n) for n in ("arriving", "scores", "state"))
+    for part in (0, 1, 2):
+        test.where(F.pmod("id", F.lit(3)) == part).coalesce(1).write.mode("append").parquet(source)
+    stream = lambda: tables.stream_table(spark, source, test.schema, max_files=1)
+    state.score_stream(stream(), scorer, path, checkpoint).awaitTermination()
+    assert len(list(Path(path).glob("batch=*"))) == 3
+    Path(f"{checkpoint}/commits/.2.crc").unlink(missing_ok=True)
+    Path(f"{checkpoint}/commits/2").unlink()  # the last batch was written, and the run was lost before it said so
+    shutil.copytree(f"{path}/batch=2", f"{path}/batch=2/_kept")
+    state.score_stream(stream(), scorer, path, checkpoint).awaitTermination()
+    got = spark.read.parquet(path).drop("batch")
+    want = scorer.score(test)
+    assert got.count() == want.count() == got.select("id").distinct().count()
+    assert got.exceptAll(want).count() == 0 and not Path(f"{path}/batch=2/_kept").exists()  # it was written again
