@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cohortlift.llm import words as W
 from cohortlift.llm.components import components
-from cohortlift.llm.scratch import discard, lean, table
+from cohortlift.llm.scratch import discard, lean, release, table
 
 #: n-grams and rows of a block, keys that a task strings at once, columns of a dense product, index pairs added at once.
 BLOCK_GRAMS, BLOCK_ROWS, KEYS_AT_ONCE, DENSE_COLUMNS, PAIRS_AT_ONCE = 1 << 20, 1024, 1 << 21, 2048, 1 << 20
@@ -137,16 +137,6 @@ def _string(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def _with_grams(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hashes, at, _ = W.find_words(*W.text_buffer(batch.column(1)))
-        sets = [np.unique(W.grams(hashes[at[d] : at[d + 1]], n)).tobytes() for d in range(batch.num_rows)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sets, pa.binary()), *(batch.column(i) for i in range(2, batch.num_columns))],
-            ["doc", "grams", *batch.schema.names[2:]],
-        )
-
-
 def _product(sets: list[np.ndarray], num: int, den: int) -> Iterator[np.ndarray]:
     """Links of a block's rows as (row, first row of its component)."""
     m = len(sets)
@@ -223,8 +213,8 @@ def _pairs(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return overlap * (num + den) >= num * (len(a) + len(b))
 
 
-def _multiply(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Links of consecutive blocks; the rows of a block come together."""
+def _multiply(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Links of consecutive blocks; the rows of a block come together.  Texts move, and not their n-grams, which take more room."""
     ids: list[int] = []
     sets: list[np.ndarray] = []
     links: list[tuple[int, int]] = []
@@ -241,12 +231,13 @@ def _multiply(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator
         sets.clear()
 
     for batch in batches:
-        for name, doc, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+        hashes, at, _ = W.find_words(*W.text_buffer(batch.column(2)))
+        for d, (name, doc) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
             if name != block:
                 close()
                 block = name
             ids.append(doc)
-            sets.append(np.frombuffer(grams.as_buffer(), np.uint64))
+            sets.append(np.unique(W.grams(hashes[at[d] : at[d + 1]], n)))
         if links:
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
             links.clear()
@@ -335,7 +326,10 @@ def jaccard_join(
             )
         return links.where("a != b").select("a", "b")
 
-    clusters = components(represented(strings), "a", "b")
+    strings = table(represented(strings), "strings")
+    del keyed
+    release(strings)  # the keys' shuffle files
+    clusters = components(strings, "a", "b")
     roots = clusters.select(F.col("root").alias("node"), "root").distinct()
     tops = classes(num, den)
     member = clusters.union(roots).select(F.col("node").alias("doc"), F.col("root").alias("cluster"))
@@ -346,12 +340,14 @@ def jaccard_join(
     for part in ("kind=1", "kind=2"):
         discard(made, part)
     discard(clusters)
+    discard(strings)
     dealt = _blocks(member, block_grams, block_rows)
-    rows = known.join(dealt, "doc").select("doc", "text", "blocks")
-    incidence = rows.mapInArrow(lean(_with_grams, n=n), "doc long, grams binary, blocks array<bigint>")
-    blocks = incidence.select(F.explode("blocks").alias("block"), "doc", "grams").repartition("block")
+    # A task gets a few blocks' worth of n-grams, however many there are.
+    load = dealt.join(member.select("doc", "n"), "doc").agg(F.sum(F.size("blocks") * F.col("n"))).first()[0] or 0
+    blocks = known.join(dealt, "doc").select(F.explode("blocks").alias("block"), "doc", "text")
+    blocks = blocks.repartition(max(8, -(-load // (4 * block_grams))), "block")
     links = blocks.sortWithinPartitions("block", "doc").mapInArrow(
-        lean(_multiply, num=num, den=den), "a long, b long"
+        lean(_multiply, n=n, num=num, den=den), "a long, b long"
     )
     # Copies hang on their representative.
     final = components(links.union(to_rep.select(F.col("doc").alias("a"), F.col("rep").alias("b"))), "a", "b")

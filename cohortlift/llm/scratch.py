@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 
@@ -28,6 +29,13 @@ def discard(found: DataFrame, part: str = "") -> None:
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def release(found: DataFrame) -> None:
+    """Let Spark delete the shuffle files of results that nothing refers to any more.  It does so when the driver collects
+    garbage, which a driver with little to do puts off for long."""
+    gc.collect()
+    found.sparkSession._jvm.System.gc()
+
+
 def _lean(batches: Iterator[pa.RecordBatch], f: Callable, more: dict) -> Iterator[pa.RecordBatch]:
     try:
         yield from f(batches, **more)
