@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlift.llm.scratch import discard, table
+from cohortlift.llm.scratch import discard, free, table
 
 MIN_SITES, MIN_WORDS, SKETCH_BITS, MARGIN = 5, 3, 12, 0.1
 _SPACE, _WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
@@ -73,14 +73,16 @@ def remove_boilerplate(
     gone = table(gone, "gone")
     discard(lines)
     kept = [c for c in docs.columns if c not in (lines_out, removed_out)]
-    joined = docs.join(gone, docs[id_col].cast("long") == gone["_doc"], "left")
+    doc_, gone_, left_ = free([*docs.columns, lines_out, removed_out], "_doc", "_gone", "_left")
+    gone = gone.withColumnsRenamed({"_doc": doc_, "_gone": gone_})
+    joined = docs.join(gone, docs[id_col].cast("long") == gone[doc_], "left")
     text = docs[text_col].cast("string")
     split = F.split(text, "\n")
-    left = F.filter(split, lambda line, i: ~F.array_contains("_gone", F.struct(i.alias("pos"), _names(line)["h1"].alias("h1"), _names(line)["h2"].alias("h2"))))
-    joined = joined.withColumn("_left", F.when(F.col("_gone").isNotNull(), left))
+    left = F.filter(split, lambda line, i: ~F.array_contains(F.col(gone_), F.struct(i.alias("pos"), _names(line)["h1"].alias("h1"), _names(line)["h2"].alias("h2"))))
+    joined = joined.withColumn(left_, F.when(F.col(gone_).isNotNull(), left))
     lines_of = F.when(text.isNull(), 0).otherwise(F.size(split))
-    new_text = F.when(F.col("_left").isNotNull(), F.array_join("_left", "\n")).otherwise(text)
-    removed = F.when(F.col("_left").isNotNull(), lines_of - F.size("_left")).otherwise(0)
+    new_text = F.when(F.col(left_).isNotNull(), F.array_join(F.col(left_), "\n")).otherwise(text)
+    removed = F.when(F.col(left_).isNotNull(), lines_of - F.size(F.col(left_))).otherwise(0)
     return joined.select(
         *[new_text.alias(c) if c == text_col else docs[c] for c in kept],
         lines_of.cast("long").alias(lines_out), removed.cast("long").alias(removed_out),

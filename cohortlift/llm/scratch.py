@@ -36,6 +36,14 @@ def release(found: DataFrame) -> None:
     found.sparkSession._jvm.System.gc()
 
 
+def free(columns: Sequence[str], *names: str) -> list[str]:
+    """``names`` with as many underscores in front that no column has one of them, whatever its case."""
+    taken, mark = {c.lower() for c in columns}, ""
+    while any((mark + n).lower() in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
 def _lean(batches: Iterator[pa.RecordBatch], f: Callable, more: dict) -> Iterator[pa.RecordBatch]:
     try:
         yield from f(batches, **more)

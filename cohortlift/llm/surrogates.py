@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlift.llm.scratch import free
 from cohortlift.session import materialise
 
 # Given names by script and gender, titles, and syllables of invented surnames.
@@ -229,8 +230,10 @@ def surrogate(kind: Column, norm: Column, draw: Column, key: str) -> Column:
     stream = F.concat(*[seed(i) for i in range(4)])
     label = F.regexp_extract(norm, "@([^.]*)", 1)
     top = F.regexp_extract(norm, r"\.(com|net|org)$", 1)
+    # An address of one letter before and behind the @ has few shapes; after some draws the part behind it becomes longer.
+    longer = F.when(draw > 4, F.substring(stream, 33, 32).substr(F.lit(1), draw - 4)).otherwise("")
     email = F.concat(
-        _shaped(F.regexp_extract(norm, "^([^@]*)", 1), stream), F.lit("@"), _shaped(label, F.reverse(stream)),
+        _shaped(F.regexp_extract(norm, "^([^@]*)", 1), stream), F.lit("@"), _shaped(label, F.reverse(stream)), longer,
         F.lit(".example."), F.when(top == "", "org").otherwise(top),
     )
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_drawn(stream, i, 254) + 1).cast("string")), ".")
@@ -322,26 +325,27 @@ def replace_personal_data(docs: DataFrame, text_col: str = "text", key: str = "s
     An existing column named ``count_out`` is replaced; other columns are kept.
     """
     kept = [c for c in docs.columns if c != count_out]
+    tokens_, known_, hash_ = free([*kept, count_out], "_tokens", "_known", "_hk")
     text = F.col(f"`{text_col}`").cast("string")
     hint = F.coalesce(text.rlike(HINT), F.lit(False))
     # The patterns are the dear part: texts are searched once, and kept with what was found.
     tokens = F.when(hint, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    searched = materialise(docs.select(*[F.col(f"`{c}`") for c in kept], tokens.alias("_tokens")), "tokens")
-    keyed = searched.select(F.xxhash64(text).alias("_h"), F.explode(F.array_distinct("_tokens")).alias("t"))
+    searched = materialise(docs.select(*[F.col(f"`{c}`") for c in kept], tokens.alias(tokens_)), "tokens")
+    keyed = searched.select(F.xxhash64(text).alias("_h"), F.explode(F.array_distinct(F.col(tokens_))).alias("t"))
     mentions = keyed.select("_h", F.explode(entities(F.col("t"))).alias("e")).select("_h", "e.kind", "e.norm").distinct()
     mentions = materialise(mentions, "mentions")
     known = draw_surrogates(mentions.select("kind", "norm").distinct(), key)
     by_text = mentions.join(known, ["kind", "norm"]).groupBy("_h").agg(
-        F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "norm"), "s"))).alias("_known")
+        F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "norm"), "s"))).alias(known_)
     )
     # Splitting by the pattern gives what stands between the mentions.
-    some = F.size("_tokens") > 0
-    joined = searched.where(some).withColumn("_h", F.xxhash64(text)).join(by_text.withColumnRenamed("_h", "_hk"), F.col("_h") == F.col("_hk"), "left")
-    joined = joined.withColumn("_known", F.coalesce("_known", F.create_map().cast("map<string,string>")))
-    new = F.transform("_tokens", lambda t: rendered(t, F.col("_known")))
+    some = F.size(F.col(tokens_)) > 0
+    joined = searched.where(some).join(by_text.withColumnRenamed("_h", hash_), F.xxhash64(text) == F.col(hash_), "left")
+    joined = joined.withColumn(known_, F.coalesce(F.col(known_), F.create_map().cast("map<string,string>")))
+    new = F.transform(F.col(tokens_), lambda t: rendered(t, F.col(known_)))
     between = F.split(text, PATTERN)
     whole = F.array_join(F.zip_with(between, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    count = F.size(F.filter("_tokens", lambda t: kind_of(t).isNotNull()))
+    count = F.size(F.filter(F.col(tokens_), lambda t: kind_of(t).isNotNull()))
     changed = joined.select(*[whole.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept], count.cast("long").alias(count_out))
-    same = searched.where(~some).drop("_tokens")
+    same = searched.where(~some).drop(tokens_)
     return changed.union(same.withColumn(count_out, F.lit(0).cast("long")))

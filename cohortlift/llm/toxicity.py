@@ -6,7 +6,7 @@ learns emission weights of word and prefix hashes and the tag transitions from t
 of all words give the offending offsets and, through a logistic function of their maximum and sum, the document score.
 
 The fit is one task, over at most ``max_toxic`` + ``max_clean`` labelled rows of at most ``max_chars`` characters
-(the first by hash of the id); scoring covers every word of every row.
+(the first by hash of the id, of those whose text is there); scoring covers every word of every row.
 """
 
 from __future__ import annotations
@@ -229,9 +229,9 @@ def learn(
     texts = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).where(
         F.col("t").isNotNull() & (F.length("t") <= max_chars)
     )
-    samples = []
+    there, samples = known.distinct().join(texts.select("i").distinct(), "i"), []
     for y, most in ((1, max_toxic), (0, max_clean)):
-        some = known.where(F.col("y") == y).distinct().orderBy(F.xxhash64("i"), "i").limit(most)
+        some = there.where(F.col("y") == y).orderBy(F.xxhash64("i"), "i").limit(most)
         samples.append(texts.join(F.broadcast(some), "i").orderBy(F.xxhash64("i", "t")).limit(most).select("t", "y"))
     return fit_in_task(samples, fit)
 
@@ -285,6 +285,8 @@ def _append(batches: Iterator[pa.RecordBatch], model, column: int, out: str) ->
 
 def with_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", out: str = "_toxicity", id_col: str = "doc_id") -> DataFrame:
     """``docs``, whole and in place, with each row's score as one more column; learns from all labels as ``toxicity`` does."""
+    if out.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"there is a column {out} already")
     model = learn(docs, labels, id_col, text_col, "toxic", None, MAX_TOXIC, MAX_CLEAN, MAX_CHARS)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType([*docs.schema.fields, StructField(out, DoubleType())])
@@ -306,7 +308,9 @@ def toxicity(
     """``(doc_id, score, spans)``, a row per row of ``docs``; spans are character offsets and marginals of toxic words.
 
     ``train`` is a condition on the label rows' id ``i``.  A null or empty text scores as one without toxic words.
-    Label rows without id or label, or whose document is not there, are not learned from.  Other columns are not looked at.
+    Label rows without id or label, or whose document is not there, are not learned from; repeated ones count once, and an id
+    that carries both labels counts for both.  Repeated rows of ``docs`` score alike, texts of any length are scored whole.
+    Other columns are not looked at.
     """
     model = learn(docs, labels, id_col, text_col, label_col, train, max_toxic, max_clean, max_chars)
     sent = docs.sparkSession.sparkContext.broadcast(model)

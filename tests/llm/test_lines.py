@@ -32,3 +32,11 @@ def test_long_texts_and_no_rows(spark):
     got = {r["doc_id"]: r["n_removed"] for r in L.remove_boilerplate(docs, min_sites=3).collect()}
     assert got == {0: 0, 1: 20_000, 2: 20_000, 3: 1, 4: 1, 5: 1}
     assert L.remove_boilerplate(docs.limit(0)).count() == 0
+
+
+def test_clashing_columns(spark):
+    rows = [(i, f"own line number {i}\nthe same old line", f"s{i}", i, "x", "y") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _doc int, _gone string, _LEFT string")
+    out = L.remove_boilerplate(docs)
+    assert out.columns == [*docs.columns, "n_lines", "n_removed"] and out.where("_gone = 'x' and _LEFT = 'y' and _doc = doc_id").count() == 6
+    assert out.agg({"n_removed": "sum"}).first()[0] == 5

@@ -124,3 +124,14 @@ def test_assigned_secrets(spark):
     assert one[1] == one[2] != value and got[1][0] == f'"token": "{one[1]}"'
     assert re.fullmatch(r"password=[a-z]{6}! pwd = \d{6}", got[2][0]) and "hunter" not in got[2][0] and "123456" not in got[2][0]
     assert got[3] == (texts[3], 0) and got[4][0] != texts[4] and got[4][1] == 1
+
+
+def test_full_shapes_and_clashing_columns(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(f"write to {a}@{b}.com", "t", "k", "h") for a in letters for b in letters]
+    docs = spark.createDataFrame(rows, "text string, _tokens string, _KNOWN string, _hk string")
+    out = S.replace_personal_data(docs)
+    assert out.columns == [*docs.columns, "n_entities"]
+    got = [r["text"].removeprefix("write to ") for r in out.collect()]
+    assert len(set(got)) == 676 and not set(got) & {r[0].removeprefix("write to ") for r in rows}
+    assert out.where("_tokens = 't' and _KNOWN = 'k' and _hk = 'h' and n_entities = 1").count() == 676

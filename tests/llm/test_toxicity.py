@@ -74,3 +74,13 @@ def test_one_label_only(spark, label):
     got = T.toxicity(docs, labels).collect()
     assert len(got) == 2 and all((r["score"] > 0.5) == (label == 1) for r in got)
     assert T.toxicity(docs.limit(0), labels).count() == 0 and T.toxicity(docs, labels.limit(0)).count() == 2
+
+
+def test_labels_without_documents_take_no_place_in_the_sample(spark, corpus):
+    rows, labels = corpus
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels + [(i, i % 2) for i in range(10_000, 14_000)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in T.toxicity(docs, known, max_toxic=60, max_clean=120).collect()}
+    assert sum((got[i] >= 0.3) == bool(y) for i, y in labels) >= 0.97 * len(labels)
+    with pytest.raises(ValueError, match="_toxicity"):
+        T.with_toxicity(docs.withColumn("_Toxicity", T.F.lit(1)), known)
