@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cohortlift.llm.jaccard import jaccard_join
 from cohortlift.llm.lines import remove_boilerplate
 from cohortlift.llm.mixing import mix
+from cohortlift.llm.scratch import free
 from cohortlift.llm.tiling import contaminated, tilings
 from cohortlift.llm.toxicity import with_toxicity
 from cohortlift.session import scratch_path
@@ -20,30 +21,43 @@ TOXIC = 0.3
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score TOXIC or more go."""
-    scored = with_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where(F.col("_toxicity") < TOXIC).drop("_toxicity")
+    """Documents that score TOXIC or more go.  A null or empty text scores as a clean one; every row is looked at by itself."""
+    (score,) = free(docs.columns, "_toxicity")
+    scored = with_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), out=score)
+    return scored.where(F.col(score) < TOXIC).drop(score)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines go, but for their first occurrence; every document stays, and ``n_chars`` follows its text."""
-    cleaned = remove_boilerplate(docs, lines_out="_lines", removed_out="_removed")
-    length = F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    """Boilerplate lines go, but for their first occurrence; every document stays, and ``n_chars`` follows its text.
+
+    Null texts, sources and ids are treated as ``remove_boilerplate`` says.
+    """
+    lines, removed = free(docs.columns, "_lines", "_removed")
+    cleaned = remove_boilerplate(docs, lines_out=lines, removed_out=removed)
+    length = F.when(F.col(removed) > 0, F.length("text")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", length.cast("long")).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose five-word shingles are similar by 0.8 or more, directly or over others, the smallest id stays."""
+    """Of documents whose five-word shingles are similar by 0.8 or more, directly or over others, the smallest id stays.
+
+    Documents without words stay, and so do rows without id, which no link names; rows of one id stay or go together.
+    """
+    (gone,) = free(docs.columns, "_gone")
     found = jaccard_join(docs, n=5, num=4, den=5)
-    others = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(others, docs["doc_id"] == others["_gone"], "left_anti")
+    others = found.where("component_id <> doc_id").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(others, docs["doc_id"] == others[gone], "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose tiles cover half of a benchmark item or more go."""
+    """Documents whose tiles cover half of a benchmark item or more go.
+
+    Documents without words stay, and so do rows without id, which no match names; rows of one id stay or go together.
+    """
+    (hit_,) = free(docs.columns, "_hit")
     found = contaminated(tilings(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
-    hit = found.select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, docs["doc_id"] == hit["_hit"], "left_anti")
+    hit = found.select(F.col("doc_id").alias(hit_)).distinct()
+    return docs.join(hit, docs["doc_id"] == hit[hit_], "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
