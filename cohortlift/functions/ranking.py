@@ -122,7 +122,7 @@ def exact_values(
                 F.struct(F.lit(i).alias("at"), F.col(f"b{i}").cast("int").alias("b"), (F.col(f"r{i}") > F.get(F.lit(edges[i]), F.col(f"b{i}").cast("int"))).alias("over"))
                 for i in large
             ])
-            kept = placed.where(F.coalesce(*[F.col(f"r{i}") for i in large]).isNotNull()).select(F.inline(pairs)).where("over IS NOT NULL")
+            kept = placed.select(F.inline(pairs)).where("over IS NOT NULL")
             counts = kept.groupBy("at", "b", "over").agg(F.count("*").alias("n")).collect()
             for i in large:
                 column, above, below = keys[i]

@@ -12,6 +12,7 @@ from cohortlift.functions import scalars as X
 from cohortlift.functions.joins import attach, measured_bytes
 from cohortlift.functions.ranking import MOST_VALUES, dense_codes, exact_medians
 from cohortlift.functions.sql_text import finite
+from cohortlift.operators.profile import frequent_counts
 
 COUNT_LIKE = "[0-9]+회"
 
@@ -107,8 +108,14 @@ def unseen_values(test: DataFrame, vocab: DataFrame, columns: Sequence[str]) ->
 
 
 def merge_rare(df: DataFrame, train: DataFrame, column: str, min_rows: int, other: str = "OTHER") -> DataFrame:
-    """Replace values that the train rows hold fewer than ``min_rows`` times."""
-    counts = train.groupBy(column).agg(F.count("*").alias("_seen")).where(F.col(column).isNotNull())
+    """Replace values that the train rows hold fewer than ``min_rows`` times.
+
+    Where ``min_rows`` exceeds what a value outside of the sketch of frequent ones may have, the sketch's values alone are counted.
+    """
+    counts, bound = frequent_counts(train, column)
+    if min_rows <= bound:
+        counts = train.groupBy(column).agg(F.count("*").alias("n"))
+    counts = counts.where(F.col(column).isNotNull() & (F.col("n") >= min_rows)).withColumnRenamed("n", "_seen")
     kept = F.col(column).isNull() | (F.coalesce(F.col("_seen"), F.lit(0)) >= min_rows)
     joined = attach(df, counts, [column])
     return joined.withColumn(column, F.when(kept, F.col(column)).otherwise(F.lit(other))).drop("_seen")

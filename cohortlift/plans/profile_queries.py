@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortlift import schema as S
 from cohortlift.functions import scalars as X
+from cohortlift.operators import fit as M
 from cohortlift.operators import profile as P
 from cohortlift.plans.base import cycles, query, rounded, split, table, with_cycles
 
@@ -164,6 +165,25 @@ def top_document_sources(spark, sf_dir):
     return P.top_values(table(spark, sf_dir, "documents"), "source", 3)
 
 
+@query(
+    "WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents), c AS (SELECT line, count(*) AS n FROM lines GROUP BY 1) "
+    "SELECT line, n, CAST(n AS DOUBLE) / (SELECT count(*) FROM lines) AS share FROM c ORDER BY n DESC, line LIMIT 5"
+)
+def top_document_lines(spark, sf_dir):
+    """The most frequent lines of all texts: a column of many values, of which a sketch finds the candidates."""
+    lines = table(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.explode(F.split("text", "\n")).alias("line"))
+    return P.top_values(lines, "line", 5)
+
+
+@query(
+    "WITH kept AS (SELECT user_id FROM events GROUP BY 1 HAVING count(*) >= 60) SELECT e.event_id, CASE WHEN e.user_id IS NULL OR k.user_id IS NOT NULL "
+    "THEN CAST(e.user_id AS VARCHAR) ELSE 'OTHER' END AS user_id FROM events e LEFT JOIN kept k ON e.user_id = k.user_id"
+)
+def rare_users_merged(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("user_id"))
+    return M.merge_rare(rows, rows, "user_id", 60)
+
+
 LIFT_TOKENS = {**{t: t for t in S.PROCEDURE_TOKENS}, "repeated": ":"}
 
 

@@ -110,6 +110,22 @@ def test_profile_edge_cases(spark):
     assert P.zero_variance(zero, ["a"]).first()["n_distinct"] == 1
 
 
+def test_frequent_values_are_exact(spark):
+    """300,000 rows of 250,000 values, six of them frequent: the sketch's values are few, their counts and the top are exact."""
+    i = F.col("id")
+    df = spark.range(300_000).select(
+        F.when(i % 7 == 0, F.concat(F.lit("hot"), (i % 6).cast("string"))).when(i % 101 == 1, None).otherwise(F.concat(F.lit("v"), (i % 250_007).cast("string"))).alias("c")
+    )
+    every = df.groupBy("c").count()
+    counts, bound = P.frequent_counts(df, "c", 512)
+    found = counts.collect()
+    assert len(found) <= 512 and spark.createDataFrame(found, counts.schema).exceptAll(every.withColumnRenamed("count", "n")).count() == 0
+    assert every.join(counts, every["c"].eqNullSafe(counts["c"]), "left_anti").agg(F.max("count")).first()[0] <= bound
+    for n in (3, 7, 9):  # the last one reaches the values that all have one row or two
+        want = every.orderBy(F.desc("count"), F.asc_nulls_first("c")).limit(n).collect()
+        assert [(r["c"], r["n"]) for r in P.top_values(df, "c", n, 512).collect()] == [(r["c"], r["count"]) for r in want]
+
+
 def test_search_bins_follow_clustered_scores(spark):
     rows = spark.range(40_000).select(
         (F.rand(3) < 0.3).cast("int").alias("y"), (F.rand(1) * 0.001 + 0.5).alias("n1"), (F.rand(2) * 0.001 + 0.5).alias("n2")
