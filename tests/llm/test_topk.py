@@ -12,18 +12,31 @@ def test_block_equals_brute_force(scale):
     for n, width in ((3, 4), (200, 8), (500, 3)):
         vectors = rng.integers(-9, 10, (n, width)) * scale
         lists = K.Lists(np.arange(n)[::-1].copy(), vectors)
-        for q in (vectors[0], -vectors[1], np.zeros(width, np.int64), vectors[2] * np.array([1] + [0] * (width - 1))):
-            ids, scores, _ = lists.best(n - 1, q, 5)
+        queries = np.stack((vectors[0], -vectors[1], np.zeros(width, np.int64), vectors[2] * np.array([1] + [0] * (width - 1))))
+        found, _ = lists.best(np.full(4, n - 1), queries, 5)
+        for q, (ids, scores) in zip(queries, found):
             want = sorted(((-int(s), int(i)) for i, s in zip(lists.ids, vectors @ q) if i != n - 1))[:5]
             assert [(-int(s), int(i)) for i, s in zip(ids, scores)] == want
 
 
+def test_bounds_hold_and_close_with_depth():
+    rng = np.random.default_rng(9)
+    vectors, queries = rng.integers(-50, 51, (200, 5)), rng.integers(-50, 51, (7, 5))
+    lists, exact, width = K.Lists(np.arange(200), vectors), queries @ vectors.T, None
+    for depth in (1, 40, 120, 200):
+        lower, upper = lists.bounds(queries, depth, np.float64)
+        assert (lower <= exact).all() and (exact <= upper).all()
+        assert width is None or ((upper - lower) <= width).all()
+        width = upper - lower
+    assert not width.any()
+
+
 def test_reading_stops_early():
     rng = np.random.default_rng(2)
     centre = rng.normal(0, 100, 16)
     vectors = np.concatenate((rng.normal(0, 3, (3000, 16)), centre + rng.normal(0, 1, (8, 16)))).round().astype(np.int64)
-    _, _, read = K.Lists(np.arange(len(vectors)), vectors).best(3000, vectors[3000], 5)
-    assert read < 0.5 * vectors.size
+    _, read = K.Lists(np.arange(len(vectors)), vectors).best(np.array([3000]), vectors[3000:3001], 5)
+    assert read <= 0.5 * vectors.size
 
 
 def test_query_equals_brute_force(spark):
@@ -37,7 +50,29 @@ def test_query_equals_brute_force(spark):
     for q in [i for i in good if i % 10 == 0]:
         scored = sorted((-sum(a * b for a, b in zip(good[q], v)), i) for i, v in good.items() if i != q and len(v) == len(good[q]))
         want += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:5], 1)]
-    for sizes in ({}, {"candidates": 50, "queries": 7}):
+    for sizes in ({}, {"candidates": 50, "tasks": 1}, {"candidates": 20, "tasks": 2, "task_rows": 70}):
         got = K.top_k(table, K.F.col("vec_id") % 10 == 0, **sizes).collect()
         assert sorted(map(tuple, got)) == sorted(want)
     assert K.top_k(table.limit(0), K.F.col("vec_id") % 10 == 0).count() == 0
+
+
+def test_extreme_components(spark):
+    rows = [(i, [float(1 << 28), float(i), -3.5]) for i in range(12)]
+    rows += [(20, [1e30, 0.0, 0.0]), (21, [1e308, 1.0, 1.0]), (22, [float(1 << 31), 0.0, 0.0]), (23, [-1.0, 0.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = K.top_k(table, K.F.col("vec_id") % 5 == 0, scale=1, tasks=2).collect()
+    good = {i: [math.floor(x) for x in v] for i, v in rows if i not in (20, 21, 22)}
+    want = []
+    for q in (0, 5, 10):
+        scored = sorted((-sum(a * b for a, b in zip(good[q], v)), i) for i, v in good.items() if i != q)
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:5], 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_a_bar_keeps_ties():
+    rng = np.random.default_rng(8)
+    vectors = rng.integers(-20, 21, (300, 6))
+    lists = K.Lists(np.arange(300), vectors)
+    ((ids, scores),), _ = lists.best(np.array([3]), vectors[3:4], 5)
+    ((again, same),), _ = lists.best(np.array([3]), vectors[3:4], 5, scores[-1:])
+    assert again.tolist() == ids.tolist() and same.tolist() == scores.tolist()
