@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlift.llm import words as W
-from cohortlift.llm.scratch import lean
+from cohortlift.llm.scratch import lean, table
 from cohortlift.session import materialise
 
 MIN_MATCH, MIN_COVERAGE, BLOCK_WORDS = 5, 0.5, 1 << 20
@@ -146,6 +146,8 @@ def tilings(
 
     ``tiles`` are word positions.  Null or empty texts and items of fewer than ``min_match`` words share nothing; repeated
     rows of a document are tiled each, a repeated item id stands for each of its texts.  Other columns are not looked at.
+    The benchmark is sent in blocks of about ``block_words`` words, an item of more words as a block of its own; with more than one
+    block, each scan of the documents is written before the next block is sent.
     """
     spark = docs.sparkSession
     items = materialise(
@@ -156,18 +158,24 @@ def tilings(
         .where(F.col("n") >= min_match),
         "items",
     )
-    total, longest = items.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    if longest > block_words:
-        raise ValueError(f"an item of {longest} words does not fit into a block of {block_words}")
+    long = F.col("n") > block_words
+    total, n_long = items.agg(F.coalesce(F.sum(F.when(~long, F.col("n"))), F.lit(0)), F.count_if(long)).first()
     source = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).cast("string").alias("t")).where("t IS NOT NULL")
     # Twice as many blocks as the words ask for, as the hash deals them unevenly.
     count = 1 if total <= block_words else 2 * -(-total // block_words)
+    name = F.xxhash64("item_id", "words")
+    parts = [~long & (F.pmod(name, F.lit(count)) == b) for b in range(count)]
+    parts += [long & (name == r[0]) for r in items.where(long).select(name).distinct().collect()] if n_long else []
     scans = []
-    for b in range(count):
-        block = items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(count)) == b).sort("item_id", "words").collect()
-        if block:
-            sent = spark.sparkContext.broadcast(Seeds([(r["item_id"], bytes(r["words"])) for r in block], min_match))
-            scans.append(source.mapInArrow(lean(_scan, seeds=sent), SCHEMA))
+    for part in parts:
+        block = items.where(part).sort("item_id", "words").collect()
+        if not block:
+            continue
+        sent = spark.sparkContext.broadcast(Seeds([(r["item_id"], bytes(r["words"])) for r in block], min_match))
+        scans.append(source.mapInArrow(lean(_scan, seeds=sent), SCHEMA))
+        if len(parts) > 1:  # one block at a time lies in memory
+            scans[-1] = table(scans[-1], "tiles")
+            sent.destroy()
     return reduce(DataFrame.union, scans) if scans else spark.createDataFrame([], SCHEMA)
 
 
