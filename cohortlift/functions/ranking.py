@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from cohortlift.functions.scalars import num
 
 N_BUCKETS = 1024
+BUCKET_VALUES, MOST_BUCKETS = 65_536, 65_536
+
+
+def buckets_for(values: int) -> int:
+    """As many buckets as leave about BUCKET_VALUES values in each; MOST_BUCKETS at most, as their edges go to the driver."""
+    return max(1, min(MOST_BUCKETS, -(-values // BUCKET_VALUES)))
 
 
 def quantile_buckets(
@@ -25,6 +31,8 @@ def quantile_buckets(
     The driver receives at most ``n`` edges per column.  Equal values share a bucket.
     """
     names = list(columns)
+    if n <= 1:
+        return df.select("*", *[F.lit(0).alias(b) for b in columns.values()])
     probabilities = [i / n for i in range(1, n)]
     edges = (df if fit_on is None else fit_on).approxQuantile(names, probabilities, 1.0 / (2 * n))
     out = df

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from cohortlift.functions import scalars as X
 from cohortlift.functions.joins import attach
-from cohortlift.functions.ranking import N_BUCKETS, quantile_buckets, running_total
+from cohortlift.functions.ranking import buckets_for, quantile_buckets, running_total
+from cohortlift.session import materialise
 
 
 def _pairs_won(groups: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -28,18 +29,19 @@ def _pairs_won(groups: DataFrame, by: Sequence[str]) -> DataFrame:
     return out.withColumn("auc", F.when(pairs > 0, F.col("_won") / pairs)).drop("_won")
 
 
-def auc(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (), n: int = N_BUCKETS) -> DataFrame:
+def auc(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (), n: int | None = None) -> DataFrame:
     """Exact ROC-AUC with ties as ``(by..., n_pos, n_neg, auc)``; NULL when a class is absent.
 
-    Rows shrink to distinct scores before they move, scores are ordered within quantile buckets, and only
-    bucket totals are ordered per group.
+    Rows shrink to distinct scores before they move; these are stored once, ordered within quantile buckets (as many as their
+    number asks for, or ``n``), and only bucket totals are ordered per group.
     """
     rows = df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
     rows = rows.select(*by, F.col(p).cast("double").alias("p"), F.col(y).cast("int").alias("y"))
     scores = rows.groupBy(*by, "p").agg(
         F.sum("y").cast("bigint").alias("pos"), F.sum(1 - F.col("y")).cast("bigint").alias("neg")
     )
-    bucketed = quantile_buckets(scores, {"p": "bucket"}, n, fit_on=rows)
+    scores = materialise(scores, "scores")
+    bucketed = quantile_buckets(scores, {"p": "bucket"}, n or buckets_for(scores.count()))
     inner = Window.partitionBy(*by, "bucket").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("neg").over(inner), F.lit(0))
     won = F.col("pos") * (below + F.col("neg") / 2)
@@ -50,7 +52,7 @@ def auc(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (), n: in
     )
     if by:
         return _pairs_won(groups, by)
-    # One group: at most ``n`` bucket rows meet in its window.
+    # One group: only its bucket rows meet in its window.
     return _pairs_won(groups.withColumn("_all", F.lit(0)), ["_all"]).drop("_all")
 
 
@@ -195,18 +197,21 @@ def search_weights(
 
 
 def rank_normalise(
-    df: DataFrame, p: str = "p", by: Sequence[str] = (), out: str = "rank_p", n: int = N_BUCKETS
+    df: DataFrame, p: str = "p", by: Sequence[str] = (), out: str = "rank_p", n: int | None = None
 ) -> DataFrame:
-    """Average rank over the number of rows with a score, within ``by``; NULL where ``p`` is NULL."""
+    """Average rank over the number of rows with a score, within ``by``; NULL where ``p`` is NULL.
+
+    The distinct scores are stored once, and all that follows reads them.
+    """
     groups = list(by) or ["_all"]
     scored = (df if by else df.withColumn("_all", F.lit(0))).where(F.col(p).isNotNull())
-    counts = scored.groupBy(*groups, p).agg(F.count("*").alias("_n"))
-    bucketed = quantile_buckets(counts, {p: "_bucket"}, n, fit_on=scored)
+    counts = materialise(scored.groupBy(*groups, p).agg(F.count("*").alias("_n")), "scores")
+    bucketed = quantile_buckets(counts, {p: "_bucket"}, n or buckets_for(counts.count()))
     ranked = running_total(bucketed, groups, "_bucket", [p], F.col("_n"), "_before").select(*groups, p, "_n", "_before")
     if by:
         sized = attach(ranked, counts.groupBy(*groups).agg(F.sum("_n").alias("_size")), groups)
     else:
-        sized = ranked.withColumn("_size", F.lit(scored.count()))
+        sized = ranked.withColumn("_size", F.lit(counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]))
     rank = (F.col("_before") + (F.col("_n") + 1) / 2) / F.col("_size")
     return attach(df, sized.select(*by, p, rank.alias(out)), [*by, p])
 
