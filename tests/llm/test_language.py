@@ -32,6 +32,41 @@ def test_gradients():
             assert (high - low) / (2 * step) == pytest.approx(grad[at], rel=0.05, abs=5e-3)
 
 
+def by_hand(net, text):
+    """Mean probabilities of the bytes of letters of a text, one byte after the other."""
+    raw, h = text.encode(), net.out.shape[1] // 2
+    total, letters = np.zeros(len(net.langs)), 0
+
+    def states(d, codes):
+        state, out = np.zeros(h), []
+        for c in codes:
+            x, a = d.x[c].astype(float), d.u @ state
+            z, r = (np.clip(0.5 + 0.25 * (a[k * h : (k + 1) * h] + x[k * h : (k + 1) * h]), 0, 1) for k in (0, 1))
+            cand = np.clip(r * (a[2 * h :] + d.b[:, 0]) + x[2 * h :], -1, 1)
+            state = z * state + (1 - z) * cand
+            out.append(state)
+        return out
+
+    for lo in range(0, len(raw), G.WINDOW):
+        codes = list(raw[lo : lo + G.WINDOW])
+        codes += [32] * (G.WINDOW - len(codes))
+        ahead, behind = states(net.forward, codes), states(net.backward, codes[::-1])[::-1]
+        for k, c in enumerate(raw[lo : lo + G.WINDOW]):
+            if G.LETTERS[c]:
+                e = net.out @ np.concatenate((ahead[k], behind[k])) + net.bias[:, 0]
+                total += np.exp(e - e.max()) / np.exp(e - e.max()).sum()
+                letters += 1
+    return total / max(1, letters)
+
+
+def test_pooled_labels_equal_single_bytes():
+    net = G.fit([sentence(lang, i, 20) for lang in WORDS for i in range(6)], [lang for lang in WORDS for _ in range(6)], steps=20)
+    texts = ["the water", "", "12 ?!", "дом вода и над " * 9, sentence("bb", 3, 40), "x" * G.WINDOW, "x" * (G.WINDOW + 1)]
+    raw, offsets = G.W.text_buffer(G.pa.array(texts))
+    got = G.pooled(net, raw, offsets)
+    assert got == pytest.approx(np.array([by_hand(net, t) for t in texts]), abs=1e-4)
+
+
 def test_held_out_accuracy(spark):
     rows = [(i, sentence(lang, i, 3 + i % 30), lang, "x") for i, lang in enumerate(list(WORDS) * 60)]
     extra = [(1000, None, "aa", ""), (1001, "", None, ""), (1002, "12 ?! 3", "bb", ""), (1003, sentence("cc", 1, 8000), None, ""), (None, "water house", None, ""), (0, rows[0][1], "aa", "")]
