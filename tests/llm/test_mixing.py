@@ -69,6 +69,18 @@ def test_the_mix_holds_the_words(spark, docs):
         assert sorted(words) == sorted(w for t in texts for w in t.split())
 
 
+def test_words_taken_of_each_document_are_those_in_the_slots(spark):
+    from collections import Counter
+
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(1 + i * 5 % 37)), "abcd"[i % 4] if i % 9 else None) for i in range(120)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = {r["doc_id"]: r["taken"] for r in M.taken_words(table, block_words=16, shard_slots=50).collect()}
+    slots = M.mix(table, block_words=16, shard_slots=50).collect()
+    found = Counter(int(w[1:].split("w")[0]) for s in slots for w in s["text"].split())
+    assert got == {i: found[i] for i, *_ in rows}
+    assert all({int(w[1:].split("w")[0]) for w in s["text"].split()} == set(s["doc_ids"]) for s in slots)
+
+
 def test_no_rows_and_no_words(spark, docs):
     assert M.taken_words(docs.limit(0)).count() == 0 and M.mix(docs.limit(0)).count() == 0
     empty = docs.where("doc_id in (900, 901, 902)")
