@@ -25,7 +25,7 @@ from cohortlift.llm.components import components
 from cohortlift.llm.scratch import discard, lean, release, table
 
 #: n-grams and rows of a block, keys that a task strings at once, columns of a dense product, index pairs added at once.
-BLOCK_GRAMS, BLOCK_ROWS, KEYS_AT_ONCE, DENSE_COLUMNS, PAIRS_AT_ONCE = 1 << 20, 1024, 1 << 21, 2048, 1 << 20
+BLOCK_GRAMS, BLOCK_ROWS, KEYS_AT_ONCE, DENSE_COLUMNS, PAIRS_AT_ONCE = 1 << 22, 2048, 1 << 21, 2048, 1 << 20
 
 
 @lru_cache
@@ -248,9 +248,12 @@ def _multiply(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) ->
 
 def _blocks(members: DataFrame, block_grams: int, block_rows: int) -> DataFrame:
     """Deal the rows of each cluster to blocks: the whole cluster, or pairs of buckets of neighbouring size classes."""
-    load = lambda: F.greatest(F.ceil(F.sum("n") / block_grams), F.ceil(F.count("*") / block_rows)).cast("int")
-    per_class = members.groupBy("cluster", "cls").agg(load().alias("nb"))
-    whole = members.groupBy("cluster").agg(load().alias("all_nb"))
+    def load(parts: int):
+        return F.greatest(F.ceil(parts * F.sum("n") / block_grams), F.ceil(parts * F.count("*") / block_rows)).cast("int")
+
+    # Two buckets, of one class or of two neighbouring ones, fit a block.
+    per_class = members.groupBy("cluster", "cls").agg(load(2).alias("nb"))
+    whole = members.groupBy("cluster").agg(load(1).alias("all_nb"))
     near = [
         per_class.select("cluster", (F.col("cls") + step).alias("cls"), F.col("nb").alias(name))
         for step, name in ((-1, "nb_up"), (1, "nb_down"))
@@ -260,16 +263,18 @@ def _blocks(members: DataFrame, block_grams: int, block_rows: int) -> DataFrame:
     large = out.where("all_nb > 1").join(per_class, ["cluster", "cls"])
     for table in near:
         large = large.join(table, ["cluster", "cls"], "left")
-    # Within a class, buckets are twice as many and half as large, since two of them meet in a block.
-    count = lambda c: 2 * F.coalesce(F.col(c), F.lit(0))
-    upto = lambda c: F.when(count(c) > 0, F.sequence(F.lit(0), count(c) - 1)).otherwise(F.array().cast("array<int>"))
+    # The blocks that a class of one bucket shares with a neighbouring class pair its own rows as well.
+    count = lambda c: F.coalesce(F.col(c), F.lit(0))
+    none = F.array().cast("array<int>")
+    upto = lambda c: F.when(count(c) > 0, F.sequence(F.lit(0), count(c) - 1)).otherwise(none)
+    met = (F.col("nb") == 1) & (F.col("nb_up").isNotNull() | F.col("nb_down").isNotNull())
     large = large.withColumn("i", F.pmod(F.xxhash64("doc"), count("nb")).cast("int"))
     name = lambda c, i, d, j: F.xxhash64(F.col("cluster"), c, i, d, j)
     cls, i = F.col("cls"), F.col("i")
     large = large.select(
         "doc",
         F.concat(
-            F.transform(upto("nb"), lambda j: name(cls, F.least(i, j), cls, F.greatest(i, j))),
+            F.transform(F.when(met, none).otherwise(upto("nb")), lambda j: name(cls, F.least(i, j), cls, F.greatest(i, j))),
             F.transform(upto("nb_up"), lambda j: name(cls, i, cls + 1, j)),
             F.transform(upto("nb_down"), lambda j: name(cls - 1, j, cls, i)),
         ).alias("blocks"),
@@ -342,10 +347,10 @@ def jaccard_join(
     discard(clusters)
     discard(strings)
     dealt = _blocks(member, block_grams, block_rows)
-    # A task gets a few blocks' worth of n-grams, however many there are.
+    # A task gets about a block of n-grams, however many there are.
     load = dealt.join(member.select("doc", "n"), "doc").agg(F.sum(F.size("blocks") * F.col("n"))).first()[0] or 0
     blocks = known.join(dealt, "doc").select(F.explode("blocks").alias("block"), "doc", "text")
-    blocks = blocks.repartition(max(8, -(-load // (4 * block_grams))), "block")
+    blocks = blocks.repartition(max(8, -(-load // block_grams)), "block")
     links = blocks.sortWithinPartitions("block", "doc").mapInArrow(
         lean(_multiply, n=n, num=num, den=den), "a long, b long"
     )
