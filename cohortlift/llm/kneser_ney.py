@@ -1,10 +1,12 @@
 """Interpolated modified Kneser-Ney language model: counted in Spark, stored as sorted hash arrays, read by memory map.
 
 Tokens are the words of a text (runs without blanks, A-Z lower-cased) and one end; a text is preceded by ``order - 1``
-begins.  An n-gram is named by a 64-bit hash, and a shard holds a range of names.  Tasks count the n-grams of their rows and
-send each shard one packed block of sorted counts.  A shard adds its blocks, writes its n-grams to the shared folder as a
-sorted array of hashes and one of counts, and sends on what lower orders need: distinct predecessors of the shorter
-n-grams, and for each context its total and its numbers of followers seen once, twice and more often.
+begins.  The words are counted first: a shard holds a range of their 64-bit hashes, sorted, and a word's number is its place
+over all shards, which takes four bytes up to 2^32 words.  An n-gram is named by a hash of its words' numbers.  Tasks count
+the n-grams of their rows and send each shard one packed block of numbers and sorted counts.  An n-gram goes to the shard of
+its context, the words before the last one, so a shard has all followers of its contexts: it adds its blocks, writes its n-grams
+to the shared folder as a sorted array of names and one of counts, and beside them for each context its total and its numbers of
+followers seen once, twice and more often.  What it sends on are the distinct predecessors of the shorter n-grams.
 
 Workers map the arrays and look up sorted batches.  ``spark.checkpoint.dir`` must therefore be a folder that driver and
 executors have mounted; the arrays grow with the corpus, their maps take no memory that the system can't reclaim.
@@ -25,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlift.llm import words as W
-from cohortlift.llm.scratch import lean
+from cohortlift.llm.scratch import discard, lean, release, table
 from cohortlift.session import scratch_path
 
 ORDER, TOKENS_AT_ONCE, SHARDS, SHARD_BYTES = 2, 1 << 22, 16, 32 << 20
-_GRAMS, _CONTEXTS = 1, 2
+_GRAMS, _WORDS = 1, 2
+FOLLOWERS = ("t", "f1", "f2", "f3")  # a context's total, and its followers seen once, twice and more often
 _END, _BEGIN = (W.mix(np.array([k], np.uint64))[0] for k in (0xE17D, 0xBE61))
 
 
@@ -56,12 +59,12 @@ def token_stream(column: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def name(tokens: list[np.ndarray]) -> np.ndarray:
-    """Hash of the n-grams whose k-th words are ``tokens[k]``; of one word, the word's."""
-    if len(tokens) == 1:
+    """Hash of the n-grams whose k-th words are ``tokens[k]``; a hash stands for itself."""
+    if len(tokens) == 1 and tokens[0].dtype == np.uint64:
         return tokens[0]
     total = np.full(len(tokens[0]), np.uint64(len(tokens)), np.uint64)
     for step, t in zip(W._STEP, tokens):
-        total += t * step
+        total += t.astype(np.uint64) * step
     return W.mix(total)
 
 
@@ -71,7 +74,7 @@ def _add(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndar
     order = np.argsort(names, kind="stable")
     names = names[order]
     new = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1]))) if len(names) else np.zeros(0, np.int64)
-    add = lambda v: np.add.reduceat(v[order], new) if len(new) else v
+    add = lambda v: np.add.reduceat(v[order], new, dtype=np.uint64) if len(new) else v.astype(np.uint64)
     return [k[order][new] for k in keys], [add(v) for v in values], names[new]
 
 
@@ -79,37 +82,98 @@ def _part(names: np.ndarray, shards: int) -> np.ndarray:
     return (((names >> np.uint64(40)) * np.uint64(shards)) >> np.uint64(24)).astype(np.int64)
 
 
-def _send(kind: int, keys: list[np.ndarray], values: list[np.ndarray], names: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
-    """One block of 8-byte columns for each shard that has rows, ordered by first word, which packs well."""
-    part = _part(names, shards)
-    order = np.lexsort((keys[0], part))
-    columns = [c[order].astype(np.uint64) for c in (*keys, *values)]
+def _kinds(kind: int, k: int, number: str) -> list[str]:
+    """Column types of a block: an n-gram's words and count; a word's hash and count."""
+    return {_GRAMS: [number] * k + ["u4"], _WORDS: ["u8", "u4"]}[kind]
+
+
+def _owner(keys: list[np.ndarray]) -> np.ndarray:
+    """Name of the context, whose shard has the n-gram; a single word's own."""
+    return name(keys[:-1] or keys)
+
+
+def _send(kind: int, columns: list[np.ndarray], owners: np.ndarray, shards: int, types: list[str]) -> Iterator[pa.RecordBatch]:
+    """One block of packed columns for each shard that has rows, ordered by the first one, which packs well."""
+    part = _part(owners, shards)
+    order = np.lexsort((columns[0], part))
+    columns = [c[order].astype(t) for c, t in zip(columns, types)]
     edges = np.searchsorted(part[order], np.arange(shards + 1))
     for p in np.flatnonzero(np.diff(edges)):
         data = b"".join(c[edges[p] : edges[p + 1]].tobytes() for c in columns)
         yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([kind], pa.int32()), pa.array([data], pa.binary())], ["part", "kind", "data"])
 
 
-def _count(batches: Iterator[pa.RecordBatch], order: int, shards: int) -> Iterator[pa.RecordBatch]:
+def _unpack(data: pa.Scalar, types: list[str]) -> list[np.ndarray]:
+    buffer, sizes = data.as_buffer(), [np.dtype(t).itemsize for t in types]
+    n, at, out = len(buffer) // sum(sizes), 0, []
+    for t, size in zip(types, sizes):
+        out.append(np.frombuffer(buffer, t, n, at))
+        at += n * size
+    return out
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], k: int, number: str) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """(kind, shard, columns) of all blocks of a shard together."""
+    blocks: dict[tuple[int, int], list[list[np.ndarray]]] = {}
+    for batch in batches:
+        for part, kind, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            blocks.setdefault((kind, part), []).append(_unpack(data, _kinds(kind, k, number)))
+    for (kind, part), found in sorted(blocks.items(), key=lambda b: b[0]):
+        columns = [np.concatenate(c) for c in zip(*found)]
+        found.clear()
+        yield kind, part, columns
+
+
+def _count_words(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of the words' counts, over runs of about TOKENS_AT_ONCE tokens."""
+    held: list[np.ndarray] = []
+
+    def flush():
+        if held:
+            words, counts = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            yield from _send(_WORDS, [words, counts], words, shards, _kinds(_WORDS, 1, "u4"))
+
+    size = 0
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):
+            held.append(token_stream(batch.column(0).slice(lo, 256), 1)[0])
+            size += len(held[-1])
+            if size >= TOKENS_AT_ONCE:
+                yield from flush()
+                size = 0
+    yield from flush()
+
+
+def _save_words(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    for _, part, (words, counts) in _blocks(batches, 1, "u4"):
+        order = np.argsort(words)
+        words, counts = words[order], counts[order]
+        new = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
+        total = np.add.reduceat(counts, new, dtype=np.uint64)
+        _save(folder, "words", part, {"hash": words[new], "total": total}, {"n": len(new), "total": int(total.sum())})
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32())], ["part"])
+
+
+def _count(batches: Iterator[pa.RecordBatch], order: int, shards: int, words: Words) -> Iterator[pa.RecordBatch]:
     """Blocks of the n-grams of highest order, counted over runs of about TOKENS_AT_ONCE tokens."""
     held: list[np.ndarray] = []
 
     def flush():
         if held:
-            words = list(np.concatenate(held, 1))
+            grams = list(np.concatenate(held, 1))
             held.clear()
-            keys, (c,), names = _add(words, [np.ones(len(words[0]), np.uint64)])
-            yield from _send(_GRAMS, keys, [c, c], names, shards)
+            keys, (c,), _ = _add(grams, [np.ones(len(grams[0]), np.uint32)])
+            yield from _send(_GRAMS, [*keys, c], _owner(keys), shards, _kinds(_GRAMS, order, words.type))
 
     size = 0
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
             tokens, offsets = token_stream(batch.column(0).slice(lo, 256), order)
-            real = np.ones(len(tokens), bool)
-            for k in range(order - 1):
-                real[offsets[:-1] + k] = False
+            real = _real(offsets, order)
+            numbers = words.numbers(tokens, real)
             at = np.flatnonzero(real)
-            held.append(np.stack([tokens[at - order + 1 + k] for k in range(order)]))
+            held.append(np.stack([numbers[at - order + 1 + k] for k in range(order)]))
             size += len(at)
             if size >= TOKENS_AT_ONCE:
                 yield from flush()
@@ -117,6 +181,14 @@ def _count(batches: Iterator[pa.RecordBatch], order: int, shards: int) -> Iterat
     yield from flush()
 
 
+def _real(offsets: np.ndarray, order: int) -> np.ndarray:
+    """Where a stream holds tokens and no begins."""
+    real = np.ones(offsets[-1], bool)
+    for k in range(order - 1):
+        real[offsets[:-1] + k] = False
+    return real
+
+
 def _save(folder: str, kind: str, part: int, arrays: dict[str, np.ndarray], stats: dict) -> None:
     """Write a shard's arrays; a retry replaces them."""
     os.makedirs(folder, exist_ok=True)
@@ -130,44 +202,32 @@ def _save(folder: str, kind: str, part: int, arrays: dict[str, np.ndarray], stat
     os.replace(f"{base}.json.{attempt}", f"{base}.json")
 
 
-def _counts(c: np.ndarray) -> dict[str, np.ndarray]:
+def _counts(label: str, c: np.ndarray) -> dict[str, np.ndarray]:
     """A byte for each count; those of 255 and more stand in arrays of their own."""
     big = np.flatnonzero(c >= 255)
-    return {"c": np.minimum(c, 255).astype(np.uint8), "at": big.astype(np.uint64), "big": c[big].astype(np.uint64)}
+    return {label: np.minimum(c, 255).astype(np.uint8), f"{label}_at": big.astype(np.uint64), f"{label}_big": c[big].astype(np.uint64)}
 
 
 def _of_counts(c: np.ndarray) -> list[int]:
     return [int((c == k).sum()) for k in (1, 2, 3, 4)]
 
 
-def _level(batches: Iterator[pa.RecordBatch], k: int, folder: str, shards: int) -> Iterator[pa.RecordBatch]:
-    """Write a shard's n-grams of order ``k`` and contexts of order ``k + 1``; send on what order ``k - 1`` needs."""
-    blocks: dict[tuple[int, int], list[np.ndarray]] = {}
-    width = {_GRAMS: k + 2, _CONTEXTS: 5}
-    for batch in batches:
-        for part, kind, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            block = np.frombuffer(data.as_buffer(), np.uint64)
-            blocks.setdefault((kind, part), []).append(block.reshape(width[kind], -1))
-    for (kind, part), found in sorted(blocks.items()):
-        columns = list(np.concatenate(found, 1))
-        found.clear()
-        if kind == _CONTEXTS:
-            _, values, names = _add(columns[:1], columns[1:])
-            arrays = {"hash": names, "t": values[0]} | {f"f{i}": v.astype(np.uint32) for i, v in enumerate(values[1:], 1)}
-            _save(folder, f"contexts{k + 1}", part, arrays, {"n": len(names)})
-            continue
-        keys, (c, total), names = _add(columns[:k], columns[k:])
+def _level(batches: Iterator[pa.RecordBatch], k: int, folder: str, shards: int, number: str) -> Iterator[pa.RecordBatch]:
+    """Write a shard's n-grams of order ``k`` and their contexts; send on what order ``k - 1`` needs."""
+    for _, part, columns in _blocks(batches, k, number):
+        keys, (c,), names = _add(columns[:k], columns[k:])
         del columns
-        stats = {"n": len(names), "of": _of_counts(c), "c": int(c.sum()), "total": int(total.sum())}
+        stats = {"n": len(names), "of": _of_counts(c), "c": int(c.sum())}
+        _save(folder, f"grams{k}", part, {"hash": names, **_counts("c", c)}, stats)
         if k == 1:
-            _save(folder, "grams1", part, {"hash": names, "n": c, "total": total}, stats)
             continue
-        _save(folder, f"grams{k}", part, {"hash": names, **_counts(c)}, stats)
-        one = np.ones(len(c), np.uint64)
-        context, values, names = _add([name(keys[:-1])], [c, *(f.astype(np.uint64) for f in (c == 1, c == 2, c > 2))])
-        yield from _send(_CONTEXTS, context, values, names, shards)
-        shorter, values, names = _add(keys[1:], [one, total])
-        yield from _send(_GRAMS, shorter, values, names, shards)
+        _, values, contexts = _add([name(keys[:-1])], [c, *(f.astype(np.uint32) for f in (c == 1, c == 2, c > 2))])
+        arrays = {"hash": contexts}
+        for label, v in zip(FOLLOWERS, values):
+            arrays |= _counts(label, v)
+        _save(folder, f"contexts{k}", part, arrays, {"n": len(contexts)})
+        shorter, values, _ = _add(keys[1:], [np.ones(len(c), np.uint32)])
+        yield from _send(_GRAMS, [*shorter, *values], _owner(shorter), shards, _kinds(_GRAMS, k - 1, number))
 
 
 class Arrays:
@@ -180,28 +240,41 @@ class Arrays:
     def __getstate__(self):
         return {**self.__dict__, "open": {}}
 
-    def stats(self) -> list[dict]:
-        paths = (f"{self.folder}/{self.kind}-{part:06d}.json" for part in range(self.shards))
-        found = []
-        for path in paths:
+    def stats(self) -> dict[int, dict]:
+        found = {}
+        for part in range(self.shards):
+            path = f"{self.folder}/{self.kind}-{part:06d}.json"
             if os.path.exists(path):
                 with open(path) as text:
-                    found.append(json.load(text))
+                    found[part] = json.load(text)
         return found
 
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of sorted hashes in their shards, -1 for one that is not there."""
+        out = np.full(len(hashes), -1, np.int64)
+        edges = np.searchsorted(_part(hashes, self.shards), np.arange(self.shards + 1))
+        for part in np.flatnonzero(np.diff(edges)):
+            have = self._map(int(part))
+            if have is not None:
+                own = hashes[edges[part] : edges[part + 1]]
+                at = np.minimum(np.searchsorted(have["hash"], own), len(have["hash"]) - 1)
+                out[edges[part] : edges[part + 1]] = np.where(have["hash"][at] == own, at, -1)
+        return out
+
     def _map(self, part: int) -> dict[str, np.ndarray] | None:
         if part not in self.open:
             base = f"{self.folder}/{self.kind}-{part:06d}"
-            kinds = {"hash": "u8", **self.values} | ({"at": "u8", "big": "u8"} if self.values.get("c") == "u1" else {})
+            kinds = {"hash": "u8", **self.values}
+            kinds |= {f"{v}_{more}": "u8" for v, t in self.values.items() if t == "u1" for more in ("at", "big")}
             load = lambda path, t: np.memmap(path, t, "r") if os.path.getsize(path) else np.zeros(0, t)
             there = os.path.exists(f"{base}.json")
             self.open[part] = {v: load(f"{base}.{v}", t) for v, t in kinds.items()} if there else None
         return self.open[part]
 
-    def look_up(self, hashes: np.ndarray) -> list[np.ndarray]:
-        """Values of sorted hashes, 0 for one that is not there."""
+    def look_up(self, hashes: np.ndarray, parts: np.ndarray) -> list[np.ndarray]:
+        """Values of hashes that are in order of their shards ``parts``, and sorted in each; 0 for one that is not there."""
         out = [np.zeros(len(hashes), np.int64) for _ in self.values]
-        edges = np.searchsorted(_part(hashes, self.shards), np.arange(self.shards + 1))
+        edges = np.searchsorted(parts, np.arange(self.shards + 1))
         for part in np.flatnonzero(np.diff(edges)):
             have = self._map(int(part))
             if have is None:
@@ -212,19 +285,41 @@ class Arrays:
             at = at[hit]
             for o, v in zip(out, self.values):
                 found = have[v][at].astype(np.int64)
-                if "big" in have and len(have["big"]):
+                if len(have.get(f"{v}_big", ())):
                     full = np.flatnonzero(found == 255)
-                    found[full] = have["big"][np.searchsorted(have["at"], at[full].astype(np.uint64))]
+                    found[full] = have[f"{v}_big"][np.searchsorted(have[f"{v}_at"], at[full].astype(np.uint64))]
                 o[lo:hi][hit] = found
         return out
 
 
+class Words:
+    """The vocabulary: a word's number is its place in the order of the hashes."""
+
+    def __init__(self, arrays: Arrays):
+        sizes = np.zeros(arrays.shards, np.int64)
+        for part, stats in arrays.stats().items():
+            sizes[part] = stats["n"]
+        self.arrays, self.offsets = arrays, np.concatenate(([0], np.cumsum(sizes)))
+        self.size = int(self.offsets[-1])
+        self.unknown, self.begin = self.size, self.size + 1
+        self.type = "u4" if self.begin < 1 << 32 else "u8"
+
+    def numbers(self, tokens: np.ndarray, real: np.ndarray) -> np.ndarray:
+        """Numbers of a stream's tokens; begins stand where it is not ``real``."""
+        words, place = np.unique(tokens, return_inverse=True)
+        found = self.arrays.places(words)
+        shard = _part(words, self.arrays.shards)
+        numbers = np.where(found >= 0, self.offsets[shard] + found, self.unknown)
+        return np.where(real, numbers[place], self.begin).astype(self.type)
+
+
 @dataclass
 class Model:
     order: int
+    words: Words  # with their counts
     grams: list[Arrays]  # of order 2 and up: count or continuation count
     contexts: list[Arrays]  # of order 1 and up: total and followers with counts 1, 2, 3 and more
-    unigrams: Arrays  # distinct predecessors and count
+    unigrams: Arrays  # distinct predecessors
     discounts: list[tuple[float, float, float]]  # of order 1 and up
     predecessors: int  # sum of the unigrams' continuation counts
     followers: tuple[int, int, int]  # unigrams of continuation count 1, 2, 3 and more
@@ -234,21 +329,21 @@ class Model:
     def score(self, tokens: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         """Number of tokens, of known ones, log10 by counts plus one and by the model, of each text."""
         pad = self.order - 1
-        real = np.ones(len(tokens), bool)
-        for k in range(pad):
-            real[offsets[:-1] + k] = False
+        real = _real(offsets, self.order)
+        numbers = self.words.numbers(tokens, real)
         at = np.flatnonzero(real)
         doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets) - pad)
         sums = lambda x: np.bincount(doc, x, len(offsets) - 1)
-        n1, count = self._at(self.unigrams, tokens[at])
+        (count,) = self._at(self.words.arrays, tokens[at])
+        (n1,) = self._at(self.unigrams, name([numbers[at]]))
         base = np.log10((count + 1.0) / (self.tokens + self.vocabulary + 1.0))
         total = max(1, self.predecessors)
         d = np.array((0.0, *self.discounts[0]))
         rest = sum(a * b for a, b in zip(self.discounts[0], self.followers)) / total if self.predecessors else 1.0
         p = np.maximum(n1 - d[np.minimum(n1, 3)], 0) / total + rest / (self.vocabulary + 1)
         for k in range(2, self.order + 1):
-            words = [tokens[at - k + 1 + j] for j in range(k)]
-            (c,) = self._at(self.grams[k - 2], name(words))
+            words = [numbers[at - k + 1 + j] for j in range(k)]
+            (c,) = self._at(self.grams[k - 2], name(words), _owner(words))
             total, f1, f2, f3 = self._at(self.contexts[k - 2], name(words[:-1]))
             d1, d2, d3 = self.discounts[k - 1]
             d = np.array((0.0, d1, d2, d3))
@@ -259,13 +354,15 @@ class Model:
         return n, sums((count > 0).astype(float)).astype(np.int64), sums(base), sums(np.log10(p))
 
     @staticmethod
-    def _at(arrays: Arrays, hashes: np.ndarray) -> list[np.ndarray]:
-        order = np.argsort(hashes)
-        ordered = hashes[order]
-        new = np.concatenate(([True], ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, bool)
+    def _at(arrays: Arrays, hashes: np.ndarray, owners: np.ndarray | None = None) -> list[np.ndarray]:
+        """Values of each hash, in the shard of its owner (its own one)."""
+        parts = _part(hashes if owners is None else owners, arrays.shards)
+        order = np.lexsort((hashes, parts))
+        ordered, at = hashes[order], parts[order]
+        new = np.concatenate(([True], (ordered[1:] != ordered[:-1]) | (at[1:] != at[:-1]))) if len(ordered) else np.zeros(0, bool)
         place = np.cumsum(new) - 1
         out = []
-        for values in arrays.look_up(ordered[new]):
+        for values in arrays.look_up(ordered[new], at[new]):
             full = np.empty(len(hashes), np.int64)
             full[order] = values[place]
             out.append(full)
@@ -288,24 +385,33 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
     folder = local_path(scratch_path(texts.sparkSession, "kneser-ney"))
     size = texts.agg(F.sum(F.octet_length(F.col(f"`{texts.columns[0]}`").cast("binary")))).first()[0] or 0
     shards = max(SHARDS, -(-size // SHARD_BYTES))
-    schema = "part int, kind int, data binary"
-    blocks = texts.mapInArrow(lean(_count, order=order, shards=shards), schema)
-    for k in range(order, 0, -1):
-        dealt = blocks.repartitionById(shards, "part")
-        blocks = dealt.mapInArrow(lean(_level, k=k, folder=folder, shards=shards), schema)
-    blocks.write.format("noop").mode("overwrite").save()
 
     def arrays(kind: str, values: dict[str, str]) -> Arrays:
         return Arrays(folder, kind, values, shards)
 
-    grams = [arrays(f"grams{k}", {"c": "u1"}) for k in range(2, order + 1)]
-    contexts = [arrays(f"contexts{k}", {"t": "u8", "f1": "u4", "f2": "u4", "f3": "u4"}) for k in range(2, order + 1)]
-    unigrams = arrays("grams1", {"n": "u8", "total": "u8"})
-    stats = [x.stats() for x in (unigrams, *grams)]
+    schema = "part int, kind int, data binary"
+    counted = texts.mapInArrow(lean(_count_words, shards=shards), schema).repartitionById(shards, "part")
+    counted.mapInArrow(lean(_save_words, folder=folder), "part int").write.format("noop").mode("overwrite").save()
+    words = Words(arrays("words", {"total": "u8"}))
+    blocks = texts.mapInArrow(lean(_count, order=order, shards=shards, words=words), schema)
+    for k in range(order, 0, -1):  # a level's shuffle files and its blocks go before the next but one is made
+        dealt = blocks.repartitionById(shards, "part")
+        found = table(dealt.mapInArrow(lean(_level, k=k, folder=folder, shards=shards, number=words.type), schema), "blocks")
+        if k < order:
+            discard(blocks)
+        del dealt
+        blocks = found
+        release(blocks)
+    discard(blocks)
+
+    grams = [arrays(f"grams{k}", {"c": "u1"}) for k in range(1, order + 1)]
+    contexts = [arrays(f"contexts{k}", dict.fromkeys(FOLLOWERS, "u1")) for k in range(2, order + 1)]
+    stats = [list(x.stats().values()) for x in grams]
     of = [[sum(s["of"][i] for s in level) for i in range(4)] for level in stats]
-    total = {key: sum(s[key] for s in stats[0]) for key in ("n", "c", "total")}
-    followers = (of[0][0], of[0][1], total["n"] - of[0][0] - of[0][1])
-    return Model(order, grams, contexts, unigrams, [_discounts(*n) for n in of], total["c"], followers, total["total"], total["n"])
+    distinct, predecessors = (sum(s[key] for s in stats[0]) for key in ("n", "c"))
+    tokens = sum(s["total"] for s in words.arrays.stats().values())
+    followers = (of[0][0], of[0][1], distinct - of[0][0] - of[0][1])
+    return Model(order, words, grams[1:], contexts, grams[0], [_discounts(*n) for n in of], predecessors, followers, tokens, words.size)
 
 
 def _perplexity(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
