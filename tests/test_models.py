@@ -1,3 +1,5 @@
+from threading import Barrier
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +57,18 @@ def test_same_seed_same_output(sides):
     assert first == second
 
 
+def test_fits_side_by_side_share_no_local_properties(spark):
+    both, context = Barrier(2, timeout=60), spark.sparkContext
+
+    def task(name):
+        context.setLocalProperty("spark.cohortlift.test", name)
+        both.wait()
+        return context.getLocalProperty("spark.cohortlift.test")
+
+    assert G.in_parallel(spark.range(1), [lambda: task("a"), lambda: task("b")], 2) == ["a", "b"]
+    assert context.getLocalProperty("spark.cohortlift.test") is None
+
+
 def test_segments_cover_all_rows(sides):
     config = G.ModelConfig("s", FEATURES, (), "forest", (42,), {"numTrees": 3, "maxDepth": 3})
     oof, pred = G.train_by_segment(*sides, "no_transfer", {0: config, 1: config}, k=2)
