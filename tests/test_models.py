@@ -69,6 +69,24 @@ def test_fits_side_by_side_share_no_local_properties(spark):
     assert context.getLocalProperty("spark.cohortlift.test") is None
 
 
+def test_rows_with_features_are_not_broadcast(sides, monkeypatch):
+    plans = []
+
+    def kept(df, name, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialise(df, name, *rest)
+
+    monkeypatch.setattr(G, "materialise", kept)
+    G.train_oof(*sides, G.ModelConfig("f", FEATURES, (), "forest", (3,), {"numTrees": 2, "maxDepth": 2}), k=2)
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0]
+
+
+def test_few_fits_run_at_once(spark):
+    slots = spark.sparkContext.defaultParallelism
+    assert G.at_once(spark.range(1), 8, 1) == min(G.FITS_AT_ONCE, slots)
+    assert G.at_once(spark.range(1), 8, 10 * slots) == 1
+
+
 def test_segments_cover_all_rows(sides):
     config = G.ModelConfig("s", FEATURES, (), "forest", (42,), {"numTrees": 3, "maxDepth": 3})
     oof, pred = G.train_by_segment(*sides, "no_transfer", {0: config, 1: config}, k=2)
