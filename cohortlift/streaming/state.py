@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cohortlift import schema as S
+from cohortlift.functions.joins import by_id
 from cohortlift.operators import encode as T
 from cohortlift.operators import models as G
 from cohortlift.operators.clean import clean
@@ -116,10 +117,14 @@ def fit_scorer(train: DataFrame, config: G.ModelConfig, keys: Mapping[str, T.Key
     medians = as_dict(fit_medians(train))
     rows = T.combo_keys(derive(clean(train, "clean", medians)), "age_ord")
     columns = list(dict.fromkeys(key.column for key in keys.values()))
-    narrow = materialise(rows.select("id", S.TARGET, *columns), "scorer-keys")
-    folds = materialise(narrow.join(fold_columns(narrow, k=k).withColumnRenamed(fold_column(42), "fold"), "id"), "scorer-folds")
+    # Of the wide rows only what the models and the encoder read is computed, once, and written.
+    wanted = list(dict.fromkeys(c for c in (*config.features, *config.categories) if c not in keys))
+    rows = materialise(rows.select(*dict.fromkeys(["id", S.TARGET, *columns, *wanted])), "scorer-columns")
+    narrow = rows.select("id", S.TARGET, *columns)
+    folds = materialise(by_id(narrow, fold_columns(narrow, k=k).withColumnRenamed(fold_column(42), "fold")), "scorer-folds")
     encoder = T.fit_encoder(folds, keys, k=k)
-    rows = materialise(rows.join(encoder.oof(folds).select("id", *keys), "id"), "scorer-rows")
+    used = [c for c in keys if c in config.features]
+    rows = materialise(by_id(rows.select("id", S.TARGET, *wanted), encoder.oof(folds).select("id", *used)), "scorer-rows")
     fitted = G.cross_fit(rows, rows.limit(0), config, k, threads=threads)
     return Scorer(medians, encoder, fitted.vectors, fitted.models)
 

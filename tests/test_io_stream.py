@@ -151,6 +151,24 @@ def saved(spark, small):
     return scorer, root, state.save(scorer, spark, root)
 
 
+def test_scorer_keeps_only_the_columns_it_needs(spark, small, monkeypatch):
+    from cohortlift import session
+    from cohortlift.operators.models import ModelConfig
+    from cohortlift.plans.base import split
+    from cohortlift.streaming import state
+
+    kept, write = {}, session.materialise
+
+    def materialise(df, name, *rest):
+        kept[name] = set(df.columns)
+        return write(df, name, *rest)
+
+    monkeypatch.setattr(session, "materialise", materialise)
+    config = ModelConfig("s", ("embryos_total", "period_te"), ("age_band",), "forest", (42,), {"numTrees": 2, "maxDepth": 2})
+    state.fit_scorer(split(spark, small)[0], config, k=2)
+    assert kept["scorer-rows"] == {"id", S.TARGET, "embryos_total", "period_te", "age_band"}
+
+
 def test_saved_scorer_equals_the_fitted_one(spark, small, saved):
     from cohortlift.plans.base import split
     from cohortlift.streaming import state
