@@ -31,8 +31,10 @@ def discard(found: DataFrame, part: str = "") -> None:
 
 def release(found: DataFrame) -> None:
     """Let Spark delete the shuffle files of results that nothing refers to any more.  It does so when the driver collects
-    garbage, which a driver with little to do puts off for long."""
+    garbage, which a driver with little to do puts off for long.  Its listeners hold on to the last query that has ended,
+    so an empty one goes first."""
     gc.collect()
+    found.sparkSession.sql("SELECT 1").collect()
     found.sparkSession._jvm.System.gc()
 
 
