@@ -4,9 +4,9 @@ Tokens are the words of a text (runs without blanks, A-Z lower-cased) and one en
 begins.  The words are counted first: a shard holds a range of their 64-bit hashes, sorted, and a word's number is its place
 over all shards, which takes four bytes up to 2^32 words.  An n-gram is named by a hash of its words' numbers.  Tasks count
 the n-grams of their rows and send each shard one packed block of numbers and sorted counts.  An n-gram goes to the shard of
-its context, the words before the last one, so a shard has all followers of its contexts: it adds its blocks, writes its n-grams
-to the shared folder as a sorted array of names and one of counts, and beside them for each context its total and its numbers of
-followers seen once, twice and more often.  What it sends on are the distinct predecessors of the shorter n-grams.
+its context, the words before the last one, so a shard has all followers of its contexts: it adds its blocks and writes to the
+shared folder the sorted names of its contexts, for each its total and its numbers of followers seen once, twice and more often,
+and the numbers and counts of its followers, sorted.  What it sends on are the distinct predecessors of the shorter n-grams.
 
 Workers map the arrays and look up sorted batches.  ``spark.checkpoint.dir`` must therefore be a folder that driver and
 executors have mounted; the arrays grow with the corpus, their maps take no memory that the system can't reclaim.
@@ -32,7 +32,9 @@ from cohortlift.session import scratch_path
 
 ORDER, TOKENS_AT_ONCE, SHARDS, SHARD_BYTES = 2, 1 << 22, 16, 32 << 20
 _GRAMS, _WORDS = 1, 2
-FOLLOWERS = ("t", "f1", "f2", "f3")  # a context's total, and its followers seen once, twice and more often
+#: A context's total and its followers seen twice and more often; where its followers begin: a place for every STRIDE contexts, and
+#: the distance from it; their last words and counts.
+FOLLOWERS, STRIDE = {"t": "u1", "f2": "u1", "f3": "u1", "starts": "u8", "shift": "u1", "c": "u1"}, 16
 _END, _BEGIN = (W.mix(np.array([k], np.uint64))[0] for k in (0xE17D, 0xBE61))
 
 
@@ -71,13 +73,20 @@ def name(tokens: list[np.ndarray]) -> np.ndarray:
 def _add(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
     """Rows of equal keys added up, in the order of their names: (keys, values, names)."""
     names = name(keys)
-    order = np.argsort(names, kind="stable")
+    order = np.argsort(names)
     names = names[order]
     new = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1]))) if len(names) else np.zeros(0, np.int64)
     add = lambda v: np.add.reduceat(v[order], new, dtype=np.uint64) if len(new) else v.astype(np.uint64)
     return [k[order][new] for k in keys], [add(v) for v in values], names[new]
 
 
+def _order(group: np.ndarray, minor: np.ndarray) -> np.ndarray:
+    """Order by small numbers ``group``, then by ``minor``; one sort of single numbers, which is far quicker, if these have four bytes."""
+    if minor.itemsize > 4:
+        return np.lexsort((minor, group))
+    return np.argsort(group.astype(np.uint64) << np.uint64(32) | minor)
+
+
 def _part(names: np.ndarray, shards: int) -> np.ndarray:
     return (((names >> np.uint64(40)) * np.uint64(shards)) >> np.uint64(24)).astype(np.int64)
 
@@ -93,23 +102,31 @@ def _owner(keys: list[np.ndarray]) -> np.ndarray:
 
 
 def _send(kind: int, columns: list[np.ndarray], owners: np.ndarray, shards: int, types: list[str]) -> Iterator[pa.RecordBatch]:
-    """One block of packed columns for each shard that has rows, ordered by the first one, which packs well."""
+    """One block of packed columns for each shard that has rows, ordered by the first one."""
     part = _part(owners, shards)
-    order = np.lexsort((columns[0], part))
+    order = _order(part, columns[0])
     columns = [c[order].astype(t) for c, t in zip(columns, types)]
     edges = np.searchsorted(part[order], np.arange(shards + 1))
     for p in np.flatnonzero(np.diff(edges)):
-        data = b"".join(c[edges[p] : edges[p + 1]].tobytes() for c in columns)
+        data = _pack([c[edges[p] : edges[p + 1]] for c in columns])
         yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([kind], pa.int32()), pa.array([data], pa.binary())], ["part", "kind", "data"])
 
 
+def _pack(columns: list[np.ndarray]) -> bytes:
+    """The number of rows, and the columns compressed: the first one, which is sorted, as steps; of each all first bytes, all second ones."""
+    columns = [np.diff(columns[0], prepend=columns[0].dtype.type(0)), *columns[1:]]
+    planes = b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns)
+    return len(columns[0]).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
 def _unpack(data: pa.Scalar, types: list[str]) -> list[np.ndarray]:
     buffer, sizes = data.as_buffer(), [np.dtype(t).itemsize for t in types]
-    n, at, out = len(buffer) // sum(sizes), 0, []
+    n, at, out = int.from_bytes(buffer[:8], "little"), 0, []
+    planes = np.frombuffer(pa.decompress(buffer[8:], n * sum(sizes), "zstd"), np.uint8)
     for t, size in zip(types, sizes):
-        out.append(np.frombuffer(buffer, t, n, at))
+        out.append(np.ascontiguousarray(planes[at : at + n * size].reshape(size, n).T).view(t).reshape(n))
         at += n * size
-    return out
+    return [np.cumsum(out[0], dtype=types[0]), *out[1:]]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], k: int, number: str) -> Iterator[tuple[int, int, list[np.ndarray]]]:
@@ -151,7 +168,7 @@ def _save_words(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.R
         words, counts = words[order], counts[order]
         new = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
         total = np.add.reduceat(counts, new, dtype=np.uint64)
-        _save(folder, "words", part, {"hash": words[new], "total": total}, {"n": len(new), "total": int(total.sum())})
+        _save(folder, "words", part, {"hash": words[new], **_counts("total", total)}, {"n": len(new), "total": int(total.sum())})
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32())], ["part"])
 
 
@@ -215,18 +232,31 @@ def _of_counts(c: np.ndarray) -> list[int]:
 def _level(batches: Iterator[pa.RecordBatch], k: int, folder: str, shards: int, number: str) -> Iterator[pa.RecordBatch]:
     """Write a shard's n-grams of order ``k`` and their contexts; send on what order ``k - 1`` needs."""
     for _, part, columns in _blocks(batches, k, number):
-        keys, (c,), names = _add(columns[:k], columns[k:])
-        del columns
-        stats = {"n": len(names), "of": _of_counts(c), "c": int(c.sum())}
-        _save(folder, f"grams{k}", part, {"hash": names, **_counts("c", c)}, stats)
+        stats = lambda c: {"n": len(c), "of": _of_counts(c), "c": int(c.sum())}
         if k == 1:
+            _, (c,), names = _add(columns[:1], columns[1:])
+            _save(folder, "grams1", part, {"hash": names, **_counts("c", c)}, stats(c))
             continue
-        _, values, contexts = _add([name(keys[:-1])], [c, *(f.astype(np.uint32) for f in (c == 1, c == 2, c > 2))])
-        arrays = {"hash": contexts}
-        for label, v in zip(FOLLOWERS, values):
+        names = name(columns[: k - 1])
+        order = np.argsort(names)
+        names = names[order]
+        group = np.cumsum(np.concatenate(([False], names[1:] != names[:-1])))
+        order = order[_order(group, columns[k - 1][order])]  # the names stay as they are
+        last = columns[k - 1][order]
+        del group
+        new = np.flatnonzero(np.concatenate(([True], (names[1:] != names[:-1]) | (last[1:] != last[:-1]))))
+        c = np.add.reduceat(columns[k][order], new, dtype=np.uint64)
+        keys = [x[order[new]] for x in columns[1:k]]
+        names, last = names[new], last[new]
+        del columns, order
+        begin = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+        add = lambda v: np.add.reduceat(v, begin, dtype=np.uint64)
+        arrays = {"hash": names[begin], "starts": begin[::STRIDE].astype(np.uint64), "word": last}
+        shift = begin - np.repeat(begin[::STRIDE], STRIDE)[: len(begin)]
+        for label, v in (("t", add(c)), ("f2", add(c == 2)), ("f3", add(c > 2)), ("shift", shift), ("c", c)):
             arrays |= _counts(label, v)
-        _save(folder, f"contexts{k}", part, arrays, {"n": len(contexts)})
-        shorter, values, _ = _add(keys[1:], [np.ones(len(c), np.uint32)])
+        _save(folder, f"grams{k}", part, arrays, stats(c))
+        shorter, values, _ = _add(keys, [np.ones(len(c), np.uint32)])
         yield from _send(_GRAMS, [*shorter, *values], _owner(shorter), shards, _kinds(_GRAMS, k - 1, number))
 
 
@@ -284,13 +314,60 @@ class Arrays:
             hit = have["hash"][at] == hashes[lo:hi]
             at = at[hit]
             for o, v in zip(out, self.values):
-                found = have[v][at].astype(np.int64)
-                if len(have.get(f"{v}_big", ())):
-                    full = np.flatnonzero(found == 255)
-                    found[full] = have[f"{v}_big"][np.searchsorted(have[f"{v}_at"], at[full].astype(np.uint64))]
-                o[lo:hi][hit] = found
+                o[lo:hi][hit] = self._read(have, v, at)
         return out
 
+    @staticmethod
+    def _read(have: dict[str, np.ndarray], label: str, at: np.ndarray) -> np.ndarray:
+        """Values at places of a shard."""
+        found = have[label][at].astype(np.int64)
+        if len(have.get(f"{label}_big", ())):
+            full = np.flatnonzero(found == 255)
+            found[full] = have[f"{label}_big"][np.searchsorted(have[f"{label}_at"], at[full].astype(np.uint64))]
+        return found
+
+    def follow(self, contexts: np.ndarray, sizes: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of the words ``last``, of which ``sizes`` stand together for each named context; and for each context a row of its total
+        and its followers seen once, twice and more often.  0 for what is not there."""
+        order = np.argsort(contexts)
+        names, offsets = contexts[order], np.cumsum(sizes) - sizes
+        counts, out = np.zeros(len(last), np.int64), np.zeros((4, len(contexts)), np.int64)
+        edges = np.searchsorted(_part(names, self.shards), np.arange(self.shards + 1))
+        for part in np.flatnonzero(np.diff(edges)):
+            have = self._map(int(part))
+            if have is None:
+                continue
+            own = names[edges[part] : edges[part + 1]]
+            at = np.minimum(np.searchsorted(have["hash"], own), len(have["hash"]) - 1)
+            hit = have["hash"][at] == own
+            at, which = at[hit], order[edges[part] : edges[part + 1]][hit]
+            read = lambda label, at: self._read(have, label, at)  # noqa: B023, E731
+            begin = read("starts", at // STRIDE) + read("shift", at)
+            end = np.full(len(at), len(have["word"]))
+            inner = np.flatnonzero(at + 1 < len(have["hash"]))
+            end[inner] = read("starts", (at[inner] + 1) // STRIDE) + read("shift", at[inner] + 1)
+            t, f2, f3 = (read(label, at) for label in ("t", "f2", "f3"))
+            out[:, which] = t, end - begin - f2 - f3, f2, f3
+            n = sizes[which]
+            rows = np.repeat(offsets[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            seen = _find(have["word"], np.repeat(begin, n), np.repeat(end, n), last[rows])
+            counts[rows[seen >= 0]] = read("c", seen[seen >= 0])
+        return counts, out
+
+
+def _find(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Place of each wanted value in its range of ``values``, which is sorted there; -1 for one that is not there."""
+    out, row = np.full(len(wanted), -1, np.int64), np.arange(len(wanted))
+    while len(row):
+        some = lo < hi
+        row, lo, hi = row[some], lo[some], hi[some]
+        middle = (lo + hi) // 2
+        found, own = values[middle], wanted[row]
+        same, less = found == own, found < own
+        out[row[same]] = middle[same]
+        lo, hi = np.where(less, middle + 1, lo), np.where(less, hi, np.where(same, lo, middle))
+    return out
+
 
 class Words:
     """The vocabulary: a word's number is its place in the order of the hashes."""
@@ -304,21 +381,22 @@ class Words:
         self.unknown, self.begin = self.size, self.size + 1
         self.type = "u4" if self.begin < 1 << 32 else "u8"
 
+    def number(self, words: np.ndarray) -> np.ndarray:
+        """Numbers of sorted words."""
+        found = self.arrays.places(words)
+        return np.where(found >= 0, self.offsets[_part(words, self.arrays.shards)] + found, self.unknown).astype(self.type)
+
     def numbers(self, tokens: np.ndarray, real: np.ndarray) -> np.ndarray:
         """Numbers of a stream's tokens; begins stand where it is not ``real``."""
         words, place = np.unique(tokens, return_inverse=True)
-        found = self.arrays.places(words)
-        shard = _part(words, self.arrays.shards)
-        numbers = np.where(found >= 0, self.offsets[shard] + found, self.unknown)
-        return np.where(real, numbers[place], self.begin).astype(self.type)
+        return np.where(real, self.number(words)[place], np.array(self.begin, self.type))
 
 
 @dataclass
 class Model:
     order: int
     words: Words  # with their counts
-    grams: list[Arrays]  # of order 2 and up: count or continuation count
-    contexts: list[Arrays]  # of order 1 and up: total and followers with counts 1, 2, 3 and more
+    grams: list[Arrays]  # of order 2 and up: contexts, and their followers with counts or continuation counts
     unigrams: Arrays  # distinct predecessors
     discounts: list[tuple[float, float, float]]  # of order 1 and up
     predecessors: int  # sum of the unigrams' continuation counts
@@ -330,43 +408,46 @@ class Model:
         """Number of tokens, of known ones, log10 by counts plus one and by the model, of each text."""
         pad = self.order - 1
         real = _real(offsets, self.order)
-        numbers = self.words.numbers(tokens, real)
         at = np.flatnonzero(real)
         doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets) - pad)
         sums = lambda x: np.bincount(doc, x, len(offsets) - 1)
-        (count,) = self._at(self.words.arrays, tokens[at])
-        (n1,) = self._at(self.unigrams, name([numbers[at]]))
-        base = np.log10((count + 1.0) / (self.tokens + self.vocabulary + 1.0))
+        # Each word and n-gram of the stream is looked up once; the last one stands for the begins.
+        words, place = np.unique(tokens, return_inverse=True)
+        place = np.where(real, place, len(words))
+        own = place[at]
+        numbers = np.append(self.words.number(words), np.array(self.words.begin, self.words.type))
+        (count,) = self._at(self.words.arrays, words)
+        (n1,) = self._at(self.unigrams, name([numbers]))
+        base = np.log10((count + 1.0) / (self.tokens + self.vocabulary + 1.0))[own]
         total = max(1, self.predecessors)
         d = np.array((0.0, *self.discounts[0]))
         rest = sum(a * b for a, b in zip(self.discounts[0], self.followers)) / total if self.predecessors else 1.0
-        p = np.maximum(n1 - d[np.minimum(n1, 3)], 0) / total + rest / (self.vocabulary + 1)
+        p = (np.maximum(n1 - d[np.minimum(n1, 3)], 0) / total + rest / (self.vocabulary + 1))[own]
+        many = np.uint64(len(numbers))
+        gram, members = place, [np.arange(len(numbers))]  # the n-gram at each place, the words of each n-gram
         for k in range(2, self.order + 1):
-            words = [numbers[at - k + 1 + j] for j in range(k)]
-            (c,) = self._at(self.grams[k - 2], name(words), _owner(words))
-            total, f1, f2, f3 = self._at(self.contexts[k - 2], name(words[:-1]))
+            pairs, gram = np.unique(gram[:-1].astype(np.uint64) * many + place[k - 1 :].astype(np.uint64), return_inverse=True)
+            context, last = (x.astype(np.int64) for x in np.divmod(pairs, many))
+            first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))) if len(context) else np.zeros(0, np.int64)
+            sizes = np.diff(np.append(first, len(context)))
+            names = name([numbers[m[context[first]]] for m in members])
+            c, (total, f1, f2, f3) = self.grams[k - 2].follow(names, sizes, numbers[last])
+            members = [*(m[context] for m in members), last]
             d1, d2, d3 = self.discounts[k - 1]
             d = np.array((0.0, d1, d2, d3))
             some = np.maximum(total, 1)
-            own = np.maximum(c - d[np.minimum(c, 3)], 0) / some
-            p = np.where(total > 0, own + (d1 * f1 + d2 * f2 + d3 * f3) / some * p, p)
+            rest = np.where(total > 0, (d1 * f1 + d2 * f2 + d3 * f3) / some, 1)
+            seen = np.maximum(c - d[np.minimum(c, 3)], 0) / np.repeat(some, sizes)
+            here = gram[at - (k - 1)]
+            p = seen[here] + np.repeat(rest, sizes)[here] * p
         n = np.diff(offsets) - pad
-        return n, sums((count > 0).astype(float)).astype(np.int64), sums(base), sums(np.log10(p))
+        return n, sums((count > 0).astype(float)[own]).astype(np.int64), sums(base), sums(np.log10(p))
 
     @staticmethod
-    def _at(arrays: Arrays, hashes: np.ndarray, owners: np.ndarray | None = None) -> list[np.ndarray]:
-        """Values of each hash, in the shard of its owner (its own one)."""
-        parts = _part(hashes if owners is None else owners, arrays.shards)
-        order = np.lexsort((hashes, parts))
-        ordered, at = hashes[order], parts[order]
-        new = np.concatenate(([True], (ordered[1:] != ordered[:-1]) | (at[1:] != at[:-1]))) if len(ordered) else np.zeros(0, bool)
-        place = np.cumsum(new) - 1
-        out = []
-        for values in arrays.look_up(ordered[new], at[new]):
-            full = np.empty(len(hashes), np.int64)
-            full[order] = values[place]
-            out.append(full)
-        return out
+    def _at(arrays: Arrays, hashes: np.ndarray) -> list[np.ndarray]:
+        """Values of each hash."""
+        found, place = np.unique(hashes, return_inverse=True)
+        return [values[place] for values in arrays.look_up(found, _part(found, arrays.shards))]
 
 
 def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -392,7 +473,9 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
     schema = "part int, kind int, data binary"
     counted = texts.mapInArrow(lean(_count_words, shards=shards), schema).repartitionById(shards, "part")
     counted.mapInArrow(lean(_save_words, folder=folder), "part int").write.format("noop").mode("overwrite").save()
-    words = Words(arrays("words", {"total": "u8"}))
+    del counted
+    release(texts)
+    words = Words(arrays("words", {"total": "u1"}))
     blocks = texts.mapInArrow(lean(_count, order=order, shards=shards, words=words), schema)
     for k in range(order, 0, -1):  # a level's shuffle files and its blocks go before the next but one is made
         dealt = blocks.repartitionById(shards, "part")
@@ -404,14 +487,13 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
         release(blocks)
     discard(blocks)
 
-    grams = [arrays(f"grams{k}", {"c": "u1"}) for k in range(1, order + 1)]
-    contexts = [arrays(f"contexts{k}", dict.fromkeys(FOLLOWERS, "u1")) for k in range(2, order + 1)]
+    grams = [arrays(f"grams{k}", {"c": "u1"} if k == 1 else {"word": words.type, **FOLLOWERS}) for k in range(1, order + 1)]
     stats = [list(x.stats().values()) for x in grams]
     of = [[sum(s["of"][i] for s in level) for i in range(4)] for level in stats]
     distinct, predecessors = (sum(s[key] for s in stats[0]) for key in ("n", "c"))
     tokens = sum(s["total"] for s in words.arrays.stats().values())
     followers = (of[0][0], of[0][1], distinct - of[0][0] - of[0][1])
-    return Model(order, words, grams[1:], contexts, grams[0], [_discounts(*n) for n in of], predecessors, followers, tokens, words.size)
+    return Model(order, words, grams[1:], grams[0], [_discounts(*n) for n in of], predecessors, followers, tokens, words.size)
 
 
 def _perplexity(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:

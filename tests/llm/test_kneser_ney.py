@@ -102,3 +102,42 @@ def test_the_query_sees_more_than_one_word_back(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: r["score"] for r in op5_kneser_ney(spark, str(tmp_path)).collect()}
     assert got[0] > got[40] + 0.5
+
+
+def test_a_level_takes_little_room(spark):
+    import os
+
+    model = K.train(spark.createDataFrame([(" ".join(f"w{i * j % 9973}" for j in range(1, 4000)),) for i in range(1, 30)], "text string"), 3)
+    grams = sum(s["n"] for x in model.grams for s in x.stats().values())
+    folder = model.words.arrays.folder
+    took = sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder) if f[:6] in ("grams2", "grams3", "contex") and not f.endswith("json"))
+    # 18 bytes for an n-gram that is the only one after its context; 21 before
+    assert took < 19 * grams, (took, grams)
+
+
+def test_followers_of_a_word_that_much_follows(spark):
+    # Contexts of more than 255 followers between others: places, counts and totals beyond a byte.
+    rng = __import__("random").Random(4)
+    texts = [" ".join(f"a x{rng.randrange(900)} b{rng.randrange(5)} c" for _ in range(300)) for _ in range(12)]
+    docs = spark.createDataFrame(list(enumerate([*texts, "a x3 nowhere", "b1 c a"])), "doc_id long, text string").repartition(3)
+    model = K.train(docs.where("doc_id < 12").select("text"), 3)
+    _, p = brute(texts, 3)
+    for row in K.score(docs, model).collect():
+        words = tokens((texts + ["a x3 nowhere", "b1 c a"])[row["doc_id"]])
+        padded = ["begin"] * 2 + words
+        assert row["score"] == pytest.approx(sum(math.log10(p(padded[j : j + 2], w)) for j, w in enumerate(words)), rel=1e-9)
+
+
+def test_blocks_are_packed_without_loss():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    for types in (["u4", "u4", "u4"], ["u8", "u4"]):
+        columns = [rng.integers(0, 1 << 32, 1000).astype(t) for t in types]
+        columns[0].sort()
+        packed = K._pack(columns)
+        got = K._unpack(pa.scalar(packed, pa.binary()), types)
+        assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(columns, got))
+    small = [np.sort(rng.integers(0, 1 << 20, 20_000)).astype("u4"), rng.integers(0, 1 << 20, 20_000).astype("u4"), np.ones(20_000, "u4")]
+    assert len(K._pack(small)) < 5 * 20_000  # 12 bytes a row before
