@@ -24,8 +24,10 @@ from cohortlift.llm import words as W
 from cohortlift.llm.components import components
 from cohortlift.llm.scratch import discard, lean, release, table
 
-#: n-grams and rows of a block, keys that a task strings at once, columns of a dense product, index pairs added at once.
-BLOCK_GRAMS, BLOCK_ROWS, KEYS_AT_ONCE, DENSE_COLUMNS, PAIRS_AT_ONCE = 1 << 22, 2048, 1 << 21, 2048, 1 << 20
+#: n-grams and rows of a block, keys that a task thins out at once, columns of a dense product, index pairs added at once.
+BLOCK_GRAMS, BLOCK_ROWS, KEYS_AT_ONCE, DENSE_COLUMNS, PAIRS_AT_ONCE = 1 << 22, 2048, 1 << 21, 1024, 1 << 18
+#: Bytes of text cut into words at once, sorted keys strung at once, rows of a batch that leaves, matrix rows compared at once.
+TEXT_AT_ONCE, STRUNG_AT_ONCE, ROWS_OUT, STRIP = 1 << 22, 1 << 19, 1 << 16, 256
 
 
 @lru_cache
@@ -61,15 +63,41 @@ def candidate_keys(u: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.uint64), *(x for j in (k, k + 1) for x in _scheme(u, j, int(tops[j]), num, den))])
 
 
+def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
+    """The sorted distinct n-gram hashes of each text."""
+    raw, at = W.text_buffer(texts)
+    lo = 0
+    while lo < len(at) - 1:
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + TEXT_AT_ONCE, "right")) - 1)
+        hashes, words, _ = W.find_words(raw[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
+        for d in range(hi - lo):
+            yield np.unique(W.grams(hashes[words[d] : words[d + 1]], n))
+        lo = hi
+
+
+def _taken(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The held keys and ids in one piece; ``held`` lets go of them."""
+    both = tuple(np.concatenate(x) for x in zip(*held))
+    held.clear()
+    return both
+
+
+def _once(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
 def _star(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first id of each key, the keys, linked ids, the id they link to)."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    pivot = np.repeat(ids[begin], np.diff(np.append(begin, len(ids))))
+    """(smallest id of each key, the keys, linked ids, the id they link to) of ids under sorted keys, one at least."""
+    begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    least = np.minimum.reduceat(ids, begin)
+    pivot = np.repeat(least, np.diff(np.append(begin, len(ids))))
     far = pivot != ids
-    linked = np.unique(np.stack((ids[far], pivot[far])), axis=1) if far.any() else np.zeros((2, 0), np.int64)
-    return ids[begin], keys[begin], linked[0], linked[1]
+    return least, keys[begin], *_once(ids[far], pivot[far])
 
 
 _INCIDENCE = pa.schema(
@@ -86,27 +114,28 @@ def _incidence(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) ->
     seen: set[bytes] = set()
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def rows(kind, doc, size, h1, h2):
-        k = len(doc)
-        fill = lambda x: np.zeros(k, np.int64) if x is None else x
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(k, kind, np.int8)), *(pa.array(fill(x)) for x in (doc, size, h1, h2))], schema=_INCIDENCE
-        )
+    def rows(kind, *columns):
+        for lo in range(0, len(columns[0]), ROWS_OUT):
+            k = len(columns[0][lo : lo + ROWS_OUT])
+            parts = [np.zeros(k, np.int64) if x is None else x[lo : lo + ROWS_OUT] for x in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, kind, np.int8)), *map(pa.array, parts)], schema=_INCIDENCE)
 
     def flush():
         if held:
-            first, keys, a, b = _star(np.concatenate([k for k, _ in held]), np.concatenate([i for _, i in held]))
-            held.clear()
-            yield rows(1, first, None, W.signed(keys), None)
-            yield rows(2, b, None, a, None)
+            keys, ids = _taken(held)
+            order = np.argsort(keys)
+            keys = keys[order]
+            ids = ids[order]
+            del order
+            first, keys, a, ids = _star(keys, ids)
+            yield from rows(1, first, None, W.signed(keys), None)
+            yield from rows(2, ids, None, a, None)
 
     count = 0
     for batch in batches:
         ids = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
-        hashes, at, _ = W.find_words(*W.text_buffer(batch.column(1)))
         sizes, one, two = (np.zeros(len(ids), np.int64) for _ in range(3))
-        for d in range(len(ids)):
-            u = np.unique(W.grams(hashes[at[d] : at[d + 1]], n))
+        for d, u in enumerate(_sets(batch.column(1), n)):
             sizes[d] = len(u)
             if not len(u):
                 continue
@@ -122,42 +151,79 @@ def _incidence(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) ->
             if count >= KEYS_AT_ONCE:
                 yield from flush()
                 count = 0
-        yield rows(0, ids, sizes, one, two)
+        yield from rows(0, ids, sizes, one, two)
     yield from flush()
 
 
 def _string(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of the rows that share a key; the rows of a key are in one task."""
-    keys, ids = [], []
+    """Links of the rows that share a key; the rows of a key are in one task and come together.
+
+    However many rows a task has, it holds few of them: of those strung so far, the smallest id of the last key stays.
+    Links are held until the end, each once, and leave before only if they are many.
+    """
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    links: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def string():
+        first, keys, a, b = _star(*_taken(held))
+        held.append((keys[-1:].copy(), first[-1:].copy()))
+        links.append((a, b))
+        links[:] = [_once(*_taken(links))]
+
+    def leave():
+        a, b = _taken(links)
+        for lo in range(0, len(a), ROWS_OUT):
+            yield pa.RecordBatch.from_arrays([pa.array(x[lo : lo + ROWS_OUT]) for x in (a, b)], ["a", "b"])
+
+    count = 0
     for batch in batches:
-        keys.append(W.unsigned(batch.column(0).to_numpy()))
-        ids.append(batch.column(1).to_numpy())
-    if keys:
-        _, _, a, b = _star(np.concatenate(keys), np.concatenate(ids))
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        for lo in range(0, batch.num_rows, STRUNG_AT_ONCE):
+            part = batch.slice(lo, STRUNG_AT_ONCE)
+            held.append((W.unsigned(part.column(0).to_numpy()), part.column(1).to_numpy()))
+            count += part.num_rows
+            if count >= STRUNG_AT_ONCE:
+                string()
+                count = 0
+                if len(links[0][0]) >= STRUNG_AT_ONCE:
+                    yield from leave()
+    if count:
+        string()
+    if links:
+        yield from leave()
 
 
 def _product(sets: list[np.ndarray], num: int, den: int) -> Iterator[np.ndarray]:
-    """Links of a block's rows as (row, first row of its component)."""
+    """Links of a block's rows as (row, first row of its component).  ``sets`` lets go of them, as their product takes room."""
     m = len(sets)
+    strips = [(lo, min(m, lo + STRIP)) for lo in range(0, m, STRIP)]
     sizes = np.array([len(s) for s in sets], np.int64)
     columns = np.concatenate(sets)
-    row = np.repeat(np.arange(m), sizes)
+    sets.clear()
+    row = np.repeat(np.arange(m, dtype=np.int32), sizes)
     order = np.argsort(columns, kind="stable")
-    columns, row = columns[order], row[order]
+    row = row[order]
+    columns = columns[order]
+    del order
     begin = np.flatnonzero(np.concatenate(([True], columns[1:] != columns[:-1])))
     count = np.diff(np.append(begin, len(columns)))
+    del columns
     left = np.bincount(row[begin[count == 1]], minlength=m)  # columns of one row overlap with nothing
     open_columns = sizes - left
-    both = sizes[:, None] + sizes[None, :]
-    need = -(-num * both // (num + den))  # overlap * (num + den) >= num * (|x| + |y|)
-    overlap = np.zeros((m, m), np.int32)
+    begin, count = begin[count > 1], count[count > 1]
+    need = np.empty((m, m), np.int32)
+    for lo, hi in strips:  # overlap * (num + den) >= num * (|x| + |y|)
+        need[lo:hi] = -(-num * (sizes[lo:hi, None] + sizes) // (num + den))
+    overlap = np.zeros((m, m), np.int32)  # the half above the diagonal counts
     alive = np.ones(m, bool)
 
     def prune():
-        reach = overlap + np.minimum(open_columns[:, None], open_columns[None, :]) >= need
-        np.fill_diagonal(reach, False)
-        return alive & reach.any(1)
+        met = np.zeros(m, bool)
+        for lo, hi in strips:
+            reach = overlap[lo:hi] + np.minimum(open_columns[lo:hi, None], open_columns) >= need[lo:hi]
+            reach = np.triu(reach, lo + 1)
+            met[lo:hi] |= reach.any(1)
+            met |= reach.any(0)
+        return alive & met
 
     alive = prune()
     rare = max(2, int(np.sqrt(m)))
@@ -165,14 +231,16 @@ def _product(sets: list[np.ndarray], num: int, den: int) -> Iterator[np.ndarray]
     for lo in range(0, len(frequent), DENSE_COLUMNS):
         take = frequent[lo : lo + DENSE_COLUMNS]
         r = np.concatenate([row[begin[c] : begin[c] + count[c]] for c in take])
-        c = np.repeat(np.arange(len(take)), count[take])
+        c = np.repeat(np.arange(len(take), dtype=np.int32), count[take])
         open_columns -= np.bincount(r, minlength=m)
         live = np.flatnonzero(alive)
-        place = np.cumsum(alive) - 1
+        place = np.cumsum(alive, dtype=np.int32) - 1
         keep = alive[r]
         dense = np.zeros((len(live), len(take)), np.float32)
         dense[place[r[keep]], c[keep]] = 1
-        overlap[np.ix_(live, live)] += (dense @ dense.T).astype(np.int32)
+        del r, c, keep
+        for at in range(0, len(live), STRIP):
+            overlap[np.ix_(live[at : at + STRIP], live)] += (dense[at : at + STRIP] @ dense.T).astype(np.int32)
         alive = prune()
     flat = overlap.reshape(-1)
     for k in range(2, rare + 1):
@@ -182,17 +250,17 @@ def _product(sets: list[np.ndarray], num: int, den: int) -> Iterator[np.ndarray]
         for lo in range(0, len(at), step):
             if not alive.any():
                 return
-            members = row[at[lo : lo + step, None] + np.arange(k)]  # ascending in a column
+            members = row[at[lo : lo + step, None] + np.arange(k)].astype(np.int64)  # ascending in a column
+            open_columns -= np.bincount(members.reshape(-1), minlength=m)
             members = members[alive[members].sum(1) > 1]
-            open_columns -= np.bincount(row[at[lo : lo + step, None] + np.arange(k)].reshape(-1), minlength=m)
             np.add.at(flat, (members[:, i] * m + members[:, j]).reshape(-1), 1)
-        upper = np.triu(overlap, 1)
-        reach = upper + np.minimum(open_columns[:, None], open_columns[None, :]) >= need
-        reach = np.triu(reach, 1)
-        alive &= reach.any(1) | reach.any(0)
-    upper = np.triu(overlap, 1)
-    linked = ((upper + upper.T) * (num + den) >= num * both) & alive[:, None] & alive[None, :]
-    np.fill_diagonal(linked, True)
+        if len(at):
+            alive = prune()
+    linked = np.eye(m, dtype=bool)
+    for lo, hi in strips:
+        above = np.triu((overlap[lo:hi] >= need[lo:hi]) & alive[lo:hi, None] & alive, lo + 1)
+        linked[lo:hi] |= above
+        linked[:, lo:hi] |= above.T
     label = np.arange(m)
     while True:
         new = np.array([label[x].min() for x in linked])
@@ -231,13 +299,12 @@ def _multiply(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) ->
         sets.clear()
 
     for batch in batches:
-        hashes, at, _ = W.find_words(*W.text_buffer(batch.column(2)))
-        for d, (name, doc) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+        for name, doc, u in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _sets(batch.column(2), n)):
             if name != block:
                 close()
                 block = name
             ids.append(doc)
-            sets.append(np.unique(W.grams(hashes[at[d] : at[d + 1]], n)))
+            sets.append(u)
         if links:
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
             links.clear()
@@ -312,7 +379,7 @@ def jaccard_join(
     keyed = made.where("kind = 1").select(F.col("h1").alias("key"), "doc")
     # A task strings a document once at most to each row it shares a key with: few large tasks return fewer links.
     keyed = keyed.repartition(max(8, -(-keyed.count() // KEYS_AT_ONCE // 2)), "key")
-    strings = keyed.mapInArrow(lean(_string), "a long, b long").union(
+    strings = keyed.sortWithinPartitions("key").mapInArrow(lean(_string), "a long, b long").union(
         made.where("kind = 2").select(F.col("h1").alias("a"), F.col("doc").alias("b"))
     )
     # Equal sets are represented by their smallest id.

@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortlift.llm import jaccard as J
@@ -102,6 +104,71 @@ def test_product_of_frequent_and_rare_columns():
         assert (got == label).all()
 
 
+def peak(run):
+    """What ``run`` returns, and the most bytes that it holds of Python's and numpy's memory."""
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_keys_are_strung_in_little_memory():
+    rng = np.random.default_rng(4)
+    keys, ids = rng.integers(1, 1 << 21, 3 << 20), rng.integers(1, 1 << 40, 3 << 20)
+    keys[: 1 << 20] = 7  # one key has more rows than are held at once
+    keys.sort()
+    batches = (pa.RecordBatch.from_arrays([pa.array(x[lo : lo + 10_000]) for x in (keys, ids)], ["key", "doc"]) for lo in range(0, len(keys), 10_000))
+    count, most = peak(lambda: sum(b.num_rows for b in J._string(batches)))
+    assert most < 20 * len(keys)  # of 16 bytes a row
+    assert len(keys) - len(np.unique(keys)) <= count <= len(keys)
+
+
+def test_a_task_returns_a_link_once():
+    rng = np.random.default_rng(7)
+    keys, ids = np.sort(rng.integers(1, 1 << 19, 3 << 19)), rng.integers(1, 50, 3 << 19)
+    got = list(J._string(iter([pa.record_batch([pa.array(keys), pa.array(ids)], ["key", "doc"])])))
+    links = [link for b in got for link in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    assert 48 <= len(links) == len(set(links)) <= 49 * 48 // 2
+
+
+def test_rows_of_a_key_are_strung_over_batches(monkeypatch):
+    monkeypatch.setattr(J, "STRUNG_AT_ONCE", 4)
+    keys, ids = [1, 1, 1, 1, 1, 1, 1, 2, 3, 3, 3, 3], [9, 8, 7, 6, 5, 6, 4, 9, 20, 23, 21, 22]
+    for size in (1, 3, 5, 12):
+        batches = (pa.record_batch([pa.array(keys[lo : lo + size]), pa.array(ids[lo : lo + size])], ["key", "doc"]) for lo in range(0, 12, size))
+        label = {i: i for i in ids}
+        links = [link for b in J._string(batches) for link in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        for _ in ids:
+            for a, b in links:
+                label[a] = label[b] = min(label[a], label[b])
+        assert label == {i: 4 if i < 10 else 20 for i in ids}
+    assert not list(J._string(iter(())))
+
+
+def test_incidence_leaves_in_small_batches():
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(5000)])
+    texts = [" ".join(words[rng.integers(0, 5000, 350)]) for _ in range(1500)]
+    batch = pa.record_batch([pa.array(range(1500)), pa.array(texts)], ["doc", "text"])
+    made = list(J._incidence(iter([batch]), 4, 85, 100))
+    assert max(b.num_rows for b in made) <= 1 << 16
+    got = {int(b.column(0)[0].as_py()): 0 for b in made}
+    for b in made:
+        got[int(b.column(0)[0].as_py())] += b.num_rows
+    assert got[0] == 1500 and got[1] > 1 << 16
+
+
+def test_a_product_takes_little_memory_besides_its_ngrams():
+    rng = np.random.default_rng(6)
+    base = rng.integers(1, 1 << 63, 1600).astype(np.uint64)
+    sets = [np.unique(np.concatenate((base[rng.random(1600) < 0.97], rng.integers(1, 1 << 63, 20).astype(np.uint64)))) for _ in range(600)]
+    grams = sum(map(len, sets))
+    found, most = peak(lambda: list(J._product(list(sets), 85, 100)))
+    assert [x.shape for x in found] == [(2, 599)]
+    assert most < 48 * grams
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(200, 100), (5, 5), (None, 3)], "a long, b long")
     got = dict(components(edges, "a", "b").collect())
