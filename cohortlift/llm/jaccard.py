@@ -4,8 +4,11 @@
 2. Rows that could reach the threshold are brought into blocks.  Two sets of a similarity of t or more differ in at most
    (1-t)/(1+t) of their joint size, so of one more parts than that (ranges of the hash) at least one part is equal in
    both; the sum of a part's hashes is its key.  Sets whose sizes lie further apart than t allows share no scheme of
-   parts.  Rows of equal key are strung to one row, so the strings grow with the keys and not with their square.
-3. A block holds the rows of one candidate cluster, or of two size classes of one, up to a bounded number of n-grams.  Its
+   parts.
+3. Passages that many texts share make parts meet by chance, and in a larger corpus such meetings tie most texts to one
+   cluster.  So a link between rows of equal key stays only if their sketches allow it: a sketch holds the parity of the
+   number of hashes in each of its slots, and two sets differ in as many hashes at least as their sketches in slots.
+4. A block holds the rows of one candidate cluster, or of two size classes of one, up to a bounded number of n-grams.  Its
    product is accumulated over column blocks, rare columns as index pairs and frequent ones as dense products; after
    each block, rows of which no pair can still reach its size-derived bound leave.  Blocks return a spanning set of links.
 """
@@ -28,6 +31,8 @@ from cohortlift.llm.scratch import discard, lean, release, table
 BLOCK_GRAMS, BLOCK_ROWS, KEYS_AT_ONCE, DENSE_COLUMNS, PAIRS_AT_ONCE = 1 << 22, 2048, 1 << 21, 1024, 1 << 18
 #: Bytes of text cut into words at once, sorted keys strung at once, rows of a batch that leaves, matrix rows compared at once.
 TEXT_AT_ONCE, STRUNG_AT_ONCE, ROWS_OUT, STRIP = 1 << 22, 1 << 19, 1 << 16, 256
+#: Rows of a key whose sketches are compared (rows of a larger key are strung), rows of a task that compares, slots of a sketch.
+GROUP_ROWS, COMPARED_ROWS, MOST_SLOTS = 1 << 14, 1 << 16, 1 << 15
 
 
 @lru_cache
@@ -63,6 +68,19 @@ def candidate_keys(u: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.uint64), *(x for j in (k, k + 1) for x in _scheme(u, j, int(tops[j]), num, den))])
 
 
+def sketch(u: np.ndarray) -> bytes:
+    """The parity of the number of hashes in each slot; about as many slots as hashes, a power of two."""
+    slots = min(MOST_SLOTS, max(64, 1 << (len(u) - 1).bit_length()))
+    odd = np.bincount((u & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of words, all with the slots of the shortest: that of fewer slots is the sum of its parts."""
+    width = min(map(len, sketches)) // 8
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, width), axis=0) for x in sketches])
+
+
 def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
     """The sorted distinct n-gram hashes of each text."""
     raw, at = W.text_buffer(texts)
@@ -101,15 +119,14 @@ def _star(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 _INCIDENCE = pa.schema(
-    [("kind", pa.int8()), ("doc", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())]
+    [("kind", pa.int8()), ("doc", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sketch", pa.binary())]
 )
 
 
 def _incidence(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a document's set size and set hash.  Kind 1: (key, document).  Kind 2: a candidate link (h1, doc).
+    """Kind 0: a document's set size and set hash.  Kind 1: (key, document).  Kind 2: a document's set size and sketch.
 
-    Of equal sets only the first one that the task sees gives keys, and of the rows of a key in one flush only one
-    leaves the task, so that large groups of copies are thinned out before they move.
+    Of equal sets only the first one that the task sees gives keys.
     """
     seen: set[bytes] = set()
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -117,28 +134,24 @@ def _incidence(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) ->
     def rows(kind, *columns):
         for lo in range(0, len(columns[0]), ROWS_OUT):
             k = len(columns[0][lo : lo + ROWS_OUT])
-            parts = [np.zeros(k, np.int64) if x is None else x[lo : lo + ROWS_OUT] for x in columns]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, kind, np.int8)), *map(pa.array, parts)], schema=_INCIDENCE)
+            parts = [pa.nulls(k, f.type) if x is None else pa.array(x[lo : lo + ROWS_OUT], f.type) for f, x in zip(list(_INCIDENCE)[1:], columns)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, kind, np.int8)), *parts], schema=_INCIDENCE)
 
     def flush():
         if held:
             keys, ids = _taken(held)
-            order = np.argsort(keys)
-            keys = keys[order]
-            ids = ids[order]
-            del order
-            first, keys, a, ids = _star(keys, ids)
-            yield from rows(1, first, None, W.signed(keys), None)
-            yield from rows(2, ids, None, a, None)
+            yield from rows(1, ids, None, W.signed(keys), None, None)
 
     count = 0
     for batch in batches:
         ids = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
         sizes, one, two = (np.zeros(len(ids), np.int64) for _ in range(3))
+        sketches: list[bytes] = []
         for d, u in enumerate(_sets(batch.column(1), n)):
             sizes[d] = len(u)
             if not len(u):
                 continue
+            sketches.append(sketch(u))
             pair = np.array([u.sum(), W.mix(u * np.uint64(3)).sum()], np.uint64)
             one[d], two[d] = W.signed(pair)
             if (name := pair.tobytes()) in seen:
@@ -151,7 +164,9 @@ def _incidence(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int) ->
             if count >= KEYS_AT_ONCE:
                 yield from flush()
                 count = 0
-        yield from rows(0, ids, sizes, one, two)
+        yield from rows(0, ids, sizes, one, two, None)
+        full = sizes > 0
+        yield from rows(2, ids[full], sizes[full], None, None, sketches)
     yield from flush()
 
 
@@ -192,6 +207,113 @@ def _string(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from leave()
 
 
+_GROUP = pa.schema([("group", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+
+
+def _group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(group, row, null) of the rows that share a key, a group once however many keys it shares, and (null, a, b) for the
+    links of a key of more than GROUP_ROWS rows; the rows of a key are in one task and come together.
+    """
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    seen = np.zeros(0, np.int64)  # groups that have left
+    many = np.zeros(0, np.uint64)  # the key whose first rows have left as links
+
+    def out(*columns):
+        for lo in range(0, len(columns[1]), ROWS_OUT):
+            k = len(columns[1][lo : lo + ROWS_OUT])
+            parts = [pa.nulls(k, pa.int64()) if x is None else pa.array(x[lo : lo + ROWS_OUT]) for x in columns]
+            yield pa.RecordBatch.from_arrays(parts, schema=_GROUP)
+
+    def close(last: bool):
+        nonlocal seen, many
+        keys, ids = _taken(held)
+        begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        size = np.diff(np.append(begin, len(keys)))
+        large = (size > GROUP_ROWS) | np.isin(keys[begin], many)
+        if not last:  # more rows of the last key may come
+            rest = slice(begin[-1], None)
+            if large[-1]:
+                many = keys[-1:].copy()
+                held.append((many, ids[rest].min(keepdims=True)))
+            else:
+                held.append((keys[rest].copy(), ids[rest].copy()))
+                size[-1] = 0
+        for wide in (False, True):
+            keep = np.repeat((size > 1) & (large == wide), np.diff(np.append(begin, len(keys))))
+            if not keep.any():
+                continue
+            own, docs = _once(keys[keep], ids[keep])
+            if wide:
+                strung = pa.RecordBatch.from_arrays([pa.array(W.signed(own)), pa.array(docs)], ["key", "doc"])
+                for links in _string(iter([strung])):
+                    yield from out(None, links.column(0).to_numpy(), links.column(1).to_numpy())
+                continue
+            start = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+            names = W.signed(W.mix(np.add.reduceat(W.mix(docs.astype(np.uint64)), start)))
+            names, first = np.unique(names, return_index=True)
+            new = ~np.isin(names, seen) & (np.diff(np.append(start, len(own)))[first] > 1)
+            names, first = names[new], first[new]
+            seen = np.union1d(seen, names)
+            sizes = np.diff(np.append(start, len(own)))[first]
+            at = np.repeat(start[first], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            yield from out(np.repeat(names, sizes), docs[at], None)
+
+    count = 0
+    for batch in batches:
+        for lo in range(0, batch.num_rows, STRUNG_AT_ONCE):
+            part = batch.slice(lo, STRUNG_AT_ONCE)
+            held.append((W.unsigned(part.column(0).to_numpy()), part.column(1).to_numpy()))
+            count += part.num_rows
+            if count >= STRUNG_AT_ONCE:
+                yield from close(False)
+                count = 0
+    if held:
+        yield from close(True)
+
+
+def _plausible(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Links that span the rows of a group whose sketches and sizes allow the threshold; a group's rows come together."""
+    rows: list[tuple[int, int, bytes]] = []
+    found: list[tuple[int, int]] = []
+    group = None
+
+    def close():
+        if len(rows) < 2:
+            return rows.clear()
+        ids, sizes = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
+        words = _folded([r[2] for r in rows])
+        rows.clear()
+        left, reached = np.arange(1, len(ids)), [0]
+        while len(left):
+            if not reached:
+                reached.append(left[0])
+                left = left[1:]
+            at = reached.pop()
+            differ = np.bitwise_count(words[left] ^ words[at]).sum(1, dtype=np.int64)
+            small, big = np.minimum(sizes[left], sizes[at]), np.maximum(sizes[left], sizes[at])
+            near = (differ * (num + den) <= (den - num) * (small + big)) & (num * big <= den * small)
+            found.extend((int(x), int(ids[at])) for x in ids[left[near]])
+            reached.extend(left[near])
+            left = left[~near]
+
+    def leave():
+        links = list(dict.fromkeys(x for x in found if x[0] != x[1]))
+        found.clear()
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    for batch in batches:
+        for name, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if name != group:
+                close()
+                group = name
+            rows.append(tuple(row))
+        if len(found) >= ROWS_OUT:
+            yield from leave()
+    close()
+    yield from leave()
+
+
 def _product(sets: list[np.ndarray], num: int, den: int) -> Iterator[np.ndarray]:
     """Links of a block's rows as (row, first row of its component).  ``sets`` lets go of them, as their product takes room."""
     m = len(sets)
@@ -371,36 +493,42 @@ def jaccard_join(
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     known = source.where("doc IS NOT NULL")
     made = table(
-        known.mapInArrow(lean(_incidence, n=n, num=num, den=den), "kind byte, doc long, n long, h1 long, h2 long"),
+        known.mapInArrow(lean(_incidence, n=n, num=num, den=den), "kind byte, doc long, n long, h1 long, h2 long, sketch binary"),
         "incidence",
         ["kind"],
     )
     sizes = made.where("kind = 0").select("doc", "n", "h1", "h2")
     keyed = made.where("kind = 1").select(F.col("h1").alias("key"), "doc")
-    # A task strings a document once at most to each row it shares a key with: few large tasks return fewer links.
+    # A task names a group of rows once however many keys it shares: few large tasks return fewer rows.
     keyed = keyed.repartition(max(8, -(-keyed.count() // KEYS_AT_ONCE // 2)), "key")
-    strings = keyed.sortWithinPartitions("key").mapInArrow(lean(_string), "a long, b long").union(
-        made.where("kind = 2").select(F.col("h1").alias("a"), F.col("doc").alias("b"))
-    )
+    groups = table(keyed.sortWithinPartitions("key").mapInArrow(lean(_group), "group long, a long, b long"), "groups")
+    del keyed
+    discard(made, "kind=1")
+    release(groups)  # the keys' shuffle files
     # Equal sets are represented by their smallest id.
     rep = sizes.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"))
     to_rep = table(
         sizes.where("n > 0").join(rep.where("copies > 1"), ["n", "h1", "h2"]).select("doc", "rep").distinct(), "copies"
     )
 
-    def represented(links: DataFrame) -> DataFrame:
-        for c in ("a", "b"):
-            links = (
-                links.distinct()
+    def represented(rows: DataFrame, *columns: str) -> DataFrame:
+        for c in columns:
+            rows = (
+                rows.distinct()
                 .join(to_rep.select(F.col("doc").alias(c), F.col("rep").alias("_r")), c, "left")
                 .withColumn(c, F.coalesce("_r", c))
                 .drop("_r")
             )
-        return links.where("a != b").select("a", "b")
-
-    strings = table(represented(strings), "strings")
-    del keyed
-    release(strings)  # the keys' shuffle files
+        return rows.distinct()
+
+    grouped = table(represented(groups.where("b IS NULL").select("group", F.col("a").alias("doc")), "doc"), "grouped")
+    compared = grouped.join(made.where("kind = 2").select("doc", "n", "sketch"), "doc").select("group", "doc", "n", "sketch")
+    compared = compared.repartition(max(8, -(-grouped.count() // COMPARED_ROWS)), "group")
+    near = compared.sortWithinPartitions("group", "doc").mapInArrow(lean(_plausible, num=num, den=den), "a long, b long")
+    strung = represented(groups.where("b IS NOT NULL").select("a", "b"), "a", "b").where("a != b").select("a", "b")
+    strings = table(near.union(strung).distinct(), "strings")
+    del compared, near, strung
+    release(strings)  # the sketches' shuffle files
     clusters = components(strings, "a", "b")
     roots = clusters.select(F.col("root").alias("node"), "root").distinct()
     tops = classes(num, den)
@@ -409,10 +537,9 @@ def jaccard_join(
         "cls", F.lit(0) + sum(F.when(F.col("n") > int(t), 1).otherwise(0) for t in tops[tops < (1 << 20)])
     )
     member = table(member, "members")
-    for part in ("kind=1", "kind=2"):
-        discard(made, part)
-    discard(clusters)
-    discard(strings)
+    discard(made, "kind=2")
+    for done in (groups, grouped, clusters, strings):
+        discard(done)
     dealt = _blocks(member, block_grams, block_rows)
     # A task gets about a block of n-grams, however many there are.
     load = dealt.join(member.select("doc", "n"), "doc").agg(F.sum(F.size("blocks") * F.col("n"))).first()[0] or 0

@@ -69,6 +69,84 @@ def test_null_ids_repeated_rows_and_no_rows(spark):
     assert J.jaccard_join(docs.limit(0), n=4).count() == 0
 
 
+@pytest.mark.parametrize("n,num,den", [(5, 4, 5), (4, 85, 100)])
+def test_texts_that_share_passages_do_not_become_one_cluster(spark, prose, monkeypatch, n, num, den):
+    passages = [prose(500 + i, 40) for i in range(6)]
+    rows = [(i, f"{prose(i, 25)} {passages[i % 6]} {prose(1000 + i, 15)} {passages[i % 5]}") for i in range(240)]
+    rows += [(300 + i, rows[i][1] + " end") for i in range(0, 240, 40)]
+    members, deal = [], J._blocks
+    monkeypatch.setattr(J, "_blocks", lambda member, *a: members.append(member.groupBy("cluster").count().collect()) or deal(member, *a))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r[0]: (r[1], r[2]) for r in J.jaccard_join(docs, n=n, num=num, den=den).collect()}
+    assert got == brute(rows, n, num, den)
+    assert sum(v[1] != i for i, v in got.items()) == 6
+    assert max(r["count"] for r in members[0]) < 10  # all of them would meet by their passages
+
+
+def sets_with_links(rng, count):
+    """Sets around a few centres, at all distances up to and beyond the threshold."""
+    centres = [rng.integers(1, 1 << 63, int(rng.integers(6, 400))).astype(np.uint64) for _ in range(4)]
+    out = []
+    for i in range(count):
+        c = centres[i % 4]
+        gone = int(rng.integers(0, len(c) // 5 + 2))
+        out.append(np.unique(np.concatenate((rng.permutation(c)[gone:], rng.integers(1, 1 << 63, int(rng.integers(0, len(c) // 5 + 2))).astype(np.uint64)))))
+    return out
+
+
+def rooted(ids, links):
+    label = {i: i for i in ids}
+    for _ in range(len(label)):
+        before = dict(label)
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+        if label == before:
+            break
+    return label
+
+
+@pytest.mark.parametrize("slots", [64, 1 << 15])
+def test_sketches_lose_no_link(monkeypatch, slots):
+    monkeypatch.setattr(J, "MOST_SLOTS", slots)
+    sets = sets_with_links(np.random.default_rng(11), 160)
+    linked = [
+        (i, j) for i, x in enumerate(sets) for j, y in enumerate(sets)
+        if i < j and 5 * len(np.intersect1d(x, y)) >= 4 * len(np.union1d(x, y))
+    ]
+    assert len(linked) > 100
+    columns = [[7] * len(sets), list(range(len(sets))), [len(u) for u in sets], [J.sketch(u) for u in sets]]
+    whole = pa.record_batch([pa.array(c) for c in columns], ["group", "doc", "n", "sketch"])
+    for size in (1, 13, 160):
+        batches = (whole.slice(lo, size) for lo in range(0, 160, size))
+        links = [x for b in J._plausible(batches, 4, 5) for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        label = rooted(range(len(sets)), links)
+        assert all(label[i] == label[j] for i, j in linked)
+        if slots > 64:
+            assert len(set(label.values())) >= 4
+
+
+def test_rows_of_equal_keys_are_grouped_over_batches(monkeypatch):
+    keys, ids = [1, 1, 2, 2, 3, 4, 4, 4, 4, 4, 4, 4, 5, 5, 5], [8, 9, 9, 8, 8, 1, 2, 3, 4, 5, 6, 7, 7, 8, 7]
+    for held in (4, 1 << 19):
+        monkeypatch.setattr(J, "STRUNG_AT_ONCE", held)
+        for most in (3, 100):
+            monkeypatch.setattr(J, "GROUP_ROWS", most)
+            for size in (1, 4, 15):
+                batches = (pa.record_batch([pa.array(keys[lo : lo + size]), pa.array(ids[lo : lo + size])], ["key", "doc"]) for lo in range(0, 15, size))
+                rows = [tuple(r.values()) for b in J._group(batches) for r in b.to_pylist()]
+                groups = {}
+                for g, a, b in rows:
+                    if b is None:
+                        groups.setdefault(g, []).append(a)
+                small = [[7, 8], [8, 9]]
+                assert sorted(groups.values()) == (small if most == 3 else [[1, 2, 3, 4, 5, 6, 7], *small])
+                links = [(a, b) for _, a, b in rows if b is not None]
+                assert bool(links) == (most == 3)
+                if links:
+                    assert rooted(range(1, 8), links) == dict.fromkeys(range(1, 8), 1)
+    assert not list(J._group(iter(())))
+
+
 def test_linked_sets_share_a_key():
     rng = np.random.default_rng(2)
     for _ in range(400):
