@@ -87,6 +87,20 @@ def test_few_fits_run_at_once(spark):
     assert G.at_once(spark.range(1), 8, 10 * slots) == 1
 
 
+def test_a_fit_takes_its_share_of_the_cores(spark):
+    share = -(-spark.sparkContext.defaultParallelism // G.FITS_AT_ONCE)
+    df = spark.range(1)
+    assert G.fit_tasks(df, 0) == G.fit_tasks(df, G.ROWS_PER_TASK) == 1
+    assert G.fit_tasks(df, 100 * G.ROWS_PER_TASK) == max(share, 100 * G.ROWS_PER_TASK // G.MOST_ROWS_PER_TASK)
+    assert G.fit_tasks(df, 1000 * G.MOST_ROWS_PER_TASK) == max(share, 1000)
+
+
+def test_trees_write_no_table_of_nodes(sides):
+    for learner in ("gbt", "gbt_deep", "forest", "residual"):
+        config = G.ModelConfig("x", FEATURES, (), learner)
+        assert not G.make_learner(config, G.fit_vectors(sides[0], config), 1).getCacheNodeIds()
+
+
 def test_segments_cover_all_rows(sides):
     config = G.ModelConfig("s", FEATURES, (), "forest", (42,), {"numTrees": 3, "maxDepth": 3})
     oof, pred = G.train_by_segment(*sides, "no_transfer", {0: config, 1: config}, k=2)
